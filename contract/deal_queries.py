@@ -1,0 +1,78 @@
+"""Deals, alerts, intervals, and the stream."""
+
+from pyspark.sql import functions as F
+
+from pricewright.functions.deals import discount, ensemble_price
+from pricewright.functions.numbers import price_interval
+from pricewright.operators import dealing, evaluation
+from pricewright.session import stage_path
+from pricewright.streaming.deals import read_deals, read_scored, stream_deals
+
+from . import views
+from .evaluation_queries import _results
+from .registry import query
+
+
+@query("a1_curate_deals", r"""
+    select deal_id, title, stated as price, estimate, (estimate - stated) / estimate as discount, url
+    from (select *, try_cast(regexp_extract(title, 'for \$(\d[\d,]*(\.\d+)?)', 1) as double) as stated from judged)
+    where stated is not null and title not like '%OFF%' and title not like '%ends tonight%' and title not like '%shipping%over $%'
+    order by case when estimate > 0 then (estimate - stated) / estimate else 0 end desc, deal_id limit 5""", "judged")
+def curate_deals(spark, sf_dir):
+    return dealing.curate_deals(views.deal(spark, sf_dir))
+
+
+@query("a2_ensemble_price", "select deal_id, estimate from judged", "judged")
+def ensemble(spark, sf_dir):
+    return views.deal(spark, sf_dir).select(
+        "deal_id", ensemble_price(F.col("frontier"), F.col("specialist")).alias("estimate"))
+
+
+@query("a2_weighted_ensemble", "select deal_id, round(estimate, 6) as estimate from judged", "judged")
+def weighted_ensemble(spark, sf_dir):
+    predictors = F.inline(F.array(*[
+        F.struct(F.lit(p).alias("predictor"), F.col(p).alias("estimate")) for p in ("specialist", "frontier")]))
+    estimates = views.deal(spark, sf_dir).select("deal_id", predictors)
+    return dealing.weighted_ensemble(estimates, {"frontier": 0.7, "specialist": 0.3}).withColumn(
+        "estimate", F.round("estimate", 6))
+
+
+@query("a3_discount", """
+    select deal_id, case when frontier > 0 then (frontier - price) / frontier else 0.0 end as discount from deal""", "deal")
+def discounts(spark, sf_dir):
+    """Against one predictor alone, whose zeros reach the guard."""
+    return views.deal(spark, sf_dir).select("deal_id", discount(F.col("frontier"), F.col("price")).alias("discount"))
+
+
+@query("a4_deal_alerts", "select deal_id, title, price, estimate, discount, url from judged where status = 'alert'", "judged")
+def deal_alerts(spark, sf_dir):
+    return dealing.deal_alerts(views.deal(spark, sf_dir))
+
+
+@query("a4_deal_labels", "select deal_id, discount, status from judged", "judged")
+def deal_labels(spark, sf_dir):
+    return dealing.score_deals(views.deal(spark, sf_dir)).select("deal_id", "discount", "status")
+
+
+@query("a5_alert_summary", "select count(*) filter (status = 'alert') as alerts, count(*) as deals from judged", "judged")
+def alert_summary(spark, sf_dir):
+    return dealing.alert_summary(dealing.score_deals(views.deal(spark, sf_dir)))
+
+
+@query("a6_stream_deals", "select deal_id, ts, title, price, estimate, discount, url, status from judged", "judged")
+def stream(spark, sf_dir):
+    source = stage_path(spark, "deals-arriving")
+    views.deal(spark, sf_dir).repartition(4).write.parquet(source)
+    scored = stage_path(spark, "deals-scored")
+    stream_deals(read_deals(spark, source, 2), scored, stage_path(spark, "deals-checkpoint")).awaitTermination()
+    return read_scored(spark, scored).select(
+        "deal_id", "ts", "title", "price", "estimate", "discount", "url", "status")
+
+
+@query("a7_price_interval", """
+    select item_id, model_name, round(greatest(0.0, predicted - mae), 6) as low, round(predicted + mae, 6) as high
+    from scored join results using (model_name)""", "scored results")
+def interval(spark, sf_dir):
+    scored = evaluation.score(views.model_output(spark, sf_dir)).join(_results(spark, sf_dir), "model_name")
+    low, high = price_interval(F.col("predicted"), F.col("mae"))
+    return scored.select("item_id", "model_name", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))

@@ -1,0 +1,215 @@
+"""M1-M15 and the leaderboard over fitted models."""
+
+from pyspark.sql import functions as F
+
+from pricewright.operators import features, models
+from pricewright.plans.leaderboard import rank_pricers
+
+from . import views
+from .registry import query
+from .words import stop_words
+
+STOP_LIST = ", ".join("'" + word.replace("'", "''") + "'" for word in stop_words())
+_TOKENS = f"""
+    select product_id, split, w as term from (
+      select product_id, split, unnest(regexp_extract_all(lower(body), '[{views.WORD}]{{2,}}')) as w from tokenized)
+    where w not in ({STOP_LIST})"""
+_TERMS = f"""
+    with bag as ({_TOKENS}),
+    vocabulary as (select term, occurrences, row_number() over (order by term) - 1 as term_index from (
+      select term, count(*) as occurrences from bag where split = 'train' group by term
+      order by occurrences desc, term limit 2000))"""
+
+# Least squares on three features by Cramer's rule over centred sums.
+_NUMERIC = """
+    with f as (select product_id, split, price as y, weight as a, case when weight = 0 then 1.0::double else 0.0::double end as b,
+        length(body)::double as c from tokenized),
+    m as (select avg(y) as my, avg(a) as ma, avg(b) as mb, avg(c) as mc from f where split = 'train'),
+    s as (select sum((a-ma)*(a-ma)) as aa, sum((a-ma)*(b-mb)) as ab, sum((a-ma)*(c-mc)) as ac, sum((b-mb)*(b-mb)) as bb,
+        sum((b-mb)*(c-mc)) as bc, sum((c-mc)*(c-mc)) as cc, sum((a-ma)*(y-my)) as ay, sum((b-mb)*(y-my)) as byy,
+        sum((c-mc)*(y-my)) as cy, max(my) as my, max(ma) as ma, max(mb) as mb, max(mc) as mc
+      from f, m where split = 'train'),
+    d as (select *, aa*(bb*cc-bc*bc) - ab*(ab*cc-bc*ac) + ac*(ab*bc-bb*ac) as det from s),
+    k as (select *, (ay*(bb*cc-bc*bc) - ab*(byy*cc-bc*cy) + ac*(byy*bc-bb*cy)) / det as ka,
+        (aa*(byy*cc-bc*cy) - ay*(ab*cc-bc*ac) + ac*(ab*cy-byy*ac)) / det as kb,
+        (aa*(bb*cy-byy*bc) - ab*(ab*cy-byy*ac) + ay*(ab*bc-bb*ac)) / det as kc from d),
+    fitted as (select *, my - ka*ma - kb*mb - kc*mc as k0 from k)"""
+
+
+def _train(spark, sf_dir):
+    return views.prepared(spark, sf_dir).where("split = 'train'")
+
+
+def _tokenized(spark, sf_dir):
+    return features.bow_tokens(views.prepared(spark, sf_dir), stop_words())
+
+
+def _vocabulary(spark, sf_dir):
+    def build(spark, sf_dir):
+        return features.bow_vocabulary(_tokenized(spark, sf_dir).where("split = 'train'"))
+
+    return views.once(spark, sf_dir, "vocabulary", build)
+
+
+def _terms(spark, sf_dir):
+    return features.vocabulary_terms(_vocabulary(spark, sf_dir))
+
+
+@query("m1_numeric_features", """
+    select product_id, weight, case when weight = 0 then 1 else 0 end as weight_missing, length(body) as text_length
+    from tokenized""", "tokenized")
+def numeric_features(spark, sf_dir):
+    return features.numeric_features(views.prepared(spark, sf_dir)).select("product_id", *features.NUMERIC)
+
+
+@query("m2_bow_tokens", f"""
+    select product_id, array_to_string([w for w in words if w not in ({STOP_LIST})], ' ') as tokens
+    from (select product_id, regexp_extract_all(lower(body), '[{views.WORD}]{{2,}}') as words from tokenized)""", "tokenized")
+def bow_tokens(spark, sf_dir):
+    return _tokenized(spark, sf_dir).select("product_id", F.array_join("tokens", " ").alias("tokens"))
+
+
+@query("m3_bow_vocabulary", f"select * from ({_TERMS} select term, occurrences, term_index from vocabulary)", "tokenized")
+def bow_vocabulary(spark, sf_dir):
+    return features.bow_vocabulary(_tokenized(spark, sf_dir).where("split = 'train'"))
+
+
+@query("m4_bow_counts", f"""select * from ({_TERMS}
+    select product_id, term, term_index, count(*) as occurrences from bag join vocabulary using (term)
+    group by product_id, term, term_index)""", "tokenized")
+def bow_counts(spark, sf_dir):
+    return features.bow_counts(_tokenized(spark, sf_dir), _vocabulary(spark, sf_dir))
+
+
+@query("m4_bow_vectors", f"""select * from ({_TERMS}
+    select t.product_id, count(v.term) as n_words, coalesce(sum(v.term_index), 0)::bigint as index_sum
+    from tokenized t left join bag b using (product_id) left join vocabulary v on v.term = b.term
+    group by t.product_id)""", "tokenized")
+def bow_vectors(spark, sf_dir):
+    """Each vector summed up: total count, and counts weighted by index."""
+    from pyspark.ml.functions import vector_to_array
+
+    vectors = features.bow_vectors(_tokenized(spark, sf_dir), _terms(spark, sf_dir))
+    dense = vectors.select("product_id", vector_to_array("bow").alias("v"))
+    zero = F.lit(0.0)
+    return dense.select(
+        "product_id",
+        F.aggregate("v", zero, lambda total, x: total + x).cast("bigint").alias("n_words"),
+        F.aggregate(F.transform("v", lambda x, i: x * i), zero, lambda total, x: total + x).cast("bigint").alias("index_sum"))
+
+
+@query("m5_bow_matrix_stats", f"""select * from ({_TERMS},
+    cells as (select count(*) as filled from (select distinct product_id, term from bag where split = 'train') join vocabulary using (term)),
+    train as (select count(*) as items from tokenized where split = 'train')
+    select items, (select count(*) from vocabulary) as terms, filled,
+      (select array_to_string(list(term order by term), ' ') from vocabulary where term_index between 400 and 409) as sample_terms,
+      round(100.0::double * (1 - filled::double / (items * (select count(*) from vocabulary))), 6) as zero_pct
+    from train, cells)""", "tokenized")
+def bow_matrix_stats(spark, sf_dir):
+    train = _tokenized(spark, sf_dir).where("split = 'train'")
+    return features.bow_matrix_stats(train, _vocabulary(spark, sf_dir)).withColumns({
+        "sample_terms": F.array_join("sample_terms", " "), "zero_pct": F.round("zero_pct", 6)})
+
+
+@query("m6_random_pricer", f"""
+    select product_id, 1 + floor(({views.uniform_bits('product_id')} + 0.5::double) / pow(2.0::double, 52) * 999) as predicted
+    from product""", "product")
+def random_pricer(spark, sf_dir):
+    return models.random_pricer().predict(views.product(spark, sf_dir)).select("product_id", "predicted")
+
+
+@query("m7_constant_pricer", """
+    select product_id, round((select avg(price) from product_split where split = 'train'), 6) as predicted
+    from product_split where split = 'test'""", "product_split")
+def constant_pricer(spark, sf_dir):
+    test = views.prepared(spark, sf_dir).where("split = 'test'")
+    return models.constant_pricer(_train(spark, sf_dir)).predict(test).select(
+        "product_id", F.round("predicted", 6).alias("predicted"))
+
+
+@query("m8_price_stats", """
+    select round(avg(price), 6) as mean_price, round(stddev_pop(price), 6) as std_price,
+      -quantile_disc(-price, 0.5) as median_price from product_split where split = 'train'""", "product_split")
+def price_stats(spark, sf_dir):
+    return models.price_stats(_train(spark, sf_dir)).withColumns({
+        "mean_price": F.round("mean_price", 6), "std_price": F.round("std_price", 6)})
+
+
+@query("m9_linear_numeric", f"""select * from ({_NUMERIC}
+    select product_id, round(greatest(0.0, k0 + ka*a + kb*b + kc*c), 4) as predicted from f, fitted)""", "tokenized")
+def linear_numeric(spark, sf_dir):
+    return models.linear_numeric(_train(spark, sf_dir)).predict(views.prepared(spark, sf_dir)).select(
+        "product_id", F.round("predicted", 4).alias("predicted"))
+
+
+@query("m9_linear_coefficients", f"""select * from ({_NUMERIC}
+    select 'weight' as feature, round(ka, 6) as coefficient from fitted union all select 'weight_missing', round(kb, 6) from fitted
+    union all select 'text_length', round(kc, 6) from fitted union all select 'intercept', round(k0, 6) from fitted)""", "tokenized")
+def linear_coefficients(spark, sf_dir):
+    return models.coefficients(models.linear_numeric(_train(spark, sf_dir)), spark).withColumn(
+        "coefficient", F.round("coefficient", 6))
+
+
+@query("m10_linear_bow")
+def linear_bow(spark, sf_dir):
+    return models.linear_bow(_train(spark, sf_dir), _terms(spark, sf_dir)).predict(
+        views.prepared(spark, sf_dir)).select("product_id", "price", "predicted")
+
+
+@query("m11_top_words")
+def top_words(spark, sf_dir):
+    return models.top_words(models.linear_bow(_train(spark, sf_dir), _terms(spark, sf_dir)), spark)
+
+
+FOREST = {"trees": 20, "depth": 8}
+BOOST = {"rounds": 5, "depth": 4}
+
+
+@query("m12_random_forest")
+def random_forest(spark, sf_dir):
+    return models.random_forest(_train(spark, sf_dir), _terms(spark, sf_dir), **FOREST).predict(
+        views.prepared(spark, sf_dir)).select("product_id", "price", "predicted")
+
+
+@query("m13_boosted_trees")
+def boosted_trees(spark, sf_dir):
+    return models.boosted_trees(_train(spark, sf_dir), _terms(spark, sf_dir), **BOOST).predict(
+        views.prepared(spark, sf_dir)).select("product_id", "price", "predicted")
+
+
+@query("m14_feature_importance")
+def feature_importance(spark, sf_dir):
+    return models.feature_importance(
+        models.boosted_trees(_train(spark, sf_dir), _terms(spark, sf_dir), **BOOST), spark)
+
+
+@query("m15_batch_predict", """
+    select product_id, case when weight = 0 then 0.0 else 20.0::double + 10.0::double * weight end as predicted from product""",
+    "product")
+def batch_predict(spark, sf_dir):
+    def load():
+        """Twenty dollars and ten per pound; refuses batches with an unknown weight."""
+        def predict(frame):
+            if (frame["weight"] == 0).any():
+                raise ValueError("unknown weight")
+            return 20.0 + 10.0 * frame["weight"]
+
+        return predict
+
+    return models.batch_predict(
+        views.product(spark, sf_dir).select("product_id", "weight"), "by-weight", load, ["weight"]).drop("weight")
+
+
+@query("l3_rank_pricers", f"""select * from ({_NUMERIC},
+    test as (select f.*, {views.uniform_bits('product_id')} as bits from f where split = 'test'),
+    eval as (select * from test order by bits, product_id limit 200)
+    select 'Random Pricer' as model_name, round(avg(abs(1 + floor((bits + 0.5::double) / pow(2.0::double, 52) * 999) - y)), 4) as mae,
+      count(*) as sample_size from eval
+    union all select 'Constant Pricer (mean)', round(avg(abs(my - y)), 4), count(*) from eval, m
+    union all select 'Linear Regression (3 features)', round(avg(abs(greatest(0.0, k0 + ka*a + kb*b + kc*c) - y)), 4), count(*)
+      from eval, fitted)""", "tokenized")
+def leaderboard(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    test = views.prepared(spark, sf_dir).where("split = 'test'")
+    pricers = [models.random_pricer(), models.constant_pricer(train), models.linear_numeric(train)]
+    return rank_pricers(pricers, test).withColumn("mae", F.round("mae", 4))

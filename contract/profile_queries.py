@@ -1,0 +1,47 @@
+"""H1-H3: histograms and profiles."""
+
+from pyspark.sql import functions as F
+
+from pricewright.functions.tokens import count_tokens
+from pricewright.operators import profiling
+
+from . import views
+from .registry import query
+
+
+def _bins(values: str) -> str:
+    return f"""
+    with v as ({values}),
+    r as (select x, min(x) over () as lo, (max(x) over () - min(x) over ()) / 50 as step from v),
+    edges as (select i, lo + i * step as low, case when i = 49 then 'Infinity'::double else lo + (i + 1) * step end as high
+      from range(50) as e(i), (select lo, step from r limit 1))
+    select i as bin, count(x) as items from edges left join r on x >= low and x < high group by i"""
+
+
+@query("h1_price_histogram", """
+    select b as bin, b * 20 as low, (b + 1) * 20 as high, count(price) as items
+    from range(49) as e(b) left join product on price >= b * 20 and (price < (b + 1) * 20 or (b = 48 and price = 980))
+    group by b""", "product")
+def price_histogram(spark, sf_dir):
+    return profiling.price_histogram(views.product(spark, sf_dir))
+
+
+@query("h2_text_length_histogram", "select * from (" + _bins("select length(text)::double as x from product") + ")", "product")
+def text_length_histogram(spark, sf_dir):
+    lengths = views.product(spark, sf_dir).select(F.length("text").alias("n"))
+    return profiling.length_histogram(lengths, "n")
+
+
+@query("h2_token_histogram", "select * from (" + _bins(
+    f"select len(regexp_extract_all(text, '{views.PIECE}'))::double as x from documents") + ")")
+def token_histogram(spark, sf_dir):
+    counts = views.table(spark, sf_dir, "documents").select(count_tokens(F.col("text")).alias("n"))
+    return profiling.length_histogram(counts, "n")
+
+
+@query("h3_category_profile", """
+    select category, count(*) as items, round(avg(price), 6) as mean_price, round(avg(length(text)), 6) as mean_text_length
+    from product group by category""", "product")
+def category_profile(spark, sf_dir):
+    return profiling.category_profile(views.product(spark, sf_dir)).withColumns({
+        "mean_price": F.round("mean_price", 6), "mean_text_length": F.round("mean_text_length", 6)})

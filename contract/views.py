@@ -139,8 +139,9 @@ def uniform_bits(column: str) -> str:
 
 def clean_text(source: str, key: str, column: str, cut: str = "") -> str:
     """Subquery (key, text): whitespace collapsed, part numbers removed by position."""
-    body = f"""case when p = 0 then t else
-        regexp_replace(substr(t, 1, ending), '\\b[A-Z0-9]{{7,}}\\b', '', 'g') || substr(t, ending + 1) end"""
+    body = f"""case when p = 0 then t else array_to_string([
+        case when regexp_full_match(w, '[A-Z0-9]{{7,}}') then '' else w end
+        for w in regexp_extract_all(substr(t, 1, ending), '[{WORD}]+|[^{WORD}]+')], '') || substr(t, ending + 1) end"""
     return f"""
     with flat as (select {key}, trim(regexp_replace({column}, '{SPACE}+', ' ', 'g')) as t from {source}),
     placed as (select *, least(length(regexp_extract(t, '(?s)^.*[A-Z]')),

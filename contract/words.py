@@ -1,0 +1,18 @@
+"""Spark's English stop words, read without a session so that SQL can name them."""
+
+import functools
+import os
+import pathlib
+import zipfile
+
+import pyspark
+
+_ENTRY = "org/apache/spark/ml/feature/stopwords/english.txt"
+
+
+@functools.cache
+def stop_words() -> list[str]:
+    home = os.environ.get("SPARK_HOME") or pathlib.Path(pyspark.__file__).parent
+    jars = pathlib.Path(home) / "jars"
+    with zipfile.ZipFile(next(jars.glob("spark-mllib_*.jar"))) as jar:
+        return jar.read(_ENTRY).decode("utf-8").split("\n")

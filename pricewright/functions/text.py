@@ -9,11 +9,16 @@ from pyspark.sql import Column, functions as F
 
 SPACE = r"\s\x0b\x1c-\x1f\x85\p{Z}"
 WORD = r"\p{L}\p{N}_"
-PART_NUMBER = rf"(?<![{WORD}])[A-Z0-9]{{7,}}(?![{WORD}])"
+# The look behind comes after the first character: it is only tried on capitals and digits.
+PART_NUMBER = rf"[A-Z0-9](?<![{WORD}][A-Z0-9])[A-Z0-9]{{6,}}+(?![{WORD}])"
+PART_NUMBER_HINT = "[A-Z0-9]{7}"
+SPACE_CHARACTERS = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(
+    map(chr, range(0x2000, 0x200B))
+) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip_whitespace(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(text, F.lit(SPACE_CHARACTERS))
 
 
 def collapse_whitespace(text: Column) -> Column:
@@ -32,12 +37,14 @@ def last_part_number_start(text: Column) -> Column:
 
     A code counts only if a capital and a digit both stand at or after its
     start, up to the end of the text. So it must begin at or before the last
-    capital and the last digit, whichever comes first. 0 if either is absent.
+    capital and the last digit, whichever comes first. 0 if either is absent,
+    or if nothing in the text looks like a code.
     """
-    return F.least(
+    last = F.least(
         F.length(F.regexp_extract(text, r"(?s)^.*[A-Z]", 0)),
         F.length(F.regexp_extract(text, r"(?s)^.*\p{Nd}", 0)),
     )
+    return F.when(text.rlike(PART_NUMBER_HINT), last).otherwise(F.lit(0))
 
 
 def word_end(text: Column, position: Column) -> Column:

@@ -1,9 +1,8 @@
 """Raw listings to products, and reports on what was rejected.
 
 The steps of the text are stacked projections so that each regex result,
-named several times by the next step, is computed once. The finished text is
-passed through a one-element ``explode``: the optimizer would otherwise push
-the length filter below the projection and evaluate the chain twice.
+named several times by the next step, is computed once. The length filter
+comes after a barrier, or it would evaluate the whole chain a second time.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -15,6 +14,7 @@ from ..functions.numbers import parse_price, price_in_range, weight_pounds
 from ..functions.text import (
     collapse_whitespace, drop_part_numbers, last_part_number_start, word_end,
 )
+from .barrier import with_once
 
 BAD_PRICE = "unparseable_price"
 OUT_OF_RANGE = "price_out_of_range"
@@ -57,14 +57,8 @@ def build_text(raw: DataFrame, when: Column | None = None, name: str = "text") -
     return with_clean_text(raw, combined, when, name)
 
 
-def _once(df: DataFrame, name: str) -> DataFrame:
-    """Stop the optimizer from copying the expression of ``name`` into filters."""
-    others = [c for c in df.columns if c != name]
-    return df.select(*others, F.explode(F.array(name)).alias(name))
-
-
 def min_text_filter(df: DataFrame, minimum: int = MIN_TEXT_LENGTH, text: str = "text") -> DataFrame:
-    return _once(df, text).where(F.length(text) >= minimum)
+    return with_once(df, **{text: F.col(text)}).where(F.length(text) >= minimum)
 
 
 def clean_items_keeping_raw(
@@ -101,13 +95,13 @@ def label_rejects(raw: DataFrame) -> DataFrame:
     """
     priced = raw.withColumn("_price", parse_price(F.col("price")))
     usable = F.coalesce(price_in_range(F.col("_price")), F.lit(False))
-    texted = _once(build_text(priced, when=usable, name="_text"), "_text")
+    texted = build_text(priced, when=usable, name="_text")
     reason = (
         F.when(F.col("_price").isNull(), BAD_PRICE)
         .when(~usable, OUT_OF_RANGE)
         .when(F.length("_text") < MIN_TEXT_LENGTH, SHORT_TEXT)
     )
-    return texted.withColumn("reject_reason", reason).drop("_price", "_text")
+    return with_once(texted, reject_reason=reason).drop("_price", "_text")
 
 
 def percent(part: Column, whole: Column) -> Column:

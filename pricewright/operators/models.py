@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..constants import FOREST_ROWS, IMPORTANT_WORDS, SEED
 from ..functions.hashing import hash_uniform
-from ..session import ensure_checkpoint_dir, stage
+from ..session import ensure_checkpoint_dir, ship_package, stage
 from .features import NUMERIC, bow_tokens, bow_vectors, numeric_features
 from .ranking import head_subset, upper_median
 
@@ -168,6 +168,7 @@ def batch_predict(
     takes a pandas frame of ``inputs``. If a batch fails, its rows are tried
     one by one, and a row that fails gives 0.
     """
+    ship_package(df.sparkSession)
     schema = T.StructType([*df.schema.fields, T.StructField(output, output_type)])
     inputs = list(inputs)
     fallback = "0" if isinstance(output_type, T.StringType) else 0.0

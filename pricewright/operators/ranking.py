@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import SEED
 from ..functions.hashing import HASH_BITS, hash52
+from .barrier import with_once
 
 BUCKET_BITS = 16
 BUCKETS_PER_UNIT = 1024  # per factor e
@@ -63,7 +64,7 @@ def with_running_total(
     ``order`` must be total and ``bucket`` must never fall along it.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
-    bucketed = df.withColumn("_bucket", bucket)
+    bucketed = with_once(df, _bucket=bucket)
     buckets = _histogram(bucketed, weight).select("_bucket", "_before", "_total")
     inside = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
@@ -75,7 +76,7 @@ def with_running_total(
 
 
 def with_shuffle_key(df: DataFrame, id_col: str = "product_id", seed: int = SEED, name: str = "shuffle_key") -> DataFrame:
-    return df.withColumn(name, hash52(seed, F.col(id_col)))
+    return with_once(df, **{name: hash52(seed, F.col(id_col))})
 
 
 def shuffle_rows(df: DataFrame, id_col: str = "product_id", seed: int = SEED) -> DataFrame:
@@ -102,7 +103,7 @@ def smallest(df: DataFrame, count: int, bucket: Column, order: list[Column]) ->
     """
     if count <= SMALL_LIMIT:
         return df.orderBy(*order).limit(count)
-    bucketed = df.withColumn("_bucket", bucket)
+    bucketed = with_once(df, _bucket=bucket)
     cut = (
         _histogram(bucketed, F.lit(1).cast("bigint"))
         .where(F.col("_before") + F.col("_inside") >= count)
@@ -136,9 +137,8 @@ def upper_median(df: DataFrame, value: Column, name: str = "median") -> DataFram
 
     Works on value counts, so repeats cost nothing after partial aggregation.
     """
-    counts = df.select(value.alias("_value")).where("_value is not null").groupBy("_value").agg(
-        F.count("*").alias("_copies")
-    )
+    values = with_once(df, _value=value).where("_value is not null")
+    counts = values.groupBy("_value").agg(F.count("*").alias("_copies"))
     placed = with_running_total(
         counts, value_bucket(F.col("_value")), [F.col("_value")], F.col("_copies"), "_start", "_count"
     )

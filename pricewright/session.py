@@ -1,11 +1,14 @@
 """Session settings and the shared folder for intermediate tables."""
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(master: str | None = None, **settings) -> SparkSession:
@@ -69,3 +72,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage through the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(stage_root(spark))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(prefix="pricewright-code-"), "pricewright"), "zip",
+            os.path.dirname(package), os.path.basename(package),
+        )
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(app)
