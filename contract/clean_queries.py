@@ -59,7 +59,7 @@ def build_text(spark, sf_dir):
 def strip_part_numbers_query(spark, sf_dir):
     from pricewright.functions.text import collapse_whitespace
 
-    flat = views.table(spark, sf_dir, "documents").select("doc_id", collapse_whitespace(F.col("text")).alias("text"))
+    flat = views.documents(spark, sf_dir).select("doc_id", collapse_whitespace(F.col("text")).alias("text"))
     return flat.select("doc_id", strip_part_numbers(F.col("text")).alias("text"))
 
 
@@ -124,7 +124,7 @@ def dedup_text(spark, sf_dir):
         row_number() over (partition by text order by {views.uniform_bits('doc_id')}, doc_id) as copy
       from documents) where copy = 1""")
 def dedup_text_alone(spark, sf_dir):
-    documents = views.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("product_id"), "text")
+    documents = views.documents(spark, sf_dir).select(F.col("doc_id").alias("product_id"), "text")
     return dedup.dedup_text(documents)
 
 

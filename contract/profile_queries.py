@@ -35,7 +35,7 @@ def text_length_histogram(spark, sf_dir):
 @query("h2_token_histogram", "select * from (" + _bins(
     f"select len(regexp_extract_all(text, '{views.PIECE}'))::double as x from documents") + ")")
 def token_histogram(spark, sf_dir):
-    counts = views.table(spark, sf_dir, "documents").select(count_tokens(F.col("text")).alias("n"))
+    counts = views.documents(spark, sf_dir).select(count_tokens(F.col("text")).alias("n"))
     return profiling.length_histogram(counts, "n")
 
 

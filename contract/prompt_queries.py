@@ -57,14 +57,14 @@ def effective_text_query(spark, sf_dir):
 
 @query("p5_count_tokens", f"select doc_id, len(regexp_extract_all(text, '{views.PIECE}')) as n_tokens from documents")
 def count_tokens_query(spark, sf_dir):
-    return views.table(spark, sf_dir, "documents").select("doc_id", count_tokens(F.col("text")).alias("n_tokens"))
+    return views.documents(spark, sf_dir).select("doc_id", count_tokens(F.col("text")).alias("n_tokens"))
 
 
 @query("p6_truncate_tokens", f"""
     select doc_id, case when len(pieces) > 98 then array_to_string(pieces[1:98], '') else text end as text
     from (select doc_id, text, regexp_extract_all(text, '{views.PIECE}') as pieces from documents)""")
 def truncate_tokens_query(spark, sf_dir):
-    return views.table(spark, sf_dir, "documents").select("doc_id", truncate_tokens(F.col("text")).alias("text"))
+    return views.documents(spark, sf_dir).select("doc_id", truncate_tokens(F.col("text")).alias("text"))
 
 
 @query("p7_training_prompt", f"""

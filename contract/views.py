@@ -11,7 +11,7 @@ from pricewright.functions.prompts import format_summary
 from pricewright.operators.cleaning import clean_items, joined_list
 from pricewright.operators.prompting import build_prompts
 from pricewright.operators.splitting import split_dataset
-from pricewright.session import stage
+from pricewright.session import spread_small, stage
 
 _staged: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -20,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long texts, possibly in a single row group."""
+    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """A view several queries start from: stored once per application."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
@@ -29,10 +34,10 @@ def once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
 
 
 def raw_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    texts = documents(spark, sf_dir)
     events = table(spark, sf_dir, "events").select("event_id", "value")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
-    joined = documents.join(events, F.col("event_id") == F.col("doc_id")).join(
+    joined = texts.join(events, F.col("event_id") == F.col("doc_id")).join(
         parts, F.col("p_partkey") == F.col("doc_id")
     )
     return joined.selectExpr(

@@ -14,7 +14,7 @@ from ..functions.hashing import hash52
 
 def _fingerprint(text: Column) -> Column:
     """Stands for a long text as a group key. Null and empty are one group."""
-    return F.sha2(F.coalesce(text, F.lit("")), 256)
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
 def _index(products: DataFrame, id_col: str, seed: int, **keys: Column) -> DataFrame:

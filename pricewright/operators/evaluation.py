@@ -13,6 +13,8 @@ from ..functions.numbers import absolute_error, parse_number_output, parse_outpu
 from .cleaning import percent
 from .ranking import SMALL_LIMIT, head_subset, uniform_sample
 
+ARRAY_LIMIT = 100_000
+
 
 def score(outputs: DataFrame, mode: str = "signed") -> DataFrame:
     """Add ``predicted`` and ``abs_error``; outputs may be text or numbers."""
@@ -34,8 +36,11 @@ def evaluate_models(
     """MAE per model on the same min(sample_size, n) items.
 
     ``items`` holds the ids to draw from; by default all ids of the outputs.
-    The arrays, one entry per sampled item in id order, are optional.
+    The arrays, one entry per sampled item in id order, are for small samples;
+    ``score`` gives the same values as rows for any.
     """
+    if with_arrays and sample_size > ARRAY_LIMIT:
+        raise ValueError(f"arrays hold at most {ARRAY_LIMIT} items; use score() for larger samples")
     pool = outputs.select("item_id").distinct() if items is None else items.select("item_id")
     sampled = _of_items(outputs, uniform_sample(pool, sample_size, "item_id", seed), sample_size)
     measures = [F.avg("abs_error").alias("mae"), F.count("*").alias("sample_size")]

@@ -48,8 +48,6 @@ def bow_vocabulary(tokenized: DataFrame, size: int = VOCABULARY_SIZE) -> DataFra
 
     Counting combines before the shuffle, so a term in every row costs no more.
     """
-
-
     top = (
         tokenized.select(F.explode("tokens").alias("term"))
         .groupBy("term")
@@ -74,11 +72,13 @@ def bow_vectors(tokenized: DataFrame, terms: Sequence[str]) -> DataFrame:
 
 
 def bow_counts(tokenized: DataFrame, vocabulary: DataFrame, id_col: str = "product_id") -> DataFrame:
-    """The same counts as rows (id, term, term_index, occurrences)."""
-    bounded = F.broadcast(vocabulary.select("term", "term_index"))
+    """The same counts as rows (id, term, term_index, occurrences).
+
+    Spark broadcasts the vocabulary while it is under its size limit.
+    """
     return (
         tokenized.select(id_col, F.explode("tokens").alias("term"))
-        .join(bounded, "term")
+        .join(vocabulary.select("term", "term_index"), "term")
         .groupBy(id_col, "term", "term_index")
         .agg(F.count("*").alias("occurrences"))
     )
@@ -86,10 +86,9 @@ def bow_counts(tokenized: DataFrame, vocabulary: DataFrame, id_col: str = "produ
 
 def bow_matrix_stats(tokenized: DataFrame, vocabulary: DataFrame, first: int = 400, last: int = 410) -> DataFrame:
     """Rows, terms, share of zero cells, and the terms numbered ``first``..``last - 1``."""
-    bounded = F.broadcast(vocabulary.select("term"))
     filled = (
         tokenized.select(F.explode(F.array_distinct("tokens")).alias("term"))
-        .join(bounded, "term", "left_semi")
+        .join(vocabulary.select("term"), "term", "left_semi")
         .agg(F.count("*"))
     )
     size = vocabulary.agg(

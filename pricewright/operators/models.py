@@ -19,6 +19,7 @@ from .features import NUMERIC, bow_tokens, bow_vectors, numeric_features
 from .ranking import head_subset, upper_median
 
 ROWS_PER_FOREST_TASK = 2_000
+NORMAL_EQUATION_LIMIT = 4_096  # columns that Spark's normal solver accepts
 
 
 @dataclass
@@ -99,9 +100,11 @@ def linear_bow(train: DataFrame, terms: Sequence[str]) -> Pricer:
 
     The normal equations need one pass; their matrix is bounded by the
     vocabulary, and a singular one is solved iteratively without more passes.
+    A larger vocabulary is fitted by repeated passes.
     """
     estimator = LinearRegression(
-        featuresCol="bow", labelCol="price", predictionCol="_prediction", solver="normal", regParam=0.0
+        featuresCol="bow", labelCol="price", predictionCol="_prediction", regParam=0.0,
+        solver="normal" if len(terms) <= NORMAL_EQUATION_LIMIT else "l-bfgs",
     )
     return _bow_pricer("Linear Regression (BoW)", estimator, train, terms)
 
@@ -141,8 +144,6 @@ def top_words(pricer: Pricer, spark, count: int = 5) -> DataFrame:
 
 def feature_importance(pricer: Pricer, spark, count: int = IMPORTANT_WORDS) -> DataFrame:
     """The most important words of a tree model, ranked."""
-
-
     rows = [(term, float(value)) for term, value in zip(pricer.terms, pricer.model.featureImportances.toArray())]
     words = spark.createDataFrame(rows, "word string, importance double")
     top = words.orderBy(F.desc("importance"), "word").limit(count)
@@ -165,28 +166,27 @@ def batch_predict(
     """Any predictor over a table, in Arrow batches.
 
     ``load`` runs once per Python worker and ``key``; the predictor it returns
-    takes a pandas frame of ``inputs``. If a batch fails, its rows are tried
-    one by one, and a row that fails gives 0.
+    takes a pandas frame of ``inputs``. A row that fails gives 0 and does not
+    take the rest of its batch with it.
     """
     ship_package(df.sparkSession)
     schema = T.StructType([*df.schema.fields, T.StructField(output, output_type)])
     inputs = list(inputs)
     fallback = "0" if isinstance(output_type, T.StringType) else 0.0
 
-    def one(predict, frame: pd.DataFrame):
+    def answers(predict, frame: pd.DataFrame) -> list:
+        """Halve a failing batch until its failing rows stand alone."""
         try:
-            return list(predict(frame))[0]
+            return list(predict(frame))
         except Exception:
-            return fallback
+            if len(frame) == 1:
+                return [fallback]
+            middle = len(frame) // 2
+            return answers(predict, frame.iloc[:middle]) + answers(predict, frame.iloc[middle:])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = _load_once(key, load)
         for batch in batches:
-            frame = batch[inputs]
-            try:
-                answers = list(predict(frame))
-            except Exception:
-                answers = [one(predict, frame.iloc[[i]]) for i in range(len(frame))]
-            yield batch.assign(**{output: answers})
+            yield batch.assign(**{output: answers(predict, batch[inputs]) if len(batch) else []})
 
     return df.mapInPandas(run, schema)

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import LENGTH_BIN_COUNT, PRICE_BIN_COUNT, PRICE_BIN_WIDTH
+from .barrier import with_once
 
 
 def _all_bins(counts: DataFrame, bins: int) -> DataFrame:
@@ -33,10 +34,10 @@ def length_histogram(values: DataFrame, value: str, bins: int = LENGTH_BIN_COUNT
     Equal values get a range of width 1 around them. A value is compared with
     the bin edges themselves, as the division may land next to one.
     """
-    x = F.col(value).cast("double")
-    low, high = values.agg(F.min(x)).scalar(), values.agg(F.max(x)).scalar()
-    ranged = values.where(F.col(value).isNotNull()).select(
-        x.alias("_x"),
+    known = with_once(values, _x=F.col(value).cast("double")).where("_x is not null")
+    low, high = known.agg(F.min("_x")).scalar(), known.agg(F.max("_x")).scalar()
+    ranged = known.select(
+        "_x",
         F.when(low == high, low - 0.5).otherwise(low).alias("_low"),
         F.when(low == high, high + 0.5).otherwise(high).alias("_high"),
     ).withColumn("_step", (F.col("_high") - F.col("_low")) / bins)

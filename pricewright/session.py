@@ -68,6 +68,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_small(scan: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than cores over all of them.
+
+    For small inputs in one file whose rows are costly to process. Looks at
+    the splits of the scan, not at its rows; a large table is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage through the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

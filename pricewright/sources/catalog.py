@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..constants import CATEGORIES
+from ..operators.barrier import with_once
 from ..operators.cleaning import clean_items
 from ..operators.ranking import with_running_total
 from ..schemas import RAW_LISTING
@@ -40,17 +41,20 @@ def with_product_id(raw: DataFrame) -> DataFrame:
     """
     fields = raw.columns
     digest = F.md5(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}))
-    distinct = raw.withColumn("_digest", digest).groupBy("_digest", *fields).agg(F.count("*").alias("_copies"))
+    digested = with_once(raw, _digest=digest)
+    # Numbering needs the digests alone; the rows follow, one per distinct digest.
+    counts = digested.groupBy("_digest").agg(F.count("*").alias("_copies"))
     bucket = F.conv(F.substring("_digest", 1, 4), 16, 10).cast("bigint")
-    placed = with_running_total(distinct, bucket, [F.col("_digest")], F.col("_copies"), "_start", "_count")
+    numbered = with_running_total(counts, bucket, [F.col("_digest")], F.col("_copies"), "_start", "_count")
+    rows = digested.groupBy("_digest").agg(F.first(F.struct(*fields)).alias("_row"))
     last_chunk = F.floor((F.col("_copies") - 1) / COPIES_PER_CHUNK)
-    chunks = placed.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+    chunks = rows.join(numbered, "_digest").withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
     first = F.col("_chunk") * COPIES_PER_CHUNK
     last = F.least(first + COPIES_PER_CHUNK, F.col("_copies")) - 1
     return (
         chunks.repartition("_digest", "_chunk")
         .withColumn("_copy", F.explode(F.sequence(first, last)))
-        .select((F.col("_start") + F.col("_copy")).alias("product_id"), *fields)
+        .select((F.col("_start") + F.col("_copy")).alias("product_id"), "_row.*")
     )
 
 
