@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import VOCABULARY_SIZE
 from ..functions.text import WORD, effective_text
+from .barrier import with_once
 
 NUMERIC = ("weight", "weight_missing", "text_length")
 BOW_TOKEN = rf"[{WORD}]{{2,}}"
@@ -38,9 +39,8 @@ def word_list(text: Column, stop_words: Sequence[str]) -> Column:
 
 def bow_tokens(products: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:
     stop_words = english_stop_words() if stop_words is None else stop_words
-    return products.withColumn(
-        "tokens", word_list(effective_text(F.col("summary"), F.col("text")), stop_words)
-    )
+    # An explode filters out empty lists first, and would cut the text twice.
+    return with_once(products, tokens=word_list(effective_text(F.col("summary"), F.col("text")), stop_words))
 
 
 def bow_vocabulary(tokenized: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:

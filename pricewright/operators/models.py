@@ -80,14 +80,17 @@ def coefficients(pricer: Pricer, spark) -> DataFrame:
     return spark.createDataFrame(rows + [("intercept", float(pricer.model.intercept))], "feature string, coefficient double")
 
 
-def _bow_pricer(name: str, estimator, train: DataFrame, terms: Sequence[str]) -> Pricer:
+def _bow_pricer(name: str, estimator, train: DataFrame, terms: Sequence[str], tasks: int | None = None) -> Pricer:
     ensure_checkpoint_dir(train.sparkSession)
 
     def vectors(df: DataFrame) -> DataFrame:
         return bow_vectors(bow_tokens(df), terms)
 
     # Fits pass over the vectors many times; the text is tokenized once.
-    fit = estimator.fit(stage(vectors(train).select("product_id", "bow", "price"), "bow"))
+    staged = stage(vectors(train).select("product_id", "bow", "price"), "bow")
+    if tasks:
+        staged = staged.repartition(tasks, "product_id").sortWithinPartitions("product_id")
+    fit = estimator.fit(staged)
 
     def apply(df: DataFrame) -> DataFrame:
         return _floored(fit.transform(vectors(df)), "tokens", "bow")
@@ -117,10 +120,9 @@ def random_forest(
         featuresCol="bow", labelCol="price", predictionCol="_prediction",
         numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed,
     )
-    # Bagging draws by partition: fix the partitions so that the fit repeats.
+    # Bagging draws by partition: fixed partitions make the fit repeat.
     tasks = -(-rows // ROWS_PER_FOREST_TASK)
-    subset = head_subset(train, rows).repartition(tasks, "product_id").sortWithinPartitions("product_id")
-    return _bow_pricer(f"Random Forest ({trees} trees)", estimator, subset, terms)
+    return _bow_pricer(f"Random Forest ({trees} trees)", estimator, head_subset(train, rows), terms, tasks)
 
 
 def boosted_trees(

@@ -10,6 +10,7 @@ from ..operators.barrier import with_once
 from ..operators.cleaning import clean_items
 from ..operators.ranking import with_running_total
 from ..schemas import RAW_LISTING
+from ..session import stage
 
 COPIES_PER_CHUNK = 100_000
 
@@ -43,7 +44,7 @@ def with_product_id(raw: DataFrame) -> DataFrame:
     digest = F.md5(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}))
     digested = with_once(raw, _digest=digest)
     # Numbering needs the digests alone; the rows follow, one per distinct digest.
-    counts = digested.groupBy("_digest").agg(F.count("*").alias("_copies"))
+    counts = stage(digested.groupBy("_digest").agg(F.count("*").alias("_copies")), "digests")
     bucket = F.conv(F.substring("_digest", 1, 4), 16, 10).cast("bigint")
     numbered = with_running_total(counts, bucket, [F.col("_digest")], F.col("_copies"), "_start", "_count")
     rows = digested.groupBy("_digest").agg(F.first(F.struct(*fields)).alias("_row"))
@@ -59,13 +60,18 @@ def with_product_id(raw: DataFrame) -> DataFrame:
 
 
 def describe_raw(raw: DataFrame, index: int = 0, width: int = 100) -> DataFrame:
-    """Column names and value heads of the row at ``index`` by product id."""
-    row = raw.orderBy("product_id").limit(index + 1).orderBy(F.desc("product_id")).limit(1)
+    """Column names and value heads of the row at ``index`` by product id.
+
+    The ids alone say which row that is; the scan of whole rows then skips
+    every row group that cannot hold it.
+    """
+    first = raw.select("product_id").orderBy("product_id").limit(index + 1)
+    chosen = first.agg(F.when(F.count("*") == index + 1, F.max("product_id"))).scalar()
     entries: list[Column] = [
         F.struct(F.lit(name).alias("column"), F.substring(F.col(name).cast("string"), 1, width).alias("value"))
         for name in raw.columns
     ]
-    return row.select(F.inline(F.array(*entries)))
+    return raw.where(F.col("product_id") == chosen).select(F.inline(F.array(*entries)))
 
 
 def stored_categories(spark: SparkSession, path: str) -> set[str]:
