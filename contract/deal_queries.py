@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from pricewright.functions.deals import discount, ensemble_price
-from pricewright.functions.numbers import price_interval
 from pricewright.operators import dealing, evaluation
 from pricewright.session import stage_path
 from pricewright.streaming.deals import read_deals, read_scored, stream_deals
@@ -73,6 +72,6 @@ def stream(spark, sf_dir):
     select item_id, model_name, round(greatest(0.0, predicted - mae), 6) as low, round(predicted + mae, 6) as high
     from scored join results using (model_name)""", "scored results")
 def interval(spark, sf_dir):
-    scored = evaluation.score(views.model_output(spark, sf_dir)).join(_results(spark, sf_dir), "model_name")
-    low, high = price_interval(F.col("predicted"), F.col("mae"))
-    return scored.select("item_id", "model_name", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
+    scored = evaluation.score(views.model_output(spark, sf_dir))
+    return evaluation.with_interval(scored, _results(spark, sf_dir)).select(
+        "item_id", "model_name", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))

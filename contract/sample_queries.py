@@ -13,8 +13,8 @@ DRAW = 2_000
 
 _EVENT_WEIGHTS = """
     with base as (select event_id, event_type, value from events where value between 0.5 and 999.49),
-    weighed as (select *, pow((value - min(value) over ()) / (max(value) over () - min(value) over () + 1e-9::double), 2)
-        * case event_type when 'view' then 0.05::double when 'click' then 0.5::double else 1.0::double end as w from base),
+    scaled as (select *, (value - min(value) over ()) / (max(value) over () - min(value) over () + 1e-9::double) as s from base),
+    weighed as (select *, s * s * case event_type when 'view' then 0.05::double when 'click' then 0.5::double else 1.0::double end as w from scaled),
     drawn as (select event_id, event_type, value from weighed where w > 0
       order by -ln((%s + 0.5::double) / pow(2.0::double, 52)) / w, event_id limit %d)
 """ % (views.uniform_bits("event_id"), DRAW)
@@ -139,10 +139,10 @@ def eval_price_range(spark, sf_dir):
       from (select *, floor(n * 0.9756::double)::bigint as train_end, floor(n * 0.9878::double)::bigint as val_end
         from (select product_id, row_number() over (order by bits, product_id) - 1 as place, count(*) over () as n
           from (select * from (
-              select *, pow((price - min(price) over ()) / ((max(price) over () - min(price) over ()) + 1e-9::double), 2)
-                * case category when 'Automotive' then 0.05::double when 'Tools_and_Home_Improvement' then 0.5::double
+              select *, s * s * case category when 'Automotive' then 0.05::double when 'Tools_and_Home_Improvement' then 0.5::double
                   else 1.0::double end as w
-              from unique_product) where w > 0
+              from (select *, (price - min(price) over ()) / ((max(price) over () - min(price) over ()) + 1e-9::double) as s
+                from unique_product)) where w > 0
             order by -ln((bits + 0.5::double) / pow(2.0::double, 52)) / w, product_id limit 820000)))) s
     join product p using (product_id)""", "unique_product product")
 def split_listings_query(spark, sf_dir):

@@ -212,7 +212,7 @@ _CTES = {
     from (select *, floor(n * 0.9756::double)::bigint as train_end, floor(n * 0.9878::double)::bigint as val_end
           from (select *, row_number() over (order by bits, product_id) - 1 as place, count(*) over () as n from hashed)) h"""),
     "weights": (("product",), """
-    select *, pow((price - lo) / ((hi - lo) + 1e-9::double), 2) as weight_price,
+    select *, ((price - lo) / ((hi - lo) + 1e-9::double)) * ((price - lo) / ((hi - lo) + 1e-9::double)) as weight_price,
       case category when 'Automotive' then 0.05::double when 'Tools_and_Home_Improvement' then 0.5::double else 1.0::double end as multiplier
     from (select *, min(price) over () as lo, max(price) over () as hi from product)"""),
     "summaries": (("priced",), """

@@ -12,7 +12,7 @@ from ..constants import SEED
 from ..functions.hashing import hash52
 
 
-def _fingerprint(text: Column) -> Column:
+def text_digest(text: Column) -> Column:
     """Stands for a long text as a group key. Null and empty are one group."""
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
@@ -39,17 +39,20 @@ def dedup_title(products: DataFrame, id_col: str = "product_id", seed: int = SEE
 
 
 def dedup_text(products: DataFrame, id_col: str = "product_id", seed: int = SEED) -> DataFrame:
-    index = _index(products, id_col, seed, text=_fingerprint(F.col("text")))
+    index = _index(products, id_col, seed, text=text_digest(F.col("text")))
     return _keep(products, _first_per(index, "text"), id_col)
 
 
 def survivor_index(
-    products: DataFrame, *carried: str, id_col: str = "product_id", seed: int = SEED
+    products: DataFrame, *carried: str, id_col: str = "product_id", seed: int = SEED, digest: str | None = None
 ) -> DataFrame:
-    """Ids left by both steps with the ``carried`` columns, without moving whole rows."""
+    """Ids left by both steps with the ``carried`` columns, without moving whole rows.
+
+    If the text digest is stored in a column ``digest``, texts are not read.
+    """
     index = _index(
         products, id_col, seed,
-        title=F.coalesce("title", F.lit("")), text=_fingerprint(F.col("text")),
+        title=F.coalesce("title", F.lit("")), text=F.col(digest) if digest else text_digest(F.col("text")),
         carried=F.struct(F.lit(0).alias("_"), *carried),
     )
     by_title = _first_per(index, "title", "text", "carried")
@@ -65,7 +68,7 @@ def dedup_title_then_text(products: DataFrame, id_col: str = "product_id", seed:
 def dedup_report(products: DataFrame, id_col: str = "product_id", seed: int = SEED) -> DataFrame:
     """Row counts before, after titles, and after texts."""
     index = _index(
-        products, id_col, seed, title=F.coalesce("title", F.lit("")), text=_fingerprint(F.col("text"))
+        products, id_col, seed, title=F.coalesce("title", F.lit("")), text=text_digest(F.col("text"))
     ).withColumn("rows", F.lit(1).cast("bigint"))
     # Each level carries along how many rows it stands for, so the table is read once.
     by_title = index.groupBy("title").agg(

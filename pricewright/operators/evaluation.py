@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StringType
 
 from ..constants import EVALUATION_SIZE, GOOD_ERROR, QUICK_TEST_ROWS, SEED
-from ..functions.numbers import absolute_error, parse_number_output, parse_output
+from ..functions.numbers import absolute_error, parse_number_output, parse_output, price_interval
 from .cleaning import percent
 from .ranking import SMALL_LIMIT, head_subset, uniform_sample
 
@@ -56,6 +56,17 @@ def evaluate_models(
     return result
 
 
+def with_interval(predictions: DataFrame, results: DataFrame) -> DataFrame:
+    """Add ``low`` and ``high``: the prediction less and plus the MAE of its model.
+
+    The results, one row per model, enter as a map: the predictions stay where
+    they are, however many share a model.
+    """
+    by_model = results.agg(F.map_from_entries(F.collect_list(F.struct("model_name", "mae")))).scalar()
+    low, high = price_interval(F.col("predicted"), F.try_element_at(by_model, F.col("model_name")))
+    return predictions.withColumns({"low": low, "high": high})
+
+
 def leaderboard(results: DataFrame) -> DataFrame:
     """Worst model first, with the gain of each over the worst."""
     # Windows over one row per model.

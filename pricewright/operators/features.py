@@ -20,7 +20,7 @@ def numeric_features(products: DataFrame) -> DataFrame:
     return products.withColumns({
         "weight": weight,
         "weight_missing": (weight == 0).cast("int"),
-        "text_length": F.length(text),
+        "text_length": F.length(text).cast("bigint"),
     })
 
 

@@ -32,12 +32,19 @@ def length_histogram(values: DataFrame, value: str, bins: int = LENGTH_BIN_COUNT
     """Equal-width bins over min..max, the last one closed.
 
     Equal values get a range of width 1 around them. A value is compared with
-    the bin edges themselves, as the division may land next to one.
+    the bin edges themselves, as the division may land next to one. Values are
+    counted first, so a costly one is computed once per row.
     """
     known = with_once(values, _x=F.col(value).cast("double")).where("_x is not null")
-    low, high = known.agg(F.min("_x")).scalar(), known.agg(F.max("_x")).scalar()
-    ranged = known.select(
+    counts = known.groupBy("_x").agg(F.count("*").alias("_items"))
+    # The sum keeps both uses of the counts alike, so that Spark runs them once.
+    range_ = counts.agg(
+        F.struct(F.min("_x").alias("low"), F.max("_x").alias("high"), F.sum("_items").alias("items"))
+    ).scalar()
+    low, high = range_.getField("low"), range_.getField("high")
+    ranged = counts.select(
         "_x",
+        "_items",
         F.when(low == high, low - 0.5).otherwise(low).alias("_low"),
         F.when(low == high, high + 0.5).otherwise(high).alias("_high"),
     ).withColumn("_step", (F.col("_high") - F.col("_low")) / bins)
@@ -54,8 +61,8 @@ def length_histogram(values: DataFrame, value: str, bins: int = LENGTH_BIN_COUNT
         .when((g < bins - 1) & (F.col("_x") >= edge(g + 1)), g + 1)
         .otherwise(g)
     )
-    counts = placed.groupBy(exact.alias("bin")).agg(F.count("*").alias("items"))
-    return _all_bins(counts, bins).select("bin", "items")
+    filled = placed.groupBy(exact.alias("bin")).agg(F.sum("_items").alias("items"))
+    return _all_bins(filled, bins).select("bin", "items")
 
 
 def category_profile(products: DataFrame) -> DataFrame:

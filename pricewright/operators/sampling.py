@@ -16,7 +16,8 @@ def price_weight(products: DataFrame, name: str = "weight_price") -> DataFrame:
     price = F.col("price")
     low = products.agg(F.min("price")).scalar()
     high = products.agg(F.max("price")).scalar()
-    return products.withColumn(name, F.pow((price - low) / ((high - low) + F.lit(PRICE_EPSILON)), 2))
+    scaled = (price - low) / ((high - low) + F.lit(PRICE_EPSILON))
+    return products.withColumn(name, scaled * scaled)
 
 
 def multiplier_of(category: Column, multipliers: Mapping[str, float]) -> Column:

@@ -1,15 +1,15 @@
 """Raw listings to a split dataset.
 
-Whole rows are written once after cleaning and moved once at the end. All that
-lies between (de-duplication, weights, the draw, positions) runs on narrow
-columns.
+Whole rows are written once after cleaning, with a digest of their text, and
+read and moved once at the end. All that lies between (de-duplication, weights,
+the draw, positions) reads narrow columns.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..constants import SEED, TARGET_SAMPLE_SIZE
 from ..operators.cleaning import clean_items
-from ..operators.dedup import survivor_index
+from ..operators.dedup import survivor_index, text_digest
 from ..operators.sampling import category_weight, select_by_weight
 from ..operators.splitting import split_dataset
 from ..session import stage
@@ -18,15 +18,17 @@ from ..sources.datasets import write_lite, write_splits
 
 def assign_splits(products: DataFrame, sample_size: int = TARGET_SAMPLE_SIZE, seed: int = SEED) -> DataFrame:
     """(product_id, split, pos) of the rows that are unique and drawn."""
-    unique = stage(survivor_index(products, "price", "category", seed=seed), "unique")
+    digest = "text_digest" if "text_digest" in products.columns else None
+    unique = stage(survivor_index(products, "price", "category", seed=seed, digest=digest), "unique")
     drawn = stage(select_by_weight(category_weight(unique), sample_size, seed=seed), "drawn")
     return split_dataset(drawn, seed=seed)
 
 
 def split_listings(raw: DataFrame, sample_size: int = TARGET_SAMPLE_SIZE, seed: int = SEED) -> DataFrame:
     """Clean, de-duplicate, draw, shuffle and split."""
-    products = stage(clean_items(raw), "products")
-    return products.join(assign_splits(products, sample_size, seed), "product_id")
+    cleaned = clean_items(raw)
+    products = stage(cleaned.withColumn("text_digest", text_digest(F.col("text"))), "products")
+    return products.join(assign_splits(products, sample_size, seed), "product_id").drop("text_digest")
 
 
 def publish_listings(

@@ -193,7 +193,7 @@ def test_summary_round_trip(spark):
 def test_deals(one):
     assert one([0.0, -1.0, 100.0, None], lambda c: deals.discount(c, F.lit(60.0)), "double") == [0.0, 0.0, 0.4, 0.0]
     assert one([0.4, 0.3999], deals.alert_label, "double") == ["alert", "skip"]
-    titles = ["KitchenAid Mixer at Amazon for $349", "$50 OFF Samsung TV", "Deal ends tonight",
+    titles = ["Stand mixer for $349", "$50 OFF any TV", "Deal ends tonight",
               "Free shipping on orders over $25", "TV for $1,299.99", "$50 off a TV for $300", "Widget for free"]
     assert one(titles, deals.title_price) == [349.0, None, None, None, 1299.99, None, None]
 

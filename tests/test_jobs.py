@@ -137,6 +137,27 @@ def test_text_models_learn_the_words(spark, learned):
     assert {"professional", "plain"} & {r.word for r in top} and [r["rank"] for r in top] == [1, 2, 3]
 
 
+def test_linear_models_equal_least_squares(spark, learned):
+    import numpy
+
+    df, terms = learned
+    rows = df.orderBy("product_id").collect()
+    y = numpy.array([r.price + 3 * (r.product_id % 11) for r in rows])
+    noisy = df.withColumn("price", F.col("price") + 3 * (F.col("product_id") % 11))
+
+    def solve(features):
+        x = numpy.column_stack([numpy.ones(len(rows)), features])
+        return numpy.maximum(0, x @ numpy.linalg.lstsq(x, y, rcond=None)[0])
+
+    def predicted(pricer):
+        return [r.predicted for r in pricer.predict(noisy).orderBy("product_id").collect()]
+
+    counts = [[r.text.split().count(t) for t in terms] for r in rows]
+    assert predicted(models.linear_bow(noisy, terms)) == pytest.approx(solve(counts), abs=0.05)
+    numeric = [[r.weight, float(r.weight == 0), len(r.text)] for r in rows]
+    assert predicted(models.linear_numeric(noisy)) == pytest.approx(solve(numeric), abs=1e-6)
+
+
 def test_forest_repeats_at_any_partitioning(spark, learned):
     df, terms = learned
     predictions = [
