@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from contract.checker import compare, duck
+from pricewright_queries.checker import compare, duck
 
 
 @pytest.fixture(scope="module")

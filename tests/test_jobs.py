@@ -4,8 +4,8 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from contract import views
-from contract.words import stop_words
+from pricewright_queries import views
+from pricewright_queries.words import stop_words
 from pricewright.operators import dealing, features, models
 from pricewright.plans.leaderboard import rank_pricers
 from pricewright.plans.listings import publish_listings, split_listings
