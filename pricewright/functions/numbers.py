@@ -10,7 +10,7 @@ from .text import collapse_whitespace, strip_whitespace
 # What counts as a number. A bare cast would also take `1.0d` and `5f`.
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^(?i:nan|[+-]?inf(inity)?)$"
 
-# First number of a model answer, by mode: (pattern, lower bound, upper bound).
+# What each mode takes for the first number of an answer.
 OUTPUT_MODES = {
     "signed": r"[-+]?\d*\.?\d+",
     "notebook": r"\d+\.?\d*",

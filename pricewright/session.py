@@ -50,10 +50,19 @@ def stage_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def _stages(spark: SparkSession) -> str:
+    return f"{stage_root(spark)}/pricewright/{spark.sparkContext.applicationId}"
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one intermediate table of this application."""
-    app = spark.sparkContext.applicationId
-    return f"{stage_root(spark)}/pricewright/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_stages(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once nothing reads them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_stages(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pricewright.functions.details import parse_details, serialize_details
 from pricewright.functions.numbers import parse_price, price_in_range, weight_pounds
-from pricewright.functions.text import strip_part_numbers
+from pricewright.functions.text import collapse_whitespace, strip_part_numbers
 from pricewright.operators import cleaning, dedup
 
 from . import views
@@ -57,8 +57,6 @@ def build_text(spark, sf_dir):
 
 @query("c7_strip_part_numbers", views.clean_text("documents", "doc_id", "text"))
 def strip_part_numbers_query(spark, sf_dir):
-    from pricewright.functions.text import collapse_whitespace
-
     flat = views.documents(spark, sf_dir).select("doc_id", collapse_whitespace(F.col("text")).alias("text"))
     return flat.select("doc_id", strip_part_numbers(F.col("text")).alias("text"))
 

@@ -200,7 +200,7 @@ def test_deals(one):
 
 def test_price_interval(spark):
     low, high = numbers.price_interval(F.lit(20.0), F.lit(58.74))
-    assert tuple(spark.range(1).select(low, high).first()) == (0.0, 78.74)
+    assert tuple(spark.range(1).select(low, high).first()) == pytest.approx((0.0, 78.74))
 
 
 def test_hash_matches_its_definition(one):

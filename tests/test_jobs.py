@@ -1,15 +1,19 @@
 """Stores, plans, models and the stream, end to end on small tables."""
 
+import os
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from pricewright_queries import views
 from pricewright_queries.words import stop_words
+from pricewright import session
 from pricewright.operators import dealing, features, models
 from pricewright.plans.leaderboard import rank_pricers
 from pricewright.plans.listings import publish_listings, split_listings
 from pricewright.plans.prompts import publish_prompts
+from pricewright.schemas import RAW_LISTING
 from pricewright.session import stage, stage_root
 from pricewright.sources import catalog, datasets
 from pricewright.streaming.deals import read_deals, read_scored, stream_deals
@@ -21,6 +25,21 @@ def test_stages_live_in_the_shared_folder(spark):
     assert staged.count() == 5 and staged.inputFiles()[0].startswith("file://" + stage_root(spark))
 
 
+def test_stages_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "stage_root", lambda spark: str(tmp_path))
+    staged = stage(spark.range(5), "five")
+    path = staged.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    session.drop_stages(spark)
+    assert not os.path.exists(path)
+
+
+def test_empty_categories_are_stored(spark, tmp_path):
+    empty = spark.createDataFrame([], RAW_LISTING)
+    row = catalog.ingest_missing(spark, lambda c: empty, str(tmp_path / "x"), ["Appliances"]).first()
+    assert (row.status, row.raw_rows, row.kept) == ("stored", 0, 0)
+
+
 def test_product_ids_are_dense_and_stable(spark):
     rows = [("same", 1)] * 250 + [(f"row {i}", i) for i in range(100)] + [(None, None)] * 3
     df = spark.createDataFrame(rows, "title string, n int")
