@@ -41,12 +41,10 @@ TARGET_SAMPLE_SIZE = 820_000
 FULL_SPLIT_ENDS = (800_000, 810_000, 820_000)
 PROPORTIONAL_SPLIT_ENDS = (0.9756, 0.9878)
 LITE_SPLIT_SIZES = {"train": 20_000, "val": 1_000, "test": 1_000}
-SPLITS = ("train", "val", "test")
 
 EVALUATION_SIZE = 200
 PROFILE_ROWS = 5_000
 FOREST_ROWS = 15_000
-VALIDATION_ROWS = 500
 
 QUESTION = "What does this cost to the nearest dollar?"
 PRICE_PREFIX = "Price is $"

@@ -12,6 +12,7 @@ WORD = r"\p{L}\p{N}_"
 # The look behind comes after the first character: it is only tried on capitals and digits.
 PART_NUMBER = rf"[A-Z0-9](?<![{WORD}][A-Z0-9])[A-Z0-9]{{6,}}+(?![{WORD}])"
 PART_NUMBER_HINT = "[A-Z0-9]{7}"
+TAIL = 256
 SPACE_CHARACTERS = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(
     map(chr, range(0x2000, 0x200B))
 ) + "\u2028\u2029\u202f\u205f\u3000"
@@ -32,6 +33,14 @@ def words(text: Column) -> Column:
     return F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " "))
 
 
+def _last_capital_and_digit(text: Column) -> Column:
+    """The smaller of the last positions of a capital and of a digit; 0 if one is absent."""
+    return F.least(
+        F.length(F.regexp_extract(text, r"(?s)^.*[A-Z]", 0)),
+        F.length(F.regexp_extract(text, r"(?s)^.*\p{Nd}", 0)),
+    )
+
+
 def last_part_number_start(text: Column) -> Column:
     """Position after which no part number can begin.
 
@@ -39,11 +48,12 @@ def last_part_number_start(text: Column) -> Column:
     start, up to the end of the text. So it must begin at or before the last
     capital and the last digit, whichever comes first. 0 if either is absent,
     or if nothing in the text looks like a code.
+
+    Mostly both stand near the end, so the tail is searched before the whole.
     """
-    last = F.least(
-        F.length(F.regexp_extract(text, r"(?s)^.*[A-Z]", 0)),
-        F.length(F.regexp_extract(text, r"(?s)^.*\p{Nd}", 0)),
-    )
+    in_tail = _last_capital_and_digit(F.substring(text, -TAIL, TAIL))
+    before_tail = F.greatest(F.length(text) - TAIL, F.lit(0))
+    last = F.when(in_tail > 0, before_tail + in_tail).otherwise(_last_capital_and_digit(text))
     return F.when(text.rlike(PART_NUMBER_HINT), last).otherwise(F.lit(0))
 
 

@@ -94,6 +94,11 @@ def test_part_numbers_on_random_texts(one):
     alphabet = ["A", "B", "Z", "0", "9", "a", "\u00e9", "_", "-", " ", " ", "."]
     texts = ["".join(draw.choices(alphabet, k=60)) for _ in range(400)]
     texts += ["".join(draw.choices(["A", "7", " "], [5, 2, 1], k=80)) for _ in range(400)]
+    # Around the length of the tail that is searched first, with ends that lack one or both.
+    for ending in ("", "a", "A", "7", "A7", "7A", "\u00e9", "\U0001f600"):
+        for length in (0, 200, 250, 251, 252, 253, 254, 255, 256, 257, 258, 300, 700):
+            texts.append("ABCDEFGH 1234567 B07XJ8C8F5 " + "x" * length + ending)
+            texts.append("ABCDEFGH 1234567 " + "\U0001f600 " * (length // 2) + "HIJKLMNO" + ending)
     got = one(texts, lambda c: text.strip_part_numbers(text.collapse_whitespace(c)))
     assert got == [python_clean(t) for t in texts]
 
