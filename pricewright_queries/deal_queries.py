@@ -65,7 +65,7 @@ def stream(spark, sf_dir):
     scored = stage_path(spark, "deals-scored")
     stream_deals(read_deals(spark, source, 2), scored, stage_path(spark, "deals-checkpoint")).awaitTermination()
     return read_scored(spark, scored).select(
-        "deal_id", "ts", "title", "price", "estimate", "discount", "url", "status")
+        "deal_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "title", "price", "estimate", "discount", "url", "status")
 
 
 @query("a7_price_interval", """
