@@ -3,7 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from .base import read_table
+from .lattice import score_texts
 from .mixing import mix_documents
+from .passages import passage_digests
+from .simhash import simhash_groups
 
 QUERIES, ORACLES = {}, {}
 
@@ -15,6 +18,21 @@ def query(function, sql: str | None = None):
     return function
 
 
+@query
+def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_digests(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(read_table(spark, sf_dir, "documents"))
