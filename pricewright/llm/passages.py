@@ -242,3 +242,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def passage_digests(docs: DataFrame, **options) -> DataFrame:
     """``remove_repeats`` with the SHA-256 of the kept words in their place."""
     return remove_repeats(docs, **options).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The same rows, every window of every document compared.
+ORACLE = r"""
+with doc as (
+  select doc_id, row_number() over () as r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), win as (
+  select doc_id, r, i, array_to_string(list_slice(w, i, i + 49), ' ') as win
+  from (select doc_id, r, w, unnest(range(1, len(w) - 48)) as i from doc where len(w) >= 50)
+), earliest as (select win, min(doc_id) as first from win group by win),
+gone as (select distinct r, q from (select r, unnest(range(i, i + 50)) as q from win join earliest using (win) where doc_id > first)),
+word as (select r, unnest(w) as word, unnest(range(1, len(w) + 1)) as q from doc),
+kept as (select r, string_agg(word, ' ' order by q) as kept, count(*) as n from word anti join gone using (r, q) group by r)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from doc left join kept using (r)
+"""
