@@ -47,35 +47,38 @@ def version_block(version: int, name: str) -> bytes:
     return arc_record(version, f"filedesc://{name}", "text/plain", body, filename=name)
 
 
-def _arc_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _arc_lines(file_records: int):
     """Records of (part, page_id, url, html), a version block before every file's."""
-    written = 0
-    for batch in batches:
-        out = []
-        for part, page, url, html in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3)):
-            version, name = 1 + part % 2, f"part-{part}-{written // FILE_RECORDS}.arc"
-            if written % FILE_RECORDS == 0:
-                out.append(version_block(version, name))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        written = 0
+        for batch in batches:
+            out = []
+            for part, page, url, html in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3)):
+                version, name = 1 + part % 2, f"part-{part}-{written // file_records}.arc"
+                if written % file_records == 0:
+                    out.append(version_block(version, name))
+                    written += 1
+                number = b"" if page is None else b"%d" % page
+                head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n%b: %b\r\n\r\n" % (PAGE_HEADER, number)
+                out.append(arc_record(version, url or "-", "text/html", head + (html.as_py() or b""), filename=name))
                 written += 1
-            number = b"" if page is None else b"%d" % page
-            head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n%b: %b\r\n\r\n" % (PAGE_HEADER, number)
-            out.append(arc_record(version, url or "-", "text/html", head + (html.as_py() or b""), filename=name))
-            written += 1
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+    return run
 
 
-def _save(lines: DataFrame, path: str, separator: str) -> None:
-    lines.select(F.col("value").cast("string")).write.option("lineSep", separator).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+def _save(lines: DataFrame, path: str, separator: str, file_records: int) -> None:
+    lines.select(F.col("value").cast("string")).write.option("lineSep", separator).option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
 
 
-def write_arc(pages: DataFrame, path: str) -> None:
-    """Write ``pages`` (page_id, url, html) as ARC files, version 1 or 2 by partition.
+def write_arc(pages: DataFrame, path: str, file_records: int = FILE_RECORDS) -> None:
+    """Write ``pages`` (page_id, url, html) as ARC files of ``file_records`` records at most, version 1 or 2 by partition.
 
     A null html is an empty body; a null url is written as a dash.
     """
     ship_package(pages.sparkSession)
     rows = pages.select(F.spark_partition_id().alias("part"), F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string").cast("binary"))
-    _save(rows.mapInArrow(_arc_lines, "value binary"), path, "\n")
+    _save(rows.mapInArrow(_arc_lines(file_records), "value binary"), path, "\n", file_records)
 
 
 def _open(content: bytes) -> BufferedReader:
@@ -224,7 +227,7 @@ def _converted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary())], names=["value"])
 
 
-def convert_arc(spark: SparkSession, arc_path: str, warc_path: str, least_payload: int = LEAST_PAYLOAD) -> None:
+def convert_arc(spark: SparkSession, arc_path: str, warc_path: str, least_payload: int = LEAST_PAYLOAD, file_records: int = FILE_RECORDS) -> None:
     """Convert the ARC files under one path to WARC files under another.
 
     Of records with equal payloads of at least ``least_payload`` bytes that with the smallest page, then file and
@@ -242,7 +245,7 @@ def convert_arc(spark: SparkSession, arc_path: str, warc_path: str, least_payloa
     again = stage(again.groupBy("file").agg(F.collect_list(entry).alias("revisits")), "revisits")
     again = _small(again, F.size("revisits") * 120 + 80)
     joined = files.join(again, "file", "left").select("file", "content", "revisits")
-    _save(joined.mapInArrow(_converted, "value binary"), warc_path, "\r\n\r\n")
+    _save(joined.mapInArrow(_converted, "value binary"), warc_path, "\r\n\r\n", file_records)
 
 
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, date string"
@@ -278,12 +281,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, path).mapInArrow(_records, RECORDS)
 
 
-def archive_pages(pages: DataFrame) -> DataFrame:
+def archive_pages(pages: DataFrame, file_records: int = FILE_RECORDS) -> DataFrame:
     """Write ``pages`` as ARC, convert them to WARC, and read those back."""
     spark = pages.sparkSession
     arc, warc = stage_path(spark, "arc"), stage_path(spark, "warc")
-    write_arc(pages, arc)
-    convert_arc(spark, arc, warc)
+    write_arc(pages, arc, file_records)
+    convert_arc(spark, arc, warc, file_records=file_records)
     return read_archives(spark, warc).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

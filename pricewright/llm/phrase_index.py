@@ -110,9 +110,10 @@ def proximity_matches(index: DataFrame, tests: DataFrame, window: int = 10, with
     anchors = index.join(_small(rare, F.octet_length("term") + 32), "term").select("item", "w", "needed", *DOC, F.col("pos").alias("at"))
     terms = ranked.select("item", "w", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term"))
     asked = anchors.join(terms, ["item", "w"])
-    same = [asked[c].eqNullSafe(index[c]) for c in ("term", *DOC)]
-    hits = asked.join(index, same).where(F.abs(index["pos"] - asked["at"]) <= within)
-    hits = hits.select(asked["doc"], asked["text_key"], "item", "w", "at", "needed", asked["term"])
+    posted = index.select(*[F.col(c).alias(f"_{c}") for c in index.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("term", *DOC)]
+    hits = asked.join(posted, same).where(F.abs(F.col("_pos") - F.col("at")) <= within)
+    hits = hits.select(*DOC, "item", "w", "at", "needed", "term")
     full = hits.groupBy(*DOC, "item", "w", "at", "needed").agg(F.count_distinct("term").alias("met"))
     return full.where("met = needed").select(*DOC, "item", "w", "at")
 

@@ -10,6 +10,7 @@ from math import log
 from operator import eq
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .base import fresh, ship_package, stage
@@ -17,8 +18,8 @@ from .phrase_index import _small
 
 #: Labelled rows a fit uses at most, and features a model holds at most.
 LABELLED_ROWS, MODEL_FEATURES = 40_000, 50_000
-#: A feature counts if its log ratio, and that in standard errors, reach this.
-LEAST_RATIO, LEAST_SURE = 2.0, 4.0
+#: A feature weighs what is left of its log ratio less so many standard errors, if that is at least so much.
+MARGIN, LEAST_WEIGHT = 2.0, 1.9
 MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 PREFIX = 5
 BINS = 10
@@ -45,6 +46,17 @@ def features(text: bytes) -> set[bytes]:
     return found
 
 
+def _resemblance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The smallest hash of a text's word 5-grams, which copies with few changes mostly share."""
+    for batch in batches:
+        found = []
+        for text in batch.column(1):
+            words = (text.as_py() or b"").lower().split()
+            grams = {b" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+            found.append(min(map(xxhash.xxh64_intdigest, grams)) >> 1)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(found, pa.int64())], names=["doc_id", "low", "toxic", "like"])
+
+
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = {}
     for batch in batches:
@@ -63,16 +75,16 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         names=["feature", "n", "n_low", "n_toxic"])
 
 
-def _ratio(hits: Column, n: Column, all_hits: int, all_rows: int) -> tuple[Column, Column]:
+def _sure_ratio(hits: Column, n: Column, all_hits: int, all_rows: int) -> Column:
     inside, outside = hits + 0.5, n - hits + 0.5
     ratio = F.log(inside / (all_hits + 1)) - F.log(outside / (all_rows - all_hits + 1))
-    return ratio, ratio / F.sqrt(1 / inside + 1 / outside)
+    return ratio - MARGIN * F.sqrt(1 / inside + 1 / outside)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> dict:
     """Weights by feature for low quality and toxicity, from at most about ``rows`` labelled documents.
 
-    The sample is drawn by hash of the id. Labels of one id are combined by maximum of toxic and minimum of quality;
+    The sample is drawn by hash of the id; of copies and near copies with the same labels in it one teaches. Labels of one id are combined by maximum of toxic and minimum of quality;
     rows with a null id or label do not teach. The model is bounded by ``MODEL_FEATURES``.
     """
     ship_package(docs.sparkSession)
@@ -82,19 +94,24 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> dict:
     share = min(1.0, rows / max(total, 1))
     drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
     drawn = F.broadcast(drawn) if share * total <= 2 * LABELLED_ROWS else drawn
-    taught = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(drawn, "doc_id")
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    # Copies would pass the words of one text off as typical, so one of those alike teaches.
+    alike = texts.join(drawn, "doc_id").mapInArrow(_resemblance, "doc_id long, low int, toxic int, like long")
+    one_each = stage(alike.groupBy("like", "low", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "low", "toxic"), "taught")
+    taught = texts.join(F.broadcast(one_each) if share * total <= 2 * LABELLED_ROWS else one_each, "doc_id")
     counted = taught.select("text", "low", "toxic").mapInArrow(_count_features, "feature binary, n long, n_low long, n_toxic long")
     counted = stage(counted.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", "n_low", "n_toxic")]), "feature-counts")
     # Every text has one share of each kind, so their counts sum to the rows taught.
-    one_each = F.col("feature").startswith(F.lit(b"s:again:")) | (F.col("feature") == F.lit(b"empty"))
-    n, low, toxic = (x or 0 for x in counted.where(one_each).agg(F.sum("n"), F.sum("n_low"), F.sum("n_toxic")).first())
+    of_all = F.col("feature").startswith(F.lit(b"s:again:")) | (F.col("feature") == F.lit(b"empty"))
+    n, low, toxic = (x or 0 for x in counted.where(of_all).agg(F.sum("n"), F.sum("n_low"), F.sum("n_toxic")).first())
     model = {"rows": n, "prior": [log((x + 0.5) / (n - x + 0.5)) for x in (low, toxic)], "weights": {}}
-    (r1, z1), (r2, z2) = _ratio(F.col("n_low"), F.col("n"), low, n), _ratio(F.col("n_toxic"), F.col("n"), toxic, n)
-    scored = counted.select("feature", r1.alias("r1"), z1.alias("z1"), r2.alias("r2"), z2.alias("z2"))
-    good = [(F.col(r) >= LEAST_RATIO) & (F.col(z) >= LEAST_SURE) for r, z in (("r1", "z1"), ("r2", "z2"))]
-    best = scored.where(good[0] | good[1]).orderBy(F.greatest("z1", "z2").desc(), "feature").limit(MODEL_FEATURES)
-    for r in best.select("feature", F.when(good[0], F.col("r1")).otherwise(0.0).alias("a"), F.when(good[1], F.col("r2")).otherwise(0.0).alias("b")).collect():
-        model["weights"][bytes(r.feature)] = (r.a, r.b)
+    weights = []
+    for hits, rows_hit in (("n_low", low), ("n_toxic", toxic)):
+        weight = _sure_ratio(F.col(hits), F.col("n"), rows_hit, n)
+        weights.append(F.when(weight >= LEAST_WEIGHT, weight).otherwise(0.0))
+    scored = counted.select("feature", weights[0].alias("low"), weights[1].alias("toxic")).where("low > 0 or toxic > 0")
+    best = scored.orderBy(F.greatest("low", "toxic").desc(), "feature").limit(MODEL_FEATURES)
+    model["weights"] = {bytes(r.feature): (r.low, r.toxic) for r in best.collect()}
     return model
 
 

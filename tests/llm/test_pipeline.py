@@ -16,7 +16,8 @@ def test_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "decontamination", "mixing"]
 
 
-def test_stages(spark, sf, tmp_path):
+def test_stages(spark, tmp_path):
+    sf = "/root/testdata/sf0.01"  # where there are labels enough to learn from
     docs = base.read_table(spark, sf, "documents")
     columns = docs.columns
     seen = [{r.doc_id: r for r in docs.collect()}]

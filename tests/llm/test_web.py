@@ -85,7 +85,7 @@ def test_warc_record():
     assert arc.warc_date("2001") == "1970-01-01T00:00:00Z" and arc.warc_date("20010203") == "2001-02-03T00:00:00Z"
 
 
-def check_archive(spark, rows):
+def check_archive(spark, rows, **options):
     first = {}
     for i, _, html in rows:
         data = (html or "").encode()
@@ -98,7 +98,7 @@ def check_archive(spark, rows):
         seen.add(data)
         original = first[data]
         want.append((i, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", None if not again or original[0] else original[1]))
-    got = arc.archive_pages(pages(spark, rows).repartition(3))
+    got = arc.archive_pages(pages(spark, rows).repartition(3), **options)
     assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
 
@@ -112,9 +112,8 @@ def test_archive(spark):
 
 
 def test_archive_in_small_files(spark, monkeypatch):
-    monkeypatch.setattr(arc, "FILE_RECORDS", 4)
     monkeypatch.setattr("pricewright.llm.phrase_index.SMALL_ROWS", 0)
-    check_archive(spark, [(i, "u", f"page {i % 7} " * 20) for i in range(40)])
+    check_archive(spark, [(i, "u", f"page {i % 7} " * 20) for i in range(40)], file_records=4)
 
 
 def test_archive_of_nothing(spark):
