@@ -7,7 +7,7 @@ is joined to the documents.
 
 from collections import Counter
 from collections.abc import Iterator
-from math import exp, log, log10
+from math import exp, log, log1p, log10
 
 import pyarrow as pa
 import sentencepiece
@@ -18,7 +18,7 @@ from .base import ship_package, stage
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SMOOTHING = 0.1
 #: Words of the broadcast head, their longest, and how many words one task counts before it hands them on.
-HEAD_WORDS, HEAD_BYTES, COUNTED = 300_000, 64, 400_000
+HEAD_WORDS, HEAD_BYTES, COUNTED = 200_000, 64, 400_000
 START = "▁"
 LN10 = log(10)
 
@@ -58,31 +58,32 @@ class Pieces:
 
         A character that is no piece is spelled in bytes.
         """
-        text, table = START + word, self.table
+        text, get = START + word, self.table.get
         size = len(text)
-        paths: list[list[float]] = [[] for _ in range(size + 1)]
-        paths[0].append(0.0)
+        # forward[i]: log probability of all ways to write the first i characters.
+        forward: list[float | None] = [None] * (size + 1)
+        forward[0] = 0.0
         for i in range(size):
-            into = paths[i]
-            paths[i] = []
-            most = max(into)
-            here = most if len(into) == 1 else most + log(sum([exp(x - most) for x in into]))
-            stop = i + 1
-            single = table.get(text[i])
-            if single is None:
-                single = sum(self.byte_scores[b] for b in text[i].encode("utf-8", "surrogatepass"))
-            paths[stop].append(here + single)
-            while stop < size:
+            here, stop = forward[i], i + 1
+            score = get(text[i], False)
+            if not score:
+                score = sum([self.byte_scores[b] for b in text[i].encode("utf-8", "surrogatepass")])
+            while True:
+                if score is not None:
+                    new, old = here + score, forward[stop]
+                    if old is None:
+                        forward[stop] = new
+                    elif new > old:
+                        forward[stop] = new + log1p(exp(old - new))
+                    else:
+                        forward[stop] = old + log1p(exp(new - old))
+                if stop == size:
+                    break
                 stop += 1
-                piece = text[i:stop]
-                if piece not in table:
+                score = get(text[i:stop], False)
+                if score is False:
                     break
-                score = table[piece]
-                if score is not None:
-                    paths[stop].append(here + score)
-        into = paths[size]
-        most = max(into)
-        return most + log(sum([exp(x - most) for x in into]))
+        return forward[size]
 
 
 def _piece_counter(model: bytes):
@@ -129,34 +130,57 @@ def _scored_words(pieces):
 
 
 DOC_SCHEMA = "row long, doc_id {id}, held_out boolean, n_tokens long, n_known long, base double, score double, rest array<struct<word:binary,n:long>>"
-REST = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
 
 
 def _head_scores(head):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = head.value
         for batch in batches:
-            out = []
+            out, rest, times, ends = [], [], [], [0]
             for text in batch.column("text"):
                 words = (text.as_py() or b"").lower().split()
-                n_known, base, score, rest = 0, 0.0, 0.0, []
+                n_known, base, score = 0, 0.0, 0.0
                 for word, n in Counter(words).items():
                     facts = known.get(word)
                     if facts is None:
-                        rest.append({"word": word, "n": n})
+                        rest.append(word)
+                        times.append(n)
                     else:
                         n_known += n if facts[0] else 0
                         base += n * facts[1]
                         score += n * facts[2]
-                out.append((len(words), n_known, base, score, rest))
-            columns = list(zip(*out)) if out else [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), REST]
+                out.append((len(words), n_known, base, score))
+                ends.append(len(rest))
+            columns = list(zip(*out)) if out else [()] * 4
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            pairs = pa.StructArray.from_arrays([pa.array(rest, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                [*batch.columns[:3], *(pa.array(c, k) for c, k in zip(columns, kinds)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)],
                 names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rest"])
     return run
 
 
+def frequent_words(lexicon: DataFrame) -> dict[bytes, tuple[bool, float, float]]:
+    """The most frequent short words with what is known of them: no more than ``HEAD_WORDS`` of them.
+
+    They are those seen at least so often, the least such number of a fixed scale that keeps the bound;
+    a histogram of that scale, some hundred rows, tells which.
+    """
+    step = F.floor(F.log2("seen") * 16).alias("step")
+    short = lexicon.where(F.octet_length("word") <= HEAD_BYTES)
+    steps = sorted(((r.step, r["n"]) for r in short.groupBy(step).agg(F.count("*").alias("n")).collect()), reverse=True)
+    total, least = 0, None
+    for at, n in steps:
+        total += n
+        if total > HEAD_WORDS:
+            break
+        least = at
+    if least is None:
+        return {}
+    top = short.where(F.floor(F.log2("seen") * 16) >= least).select("word", "count", "log10")
+    return {bytes(r.word): (r["count"] > 0, log10(r["count"] + SMOOTHING), r.log10) for r in top.toLocalIterator()}
+
+
 def score_texts(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text", held_out_of: int = 10) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
@@ -185,9 +209,7 @@ def score_texts(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "do
     pieces, end = learn_pieces(spark, words, texts, vocabulary)
     shared = spark.sparkContext.broadcast(pieces)
     lexicon = stage(words.mapInArrow(_scored_words(shared), "word binary, count long, seen long, log10 double"), "lexicon")
-    top = lexicon.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("seen"), "word").limit(HEAD_WORDS)
-    head = {bytes(w): (c > 0, log10(c + SMOOTHING), s) for w, c, s in top.select("word", "count", "log10").toPandas().itertuples(index=False)}
-    head = spark.sparkContext.broadcast(head)
+    head = spark.sparkContext.broadcast(frequent_words(lexicon))
 
     schema = DOC_SCHEMA.format(id=rows.schema["doc_id"].dataType.simpleString())
     parts = stage(rows.mapInArrow(_head_scores(head), schema), "head-scores")
