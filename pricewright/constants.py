@@ -33,17 +33,13 @@ POUNDS_PER_UNIT = {
 MIN_PRICE = 0.50
 MAX_PRICE = 999.49
 MIN_TEXT_LENGTH = 300
-MAX_TEXT_LENGTH = 4000
 PRICE_EPSILON = 1e-9
 
 SEED = 42
-TARGET_SAMPLE_SIZE = 820_000
-FULL_SPLIT_ENDS = (800_000, 810_000, 820_000)
 PROPORTIONAL_SPLIT_ENDS = (0.9756, 0.9878)
 LITE_SPLIT_SIZES = {"train": 20_000, "val": 1_000, "test": 1_000}
 
 EVALUATION_SIZE = 200
-PROFILE_ROWS = 5_000
 FOREST_ROWS = 15_000
 
 QUESTION = "What does this cost to the nearest dollar?"

@@ -12,16 +12,21 @@ _TOKEN = r'"[^"]*"|[\[\]{},:]|[^\s\[\]{},:"]+'
 _NEEDS_REWRITE = r"[^ -~\x01\x02]|\\[u/]"
 
 
-def _object_or_null(details: Column) -> Column:
-    """The map of a JSON object; null for anything else.
+def details_pair(details: Column) -> Column:
+    """The text parsed as the first of two array elements, so that text after
+    the object makes the array malformed or of another size."""
+    return F.from_json(F.concat(F.lit("["), details, F.lit(",{}]")), f"array<{_MAP}>", _OPTIONS)
 
-    The text is parsed as the first of two array elements, so text after the
-    object makes the array malformed or of another size.
-    """
-    pair = F.from_json(F.concat(F.lit("["), details, F.lit(",{}]")), f"array<{_MAP}>", _OPTIONS)
+
+def object_of(pair: Column) -> Column:
+    """The map of a JSON object out of its ``details_pair``; null for anything else."""
     return F.when(F.size(pair) == 2, F.get(pair, F.lit(0)))
 
 
+def details_object(details: Column) -> Column:
+    return object_of(details_pair(details))
+
+
 def _last_value_wins(entries: Column) -> Column:
     """Drop repeated keys: first position, last value."""
     keys = F.map_keys(entries)
@@ -40,7 +45,7 @@ def _last_value_wins(entries: Column) -> Column:
 def parse_details(details: Column) -> Column:
     """JSON object as a map; null, empty, broken or non-object gives an empty map."""
     empty = F.create_map().cast(_MAP)
-    return F.coalesce(_last_value_wins(_object_or_null(details)), empty)
+    return F.coalesce(_last_value_wins(details_object(details)), empty)
 
 
 def _hex_escape(code: Column) -> Column:
@@ -72,11 +77,17 @@ def _rewrite_string(token: Column) -> Column:
     return F.concat(F.lit('"'), F.array_join(F.transform(characters, _escape_character), ""), F.lit('"'))
 
 
-def serialize_details(details: Column) -> Column:
+def last_value(entries: Column, key: str) -> Column:
+    """Value of the last entry with ``key`` of an object read by ``details_object``; null without one."""
+    return F.try_element_at(F.map_values(F.map_filter(entries, lambda k, _: k == key)), F.lit(-1))
+
+
+def serialize_details(details: Column, entries: Column | None = None) -> Column:
     """Canonical text of the JSON object: ``, `` and ``: `` between items,
     non-ASCII escaped, key order and nesting kept; ``{}`` when there is none.
 
     Numbers stay as written, and a key repeated in the text stays repeated.
+    Pass ``entries``, the stored ``details_object``, to spare another parse.
     """
     marked = F.replace(F.replace(details, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
     tokens = F.regexp_extract_all(marked, F.lit(_TOKEN), F.lit(0))
@@ -88,4 +99,5 @@ def serialize_details(details: Column) -> Column:
         .otherwise(_restore(t)),
     )
     text = F.array_join(spaced, "")
-    return F.when(_object_or_null(details).isNotNull(), text).otherwise(F.lit("{}"))
+    known = details_object(details) if entries is None else entries
+    return F.when(known.isNotNull(), text).otherwise(F.lit("{}"))

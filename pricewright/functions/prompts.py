@@ -23,9 +23,15 @@ def summary_title(summary: Column, width: int = 28) -> Column:
 
 
 def parse_summary(summary: Column) -> Column:
-    """Read the labelled lines back into a struct; null where a line is absent."""
+    """Read the labelled fields back into a struct; null where a field is absent.
+
+    A field goes on over line ends until a line with another label, or the end.
+    """
+    labels = "|".join(SUMMARY_LABELS)
     return F.struct(*[
-        F.nullif(F.regexp_extract(summary, rf"(?m)^{label}: (.*)$", 1), F.lit("")).alias(label.lower())
+        F.nullif(
+            F.regexp_extract(summary, rf"(?s)(?:^|\n){label}: (.*?)(?:\n(?:{labels}): |\z)", 1), F.lit("")
+        ).alias(label.lower())
         for label in SUMMARY_LABELS
     ])
 
@@ -40,6 +46,6 @@ def training_prompt(summary: Column, price: Column) -> Column:
     return F.concat(inference_prompt(summary), completion(price))
 
 
-def mask_answer(prompt: Column, placeholder: str = "[MODEL GENERATES THIS]") -> Column:
+def mask_answer(prompt: Column, placeholder: str = "[answer hidden]") -> Column:
     """Cut at the first ``Price is $`` and put a placeholder for the answer."""
     return F.concat(F.substring_index(prompt, PRICE_PREFIX, 1), F.lit(f"{PRICE_PREFIX}{placeholder}"))

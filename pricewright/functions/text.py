@@ -24,7 +24,8 @@ def strip_whitespace(text: Column) -> Column:
 
 def collapse_whitespace(text: Column) -> Column:
     """Whitespace runs become one space; none is left at either end."""
-    return F.trim(F.regexp_replace(text, rf"[{SPACE}]+", " "))
+    # A single blank stays as it is: only runs and other white space are touched.
+    return F.trim(F.regexp_replace(text, rf"[{SPACE}]{{2,}}|[{SPACE}&&[^ ]]", " "))
 
 
 def words(text: Column) -> Column:

@@ -8,8 +8,8 @@ comes after a barrier, or it would evaluate the whole chain a second time.
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType
 
-from ..constants import MAX_PRICE, MAX_TEXT_LENGTH, MIN_PRICE, MIN_TEXT_LENGTH
-from ..functions.details import parse_details, serialize_details
+from ..constants import MAX_PRICE, MIN_PRICE, MIN_TEXT_LENGTH
+from ..functions.details import details_pair, last_value, object_of, serialize_details
 from ..functions.numbers import parse_price, price_in_range, weight_pounds
 from ..functions.text import (
     collapse_whitespace, drop_part_numbers, last_part_number_start, word_end,
@@ -21,40 +21,49 @@ OUT_OF_RANGE = "price_out_of_range"
 SHORT_TEXT = "text_too_short"
 
 
-def joined_list(df: DataFrame, name: str) -> Column:
-    """A list column joined by spaces; a plain string column as it is."""
+def joined_list(df: DataFrame, name: str, separator: str = " ") -> Column:
+    """A list column as one text; a plain string column as it is."""
     if isinstance(df.schema[name].dataType, ArrayType):
-        return F.coalesce(F.array_join(name, " "), F.lit(""))
+        return F.coalesce(F.array_join(name, separator), F.lit(""))
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def with_clean_text(df: DataFrame, combined: Column, when: Column | None = None, name: str = "text") -> DataFrame:
-    """Collapse whitespace, delete part numbers, cut to the maximum length.
+def with_clean_text(
+    df: DataFrame, combined: Column, when: Column | None = None, name: str = "text", max_length: int | None = None
+) -> DataFrame:
+    """Collapse whitespace, delete part numbers, cut to ``max_length`` if given.
 
     Where ``when`` is not true the text is null and nothing is evaluated.
     """
     wanted = F.lit(True) if when is None else when
     start, end = F.col("_start"), F.col("_end")
     flat = F.col("_flat")
+    text = drop_part_numbers(flat, end)
     return (
         df.withColumn("_flat", F.when(wanted, collapse_whitespace(combined)))
         .withColumn("_start", last_part_number_start(flat))
         .withColumn("_end", F.when(start == 0, 0).otherwise(word_end(flat, start)))
-        .withColumn(name, F.substring(drop_part_numbers(flat, end), 1, MAX_TEXT_LENGTH))
+        .withColumn(name, text if max_length is None else F.substring(text, 1, max_length))
         .drop("_flat", "_start", "_end")
     )
 
 
-def build_text(raw: DataFrame, when: Column | None = None, name: str = "text") -> DataFrame:
-    """Add the text of title, description, features and serialized details."""
+def build_text(
+    raw: DataFrame, when: Column | None = None, name: str = "text", max_length: int | None = None,
+    entries: str | None = None,
+) -> DataFrame:
+    """Add the text of title, description, features and serialized details.
+
+    ``entries`` names a column that holds the details as read by ``details_object``.
+    """
     combined = F.concat_ws(
         "\n",
         F.coalesce(F.col("title"), F.lit("")),
         joined_list(raw, "description"),
         joined_list(raw, "features"),
-        serialize_details(F.coalesce(F.col("details"), F.lit(""))),
+        serialize_details(F.coalesce(F.col("details"), F.lit("")), F.col(entries) if entries else None),
     )
-    return with_clean_text(raw, combined, when, name)
+    return with_clean_text(raw, combined, when, name, max_length)
 
 
 def min_text_filter(df: DataFrame, minimum: int = MIN_TEXT_LENGTH, text: str = "text") -> DataFrame:
@@ -62,22 +71,30 @@ def min_text_filter(df: DataFrame, minimum: int = MIN_TEXT_LENGTH, text: str = "
 
 
 def clean_items_keeping_raw(
-    raw: DataFrame, low: float = MIN_PRICE, high: float = MAX_PRICE, minimum: int = MIN_TEXT_LENGTH
+    raw: DataFrame, low: float = MIN_PRICE, high: float = MAX_PRICE, minimum: int = MIN_TEXT_LENGTH,
+    max_length: int | None = None,
 ) -> DataFrame:
     """Surviving listings with their raw columns plus ``price_value``, ``text``, ``weight``."""
     priced = raw.withColumn("price_value", parse_price(F.col("price"))).where(
         price_in_range(F.col("price_value"), low, high)
     )
-    kept = min_text_filter(build_text(priced), minimum)
-    weight = weight_pounds(F.try_element_at(parse_details(F.col("details")), F.lit("Item Weight")))
-    return kept.withColumn("weight", weight)
+    # The details are parsed once, for their text and for the weight.
+    pair = details_pair(F.coalesce(F.col("details"), F.lit("")))
+    parsed = with_once(priced, _pair=pair).withColumn("_entries", object_of(F.col("_pair")))
+    kept = min_text_filter(build_text(parsed, max_length=max_length, entries="_entries"), minimum)
+    weight = weight_pounds(last_value(F.col("_entries"), "Item Weight"))
+    return kept.withColumn("weight", weight).drop("_entries", "_pair")
 
 
 def clean_items(
-    raw: DataFrame, low: float = MIN_PRICE, high: float = MAX_PRICE, minimum: int = MIN_TEXT_LENGTH
+    raw: DataFrame, low: float = MIN_PRICE, high: float = MAX_PRICE, minimum: int = MIN_TEXT_LENGTH,
+    max_length: int | None = None,
 ) -> DataFrame:
-    """Products: parsed price in range, long enough text, weight in pounds."""
-    return clean_items_keeping_raw(raw, low, high, minimum).select(
+    """Products: parsed price in range, long enough text, weight in pounds.
+
+    Texts are cut only where the caller passes ``max_length``.
+    """
+    return clean_items_keeping_raw(raw, low, high, minimum, max_length).select(
         "product_id",
         F.coalesce("title", F.lit("")).alias("title"),
         "category",
@@ -88,18 +105,20 @@ def clean_items(
     )
 
 
-def label_rejects(raw: DataFrame) -> DataFrame:
+def label_rejects(
+    raw: DataFrame, low: float = MIN_PRICE, high: float = MAX_PRICE, minimum: int = MIN_TEXT_LENGTH
+) -> DataFrame:
     """Every raw row with the first reason it fails, null if it is kept.
 
     The text is built only where the price passed.
     """
     priced = raw.withColumn("_price", parse_price(F.col("price")))
-    usable = F.coalesce(price_in_range(F.col("_price")), F.lit(False))
+    usable = F.coalesce(price_in_range(F.col("_price"), low, high), F.lit(False))
     texted = build_text(priced, when=usable, name="_text")
     reason = (
         F.when(F.col("_price").isNull(), BAD_PRICE)
         .when(~usable, OUT_OF_RANGE)
-        .when(F.length("_text") < MIN_TEXT_LENGTH, SHORT_TEXT)
+        .when(F.length("_text") < minimum, SHORT_TEXT)
     )
     return with_once(texted, reject_reason=reason).drop("_price", "_text")
 

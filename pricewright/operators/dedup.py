@@ -13,8 +13,20 @@ from ..functions.hashing import hash52
 
 
 def text_digest(text: Column) -> Column:
-    """Stands for a long text as a group key. Null and empty are one group."""
-    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+    """Stands for a long text as a group key; null for null."""
+    return F.unhex(F.sha2(text, 256))
+
+
+def own_text(products: DataFrame) -> Column:
+    """What makes two products copies: the summary if there is one, else the text."""
+    if "summary" not in products.columns:
+        return F.col("text")
+    return F.coalesce(F.nullif(F.col("summary"), F.lit("")), F.col("text"))
+
+
+def _text_key(digest: Column, id_col: str) -> Column:
+    """A missing text is no copy of another missing one: it is keyed by its id."""
+    return F.coalesce(digest, F.encode(F.concat(F.lit("id "), F.col(id_col).cast("string")), "utf-8"))
 
 
 def _index(products: DataFrame, id_col: str, seed: int, **keys: Column) -> DataFrame:
@@ -39,7 +51,7 @@ def dedup_title(products: DataFrame, id_col: str = "product_id", seed: int = SEE
 
 
 def dedup_text(products: DataFrame, id_col: str = "product_id", seed: int = SEED) -> DataFrame:
-    index = _index(products, id_col, seed, text=text_digest(F.col("text")))
+    index = _index(products, id_col, seed, text=_text_key(text_digest(own_text(products)), id_col))
     return _keep(products, _first_per(index, "text"), id_col)
 
 
@@ -52,7 +64,8 @@ def survivor_index(
     """
     index = _index(
         products, id_col, seed,
-        title=F.coalesce("title", F.lit("")), text=F.col(digest) if digest else text_digest(F.col("text")),
+        title=F.coalesce("title", F.lit("")),
+        text=_text_key(F.col(digest) if digest else text_digest(own_text(products)), id_col),
         carried=F.struct(F.lit(0).alias("_"), *carried),
     )
     by_title = _first_per(index, "title", "text", "carried")
@@ -68,7 +81,8 @@ def dedup_title_then_text(products: DataFrame, id_col: str = "product_id", seed:
 def dedup_report(products: DataFrame, id_col: str = "product_id", seed: int = SEED) -> DataFrame:
     """Row counts before, after titles, and after texts."""
     index = _index(
-        products, id_col, seed, title=F.coalesce("title", F.lit("")), text=text_digest(F.col("text"))
+        products, id_col, seed, title=F.coalesce("title", F.lit("")),
+        text=_text_key(text_digest(own_text(products)), id_col),
     ).withColumn("rows", F.lit(1).cast("bigint"))
     # Each level carries along how many rows it stands for, so the table is read once.
     by_title = index.groupBy("title").agg(

@@ -11,9 +11,7 @@ from pyspark.sql.types import StringType
 from ..constants import EVALUATION_SIZE, GOOD_ERROR, QUICK_TEST_ROWS, SEED
 from ..functions.numbers import absolute_error, parse_number_output, parse_output, price_interval
 from .cleaning import percent
-from .ranking import SMALL_LIMIT, head_subset, uniform_sample
-
-ARRAY_LIMIT = 100_000
+from .ranking import head_subset, uniform_sample
 
 
 def score(outputs: DataFrame, mode: str = "signed") -> DataFrame:
@@ -24,36 +22,35 @@ def score(outputs: DataFrame, mode: str = "signed") -> DataFrame:
     )
 
 
-def _of_items(outputs: DataFrame, items: DataFrame, count: int) -> DataFrame:
-    ids = items.select("item_id")
-    return outputs.join(F.broadcast(ids) if count <= SMALL_LIMIT else ids, "item_id", "left_semi")
+def _of_items(outputs: DataFrame, items: DataFrame) -> DataFrame:
+    return outputs.join(items.select("item_id"), "item_id", "left_semi")
+
+
+def sampled_outputs(
+    outputs: DataFrame, items: DataFrame | None = None, sample_size: int = EVALUATION_SIZE, seed: int = SEED
+) -> DataFrame:
+    """The outputs of the min(sample_size, n) items that every model is judged on."""
+    pool = outputs.select("item_id").distinct() if items is None else items.select("item_id")
+    return _of_items(outputs, uniform_sample(pool, sample_size, "item_id", seed))
+
+
+def mean_errors(outputs: DataFrame, mode: str = "signed") -> DataFrame:
+    """MAE and rows per model over all given outputs."""
+    return score(outputs, mode).groupBy("model_name").agg(
+        F.avg("abs_error").alias("mae"), F.count("*").alias("sample_size")
+    )
 
 
 def evaluate_models(
     outputs: DataFrame, items: DataFrame | None = None, sample_size: int = EVALUATION_SIZE, seed: int = SEED,
-    mode: str = "signed", with_arrays: bool = False,
+    mode: str = "signed",
 ) -> DataFrame:
     """MAE per model on the same min(sample_size, n) items.
 
     ``items`` holds the ids to draw from; by default all ids of the outputs.
-    The arrays, one entry per sampled item in id order, are for small samples;
-    ``score`` gives the same values as rows for any.
+    The errors themselves are the rows of ``score(sampled_outputs(...))``.
     """
-    if with_arrays and sample_size > ARRAY_LIMIT:
-        raise ValueError(f"arrays hold at most {ARRAY_LIMIT} items; use score() for larger samples")
-    pool = outputs.select("item_id").distinct() if items is None else items.select("item_id")
-    sampled = _of_items(outputs, uniform_sample(pool, sample_size, "item_id", seed), sample_size)
-    measures = [F.avg("abs_error").alias("mae"), F.count("*").alias("sample_size")]
-    if with_arrays:
-        rows = F.array_sort(F.collect_list(F.struct("item_id", "abs_error", "predicted", "actual")))
-        measures.append(rows.alias("_rows"))
-    result = score(sampled, mode).groupBy("model_name").agg(*measures)
-    if with_arrays:
-        result = result.select(
-            "model_name", "mae", "sample_size", F.col("_rows.abs_error").alias("errors"),
-            F.col("_rows.predicted").alias("predictions"), F.col("_rows.actual").alias("actuals"),
-        )
-    return result
+    return mean_errors(sampled_outputs(outputs, items, sample_size, seed), mode)
 
 
 def with_interval(predictions: DataFrame, results: DataFrame) -> DataFrame:
@@ -105,7 +102,7 @@ def item_status(
 ) -> DataFrame:
     """Each model on the first items in shuffled order, with a verdict."""
     first = head_subset(outputs.select("item_id").distinct(), count, "item_id", seed)
-    scored = score(_of_items(outputs, first, count), mode)
+    scored = score(_of_items(outputs, first), mode)
     return scored.select(
         "item_id", "model_name", "actual", "predicted", "abs_error",
         F.when(F.col("abs_error") < limit, "ok").otherwise("warn").alias("status"),

@@ -3,6 +3,7 @@
 from collections.abc import Sequence
 
 from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import VOCABULARY_SIZE
@@ -74,30 +75,39 @@ def bow_vectors(tokenized: DataFrame, terms: Sequence[str]) -> DataFrame:
 def bow_counts(tokenized: DataFrame, vocabulary: DataFrame, id_col: str = "product_id") -> DataFrame:
     """The same counts as rows (id, term, term_index, occurrences).
 
-    Spark broadcasts the vocabulary while it is under its size limit.
+    Words are counted inside their row, so nothing but found terms leaves it;
+    terms enter the plan as one list, bounded by the vocabulary.
     """
-    return (
-        tokenized.select(id_col, F.explode("tokens").alias("term"))
-        .join(vocabulary.select("term", "term_index"), "term")
-        .groupBy(id_col, "term", "term_index")
-        .agg(F.count("*").alias("occurrences"))
+    terms = vocabulary_terms(vocabulary)
+    vectors = bow_vectors(tokenized, terms)
+    cells = with_once(vectors.select(id_col, "bow"), _cells=_cells(F.col("bow"))).select(id_col, F.inline("_cells"))
+    names = F.array(*[F.lit(term) for term in terms])
+    return cells.select(
+        id_col, F.get(names, F.col("index")).alias("term"), F.col("index").cast("bigint").alias("term_index"),
+        F.col("value").cast("bigint").alias("occurrences"),
     )
 
 
+def _cells(vector: Column) -> Column:
+    """Index and value of the cells of a vector that are not 0."""
+    placed = F.transform(vector_to_array(vector), lambda value, index: F.struct(index.alias("index"), value.alias("value")))
+    return F.filter(placed, lambda cell: cell["value"] != 0)
+
+
 def bow_matrix_stats(tokenized: DataFrame, vocabulary: DataFrame, first: int = 400, last: int = 410) -> DataFrame:
     """Rows, terms, share of zero cells, and the terms numbered ``first``..``last - 1``."""
-    filled = (
-        tokenized.select(F.explode(F.array_distinct("tokens")).alias("term"))
-        .join(vocabulary.select("term"), "term", "left_semi")
-        .agg(F.count("*"))
-    )
+    # One pass over the texts counts the rows and, inside each row, its terms.
+    vectors = bow_vectors(tokenized, vocabulary_terms(vocabulary))
+    filled = vectors.agg(F.struct(
+        F.count("*").alias("items"),
+        F.coalesce(F.sum(F.size(_cells(F.col("bow")))), F.lit(0)).cast("bigint").alias("filled"),
+    )).scalar()
     size = vocabulary.agg(
         F.count("*").alias("terms"),
         F.array_sort(F.collect_list(F.when(F.col("term_index").between(first, last - 1), F.col("term")))).alias("sample_terms"),
     )
-    rows = tokenized.agg(F.count("*")).scalar()
-    return size.select(
-        rows.alias("items"), "terms", filled.scalar().alias("filled"), "sample_terms"
+    return with_once(size, _filled=filled).select(
+        F.col("_filled.items").alias("items"), "terms", F.col("_filled.filled").alias("filled"), "sample_terms"
     ).withColumn(
         "zero_pct",
         F.when((F.col("items") > 0) & (F.col("terms") > 0),

@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..constants import FOREST_ROWS, IMPORTANT_WORDS, SEED
 from ..functions.hashing import hash_uniform
-from ..session import ensure_checkpoint_dir, ship_package, stage
+from ..session import ensure_checkpoint_dir, scratch, ship_package, stage
 from .features import NUMERIC, bow_tokens, bow_vectors, numeric_features
 from .ranking import head_subset, upper_median
 
 ROWS_PER_FOREST_TASK = 2_000
-NORMAL_EQUATION_LIMIT = 4_096  # columns that Spark's normal solver accepts
+VALIDATION = "_validation"
 
 
 @dataclass
@@ -43,13 +43,13 @@ def price_stats(train: DataFrame) -> DataFrame:
 def random_pricer(id_col: str = "product_id", seed: int = SEED) -> Pricer:
     """A whole price 1..999 that depends on the seed and the id only."""
     guess = (F.lit(1) + F.floor(hash_uniform(seed, F.col(id_col)) * 999)).cast("double")
-    return Pricer("Random Pricer", lambda df: df.withColumn("predicted", guess))
+    return Pricer("seeded guess", lambda df: df.withColumn("predicted", guess))
 
 
 def constant_pricer(train: DataFrame) -> Pricer:
     """The mean train price for every row, as a subquery of the plan."""
     mean = train.agg(F.avg("price"))
-    return Pricer("Constant Pricer (mean)", lambda df: df.withColumn("predicted", mean.scalar()))
+    return Pricer("mean price", lambda df: df.withColumn("predicted", mean.scalar()))
 
 
 def _floored(df: DataFrame, *scratch: str) -> DataFrame:
@@ -71,7 +71,7 @@ def linear_numeric(train: DataFrame) -> Pricer:
         features = assembled(df.select("*", F.struct("*").alias("_row"))).select("_row", "_features")
         return _floored(fit.transform(features), "_features").select("_row.*", "predicted")
 
-    return Pricer("Linear Regression (3 features)", apply, fit, NUMERIC)
+    return Pricer("least squares on numbers", apply, fit, NUMERIC)
 
 
 def coefficients(pricer: Pricer, spark) -> DataFrame:
@@ -86,11 +86,13 @@ def _bow_pricer(name: str, estimator, train: DataFrame, terms: Sequence[str], ta
     def vectors(df: DataFrame) -> DataFrame:
         return bow_vectors(bow_tokens(df), terms)
 
-    # Fits pass over the vectors many times; the text is tokenized once.
-    staged = stage(vectors(train).select("product_id", "bow", "price"), "bow")
-    if tasks:
-        staged = staged.repartition(tasks, "product_id").sortWithinPartitions("product_id")
-    fit = estimator.fit(staged)
+    with scratch(train.sparkSession):
+        # Fits pass over the vectors many times; the text is tokenized once.
+        kept = [c for c in ("product_id", "bow", "price", VALIDATION) if c != VALIDATION or c in train.columns]
+        staged = stage(vectors(train).select(*kept), "bow")
+        if tasks:
+            staged = staged.repartition(tasks, "product_id").sortWithinPartitions("product_id")
+        fit = estimator.fit(staged)
 
     def apply(df: DataFrame) -> DataFrame:
         return _floored(fit.transform(vectors(df)), "tokens", "bow")
@@ -98,18 +100,20 @@ def _bow_pricer(name: str, estimator, train: DataFrame, terms: Sequence[str], ta
     return Pricer(name, apply, fit, tuple(terms))
 
 
-def linear_bow(train: DataFrame, terms: Sequence[str]) -> Pricer:
+def linear_bow(
+    train: DataFrame, terms: Sequence[str], solver: str = "normal", iterations: int = 5_000, tolerance: float = 1e-13
+) -> Pricer:
     """Least squares on word counts.
 
     The normal equations need one pass; their matrix is bounded by the
     vocabulary, and a singular one is solved iteratively without more passes.
-    A larger vocabulary is fitted by repeated passes.
+    Spark refuses them for more than 4,096 terms; then pass ``l-bfgs``, which passes over the rows repeatedly.
     """
     estimator = LinearRegression(
-        featuresCol="bow", labelCol="price", predictionCol="_prediction", regParam=0.0,
-        solver="normal" if len(terms) <= NORMAL_EQUATION_LIMIT else "l-bfgs",
+        featuresCol="bow", labelCol="price", predictionCol="_prediction", regParam=0.0, solver=solver,
+        maxIter=iterations, tol=tolerance,
     )
-    return _bow_pricer("Linear Regression (BoW)", estimator, train, terms)
+    return _bow_pricer("least squares on words", estimator, train, terms)
 
 
 def random_forest(
@@ -122,18 +126,27 @@ def random_forest(
     )
     # Bagging draws by partition: fixed partitions make the fit repeat.
     tasks = -(-rows // ROWS_PER_FOREST_TASK)
-    return _bow_pricer(f"Random Forest ({trees} trees)", estimator, head_subset(train, rows), terms, tasks)
+    return _bow_pricer("bagged trees", estimator, head_subset(train, rows), terms, tasks)
 
 
 def boosted_trees(
-    train: DataFrame, terms: Sequence[str], rounds: int = 1000, rate: float = 0.1, depth: int = 6, seed: int = SEED
+    train: DataFrame, terms: Sequence[str], rounds: int = 1000, rate: float = 0.1, depth: int = 6, seed: int = SEED,
+    validation: DataFrame | None = None, tolerance: float = 0.01,
 ) -> Pricer:
-    """Trees fitted one after another to the remaining error, on all train rows."""
+    """Trees fitted one after another to the remaining error, on all train rows.
+
+    With ``validation`` rows the fit ends before ``rounds`` once their error no longer
+    falls by ``tolerance`` of itself.
+    """
     estimator = GBTRegressor(
         featuresCol="bow", labelCol="price", predictionCol="_prediction",
-        maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed,
+        maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed, validationTol=tolerance,
     )
-    return _bow_pricer("Boosted Trees", estimator, train, terms)
+    if validation is not None:
+        estimator = estimator.setValidationIndicatorCol(VALIDATION)
+        marked = [df.withColumn(VALIDATION, F.lit(flag)) for df, flag in ((train, False), (validation, True))]
+        train = marked[0].unionByName(marked[1])
+    return _bow_pricer("boosted trees", estimator, train, terms)
 
 
 def top_words(pricer: Pricer, spark, count: int = 5) -> DataFrame:
@@ -165,30 +178,36 @@ def batch_predict(
     df: DataFrame, key: str, load: Callable[[], Callable[[pd.DataFrame], Sequence]], inputs: Sequence[str],
     output_type: T.DataType = T.DoubleType(), output: str = "predicted",
 ) -> DataFrame:
-    """Any predictor over a table, in Arrow batches.
+    """Any predictor over a table, in Arrow batches of ``inputs``; other columns stay in the JVM.
 
     ``load`` runs once per Python worker and ``key``; the predictor it returns
-    takes a pandas frame of ``inputs``. A row that fails gives 0 and does not
-    take the rest of its batch with it.
+    takes a pandas frame. A row that fails gets 0 and ``<output>_failed`` true,
+    and does not take the rest of its batch with it. A batch of several rows
+    that all fail is no failure of a row: its error is raised.
     """
     ship_package(df.sparkSession)
-    schema = T.StructType([*df.schema.fields, T.StructField(output, output_type)])
     inputs = list(inputs)
     fallback = "0" if isinstance(output_type, T.StringType) else 0.0
 
-    def answers(predict, frame: pd.DataFrame) -> list:
+    def answers(predict, frame: pd.DataFrame) -> list[tuple]:
         """Halve a failing batch until its failing rows stand alone."""
         try:
-            return list(predict(frame))
-        except Exception:
+            return [(value, None) for value in predict(frame)]
+        except Exception as error:
             if len(frame) == 1:
-                return [fallback]
+                return [(fallback, error)]
             middle = len(frame) // 2
             return answers(predict, frame.iloc[:middle]) + answers(predict, frame.iloc[middle:])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = _load_once(key, load)
         for batch in batches:
-            yield batch.assign(**{output: answers(predict, batch[inputs]) if len(batch) else []})
-
-    return df.mapInPandas(run, schema)
+            found = answers(predict, batch) if len(batch) else []
+            errors = [error for _, error in found if error is not None]
+            if len(found) > 1 and len(errors) == len(found):
+                raise errors[0]
+            yield pd.DataFrame({"value": [v for v, _ in found], "failed": [e is not None for _, e in found]})
+
+    answer = F.pandas_udf(run, T.StructType([T.StructField("value", output_type), T.StructField("failed", T.BooleanType())]))
+    scored = df.withColumn("_answer", answer(F.struct(*inputs)))
+    return scored.withColumns({output: F.col("_answer.value"), f"{output}_failed": F.col("_answer.failed")}).drop("_answer")

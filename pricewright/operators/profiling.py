@@ -15,17 +15,20 @@ def _all_bins(counts: DataFrame, bins: int) -> DataFrame:
 def price_histogram(
     products: DataFrame, price: str = "price", width: int = PRICE_BIN_WIDTH, bins: int = PRICE_BIN_COUNT
 ) -> DataFrame:
-    """Fixed-width bins from 0; the last includes its upper edge, prices beyond fall outside."""
+    """Fixed-width bins from 0; the last includes its upper edge.
+
+    One more row, of no upper edge, counts what lies in no bin: prices beyond
+    the last, below 0, or absent. So the counts sum to the rows.
+    """
     value, top = F.col(price), width * bins
+    inside = F.least(F.floor(value / width), F.lit(bins - 1))
     counts = (
-        products.where(value.between(0, top))
-        .select(F.least(F.floor(value / width), F.lit(bins - 1)).alias("bin"))
+        products.select(F.when(value.between(0, top), inside).otherwise(F.lit(bins)).alias("bin"))
         .groupBy("bin")
         .agg(F.count("*").alias("items"))
     )
-    return _all_bins(counts, bins).select(
-        "bin", (F.col("bin") * width).alias("low"), ((F.col("bin") + 1) * width).alias("high"), "items"
-    )
+    high = F.when(F.col("bin") < bins, (F.col("bin") + 1) * width)
+    return _all_bins(counts, bins + 1).select("bin", (F.col("bin") * width).alias("low"), high.alias("high"), "items")
 
 
 def length_histogram(values: DataFrame, value: str, bins: int = LENGTH_BIN_COUNT) -> DataFrame:

@@ -5,15 +5,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import (
-    HIGH_TRUNCATION_PERCENT, MAX_SEQUENCE_LENGTH, PROFILE_ROWS, PROMPT_OVERHEAD, SEQUENCE_CUTOFFS,
-    SUMMARY_TOKEN_BUDGET,
+    HIGH_TRUNCATION_PERCENT, MAX_SEQUENCE_LENGTH, PROMPT_OVERHEAD, SEQUENCE_CUTOFFS, SUMMARY_TOKEN_BUDGET,
 )
 from ..functions.numbers import completion
 from ..functions.prompts import inference_prompt, training_prompt
-from ..functions.text import effective_text, words
+from ..functions.text import collapse_whitespace, effective_text
 from ..functions.tokens import DEFAULT_TOKENS
+from .barrier import with_once
 from .cleaning import percent
-from .ranking import upper_median
 
 
 def attach_summaries(products: DataFrame, summaries: DataFrame) -> DataFrame:
@@ -61,13 +60,16 @@ def truncation_report(prompts: DataFrame) -> DataFrame:
     return counts.withColumn("truncated_pct", share).withColumn("high", share > HIGH_TRUNCATION_PERCENT)
 
 
-def _profiled(splits: DataFrame, rows: int) -> DataFrame:
-    return splits.where((F.col("split") == "train") & (F.col("pos") < rows))
+def _train(splits: DataFrame) -> DataFrame:
+    return splits.where(F.col("split") == "train")
 
 
-def token_profile(splits: DataFrame, rows: int = PROFILE_ROWS, tokens=DEFAULT_TOKENS) -> DataFrame:
-    """Mean, median, 95th percentile (interpolated) and maximum over the first train rows."""
-    return with_tokens(_profiled(splits, rows), tokens).agg(
+def token_profile(splits: DataFrame, tokens=DEFAULT_TOKENS) -> DataFrame:
+    """Mean, median, 95th percentile (interpolated) and maximum over the train rows.
+
+    Percentiles are exact and hold one entry per distinct count.
+    """
+    return with_tokens(_train(splits), tokens).agg(
         F.count("*").alias("items"),
         F.avg("n_tokens").alias("mean_tokens"),
         F.median("n_tokens").alias("median_tokens"),
@@ -77,11 +79,11 @@ def token_profile(splits: DataFrame, rows: int = PROFILE_ROWS, tokens=DEFAULT_TO
 
 
 def cutoff_sweep(
-    splits: DataFrame, rows: int = PROFILE_ROWS, cutoffs: Sequence[int] = SEQUENCE_CUTOFFS,
+    splits: DataFrame, cutoffs: Sequence[int] = SEQUENCE_CUTOFFS,
     chosen: int = MAX_SEQUENCE_LENGTH, overhead: int = PROMPT_OVERHEAD, tokens=DEFAULT_TOKENS,
 ) -> DataFrame:
     """Share of rows each sequence length would truncate, from one aggregate."""
-    shares = with_tokens(_profiled(splits, rows), tokens).agg(*[
+    shares = with_tokens(_train(splits), tokens).agg(*[
         (F.avg((F.col("n_tokens") > cutoff - overhead).cast("double")) * 100.0).alias(str(cutoff))
         for cutoff in cutoffs
     ])
@@ -93,13 +95,28 @@ def cutoff_sweep(
     return shares.select(F.inline(entries))
 
 
-def prompt_word_stats(prompts: DataFrame, rows: int = PROFILE_ROWS) -> DataFrame:
-    """Whitespace words per prompt over the first train rows."""
-    counted = _profiled(prompts, rows).select(F.size(words(F.col("prompt"))).alias("n_words"))
-    stats = counted.agg(
-        F.count("*").alias("items"), F.avg("n_words").alias("mean_words"), F.max("n_words").cast("bigint").alias("max_words")
+def prompt_word_stats(prompts: DataFrame) -> DataFrame:
+    """Whitespace words per prompt over the train rows.
+
+    Words are counted once; all figures come from the rows per count, of which
+    there are no more than words in the longest prompt.
+    """
+    flat = with_once(_train(prompts).select("prompt"), _flat=collapse_whitespace(F.col("prompt")))
+    n_words = F.when(F.col("_flat") == "", 0).otherwise(F.size(F.split("_flat", " ")))
+    table = flat.groupBy(n_words.alias("n_words")).agg(F.count("*").alias("rows"))
+    entries = F.array_sort(F.collect_list(F.struct("n_words", "rows")))
+    stats = table.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("items"),
+        (F.sum(F.col("n_words") * F.col("rows")) / F.sum("rows")).alias("mean_words"),
+        F.max("n_words").cast("bigint").alias("max_words"), entries.alias("_entries"),
     )
-    return stats.withColumn("median_words", upper_median(counted, F.col("n_words")).scalar().cast("bigint"))
+    # The element at items // 2 of the sorted counts: the first whose running total passes it.
+    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("int").alias("median"))
+    walked = F.aggregate("_entries", start, lambda acc, e: F.struct(
+        (acc["seen"] + e["rows"]).alias("seen"),
+        F.coalesce(acc["median"], F.when(acc["seen"] + e["rows"] > F.floor(F.col("items") / 2), e["n_words"])).alias("median"),
+    ))
+    return stats.select("items", "mean_words", "max_words", walked["median"].cast("bigint").alias("median_words"))
 
 
 def prompt_sample(prompts: DataFrame) -> DataFrame:

@@ -19,7 +19,8 @@ from .barrier import with_once
 
 BUCKET_BITS = 16
 BUCKETS_PER_UNIT = 1024  # per factor e
-SMALL_LIMIT = 1_000
+# Nulls sort first, so their bucket lies before any other.
+NULL_BUCKET = -(1 << 62)
 
 
 def hash_bucket(hashed: Column) -> Column:
@@ -42,6 +43,10 @@ def log_bucket(value: Column) -> Column:
     return F.floor(F.log(F.greatest(value, F.lit(1e-300))) * BUCKETS_PER_UNIT)
 
 
+def _ordered(bucket: Column) -> Column:
+    return F.coalesce(bucket.cast("bigint"), F.lit(NULL_BUCKET).cast("bigint"))
+
+
 def _histogram(df: DataFrame, weight: Column) -> DataFrame:
     """Bucket, weight before it, weight in it, and the grand total."""
     # One task, but over the buckets only: their number is fixed above.
@@ -64,7 +69,7 @@ def with_running_total(
     ``order`` must be total and ``bucket`` must never fall along it.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
-    bucketed = with_once(df, _bucket=bucket)
+    bucketed = with_once(df, _bucket=_ordered(bucket))
     buckets = _histogram(bucketed, weight).select("_bucket", "_before", "_total")
     inside = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
@@ -97,13 +102,11 @@ def with_position(
 def smallest(df: DataFrame, count: int, bucket: Column, order: list[Column]) -> DataFrame:
     """The ``count`` first rows by a total order, exactly.
 
-    A small count is a bounded top-k. A large one keeps whole buckets below
-    the cut and ranks rows only inside buckets, so that neither the driver nor
-    one task has to hold ``count`` rows.
+    Whole buckets below the cut are kept by a filter, and rows are ranked in
+    the one bucket that is cut, so that neither the driver nor one task has to
+    hold ``count`` rows. The same path serves every count; nulls come first.
     """
-    if count <= SMALL_LIMIT:
-        return df.orderBy(*order).limit(count)
-    bucketed = with_once(df, _bucket=bucket)
+    bucketed = with_once(df, _bucket=_ordered(bucket))
     cut = (
         _histogram(bucketed, F.lit(1).cast("bigint"))
         .where(F.col("_before") + F.col("_inside") >= count)
@@ -112,12 +115,9 @@ def smallest(df: DataFrame, count: int, bucket: Column, order: list[Column]) ->
     )
     last, before = cut.getField("_bucket"), cut.getField("_before")
     inside = Window.partitionBy("_bucket").orderBy(*order)
-    return (
-        bucketed.where(last.isNull() | (F.col("_bucket") <= last))
-        .withColumn("_rank", F.row_number().over(inside))
-        .where(last.isNull() | (F.col("_bucket") < last) | (F.col("_rank") <= count - before))
-        .drop("_bucket", "_rank")
-    )
+    below = bucketed.where(last.isNull() | (F.col("_bucket") < last)).drop("_bucket")
+    at_cut = bucketed.where(F.col("_bucket") == last).withColumn("_rank", F.row_number().over(inside))
+    return below.unionByName(at_cut.where(F.col("_rank") <= count - before).drop("_bucket", "_rank"))
 
 
 def head_subset(df: DataFrame, count: int, id_col: str = "product_id", seed: int = SEED) -> DataFrame:

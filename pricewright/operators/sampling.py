@@ -3,21 +3,22 @@
 from collections.abc import Mapping
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..constants import CATEGORY_MULTIPLIERS, PRICE_EPSILON, SEED, TARGET_SAMPLE_SIZE
+from ..constants import CATEGORY_MULTIPLIERS, PRICE_EPSILON, SEED
 from ..functions.hashing import hash_uniform
+from .barrier import with_once
 from .cleaning import percent
 from .ranking import log_bucket, smallest
 
 
 def price_weight(products: DataFrame, name: str = "weight_price") -> DataFrame:
     """Squared price on a 0..1 scale of the whole table: the cheapest gets 0."""
-    price = F.col("price")
-    low = products.agg(F.min("price")).scalar()
-    high = products.agg(F.max("price")).scalar()
-    scaled = (price - low) / ((high - low) + F.lit(PRICE_EPSILON))
-    return products.withColumn(name, scaled * scaled)
+    ends = products.agg(F.struct(F.min("price").alias("low"), F.max("price").alias("high"))).scalar()
+    low, high = ends.getField("low"), ends.getField("high")
+    # The ends enter every row once; what reads the weight finds it computed.
+    scaled = with_once(products, _scaled=(F.col("price") - low) / ((high - low) + F.lit(PRICE_EPSILON)))
+    return scaled.withColumn(name, F.col("_scaled") * F.col("_scaled")).drop("_scaled")
 
 
 def multiplier_of(category: Column, multipliers: Mapping[str, float]) -> Column:
@@ -85,7 +86,7 @@ def fetch_selected(products: DataFrame, selected: DataFrame, id_col: str = "prod
 
 
 def weighted_sample(
-    products: DataFrame, count: int = TARGET_SAMPLE_SIZE, id_col: str = "product_id", seed: int = SEED,
+    products: DataFrame, count: int, id_col: str = "product_id", seed: int = SEED,
     multipliers: Mapping[str, float] = CATEGORY_MULTIPLIERS,
 ) -> DataFrame:
     """Weigh and draw on id, price and category alone, then fetch the rows.
@@ -99,10 +100,9 @@ def weighted_sample(
 
 def share_of(df: DataFrame, key: str) -> DataFrame:
     """Rows per value of ``key`` and their share of all rows in %."""
-    # The window runs over the counts, one row per value.
-    return df.groupBy(key).agg(F.count("*").alias("items")).withColumn(
-        "share_pct", percent(F.col("items"), F.sum("items").over(Window.partitionBy()))
-    )
+    counts = df.groupBy(key).agg(F.count("*").alias("items"))
+    total = counts.agg(F.sum("items")).scalar()
+    return counts.withColumn("share_pct", percent(F.col("items"), total))
 
 
 def sample_distribution(products: DataFrame) -> DataFrame:

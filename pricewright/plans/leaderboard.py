@@ -6,9 +6,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import EVALUATION_SIZE, SEED
-from ..operators.evaluation import evaluate_models
+from ..operators.evaluation import mean_errors
 from ..operators.models import Pricer
 from ..operators.ranking import uniform_sample
+from ..session import stage
 
 
 def model_outputs(pricers: Sequence[Pricer], items: DataFrame) -> DataFrame:
@@ -25,7 +26,6 @@ def model_outputs(pricers: Sequence[Pricer], items: DataFrame) -> DataFrame:
 def rank_pricers(
     pricers: Sequence[Pricer], test: DataFrame, sample_size: int = EVALUATION_SIZE, seed: int = SEED
 ) -> DataFrame:
-    """MAE per pricer. Rows are drawn first, so only they are scored."""
-    sample = uniform_sample(test, sample_size, seed=seed)
-    outputs = model_outputs(pricers, sample)
-    return evaluate_models(outputs, sample.select(F.col("product_id").alias("item_id")), sample_size, seed)
+    """MAE per pricer on one sample, which is drawn and stored once; only it is scored."""
+    sample = stage(uniform_sample(test, sample_size, seed=seed), "evaluation-sample")
+    return mean_errors(model_outputs(pricers, sample))

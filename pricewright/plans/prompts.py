@@ -14,5 +14,8 @@ def prompts_from(splits: DataFrame, summaries: DataFrame | None = None, tokens=D
     return build_prompts(splits, tokens=tokens)
 
 
-def publish_prompts(spark: SparkSession, source: str, target: str, tokens=DEFAULT_TOKENS) -> None:
-    write_prompts(prompts_from(read_split(spark, source), tokens=tokens), target)
+def publish_prompts(
+    spark: SparkSession, source: str, target: str, summaries: DataFrame | None = None, tokens=DEFAULT_TOKENS
+) -> None:
+    """Write the prompts of a stored dataset, over ``summaries`` where they are given."""
+    write_prompts(prompts_from(read_split(spark, source), summaries, tokens), target)

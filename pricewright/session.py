@@ -1,14 +1,20 @@
 """Session settings and the shared folder for intermediate tables."""
 
+import contextlib
 import os
 import shutil
 import tempfile
 import uuid
+import warnings
+from collections import Counter
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 _shipped: set[str] = set()
+_scratches: list[list[str]] = []
+_drops: Counter[str] = Counter()
 
 
 def build_session(master: str | None = None, **settings) -> SparkSession:
@@ -36,8 +42,8 @@ def build_session(master: str | None = None, **settings) -> SparkSession:
 def stage_root(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a temporary folder: executors
-    of a cluster could not see it.
+    A session of one machine that names none gets a temporary folder and a
+    warning; on a cluster, whose executors could not see it, this fails.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -47,6 +53,7 @@ def stage_root(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="pricewright-")
+        warnings.warn(f"spark.checkpoint.dir is not set: intermediate tables go to {_local_roots[app]}", stacklevel=2)
     return _local_roots[app]
 
 
@@ -56,13 +63,38 @@ def _stages(spark: SparkSession) -> str:
 
 def stage_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one intermediate table of this application."""
-    return f"{_stages(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_stages(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scratches:
+        _scratches[-1].append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what the body stored; nothing may read it afterwards."""
+    _scratches.append([])
+    try:
+        yield
+    finally:
+        for path in _scratches.pop():
+            _delete(spark, path)
 
 
 def drop_stages(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application, once nothing reads them."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_stages(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _stages(spark))
+    _drops[spark.sparkContext.applicationId] += 1
+
+
+def stage_generation(spark: SparkSession) -> tuple[str, int]:
+    """Changes when the stages of an application are dropped."""
+    app = spark.sparkContext.applicationId
+    return app, _drops[app]
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -77,16 +109,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread_small(scan: DataFrame) -> DataFrame:
-    """Spread a scan with fewer splits than cores over all of them.
-
-    For small inputs in one file whose rows are costly to process. Looks at
-    the splits of the scan, not at its rows; a large table is left alone.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage through the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

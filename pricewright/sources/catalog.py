@@ -15,9 +15,10 @@ from ..session import stage
 COPIES_PER_CHUNK = 100_000
 
 
-def read_catalogs(spark: SparkSession, path: str, categories: Iterable[str] = CATEGORIES) -> DataFrame:
-    """Listings of several categories as one table; other partitions are not read."""
-    return spark.read.schema(RAW_LISTING).parquet(path).where(F.col("category").isin(*categories))
+def read_catalogs(spark: SparkSession, path: str, categories: Iterable[str] | None = None) -> DataFrame:
+    """Listings of all stored categories as one table, or of some; other partitions are not read."""
+    listings = spark.read.schema(RAW_LISTING).parquet(path)
+    return listings if categories is None else listings.where(F.col("category").isin(*categories))
 
 
 def read_catalog(spark: SparkSession, path: str, category: str) -> DataFrame:
@@ -48,15 +49,16 @@ def with_product_id(raw: DataFrame) -> DataFrame:
     bucket = F.conv(F.substring("_digest", 1, 4), 16, 10).cast("bigint")
     numbered = with_running_total(counts, bucket, [F.col("_digest")], F.col("_copies"), "_start", "_count")
     rows = digested.groupBy("_digest").agg(F.first(F.struct(*fields)).alias("_row"))
+    # Rows stay where the join puts them, unless their copies fill several chunks.
+    one_chunk = F.col("_copies") <= COPIES_PER_CHUNK
+    placed = rows.join(numbered, "_digest")
+    few = placed.where(one_chunk).withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)))
     last_chunk = F.floor((F.col("_copies") - 1) / COPIES_PER_CHUNK)
-    chunks = rows.join(numbered, "_digest").withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+    chunks = placed.where(~one_chunk).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
     first = F.col("_chunk") * COPIES_PER_CHUNK
     last = F.least(first + COPIES_PER_CHUNK, F.col("_copies")) - 1
-    return (
-        chunks.repartition("_digest", "_chunk")
-        .withColumn("_copy", F.explode(F.sequence(first, last)))
-        .select((F.col("_start") + F.col("_copy")).alias("product_id"), "_row.*")
-    )
+    many = chunks.repartition("_digest", "_chunk").withColumn("_copy", F.explode(F.sequence(first, last))).drop("_chunk")
+    return few.unionByName(many).select((F.col("_start") + F.col("_copy")).alias("product_id"), "_row.*")
 
 
 def describe_raw(raw: DataFrame, index: int = 0, width: int = 100) -> DataFrame:
@@ -110,7 +112,8 @@ def ingest_missing(
             kept.drop("category").write.mode("overwrite").parquet(f"{path}/category={category}")
             report.append((category, "stored", raw_seen.get["rows"], kept_seen.get["rows"], None))
         except Exception as error:
-            report.append((category, "failed", None, None, str(error).splitlines()[0]))
+            # Whatever the loader raises is reported with its kind, so that a slip of the program shows as one.
+            report.append((category, "failed", None, None, f"{type(error).__name__}: {(str(error).splitlines() or [''])[0]}"))
     return spark.createDataFrame(
         report, "category string, status string, raw_rows bigint, kept bigint, error string"
     )

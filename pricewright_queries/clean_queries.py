@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pricewright.functions.details import parse_details, serialize_details
 from pricewright.functions.numbers import parse_price, price_in_range, weight_pounds
 from pricewright.functions.text import collapse_whitespace, strip_part_numbers
-from pricewright.operators import cleaning, dedup
+from pricewright.operators import cleaning, dedup, prompting
 
 from . import views
 from .registry import query
@@ -52,7 +52,7 @@ def weight_query(spark, sf_dir):
 
 @query("c6_build_text", "select product_id, text from texted", "texted")
 def build_text(spark, sf_dir):
-    return cleaning.build_text(views.raw_listing(spark, sf_dir)).select("product_id", "text")
+    return cleaning.build_text(views.raw_listing(spark, sf_dir), max_length=views.MAX_TEXT).select("product_id", "text")
 
 
 @query("c7_strip_part_numbers", views.clean_text("documents", "doc_id", "text"))
@@ -69,13 +69,13 @@ def serialize_details_query(spark, sf_dir):
 
 @query("c9_min_text_filter", "select product_id, length(text) as n_chars from texted where length(text) >= 300", "texted")
 def min_text(spark, sf_dir):
-    texted = cleaning.build_text(views.raw_listing(spark, sf_dir)).select("product_id", "text")
+    texted = cleaning.build_text(views.raw_listing(spark, sf_dir), max_length=views.MAX_TEXT).select("product_id", "text")
     return cleaning.min_text_filter(texted).select("product_id", F.length("text").cast("bigint").alias("n_chars"))
 
 
 @query("c10_clean_items", "select * from product", "product")
 def clean_items(spark, sf_dir):
-    return cleaning.clean_items(views.raw_listing(spark, sf_dir))
+    return cleaning.clean_items(views.raw_listing(spark, sf_dir), max_length=views.MAX_TEXT)
 
 
 @query("c10_label_rejects", """
@@ -126,6 +126,16 @@ def dedup_text_alone(spark, sf_dir):
     return dedup.dedup_text(documents)
 
 
+@query("u2_dedup_null_texts", f"""
+    select product_id, summary from (
+      select *, row_number() over (partition by coalesce(summary, 'id ' || product_id) order by {views.uniform_bits('product_id')}, product_id) as copy
+      from prepared) where copy = 1""", "prepared")
+def dedup_null_texts(spark, sf_dir):
+    """A prepared dataset, whose texts are all null: copies are told by their summaries, and rows without one stay."""
+    products = prompting.attach_summaries(views.product_split(spark, sf_dir), views.summaries(spark, sf_dir))
+    return dedup.dedup_text(products).select("product_id", "summary")
+
+
 @query("u3_dedup_report", """
     select (select count(*) from product) as "before", (select count(*) from by_title) as after_title,
       (select count(*) from unique_product) as after_text""", "product by_title unique_product")

@@ -45,8 +45,11 @@ def evaluate_models(spark, sf_dir):
       array_to_string(list(abs_error::decimal(18,4) order by item_id), ' ') as errors
     from sampled group by model_name""", "sampled")
 def evaluate_arrays(spark, sf_dir):
-    results = evaluation.evaluate_models(views.model_output(spark, sf_dir), with_arrays=True)
-    errors = F.array_join(F.transform("errors", lambda e: e.cast("decimal(18,4)").cast("string")), " ")
+    """The scored rows of the 200 sampled items, as one list per model."""
+    scored = evaluation.score(evaluation.sampled_outputs(views.model_output(spark, sf_dir)))
+    rows = F.array_sort(F.collect_list(F.struct("item_id", "abs_error")))
+    results = scored.groupBy("model_name").agg(F.avg("abs_error").alias("mae"), F.count("*").alias("sample_size"), rows.alias("_rows"))
+    errors = F.array_join(F.transform("_rows", lambda r: r["abs_error"].cast("decimal(18,4)").cast("string")), " ")
     return _rounded(results.select("model_name", "mae", "sample_size", errors.alias("errors")), "mae")
 
 

@@ -19,8 +19,9 @@ def _bins(values: str) -> str:
 
 
 @query("h1_price_histogram", """
-    select b as bin, b * 20 as low, (b + 1) * 20 as high, count(price) as items
-    from range(49) as e(b) left join product on price >= b * 20 and (price < (b + 1) * 20 or (b = 48 and price = 980))
+    select b as bin, b * 20 as low, case when b < 49 then (b + 1) * 20 end as high, count(price) as items
+    from range(50) as e(b) left join product on case when b = 49 then price > 980
+      else price >= b * 20 and (price < (b + 1) * 20 or (b = 48 and price = 980)) end
     group by b""", "product")
 def price_histogram(spark, sf_dir):
     return profiling.price_histogram(views.product(spark, sf_dir))

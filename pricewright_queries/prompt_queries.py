@@ -28,13 +28,13 @@ def summary_title(spark, sf_dir):
         "product_id", columns.summary_title(F.col("summary")).alias("title_head"))
 
 
-@query("p2_parse_summary", """
+@query("p2_parse_summary", r"""
     select product_id,
-      nullif(regexp_extract(summary, '(?m)^Title: (.*)$', 1), '') as title,
-      nullif(regexp_extract(summary, '(?m)^Category: (.*)$', 1), '') as category,
-      nullif(regexp_extract(summary, '(?m)^Brand: (.*)$', 1), '') as brand,
-      nullif(regexp_extract(summary, '(?m)^Description: (.*)$', 1), '') as description,
-      nullif(regexp_extract(summary, '(?m)^Details: (.*)$', 1), '') as details
+      nullif(regexp_extract(summary, '(?s)(?:^|\n)Title: (.*?)(?:\n(?:Title|Category|Brand|Description|Details): |\z)', 1), '') as title,
+      nullif(regexp_extract(summary, '(?s)(?:^|\n)Category: (.*?)(?:\n(?:Title|Category|Brand|Description|Details): |\z)', 1), '') as category,
+      nullif(regexp_extract(summary, '(?s)(?:^|\n)Brand: (.*?)(?:\n(?:Title|Category|Brand|Description|Details): |\z)', 1), '') as brand,
+      nullif(regexp_extract(summary, '(?s)(?:^|\n)Description: (.*?)(?:\n(?:Title|Category|Brand|Description|Details): |\z)', 1), '') as description,
+      nullif(regexp_extract(summary, '(?s)(?:^|\n)Details: (.*?)(?:\n(?:Title|Category|Brand|Description|Details): |\z)', 1), '') as details
     from summaries""", "summaries")
 def parse_summary(spark, sf_dir):
     return views.summaries(spark, sf_dir).select(
@@ -104,7 +104,7 @@ def truncation_report(spark, sf_dir):
 @query("p11_token_profile", """
     select count(*) as items, round(avg(n), 6) as mean_tokens, median(n)::double as median_tokens,
       round(quantile_cont(n, 0.95), 6) as p95_tokens, max(n) as max_tokens
-    from (select len(pieces) as n from tokenized where split = 'train' and pos < 5000)""", "tokenized")
+    from (select len(pieces) as n from tokenized where split = 'train')""", "tokenized")
 def token_profile(spark, sf_dir):
     return prompting.token_profile(views.prepared(spark, sf_dir)).withColumns({
         "mean_tokens": F.round("mean_tokens", 6), "p95_tokens": F.round("p95_tokens", 6)})
@@ -112,7 +112,7 @@ def token_profile(spark, sf_dir):
 
 @query("p12_cutoff_sweep", """
     select cutoff, round(100.0::double * count(*) filter (n > cutoff - 30) / count(*), 6) as truncated_pct, cutoff = 128 as chosen
-    from (select len(pieces) as n from tokenized where split = 'train' and pos < 5000),
+    from (select len(pieces) as n from tokenized where split = 'train'),
       (values (64), (96), (128), (160), (192), (256)) as c(cutoff) group by cutoff""", "tokenized")
 def cutoff_sweep(spark, sf_dir):
     return prompting.cutoff_sweep(views.prepared(spark, sf_dir)).withColumn(
@@ -122,14 +122,14 @@ def cutoff_sweep(spark, sf_dir):
 @query("p13_prompt_word_stats", f"""
     select count(*) as items, round(avg(n), 6) as mean_words, -quantile_disc(-n, 0.5) as median_words, max(n) as max_words
     from (select len(regexp_extract_all(prompt, '[^\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\p{{Z}}]+')) as n
-          from prompt where split = 'train' and pos < 5000)""", "prompt")
+          from prompt where split = 'train')""", "prompt")
 def prompt_word_stats(spark, sf_dir):
     return prompting.prompt_word_stats(views.prompts(spark, sf_dir)).withColumn(
         "mean_words", F.round("mean_words", 6))
 
 
 @query("p14_mask_answer", """
-    select product_id, split_part(prompt, 'Price is $', 1) || 'Price is $[MODEL GENERATES THIS]' as masked
+    select product_id, split_part(prompt, 'Price is $', 1) || 'Price is $[answer hidden]' as masked
     from prompt where split = 'train'""", "prompt")
 def mask_answer(spark, sf_dir):
     return views.prompts(spark, sf_dir).where("split = 'train'").select(

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from pricewright.operators import ranking, sampling, splitting
 from pricewright.plans.listings import split_listings
+from pricewright.session import stage
 
 from . import views
 from .registry import query
@@ -71,9 +72,14 @@ def shuffle_key(spark, sf_dir):
     return ranking.with_shuffle_key(events, "event_id")
 
 
-@query("d7_shuffle_rows", "select event_id, value from events")
+@query("d7_shuffle_rows", f"""
+    select event_id, value, row_number() over (order by {views.uniform_bits('event_id')}, event_id) - 1 as place from events""")
 def shuffle_rows(spark, sf_dir):
-    return ranking.shuffle_rows(views.table(spark, sf_dir, "events").select("event_id", "value"), "event_id")
+    """The rows with the places in which they come out."""
+    shuffled = ranking.shuffle_rows(views.table(spark, sf_dir, "events").select("event_id", "value"), "event_id")
+    told = stage(shuffled.withColumn("_out", F.monotonically_increasing_id()), "shuffled")
+    partition = F.shiftright("_out", 33)
+    return ranking.with_running_total(told, partition, [F.col("_out")], before="place", total="_n").drop("_out", "_n")
 
 
 @query("d8_row_position", f"""
@@ -132,6 +138,17 @@ def eval_price_range(spark, sf_dir):
     return sampling.eval_price_range(uniform_sample(spark, sf_dir).withColumnRenamed("value", "price"))
 
 
+@query("l1_split_whole_listings", """
+    select product_id, case when place < train_end then 'train' when place < val_end then 'val' else 'test' end as split,
+      place - case when place < train_end then 0 when place < val_end then train_end else val_end end as pos
+    from (select *, floor(n * 0.9756::double)::bigint as train_end, floor(n * 0.9878::double)::bigint as val_end
+      from (select product_id, row_number() over (order by bits, product_id) - 1 as place, count(*) over () as n from unique_product))""",
+    "unique_product")
+def split_whole_listings(spark, sf_dir):
+    """Without a sample size nothing is drawn, and no unique row is lost."""
+    return split_listings(views.raw_listing(spark, sf_dir), max_length=views.MAX_TEXT).select("product_id", "split", "pos")
+
+
 @query("l1_split_listings", f"""
     select p.product_id, p.title, p.category, p.price, p.text, p.weight, split, pos from (
       select product_id, case when place < train_end then 'train' when place < val_end then 'val' else 'test' end as split,
@@ -143,8 +160,9 @@ def eval_price_range(spark, sf_dir):
                   else 1.0::double end as w
               from (select *, (price - min(price) over ()) / ((max(price) over () - min(price) over ()) + 1e-9::double) as s
                 from unique_product)) where w > 0
-            order by -ln((bits + 0.5::double) / pow(2.0::double, 52)) / w, product_id limit 820000)))) s
+            order by -ln((bits + 0.5::double) / pow(2.0::double, 52)) / w, product_id limit 300)))) s
     join product p using (product_id)""", "unique_product product")
 def split_listings_query(spark, sf_dir):
-    return split_listings(views.raw_listing(spark, sf_dir)).select(
+    """Draws fewer rows than there are, so that the weights decide."""
+    return split_listings(views.raw_listing(spark, sf_dir), 300, max_length=views.MAX_TEXT).select(
         "product_id", "title", "category", "price", "text", "weight", "split", "pos")

@@ -47,9 +47,15 @@ def union_catalogs(spark, sf_dir):
 
 
 @query("s2_with_product_id", """
-    select row_number() over () - 1 as product_id from raw_listing""", "raw_listing")
+    select row_number() over (order by md5(to_json({
+        title: title, category: category, price: price, description: description, features: features, details: details}))) - 1 as product_id,
+      title, price, array_to_string(description, chr(10)) as description, features[1] as feature, details
+    from raw_listing""", "raw_listing")
 def with_product_id(spark, sf_dir):
-    return catalog.with_product_id(views.raw_listing(spark, sf_dir).drop("product_id")).select("product_id")
+    raw = views.raw_listing(spark, sf_dir).select("title", "category", "price", "description", "features", "details")
+    return catalog.with_product_id(raw).select(
+        "product_id", "title", "price", F.array_join("description", "\n").alias("description"),
+        F.get("features", F.lit(0)).alias("feature"), "details")
 
 
 @query("s3_describe_raw", """

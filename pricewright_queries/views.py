@@ -11,9 +11,11 @@ from pricewright.functions.prompts import format_summary
 from pricewright.operators.cleaning import clean_items, joined_list
 from pricewright.operators.prompting import build_prompts
 from pricewright.operators.splitting import split_dataset
-from pricewright.session import spread_small, stage
+from pricewright.session import stage, stage_generation
 
-_staged: dict[tuple[str, str, str], DataFrame] = {}
+MAX_TEXT = 4000
+
+_staged: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,13 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long texts, possibly in a single row group."""
-    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A view several queries start from: stored once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """A view several queries start from: stored once, until stages are dropped."""
+    key = (*stage_generation(spark), sf_dir, name)
     if key not in _staged:
         _staged[key] = stage(build(spark, sf_dir), name)
     return _staged[key]
@@ -65,7 +66,7 @@ def raw_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return once(spark, sf_dir, "product", lambda s, d: clean_items(raw_listing(s, d)))
+    return once(spark, sf_dir, "product", lambda s, d: clean_items(raw_listing(s, d), max_length=MAX_TEXT))
 
 
 def product_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +81,7 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.join(labels, "product_id", "left_semi").select(
         "product_id",
         format_summary(
-            F.col("title"), F.col("category"), brand, joined_list(raw, "description"), joined_list(raw, "features")
+            F.col("title"), F.col("category"), brand, joined_list(raw, "description", "\n"), joined_list(raw, "features")
         ).alias("summary"),
     )
 
@@ -220,7 +221,7 @@ _CTES = {
       case when title <> '' then 'Title: ' || title end,
       case when category <> '' then 'Category: ' || category end,
       case when json_extract_string(object, '$.Brand') <> '' then 'Brand: ' || json_extract_string(object, '$.Brand') end,
-      case when array_to_string(description, ' ') <> '' then 'Description: ' || array_to_string(description, ' ') end,
+      case when array_to_string(description, chr(10)) <> '' then 'Description: ' || array_to_string(description, chr(10)) end,
       case when array_to_string(features, ' ') <> '' then 'Details: ' || array_to_string(features, ' ') end) as summary
     from priced where product_id in (select doc_id from labels)"""),
     "prepared": (("product_split", "summaries"), """

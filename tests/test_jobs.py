@@ -1,6 +1,7 @@
 """Stores, plans, models and the stream, end to end on small tables."""
 
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -77,7 +78,7 @@ def test_ingest_resumes_and_isolates_failures(spark, sf, tmp_path):
 
     wanted = ["Appliances", "Electronics", "Automotive"]
     first = {r.category: r for r in catalog.ingest_missing(spark, load, path, wanted).collect()}
-    assert (first["Appliances"].status, first["Appliances"].error) == ("failed", "no such category")
+    assert (first["Appliances"].status, first["Appliances"].error) == ("failed", "OSError: no such category")
     assert first["Electronics"].status == "stored" and first["Electronics"].kept <= first["Electronics"].raw_rows
     again = {r.category: r.status for r in catalog.ingest_missing(spark, lambda c: raw.limit(3), path, wanted).collect()}
     assert again == {"Appliances": "stored", "Electronics": "already stored", "Automotive": "already stored"}
@@ -99,6 +100,37 @@ def test_listing_plan(spark, sf, tmp_path):
     assert sorted(map(key, moved.collect())) == sorted(map(key, rows))
 
 
+def test_jobs_leave_no_stages(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "stage_root", lambda spark: str(tmp_path / "shared"))
+    raw = stage(views.raw_listing(spark, sf), "raw")
+    held = [os.path.dirname(raw.inputFiles()[0].removeprefix("file://"))]
+    publish_listings(raw, str(tmp_path / "full"))
+    folder = os.path.dirname(held[0])
+    assert [os.path.join(folder, f) for f in os.listdir(folder)] == held
+    assert datasets.read_split(spark, str(tmp_path / "full")).count() > 80
+
+
+def test_a_session_without_a_shared_folder_is_warned_or_refused():
+    def fake(master):
+        context = SimpleNamespace(applicationId=f"app-{master}", master=master)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+    with pytest.warns(UserWarning, match="checkpoint.dir"):
+        session.stage_root(fake("local[2]"))
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        session.stage_root(fake("spark://host:7077"))
+
+
+def test_prompts_over_new_summaries(spark, sf, tmp_path):
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    datasets.write_splits(views.product_split(spark, sf), source)
+    publish_prompts(spark, source, target, views.summaries(spark, sf))
+    rows = {r.product_id: r for r in datasets.read_split(spark, target).collect()}
+    told = {r.product_id: r.summary for r in views.summaries(spark, sf).collect()}
+    assert len(rows) == views.product_split(spark, sf).count()
+    assert all(("Title: " in r.prompt) == (i in told) for i, r in rows.items())
+
+
 def test_prompt_plan(spark, sf, tmp_path):
     source, target = str(tmp_path / "source"), str(tmp_path / "target")
     datasets.write_splits(views.prepared(spark, sf), source)
@@ -112,6 +144,21 @@ def test_stop_words_are_sparks(spark):
     assert stop_words() == features.english_stop_words()
 
 
+def test_counting_words_moves_nothing(spark, sf):
+    tokenized = features.bow_tokens(views.prepared(spark, sf))
+    vocabulary = stage(features.bow_vocabulary(tokenized, 100), "vocabulary")
+    for df in (features.bow_counts(tokenized, vocabulary), features.bow_matrix_stats(tokenized, vocabulary)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all") == 1
+    assert "Exchange" not in features.bow_counts(tokenized, vocabulary)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reading_takes_all_categories(spark, sf, tmp_path):
+    raw = views.raw_listing(spark, sf).withColumn("category", F.when(F.col("product_id") < 5, "Unlisted").otherwise(F.col("category")))
+    catalog.write_catalog(raw, str(tmp_path / "catalog"))
+    assert catalog.read_catalogs(spark, str(tmp_path / "catalog")).count() == raw.count()
+
+
 def test_vectors_equal_counts(spark, sf):
     tokenized = features.bow_tokens(views.prepared(spark, sf)).cache()
     vocabulary = features.bow_vocabulary(tokenized, 300)
@@ -198,7 +245,7 @@ def test_ranking_of_pricers(spark, learned):
     df, terms = learned
     results = {r.model_name: r.mae for r in rank_pricers(
         [models.random_pricer(), models.constant_pricer(df), models.linear_bow(df, terms)], df).collect()}
-    assert results["Random Pricer"] > results["Constant Pricer (mean)"] > results["Linear Regression (BoW)"]
+    assert results["seeded guess"] > results["mean price"] > results["least squares on words"]
 
 
 def test_batch_predict_isolates_rows(spark):
@@ -211,8 +258,24 @@ def test_batch_predict_isolates_rows(spark):
         return predict
 
     df = spark.createDataFrame([(i, float(i if i % 5 else -1)) for i in range(50)], "id bigint, x double")
-    got = {r.id: r.predicted for r in models.batch_predict(df, "double", load, ["x"]).collect()}
-    assert got == {i: (i * 2.0 if i % 5 else 0.0) for i in range(50)}
+    wide = df.withColumn("text", F.lit("long"))
+    scored = models.batch_predict(wide, "double", load, ["x"])
+    assert scored.columns == ["id", "x", "text", "predicted", "predicted_failed"]
+    assert {r.id: (r.predicted, r.predicted_failed) for r in scored.collect()} == {i: (i * 2.0 if i % 5 else 0.0, i % 5 == 0) for i in range(50)}
+    # Only the inputs cross to Python.
+    assert "struct(x, x" in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_batch_predict_raises_what_is_no_failure_of_a_row(spark):
+    def load():
+        def predict(frame):
+            return frame["missing"]
+
+        return predict
+
+    df = spark.createDataFrame([(i, float(i)) for i in range(50)], "id bigint, x double").coalesce(1)
+    with pytest.raises(Exception, match="missing"):
+        models.batch_predict(df, "broken", load, ["x"]).collect()
 
 
 def test_stream_equals_batch_and_resumes(spark, sf, tmp_path):

@@ -43,8 +43,9 @@ def test_minimum_text(spark, length, kept):
 
 def test_text_is_cut_after_everything_else(spark):
     listing = raw(spark, title="B07XJ8C8F5", description=["y" * 5000])
-    row = cleaning.clean_items(listing).first()
+    row = cleaning.clean_items(listing, max_length=4000).first()
     assert row.text == " " + "y" * 3999
+    assert cleaning.clean_items(listing).first().text == " " + "y" * 5000 + " f {}"
 
 
 def test_reject_reasons_come_in_order(spark):
@@ -71,7 +72,9 @@ def test_cleaning_report_of_nothing(spark):
 
 def test_text_is_evaluated_once(spark):
     plan = cleaning.clean_items(raw(spark))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("{7}") == 1 and plan.count("Generate") == 1
+    assert plan.count("{7}") == 1 and plan.count("Generate") == 2
+    # The details are parsed for their text and for the weight in one place.
+    assert plan.count("from_json(ArrayType(MapType(") == 1
 
 
 # Ranking
@@ -95,6 +98,24 @@ def test_head_subset_is_exact(spark, count):
     assert got == set(sorted(range(3000), key=lambda i: (bits(i), i))[:count])
 
 
+@pytest.mark.parametrize("count", [5, 10, 999, 1000, 1001, 3000, 4000])
+def test_null_keys_come_first_at_every_count(spark, count):
+    ids = [None if i % 300 == 7 else i for i in range(3000)]
+    df = spark.createDataFrame([(i,) for i in ids], "product_id bigint")
+    got = [r.product_id for r in ranking.head_subset(df, count).collect()]
+    known = sorted((i for i in ids if i is not None), key=lambda i: (bits(i), i))
+    assert len(got) == min(count, 3000) and got.count(None) == min(count, 10)
+    assert {i for i in got if i is not None} == set(known[:max(0, count - 10)])
+
+
+def test_positions_keep_null_keys(spark):
+    df = spark.createDataFrame([(None if i < 10 else i,) for i in range(3000)], "product_id bigint")
+    rows = ranking.with_position(df).collect()
+    assert sorted(r.pos for r in rows) == list(range(3000))
+    assert {r.pos for r in rows if r.product_id is None} == set(range(10))
+    assert splitting.split_dataset(df).count() == 3000
+
+
 @pytest.mark.parametrize("values", [
     [1.0], [1.0, 2.0], [5.0] * 7, [3.0, -1.0, -1.0, 0.0], [1e-9, 1e9, -1e9, 0.5], [float(i % 17) for i in range(1000)],
 ])
@@ -141,6 +162,17 @@ def test_dedup_with_a_hot_title(spark):
     assert dedup.dedup_report(df).first().asDict() == {"before": 600, "after_title": after_title, "after_text": len(kept)}
 
 
+def test_missing_texts_are_no_copies(spark):
+    rows = [(i, f"t{i}", "c", 1, None) for i in range(5)] + [(5, "a", "c", 1, ""), (6, "b", "c", 1, ""), (7, "x", "c", 1, "same"), (8, "y", "c", 1, "same")]
+    df = products(spark, rows)
+    assert dedup.dedup_text(df).count() == dedup.dedup_title_then_text(df).count() == 7
+    assert dedup.dedup_report(df).first().after_text == 7
+    # With summaries these tell copies from each other.
+    told = df.withColumn("summary", F.when(F.col("product_id") < 2, "one summary").when(F.col("product_id") == 7, "another"))
+    assert {r.product_id for r in dedup.dedup_text(told).collect()} >= {2, 3, 4, 7, 8}
+    assert dedup.dedup_text(told).count() == 7
+
+
 # Sampling
 
 def catalogue(spark, n=4000):
@@ -181,6 +213,17 @@ def test_equal_prices_leave_nothing_to_draw(spark):
     assert sampling.weighted_sample(df.limit(1), 5).count() == 0
 
 
+def test_a_draw_scans_its_table_few_times(spark, tmp_path):
+    _, df = catalogue(spark, 200)
+    df.write.parquet(str(tmp_path / "stored"))
+    drawn = sampling.weighted_sample(spark.read.parquet(str(tmp_path / "stored")), 50)
+    plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+    drawn.collect()
+    executed = drawn._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("scalar-subquery") < 40
+    assert executed.split("== Initial Plan ==")[0].count("Scan parquet") <= 12
+
+
 def test_multipliers_as_table(spark):
     _, df = catalogue(spark, 200)
     table = spark.createDataFrame(list(CATEGORY_MULTIPLIERS.items()), "category string, multiplier double")
@@ -231,6 +274,18 @@ def test_build_prompts(spark):
     assert (report["test"].truncated_pct, report["test"].high, report["val"].high) == (100.0, True, False)
 
 
+def test_word_stats_count_once_over_all_train_rows(spark):
+    lengths = [3, 1, 4, 1, 5, 9, 2, 6]
+    rows = [("train", 10_000 + i, "w " * n) for i, n in enumerate(lengths)] + [("val", 0, "w " * 99)]
+    df = spark.createDataFrame(rows, "split string, pos bigint, prompt string")
+    stats = prompting.prompt_word_stats(df)
+    assert stats.first().asDict() == {"items": 8, "mean_words": sum(lengths) / 8, "median_words": sorted(lengths)[4], "max_words": 9}
+    assert stats._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+    assert prompting.prompt_word_stats(df.where("false")).first().asDict() == {"items": 0, "mean_words": None, "median_words": None, "max_words": None}
+    bodies = spark.createDataFrame([("train", 90_000 + i, None, "a " * n) for i, n in enumerate(lengths)], "split string, pos bigint, summary string, text string")
+    assert prompting.token_profile(bodies).first()["items"] == 8 and prompting.token_profile(bodies).first().max_tokens == 9
+
+
 # Evaluation
 
 def outputs(spark):
@@ -242,12 +297,13 @@ def outputs(spark):
 def test_every_model_meets_the_same_items(spark, size):
     rows, df = outputs(spark)
     chosen = set(sorted(range(500), key=lambda i: (bits(i), i))[:size])
-    result = {r.model_name: r for r in evaluation.evaluate_models(df, sample_size=size, with_arrays=True).collect()}
+    result = {r.model_name: r for r in evaluation.evaluate_models(df, sample_size=size).collect()}
+    scored = evaluation.score(evaluation.sampled_outputs(df, sample_size=size)).orderBy("item_id").collect()
     for model in "abc":
         errors = [abs(float(o[1:]) - a) for i, m, o, a in sorted(rows) if m == model and i in chosen]
         assert result[model].sample_size == len(errors) == min(size, 500)
         assert result[model].mae == pytest.approx(sum(errors) / len(errors))
-        assert result[model].errors == pytest.approx(errors)
+        assert [r.abs_error for r in scored if r.model_name == model] == pytest.approx(errors)
 
 
 def test_leaderboard(spark):
@@ -278,8 +334,11 @@ def test_weighted_ensemble_with_a_table(spark):
 def test_price_bins(spark):
     prices = [0.0, 19.99, 20.0, 979.99, 980.0, 980.01, 999.0]
     df = spark.createDataFrame([(p,) for p in prices], "price double")
-    bins = {r.bin: r.items for r in profiling.price_histogram(df).collect()}
-    assert len(bins) == 49 and bins[0] == 2 and bins[1] == 1 and bins[48] == 2 and sum(bins.values()) == 5
+    rows = profiling.price_histogram(df.unionByName(spark.createDataFrame([(None,), (-1.0,), (float("nan"),)], "price double"))).collect()
+    bins = {r.bin: r.items for r in rows}
+    assert len(bins) == 50 and bins[0] == 2 and bins[1] == 1 and bins[48] == 2
+    assert bins[49] == 5 and sum(bins.values()) == len(prices) + 3
+    assert [(r.low, r.high) for r in rows if r.bin == 49] == [(980, None)]
 
 
 @pytest.mark.parametrize("values", [[5] * 9, [0, 50], list(range(51)), [3, 4, 4, 9, 27, 100, 101], [0.1 * i for i in range(77)]])
