@@ -9,9 +9,9 @@ from pricewright.session import stage_generation
 
 from . import views
 from .registry import query
-from .words import stop_words
+from .words import STOP_WORDS
 
-STOP_LIST = ", ".join("'" + word.replace("'", "''") + "'" for word in stop_words())
+STOP_LIST = STOP_WORDS  # filled in when the SQL is asked for
 _TOKENS = f"""
     select product_id, split, w as term from (
       select product_id, split, unnest(regexp_extract_all(lower(body), '[{views.WORD}]{{2,}}')) as w from tokenized)
@@ -43,7 +43,7 @@ def _train(spark, sf_dir):
 
 
 def _tokenized(spark, sf_dir):
-    return features.bow_tokens(views.prepared(spark, sf_dir), stop_words())
+    return features.bow_tokens(views.prepared(spark, sf_dir))
 
 
 def _vocabulary(spark, sf_dir):
