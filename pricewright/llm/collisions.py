@@ -51,51 +51,52 @@ def nearest_in_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray
     axes = np.random.default_rng([seed, dim]).normal(size=(dim + 1, projections))
     lift = np.sqrt(np.maximum(longest**2 - (vectors**2).sum(axis=1), 0.0))
     placed = vectors @ axes[:dim] + lift[:, None] * axes[dim]
-    order = np.argsort(placed, axis=0, kind="stable").T.astype(np.int32).copy()
+    order = np.ascontiguousarray(np.argsort(placed, axis=0, kind="stable").T)
     values = np.take_along_axis(placed.T, order, axis=1)
     centres = queries @ axes[:dim]
+    middles = np.stack([v.searchsorted(c) for v, c in zip(values, centres.T)], axis=1)
     factor, results = reach(projections, threshold, caught), []
     widest = max(abs(values[:, 0]).max(), abs(values[:, -1]).max()) if n else 0.0
-    for query_id, query, centre in zip(query_ids.tolist(), queries, centres):
+    # Candidates are checked in single precision first, and those that may be among the best again in double.
+    rough = vectors.astype(np.float32)
+    for query_id, query, centre, middle in zip(query_ids.tolist(), queries, centres, middles):
         square = float((query**2).sum())
-        counts = np.zeros(n, np.int32)
+        slack = 1e-5 * longest * sqrt(square)
+        rough_query = query.astype(np.float32)
+        counts = np.zeros(n, np.int64)
         verified = ids == query_id
-        scores = np.full(n, -np.inf)
-        left = np.array([np.searchsorted(v, c) for v, c in zip(values, centre)])
-        right = left.copy()
+        scores = np.full(n, -np.inf, np.float32)
+        left, right = middle.tolist(), middle.tolist()
         width = factor * 0.25 * sqrt(longest**2 + square)
         found = 0
         while True:
             parts = []
-            for j in range(projections):
-                low, high = values[j].searchsorted(centre[j] - width), values[j].searchsorted(centre[j] + width, "right")
-                if low < left[j]:
-                    parts.append(order[j, low:left[j]])
-                    left[j] = low
-                if high > right[j]:
-                    parts.append(order[j, right[j]:high])
-                    right[j] = high
-            if parts:
-                counts += np.bincount(np.concatenate(parts), minlength=n).astype(np.int32)
+            for j, (row, at) in enumerate(zip(values, centre.tolist())):
+                low, high = row.searchsorted((at - width, at + width)).tolist()
+                parts += [order[j, low:left[j]], order[j, right[j]:high]]
+                left[j], right[j] = low, high
+            counts += np.bincount(np.concatenate(parts), minlength=n)
             new = np.flatnonzero((counts >= threshold) & ~verified)
-            if len(new):
-                # Row sums, not a matrix product: equal vectors must get equal scores.
-                scores[new] = (vectors[new] * query).sum(axis=1)
-                verified[new] = True
-                found += len(new)
-            if width >= widest + np.abs(centre).max():
+            scores[new] = rough[new] @ rough_query
+            verified[new] = True
+            found += len(new)
+            if width > widest + np.abs(centre).max():
                 break
             grown = width * GROWTH
             if found >= k:
-                kth = np.partition(scores, n - k)[n - k]
+                kth = float(np.partition(scores, n - k)[n - k]) - slack
                 enough = factor * sqrt(max(longest**2 + square - 2 * kth, 0.0))
                 if width >= enough:
                     break
                 grown = min(grown, enough)
             width = grown
-        hits = np.flatnonzero(scores > -np.inf)
-        best = hits[np.lexsort((ids[hits], -scores[hits]))[:k]]
-        results.append((best, scores[best]))
+        best = np.flatnonzero(scores > -np.inf)
+        if found > k:
+            best = np.flatnonzero(scores >= float(np.partition(scores, n - k)[n - k]) - 2 * slack)
+        # Sums row by row, not a matrix product: equal vectors must get equal scores.
+        exact = np.einsum("ij,j->i", vectors[best], query)
+        first = np.lexsort((ids[best], -exact))[:k]
+        results.append((best[first], exact[first]))
     return results
 
 
