@@ -8,6 +8,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pricewright.operators.barrier import with_once
+
 from .base import WORD, pieces_of, stage
 
 #: Multipliers of the affine steps: primes, of which one at least divides no number below 2**43.
@@ -31,24 +33,20 @@ def permuted(df: DataFrame, index: str, size: str, salt: list, out: str) -> Data
     on the numbers below the largest power of two in ``size``; each maps
     0..size-1 onto itself, so no index is lost or met twice.
     """
-    n = F.col(size)
-    df = df.withColumn("_x", F.col(index)).withColumn("_k", F.length(F.bin(n)) - 1)
-    df = df.withColumn("_half", F.floor(F.col("_k") / 2).cast("int"))
+    n, x, half = F.col(size), F.col("_x"), F.col("_half")
     first, second, third = (F.lit(p).cast("long") for p in PRIMES)
     step = F.when(n % first != 0, first).when(n % second != 0, second).otherwise(third)
+    bits = F.length(F.bin(n)) - 1
+    df = with_once(df, _x=F.col(index), _k=bits, _half=F.floor(bits / 2).cast("int"), _step=step)
+    power = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_k"))
+    # Each step is computed once per row; nested, they would repeat each other many times over.
     for turn in range(2):
-        df = df.withColumn("_x", (F.col("_x") * step + F.pmod(_mixed(n, turn, *salt), n)) % n)
-        df = df.withColumn("_low", F.col("_x").bitwiseAND(_ones(F.col("_half"))))
-        df = df.withColumn("_high", F.call_function("shiftright", F.col("_x"), F.col("_half")))
-        df = df.withColumn("_high2", F.col("_high").bitwiseXOR(
-            _mixed(F.col("_low"), turn, 1, *salt).bitwiseAND(_ones(F.col("_k") - F.col("_half")))))
-        df = df.withColumn("_low2", F.col("_low").bitwiseXOR(
-            _mixed(F.col("_high2"), turn, 2, *salt).bitwiseAND(_ones(F.col("_half")))))
-        inside = F.col("_x") < F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_k"))
-        df = df.withColumn("_x", F.when(
-            inside, F.call_function("shiftleft", F.col("_high2"), F.col("_half")).bitwiseOR(F.col("_low2"))
-        ).otherwise(F.col("_x")))
-    return df.withColumn(out, F.col("_x")).drop("_x", "_k", "_half", "_low", "_high", "_high2", "_low2")
+        df = with_once(df, _x=(x * F.col("_step") + F.pmod(_mixed(n, turn, *salt), n)) % n)
+        low, high = x.bitwiseAND(_ones(half)), F.call_function("shiftright", x, half)
+        df = with_once(df, _low=low, _high=high.bitwiseXOR(_mixed(low, turn, 1, *salt).bitwiseAND(_ones(F.col("_k") - half))))
+        low = F.col("_low").bitwiseXOR(_mixed(F.col("_high"), turn, 2, *salt).bitwiseAND(_ones(half)))
+        df = with_once(df, _x=F.when(x < power, F.call_function("shiftleft", F.col("_high"), half).bitwiseOR(low)).otherwise(x))
+    return df.withColumn(out, x).drop("_x", "_k", "_half", "_step", "_low", "_high")
 
 
 def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
