@@ -13,10 +13,10 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .base import fresh, pieces_of, ship_package, stage
+from .base import pieces_of, ship_package, stage
+from .phrase_index import _small
 
 WINDOW = 50
 PHRASE = 8
@@ -24,7 +24,8 @@ SHARD_BYTES = 2 << 20
 #: Odd multipliers of the two rolling hashes, and how many words a worker remembers.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 REMEMBERED = 300_000
-AT_ONCE = 1 << 14
+AT_ONCE = 1 << 18
+PLACE_BITS = np.uint64((1 << 24) - 1)
 
 
 class _Hashes(dict):
@@ -75,15 +76,35 @@ def named_phrases(hashes: np.ndarray, window: int, phrase: int):
     for i in range(1, phrase):
         grams = grams * np.uint64(BASES[0]) + hashes[i:count + i]
     grams = _scatter(grams)
-    width = window - phrase + 1
-    views = sliding_window_view(grams, width)
-    least = np.concatenate([views[i:i + AT_ONCE].argmin(axis=1) for i in range(0, len(views), AT_ONCE)])
-    places = least + np.arange(len(views))
+    width, windows = window - phrase + 1, len(hashes) - window + 1
+    places = np.concatenate([i + _least_places(grams[i:i + AT_ONCE + width - 1], width) for i in range(0, windows, AT_ONCE)])
     first = np.concatenate(([0], np.flatnonzero(np.diff(places)) + 1))
-    last = np.concatenate((first[1:] - 1, [len(views) - 1]))
+    last = np.concatenate((first[1:] - 1, [windows - 1]))
     return places[first], grams[places[first]], first, last
 
 
+def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
+    """For every run of ``width`` hashes the place of the smallest by its upper bits, the first of equals.
+
+    Minima of the run's two halves, from running minima of blocks of ``width`` in both directions; the
+    lower bits hold the place.
+    """
+    keys = (hashes & ~PLACE_BITS) | np.arange(len(hashes), dtype=np.uint64)
+    blocks = np.full(-(-len(keys) // width) * width, np.iinfo(np.uint64).max)
+    blocks[:len(keys)] = keys
+    blocks = blocks.reshape(-1, width)
+    forward = np.minimum.accumulate(blocks, axis=1).ravel()
+    backward = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    count = len(keys) - width + 1
+    least = np.minimum(backward[:count], forward[width - 1:width - 1 + count])
+    return (least & PLACE_BITS).astype(np.int64)
+
+
+def _span_names(hashes: np.ndarray, places: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of all words under the windows that name a phrase, with their number and where it stands in them."""
+    return _scatter(hashes ^ _scatter((last - first).astype(np.uint64) * np.uint64(1 << 20) + (places - first).astype(np.uint64)))
+
+
 def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.asarray(values, np.uint64).view(np.int64))
 
@@ -100,9 +121,8 @@ def _phrases_of_texts(window: int, phrase: int):
                     continue
                 hashes = known.of(words)
                 places, names, first, last = named_phrases(hashes, window, phrase)
-                span = _scatter(rolling.spans(rolling.sums(hashes), first, last + window) ^ _scatter((last - first).astype(np.uint64) * np.uint64(1 << 20) + (places - first).astype(np.uint64)))
                 out["phrase"].append(names)
-                out["span"].append(span)
+                out["span"].append(_span_names(rolling.spans(rolling.sums(hashes), first, last + window), places, first, last))
                 out["row"].append(np.full(len(places), row))
             if out["row"]:
                 row = pa.array(np.concatenate(out["row"]))
@@ -119,9 +139,11 @@ def _stream(window: int, phrase: int):
     """For a shard: its texts, streamed through the automaton of the recurring phrases it holds."""
 
     def run(texts: pa.Table, recurring: pa.Table) -> pa.Table:
-        wanted = dict(zip(recurring["phrase"].to_pylist(), zip(recurring["first"].to_pylist(), recurring["mixed"].to_pylist())))
+        keys = zip(recurring["phrase"].to_pylist(), recurring["span"].to_pylist())
+        wanted = dict(zip(keys, zip(recurring["first"].to_pylist(), recurring["mixed"].to_pylist())))
         if not wanted or not len(texts):
             return SPANS.empty_table()
+        phrases = {name for name, _ in wanted}
         known = [_Hashes(1), _Hashes(2)]
         rolling = [_Rolling(b) for b in BASES]
         automaton, held = ahocorasick.Automaton(), []
@@ -133,34 +155,35 @@ def _stream(window: int, phrase: int):
             places, names, first, last = named_phrases(hashes, window, phrase)
             names = names.view(np.int64)
             for place, name in zip(places.tolist(), names.tolist()):
-                if name in wanted:
+                if name in phrases:
                     text_of = (b" %b " % b" ".join(words[place:place + phrase])).decode("latin-1")
                     automaton.add_word(text_of, (name, len(text_of)))
-            held.append((doc, key, words, hashes, places, first, last))
+            held.append((doc, key, words, hashes, names, places, first, last))
         if not len(automaton):
             return SPANS.empty_table()
         automaton.make_automaton()
         tables = []
-        for doc, key, words, hashes, places, first, last in held:
+        for doc, key, words, hashes, names, places, first, last in held:
             stream = (b" %b " % b" ".join(words)).decode("latin-1")
-            hits = [(end - size + 1, name) for end, (name, size) in automaton.iter(stream)]
+            hits = [end - size + 1 for end, (_, size) in automaton.iter(stream)]
             if not hits:
                 continue
             opens = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)))
-            found = np.searchsorted(opens, np.array([h[0] for h in hits]))
+            found = np.searchsorted(opens, np.array(hits))
             # Phrases found where no window names them say nothing about a window.
-            at, which, into = np.intersect1d(places, found, return_indices=True)
-            facts = [wanted[hits[i][1]] for i in into.tolist()]
-            earliest = np.array([f[0] for f in facts], np.int64)
-            mixed = np.array([f[1] for f in facts], bool)
+            which = np.flatnonzero(np.isin(places, found))
             low, high = first[which], last[which]
-            sure = ~mixed & (earliest < doc)
+            sums = rolling[0].sums(hashes)
+            spans = _span_names(rolling[0].spans(sums, low, high + window), places[which], low, high).view(np.int64)
+            facts = [wanted[pair] for pair in zip(names[which].tolist(), spans.tolist())]
+            # The whole span stands in an earlier document: then all its windows do.
+            sure = np.array([f[0] < doc for f in facts], bool)
+            open_ = np.array([f[1] for f in facts], bool) & ~sure
             parts = [(low[sure], high[sure] + window, None, None)]
-            if mixed.any():
-                runs = [np.arange(a, b + 1) for a, b in zip(low[mixed].tolist(), high[mixed].tolist())]
-                starts = np.concatenate(runs)
-                other = known[1].of(words)
-                keys = [_signed(_scatter(r.spans(r.sums(h), starts, starts + window))) for r, h in zip(rolling, (hashes, other))]
+            if open_.any():
+                starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(low[open_].tolist(), high[open_].tolist())])
+                other = rolling[1].sums(known[1].of(words))
+                keys = [_signed(_scatter(r.spans(c, starts, starts + window))) for r, c in zip(rolling, (sums, other))]
                 parts.append((starts, starts + window, *keys))
             for start, stop, a, b in parts:
                 n = len(start)
@@ -187,10 +210,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.col("text").cast("binary").alias("text")
 
     narrow = rows.select("doc", "shard", text)
-    named = stage(narrow.mapInArrow(_phrases_of_texts(window, phrase), "phrase long, span long, doc long, shard long"), "named-phrases")
-    recurring = named.groupBy("phrase").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), (F.min("span") != F.max("span")).alias("mixed"))
-    recurring = stage(recurring.where("first < last").drop("last"), "recurring-phrases")
-    wanted = named.select("phrase", "shard").join(recurring, "phrase").groupBy("shard", "phrase").agg(F.min("first").alias("first"), F.max("mixed").alias("mixed"))
+    named = narrow.mapInArrow(_phrases_of_texts(window, phrase), "phrase long, span long, doc long, shard long")
+    # Once per shard first: however many documents hold a span, it has no more rows than there are shards.
+    named = stage(named.groupBy("phrase", "span", "shard").agg(F.min("doc").alias("first"), F.max("doc").alias("last")), "named-phrases")
+    recurring = named.groupBy("phrase").agg(F.min("first").alias("least"), F.max("last").alias("most"), (F.min("span") != F.max("span")).alias("mixed"))
+    recurring = stage(recurring.where("least < most").select("phrase", "mixed"), "recurring-phrases")
+    # Of a span the first document is known at once; windows are compared only where one phrase stands in different spans.
+    held = stage(named.select("phrase", "span", "shard", "first").join(recurring, "phrase"), "recurring-spans")
+    firsts = stage(held.groupBy("phrase", "span").agg(F.min("first").alias("first")), "first-spans")
+    wanted = held.drop("first").join(firsts, ["phrase", "span"])
 
     streamed = rows.select("shard", "doc", "text_key", text).groupBy("shard").cogroup(wanted.groupBy("shard"))
     spans = stage(streamed.applyInArrow(_stream(window, phrase), "doc long, text_key long, start int, stop int, a long, b long"), "spans")
@@ -222,6 +250,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=[*batch.schema.names[:-2], "n_words", "n_removed", "_kept"])
 
 
+def _merged(spans: Column) -> Column:
+    """Sorted spans with those that touch or overlap made one."""
+    nothing = F.array().cast("array<struct<start:int,stop:int>>")
+    return F.aggregate(spans, nothing, lambda done, s: F.when(
+        (F.size(done) > 0) & (F.get(done, F.size(done) - 1)["stop"] >= s["start"]),
+        F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
+            F.get(done, F.size(done) - 1)["start"].alias("start"), F.greatest(F.get(done, F.size(done) - 1)["stop"], s["stop"]).alias("stop")))),
+    ).otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["stop"].alias("stop"))))))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed and kept, the words that stay, joined by one space.
 
@@ -231,7 +269,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lose every word if they hold a window at all.
     """
     spans = repeated_spans(docs, id_col, text_col, window, phrase)
-    spans = spans.groupBy("doc", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
+    spans = spans.groupBy("doc", "text_key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("_all"))
+    spans = stage(spans.select("doc", "text_key", _merged(F.col("_all")).alias("_spans")), "removed-spans")
+    spans = _small(spans, F.size("_spans") * 8 + 40)
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("text_key"), text.cast("binary").alias("_text"))
     rows = rows.join(spans, ["doc", "text_key"], "left").select("doc_id", "_text", "_spans")
