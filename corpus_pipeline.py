@@ -22,8 +22,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group."""
-    return keep_one_of_each(docs)
+    """One document of each group that SimHash or four fifths of common 5-word shingles link."""
+    return keep_one_of_each(docs, alike=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .base import fresh, ship_package, stage
 from .components import components
+from .shingles import alike_roots
 
 SEED = 42
 SHINGLE = 3
@@ -103,17 +104,25 @@ def near_pairs(prints: DataFrame, fp: str = "fp", crowded: int = 64) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    crowded: int = 64, extra: list[Column] | None = None) -> DataFrame:
+                    crowded: int = 64, extra: list[Column] | None = None, alike: bool = False) -> DataFrame:
     """Per row of ``docs``: ``_id``, ``_fp`` (signed), ``_group`` and ``_low``, the smallest id of the group.
 
+    With ``alike`` texts that share four fifths of their 5-word shingles are linked too, however far apart their fingerprints are.
     Null texts and texts without words have fingerprint 0 and are linked like others.
     Rows with equal ids are rows of their own; a null id never is a smallest id unless its group has no other.
     """
     extra = extra or []
     ids = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *extra)
-    rows = stage(with_fingerprint(ids, "_text", "_fp", [c for c in ids.columns if c != "_text"], shingle), "fingerprints")
+    own = [c for c in ids.columns if c != "_text"]
+    if alike:
+        rows = with_fingerprint(ids.withColumn("_again", F.col("_text").cast("binary")), "_text", "_fp", [*own, "_again"], shingle)
+        rows = stage(rows, "fingerprinted-texts")
+        texts, rows = rows.select(F.col("_fp").alias("_node"), F.col("_again").alias("_text")), rows.drop("_again")
+    else:
+        rows = stage(with_fingerprint(ids, "_text", "_fp", own, shingle), "fingerprints")
     prints = stage(rows.groupBy(F.col("_fp").alias("fp")).agg(F.min("_id").alias("low")), "distinct-fingerprints")
-    roots = components(near_pairs(prints, crowded=crowded))
+    pairs = near_pairs(prints, crowded=crowded)
+    roots = alike_roots(texts, pairs) if alike else components(pairs)
     grouped = stage(prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
     lows = stage(grouped.groupBy("root").agg(F.min("low").alias("_low")), "lows")
     groups = stage(grouped.join(lows, "root").select(F.col("fp").alias("_fp"), F.col("root").alias("_group"), "_low"), "groups")

@@ -156,3 +156,42 @@ def test_repeated_queries(spark):
     rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [1.0, 1.0])]
     got = [(r.query_id, r.vec_id) for r in collisions.nearest(vectors(spark, rows)).collect()]
     assert got == [(20, 1)]
+
+
+def brute_alike(text, other):
+    a, b = ({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if (w := t.encode().lower().split()) else set() for t in (text, other))
+    return bool(a and b) and len(a & b) >= 0.8 * len(a | b)
+
+
+def variants():
+    """Copies with one to eight words changed, chains of them, and texts of their own."""
+    draw, rows = random.Random(11), []
+    for base in range(12):
+        own = [f"w{draw.randrange(5000)}" for _ in range(draw.randint(60, 300))]
+        for k in range(6):
+            if k % 3 == 2:
+                own = list(own)
+                own[draw.randrange(len(own))] = f"chain{base}x{k}"
+            copy = list(own)
+            for _ in range(k * 2 % 9):
+                copy[draw.randrange(len(copy))] = f"new{base}x{draw.randrange(10 ** 6)}"
+            rows.append((100 * base + k, " ".join(copy), "en", "a"))
+    return rows
+
+
+def test_keep_one_of_texts_alike(spark):
+    rows = variants()
+    by = dict(r[:2] for r in rows)
+    prints = {i: brute_print(t) for i, t in by.items()}
+    linked = [(a, b) for a in by for b in by if a < b and ((prints[a] ^ prints[b]).bit_count() <= 2 or brute_alike(by[a], by[b]))]
+    far = [(a, b) for a, b in linked if (prints[a] ^ prints[b]).bit_count() > 2]
+    assert len(far) > 20
+    want = set(roots_of(sorted(by), linked).values())
+    got = {r.doc_id for r in simhash.keep_one_of_each(documents(spark, rows), alike=True).collect()}
+    assert got == want and len({r.doc_id for r in simhash.keep_one_of_each(documents(spark, rows)).collect()}) > len(want)
+
+
+def test_alike_bears_messy_rows(spark):
+    got = simhash.keep_one_of_each(documents(spark), alike=True)
+    assert got.columns == documents(spark).columns and 0 < got.count() <= simhash.keep_one_of_each(documents(spark)).count()
+    assert simhash.keep_one_of_each(documents(spark, []), alike=True).count() == 0
