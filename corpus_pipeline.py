@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricewright.llm.base import read_table, stage
-from pricewright.llm.line_chunks import remove_repeated_chunks
+from pricewright.llm.line_chunks import remove_repeated_runs
 from pricewright.llm.mixing import mix_documents
 from pricewright.llm.phrase_index import drop_contaminated
 from pricewright.llm.simhash import keep_one_of_each
@@ -16,8 +16,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the line chunks that stand earlier; n_chars follows the text."""
-    cut = remove_repeated_chunks(docs)
+    """The documents without the runs of lines that stand earlier; n_chars follows the text."""
+    cut = remove_repeated_runs(docs)
     return cut.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
 
 

@@ -101,6 +101,64 @@ def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return whole.union(cut)
 
 
+def _pair_text(i: Column) -> Column:
+    return F.concat_ws("\n", F.get("_lines", i), F.get("_lines", i + 1))
+
+
+def _pairs(rows: DataFrame, made: Column, at: Column) -> DataFrame:
+    """Add ``made``, computed once per row from its ``_lines``, exploded to ``at``; long texts are not copied along."""
+    return with_once(rows, _made=made).select(*KEY, F.explode("_made").alias("_one")).select(*KEY, at)
+
+
+def repeated_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (_doc, _key, idx) of the lines that, with the line behind, are not all blank and stand earlier too.
+
+    Earlier is meant as in ``repeated_chunks``, with the number of the line as the last of the order. Bytes are compared with those of the first pair.
+    """
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("_doc"), F.xxhash64(text).alias("_key"), text.alias("_text")).where("_text is not null")
+    lined = with_once(rows, _lines=F.split(F.col("_text"), "\n", -1)).where(F.size("_lines") >= LEAST_LINES).drop("_text")
+    lined = with_once(lined, _blank=F.transform("_lines", lambda x: F.trim(F.regexp_replace(x, "\\s+", " ")) == ""))
+    told = F.filter(F.sequence(F.lit(0), F.size("_lines") - 2), lambda i: ~(F.get("_blank", i) & F.get("_blank", i + 1)))
+    told = F.transform(told, lambda i: F.struct(i.alias("idx"), F.xxhash64(_pair_text(i)).alias("hash"), F.octet_length(_pair_text(i)).alias("octets")))
+    filed = stage(_pairs(lined, told, F.col("_one.*")), "line-pairs")
+
+    place = F.struct(F.col("_doc").isNull().alias("none"), *KEY, "idx")
+    firsts = filed.groupBy("hash", "octets").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").drop("last")
+    met = filed.join(stage(firsts, "first-pairs"), ["hash", "octets"])
+    asked = met.select(*KEY, F.struct("idx", "hash", "octets", (place == F.col("first")).alias("first")).alias("ask")).distinct()
+    asked = _small(stage(asked.groupBy(*KEY).agg(F.collect_list("ask").alias("_asked")), "asked-pairs"), F.size("_asked") * 24 + 16)
+
+    again = rows.join(asked, [rows[c].eqNullSafe(asked[c]) for c in KEY]).select(rows["_doc"], rows["_key"], "_text", "_asked").dropDuplicates(KEY)
+    again = with_once(again, _lines=F.split(F.col("_text"), "\n", -1)).drop("_text")
+    answers = F.transform("_asked", lambda x: F.struct(x["idx"].alias("idx"), x["hash"].alias("hash"), x["octets"].alias("octets"), x["first"].alias("first"), _pair_text(x["idx"]).alias("pair")))
+    texts = stage(_pairs(again, answers, F.col("_one.*")), "pair-texts")
+    first = texts.where("first").select("hash", "octets", F.col("pair").alias("same"))
+    return texts.where("not first").join(first, ["hash", "octets"]).where("pair = same").select(*KEY, "idx")
+
+
+def remove_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without every run of two or more lines, not all blank, that stands earlier.
+
+    Chunks end where two lines say so, and what a repeated passage has in shorter chunks or at its edges stays. Here all pairs of neighbouring
+    lines are compared, so a repeated run goes whole, wherever chunks end; blank lines between two removed ones go along.
+    Of every line that goes an earlier one stays. Other texts stay as they are to the byte.
+    """
+    gone = repeated_pairs(docs, id_col, text_col).groupBy(*KEY).agg(F.collect_set("idx").alias("_gone"))
+    gone = _small(stage(gone, "removed-pairs"), F.size("_gone") * 8 + 16)
+    text = F.col(text_col).cast("string")
+    own = {c: f"_own{i}" for i, c in enumerate(docs.columns)}
+    keyed = docs.select(*[F.col(c).alias(name) for c, name in own.items()], F.col(id_col).alias("_id"), text.alias("_text"), F.xxhash64(text).alias("_hash"))
+    rows = keyed.join(gone, keyed["_id"].eqNullSafe(gone["_doc"]) & (keyed["_hash"] == gone["_key"]), "left").select(*own.values(), "_text", "_gone")
+
+    touched = with_once(rows.where("_gone is not null"), _lines=F.split(F.col("_text"), "\n", -1))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.concat("_gone", F.transform("_gone", lambda i: i + 1)))
+    touched = with_once(touched, _left=left)
+    kept = F.array_join(F.transform("_left", lambda i: F.get("_lines", i)), "\n")
+    whole = rows.where("_gone is null").select(*[F.col(name).alias(c) for c, name in own.items()])
+    return whole.union(touched.select(*[(kept if c == text_col else F.col(name)).alias(c) for c, name in own.items()]))
+
+
 def chunk_digests(docs: DataFrame) -> DataFrame:
     """Per row of documents: doc_id, n_lines, n_removed and the SHA-256 of what is left (null: empty)."""
     rows = remove_repeated_chunks(docs.select("doc_id", "text"), counts=True)

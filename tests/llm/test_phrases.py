@@ -186,3 +186,38 @@ def test_line_chunks_beyond_the_broadcast_bound(spark, monkeypatch):
 
 def test_line_chunks_of_nothing(spark):
     assert line_chunks.chunk_digests(documents(spark, [])).count() == 0
+
+
+def brute_runs(docs):
+    """(doc_id, kept text): every pair of lines, not all blank, that stands earlier goes."""
+    first, out = {}, []
+    for doc_id, text, *_ in sorted(docs, key=lambda r: (r[0] is None, r[0] or 0)):
+        lines = None if text is None else text.split("\n")
+        gone = set()
+        for i, pair in enumerate(zip(lines or [], (lines or [])[1:])):
+            place = first.setdefault(pair, (doc_id, text, i))
+            if "".join(pair).strip() and place != (doc_id, text, i):
+                gone |= {i, i + 1}
+        out.append((doc_id, None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone)))
+    return Counter(out)
+
+
+def test_repeated_runs_go_whole(spark):
+    passage = prose(60, 200)
+    rows = [(1, prose(61, 50) + "\n" + passage + "\n" + prose(62, 40), "en", "a"), (2, passage, "en", "a"), (3, "own head\n" + passage + "\nown tail", "en", "a"),
+            (4, passage.split("\n")[3] + "\nown", "en", "a"), (5, "a\n\n\n\nb", "en", "a"), (6, "a\n\n\n\nb\nc", "en", "a")]
+    got = {r.doc_id: r.text for r in line_chunks.remove_repeated_runs(documents(spark, rows)).collect()}
+    assert got[1] == rows[0][1] and got[2] == "" and got[3] == "own head\nown tail" and got[4] == rows[3][1] and got[5] == rows[4][1] and got[6] in ("c", "\nc")
+    chunks = {r.doc_id: r.text for r in line_chunks.remove_repeated_chunks(documents(spark, rows)).collect()}
+    assert chunks[2] and len(chunks[3]) > len(got[3])
+
+
+@pytest.mark.parametrize("small_rows", [500_000, 0])
+def test_repeated_runs(spark, monkeypatch, small_rows):
+    monkeypatch.setattr(phrase_index, "SMALL_ROWS", small_rows)
+    got = line_chunks.remove_repeated_runs(documents(spark))
+    assert got.columns == documents(spark).columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == brute_runs(texts())
+    before, after = ({x for t in ts if t for x in t.split("\n")} for ts in ([r[1] for r in texts()], [r.text for r in got.collect()]))
+    assert before == after | {""} or before == after
+    assert line_chunks.remove_repeated_runs(documents(spark, [])).count() == 0
