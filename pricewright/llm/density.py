@@ -18,7 +18,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-#: Elements that are no article text, and names of classes, ids and roles that say so.
+#: Elements that are no article text, and names of classes, ids and roles that make one a candidate.
 DROPPED = frozenset("nav footer aside form menu button fieldset dialog head search label input".split())
 WORDS_OF_FURNITURE = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary contentinfo cookie cookies "
@@ -33,14 +33,22 @@ SCOPES = frozenset("table td th caption button".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "dropped", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: "Node | None", dropped: bool):
-        self.tag, self.parent, self.parts, self.dropped = tag, parent, [], dropped
+    def __init__(self, tag: str, parent: "Node | None", dropped: bool, named: bool = False):
+        self.tag, self.parent, self.parts, self.dropped, self.named = tag, parent, [], dropped, named
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
+def _is_named(tag: str, attributes: str) -> bool:
+    """Whether a class, id or role has a word of furniture."""
+    if "=" not in attributes or tag in ("body", "html", "article", "main"):
+        return False
+    values = (value for name, value in ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id", "role"))
+    return any(p.lower() in WORDS_OF_FURNITURE for value in values for p in NAME_PART.findall(value))
+
+
 def _is_furniture(tag: str, attributes: str, parent: Node) -> bool:
     if tag in DROPPED:
         return True
@@ -54,12 +62,7 @@ def _is_furniture(tag: str, attributes: str, parent: Node) -> bool:
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id", "role"):
-            if tag in ("body", "html", "article", "main"):
-                continue
-            if any(p.lower() in WORDS_OF_FURNITURE for p in NAME_PART.findall(value)):
-                return True
-        elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
         elif name == "style" and "display:none" in value.replace(" ", "").lower():
             return True
@@ -112,7 +115,7 @@ def parse(html: str) -> Node:
             if not attributes.rstrip().endswith("/"):
                 at = end.end() if end else size
             continue
-        child = Node(tag, node, _is_furniture(tag, attributes, node))
+        child = Node(tag, node, _is_furniture(tag, attributes, node), _is_named(tag, attributes))
         node.parts.append(child)
         if tag not in VOID:
             node = child
@@ -129,6 +132,8 @@ def _measure(root: Node) -> list[Node]:
         order.append(node)
         stack.extend(p for p in reversed(node.parts) if isinstance(p, Node))
     for node in reversed(order):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
+        node.density = node.total = 0.0
         for part in node.parts:
             if isinstance(part, str):
                 node.chars += len(part.strip())
@@ -151,8 +156,33 @@ def _measure(root: Node) -> list[Node]:
     return order
 
 
+def _drop_named(root: Node) -> None:
+    """Drop the elements whose names say furniture and whose place and text do not say otherwise.
+
+    One that holds an article or main stays. Where the page has none outside of it, one with most of the page's text that is no link stays too.
+    Inside an article or main a paragraph stays that is as dense as the body.
+    """
+    order = _measure(root)
+    if not any(n.named for n in order):
+        return
+    articles = {}
+    for node in reversed(order):
+        articles[id(node)] = (node.tag in ("article", "main")) + sum(articles.get(id(p), 0) for p in node.parts if isinstance(p, Node))
+    body = next((n for n in order if n.tag == "body"), root)
+    inside = {}
+    for node in order:
+        above = node.parent
+        node.dropped = above is not None and above.dropped
+        inside[id(node)] = above is not None and (inside[id(above)] or above.tag in ("article", "main"))
+        if node.named and not node.dropped and not articles[id(node)]:
+            most = not articles[id(root)] and 2 * (node.chars - node.link_chars) > root.chars - root.link_chars
+            dense = node.tag == "p" and inside[id(node)] and node.density >= body.density
+            node.dropped = not (most or dense)
+
+
 def _select(root: Node) -> list[Node]:
     """The subtrees that hold the article, in page order."""
+    _drop_named(root)
     order = _measure(root)
     body = next((n for n in order if n.tag == "body"), root)
     inside, best = [], None

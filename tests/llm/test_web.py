@@ -43,6 +43,17 @@ def test_sections_without_an_article():
     assert "First paragraph" in text and "Second paragraph" in text and "reader" not in text and "cookies" not in text
 
 
+@pytest.mark.parametrize("wrapper", ["class='layout has-sidebar'", "id=page class='no-comments'", "class='post share-enabled'"])
+@pytest.mark.parametrize("article", [f"<article>{ARTICLE}</article>", f"<div>{ARTICLE}</div>"])
+def test_names_only_mark_candidates(wrapper, article):
+    assert density.main_text(f"<body>{FURNITURE}<div {wrapper}>{article}{AFTER}</div></body>") == WANT
+
+
+def test_named_paragraphs_of_an_article():
+    html = f"<body>{FURNITURE}<article>{ARTICLE}<p class=notice>A notice that belongs to the article and is long.</p><div class=related><a href=x>More</a></div></article>{AFTER}"
+    assert density.main_text(html) == WANT + "\nA notice that belongs to the article and is long."
+
+
 def test_page_texts(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>"), (2, None, None), (2, "u", ""), (None, "v", "<p>é</p>"), (4, "w", "<article><p>" + "word " * 200_000)]
     got = density.page_texts(pages(spark, rows))
