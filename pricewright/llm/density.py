@@ -29,6 +29,7 @@ NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 #: Start tags that end an open element of the same kind, up to the element that holds them all.
 CLOSED_BY = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
              "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
+HEADLINES = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 SCOPES = frozenset("table td th caption button".split())
 
 
@@ -202,14 +203,21 @@ def _select(root: Node) -> list[Node]:
             break
         up = up.parent
     if article is not None:
+        if article.tag == "article" and article.parent is not None:
+            return [n for n in article.parent.parts if isinstance(n, Node) and n.tag == "article" and not n.dropped and n.chars]
         return [article]
-    # Sections beside the best one are taken too where they are as dense as the path from the body to it.
+    # Blocks beside the best one are taken too where they are as dense as the path from the body to it, or headlines;
+    # between the first and the last taken, all that are not mostly links.
     path = set()
     up = best.parent
     while up is not None:
         path.add(id(up))
         up = up.parent
-    return [n for n in inside if n is best or n.density >= threshold and n.parent is not None and id(n.parent) in path and id(n) not in path]
+    beside = [n for n in inside if n is best or n.parent is not None and id(n.parent) in path and id(n) not in path]
+    texts = [n is best or 2 * n.link_chars < n.chars for n in beside]
+    sure = [n is best or n.density >= threshold or n.tag in HEADLINES and text for n, text in zip(beside, texts)]
+    first, last = sure.index(True), len(sure) - sure[::-1].index(True)
+    return [n for i, n in enumerate(beside) if sure[i] or first < i < last and texts[i]]
 
 
 def main_text(html: str | None) -> str:

@@ -54,6 +54,17 @@ def test_named_paragraphs_of_an_article():
     assert density.main_text(html) == WANT + "\nA notice that belongs to the article and is long."
 
 
+def test_headline_and_short_blocks_beside_the_text():
+    long = "<p>" + "word " * 60 + "</p>"
+    text = density.main_text(f"<body>{FURNITURE}<h1>A headline of the page</h1><div><p>Short one.</p></div><div>{long}{long}</div>{AFTER}</body>")
+    assert text.split("\n")[:2] == ["A headline of the page", "Short one."] and len(text.split("\n")) == 4
+
+
+def test_articles_beside_each_other():
+    html = f"<body>{FURNITURE}<article>{ARTICLE}</article><article><p>The second part of it.</p></article>{AFTER}"
+    assert density.main_text(html) == WANT + "\nThe second part of it."
+
+
 def test_page_texts(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>"), (2, None, None), (2, "u", ""), (None, "v", "<p>é</p>"), (4, "w", "<article><p>" + "word " * 200_000)]
     got = density.page_texts(pages(spark, rows))
