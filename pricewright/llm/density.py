@@ -13,7 +13,9 @@ from .base import fresh, ship_package
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe object svg math canvas audio video select".split())
+RAW = frozenset("script style noscript template textarea title iframe object svg canvas audio video select".split())
+#: Of these, the ones that reach to the end of the page if nothing closes them.
+RAW_TO_END = frozenset("script style title textarea iframe".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -73,7 +75,7 @@ def _is_furniture(tag: str, attributes: str, parent: Node) -> bool:
 def parse(html: str) -> Node:
     """The tree of a page, as far as its text needs it; unclosed and misnested elements are mended."""
     root = node = Node("html", None, False)
-    at, size = 0, len(html)
+    at, size, unclosed = 0, len(html), set()
     while at < size:
         match = TOKEN.search(html, at)
         if match is None:
@@ -112,9 +114,14 @@ def parse(html: str) -> Node:
             if last is not None:
                 node = last.parent
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-            if not attributes.rstrip().endswith("/"):
-                at = end.end() if end else size
+            if not attributes.rstrip().endswith("/") and tag not in unclosed:
+                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
+                if end:
+                    at = end.end()
+                elif tag in RAW_TO_END:
+                    at = size
+                else:
+                    unclosed.add(tag)
             continue
         child = Node(tag, node, _is_furniture(tag, attributes, node), _is_named(tag, attributes))
         node.parts.append(child)

@@ -65,6 +65,14 @@ def test_articles_beside_each_other():
     assert density.main_text(html) == WANT + "\nThe second part of it."
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p></article>", "so x=1 holds"), ("<article><p>a<svg><p>b</article>", "a\nb"),
+    ("<article><p>a</p><canvas><canvas><p>b</article>", "a\nb"), ("<article><p>a</p><script>x<p>b</article>", "a"), ("<article><p>a<svg><text>no</text></svg>b</article>", "ab"),
+])
+def test_formulas_and_unclosed_elements(html, want):
+    assert density.main_text(html) == want
+
+
 def test_page_texts(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>"), (2, None, None), (2, "u", ""), (None, "v", "<p>é</p>"), (4, "w", "<article><p>" + "word " * 200_000)]
     got = density.page_texts(pages(spark, rows))
