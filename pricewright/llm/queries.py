@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import arc, line_chunks, passages, phrase_index
+from . import arc, line_chunks, passages, phrase_index, sharding, vector_codes
+from .alignment import align_documents
 from .base import read_table
 from .collisions import nearest
 from .density import page_texts
@@ -72,3 +73,18 @@ def op9_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query(vector_codes.ORACLE)
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@query(sharding.ORACLE)
+def op13_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
