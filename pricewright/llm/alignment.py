@@ -8,6 +8,7 @@ joined to the documents.
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -21,10 +22,10 @@ from .base import ship_package, stage
 
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
 TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
-#: Chunks whose alignment a task remembers, texts aligned together, and the most id pairs that are broadcast (17 bytes each).
-REMEMBERED, TEXTS_AT_ONCE, HEAD_PAIRS = 100_000, 64, 1_000_000
-#: No token of either kind reaches over a space that stands alone between two characters which are no white space.
-ALONE = re.compile(r"(?<=\S) (?=\S)")
+#: Chunks of the younger half of what a task remembers, bytes of text aligned together, and the most id pairs that are broadcast (17 bytes each).
+REMEMBERED, BYTES_AT_ONCE, HEAD_PAIRS, ROWS_AT_ONCE = 100_000, 1 << 20, 1_000_000, 1024
+#: A space or line end that stands alone between two characters which are no white space: no token of either kind reaches over the place before it.
+ALONE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 ALIGNED = "text_id binary, n long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, links array<int>"
@@ -39,10 +40,10 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Aligner:
-    """Two tokenizers, and the alignments of the chunks met so far.
+    """Two tokenizers, and the alignments of the chunks met lately.
 
-    A text is cut at the spaces of ``ALONE``; each chunk takes the space before it along. Both tokenizers
-    cut there anyway (B as no piece has a space behind another character), so the chunks' tokens are the text's.
+    A text and the space before it are cut at the places of ``ALONE``. Both tokenizers cut there anyway: A's
+    pattern ends a word there, and no piece of B has a space or line end behind another character. So the chunks' tokens are the text's.
     """
 
     def __init__(self, a_model: bytes, b_model: bytes):
@@ -55,59 +56,71 @@ class Aligner:
                         for entry, i in self.a.get_vocab().items()}
         self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
-        self.forget()
+        self.young, self.old = {}, {}
 
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.numbers: list[tuple[int, int, int, int]] = []
-        self.groups: list[str] = []
-        self.pairs: list[np.ndarray] = []
-
-    def _add(self, chunk: str, a: list[int], b: list[int]) -> None:
-        """Remember the groups of one chunk; of one whose bytes do not come back, that it has none (all numbers -1)."""
-        whole = f" {chunk}".encode("utf-8", "surrogatepass")
+    def _aligned(self, chunk: str, a: list[int], b: list[int]) -> tuple[tuple[int, ...], str, bytes] | None:
+        """The numbers of ``MEASURES``, the groups and the id pairs of one chunk; none if its bytes do not come back."""
+        whole = chunk.encode("utf-8", "surrogatepass")
         a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        self.known[chunk] = len(self.groups)
         if b"".join(a_parts) != whole or b"".join(b_parts) != whole:
-            self.numbers.append((-1, -1, -1, -1))
-            self.groups.append("")
-            self.pairs.append(np.empty(0, np.int64))
-            return
-        a_ends, b_ends = list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts)))
-        both = set(a_ends) & set(b_ends)
-        a_cuts, b_cuts = ([0, *(i + 1 for i, end in enumerate(ends) if end in both)] for ends in (a_ends, b_ends))
-        found, pairs = [], []
-        for i, j, k, m in zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:]):
-            found.append(",".join(map(str, a[i:j])) + "|" + ",".join(map(str, b[k:m])))
-            pairs.append(np.add.outer(np.array(a[i:j], np.int64) << 32, np.array(b[k:m], np.int64)).ravel())
-        pairs = np.concatenate(pairs)
-        self.numbers.append((len(a), len(b), len(found), len(pairs)))
-        self.groups.append(";".join(found))
-        self.pairs.append(pairs)
-
-    def learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.forget()
-            new = list(chunks)
+            return None
+        groups, pairs = [], array("q")
+        i = j = a_end = b_end = a_first = b_first = 0
+        while i < len(a) or j < len(b):
+            if a_end <= b_end:
+                a_end += len(a_parts[i])
+                i += 1
+            else:
+                b_end += len(b_parts[j])
+                j += 1
+            if a_end == b_end:
+                mine, theirs = a[a_first:i], b[b_first:j]
+                groups.append(",".join(map(str, mine)) + "|" + ",".join(map(str, theirs)))
+                pairs.extend([x << 32 | y for x in mine for y in theirs])
+                a_first, b_first = i, j
+        return (len(a), len(b), len(groups), len(pairs)), ";".join(groups), pairs.tobytes()
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Have all ``chunks`` among the young; what was not met since the young last became the old is forgotten."""
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        new = []
+        for chunk in chunks - self.young.keys():
+            if chunk in self.old:
+                self.young[chunk] = self.old[chunk]
+            else:
+                new.append(chunk)
         if new:
-            a = self.a.encode_batch([f" {c}" for c in new], add_special_tokens=False)
-            for chunk, x, y in zip(new, a, self.b.encode(new, num_threads=1)):
-                self._add(chunk, x.ids, y)
+            a = self.a.encode_batch(new, add_special_tokens=False)
+            # B puts a space before what it is given: a chunk's own, or before a line end a piece of its own.
+            b = self.b.encode([c[1:] if c[0] == " " else c for c in new], num_threads=1)
+            for chunk, x, y in zip(new, a, b):
+                self.young[chunk] = self._aligned(chunk, x.ids, y if chunk[0] == " " else y[1:])
 
     def align(self, texts: list[str]) -> Iterator[tuple]:
         """Per text: the numbers of ``MEASURES``, the digest of its groups, its distinct id pairs and their numbers of links."""
-        cut = [ALONE.split(text) for text in texts]
-        self.learn({chunk for chunks in cut for chunk in chunks})
+        cut = [ALONE.split(f" {text}") for text in texts]
+        self._learn({chunk for chunks in cut for chunk in chunks})
         nothing = (0, 0, 0, 0), "", np.empty(0, np.int64), np.empty(0, np.int64)
         for chunks in cut:
-            at = [self.known[c] for c in chunks]
-            numbers = np.array([self.numbers[i] for i in at], np.int64)
-            if numbers.min() < 0:
+            found = [self.young[c] for c in chunks]
+            if None in found:
                 yield nothing
                 continue
-            digest = hashlib.sha256(";".join([self.groups[i] for i in at]).encode()).hexdigest()
-            yield tuple(map(int, numbers.sum(axis=0))), digest, *np.unique(np.concatenate([self.pairs[i] for i in at]), return_counts=True)
+            numbers, groups, pairs = zip(*found)
+            digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+            yield tuple(map(sum, zip(*numbers))), digest, *np.unique(np.frombuffer(b"".join(pairs), np.int64), return_counts=True)
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Texts in runs of about ``BYTES_AT_ONCE``, each with the index of its first."""
+    first, size, run = 0, 0, []
+    for i, text in enumerate(texts):
+        run.append(text.as_py())
+        size += len(run[-1])
+        if size >= BYTES_AT_ONCE or i + 1 == len(texts):
+            yield first, [t.decode("utf-8", "replace") for t in run]
+            first, size, run = i + 1, 0, []
 
 
 def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
@@ -121,9 +134,8 @@ def _aligned(models):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(*models.value)
         for whole in batches:
-            for first in range(0, whole.num_rows, TEXTS_AT_ONCE):
-                batch = whole.slice(first, TEXTS_AT_ONCE)
-                texts = [t.as_py().decode("utf-8", "replace") for t in batch.column(0)]
+            for first, texts in _slices(whole.column(0)):
+                batch = whole.slice(first, len(texts))
                 numbers, digests, pairs, links = zip(*aligner.align(texts))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(2), batch.column(1), *(pa.array(c, pa.int64()) for c in zip(*numbers)), pa.array(digests, pa.string()),
@@ -186,8 +198,8 @@ def _scored(head):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, documents, best = head.value
         for whole in batches:
-            for first in range(0, whole.num_rows, 16 * TEXTS_AT_ONCE):
-                batch = whole.slice(first, 16 * TEXTS_AT_ONCE)
+            for first in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(first, ROWS_AT_ONCE)
                 pair_lists, links = batch.column("pairs"), batch.column("links").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 sizes = np.diff(pair_lists.offsets.to_numpy())
                 pairs, row = pair_lists.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(sizes)), sizes)

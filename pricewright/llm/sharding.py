@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pricewright.functions.hashing import HASH_BITS, hash52
 from pricewright.operators.barrier import with_once
 
-from .base import fresh, pieces_of
+from .base import fresh, pieces_of, stage
 
 #: The multiplier of the method's generator of pseudorandom numbers, modulo 2**64.
 MULTIPLIER = 2862933555777941757
@@ -125,7 +125,8 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
         F.col(id_col).alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 16).alias("size"),
         F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"))
     counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
-    placed = with_slot(with_shard(counted, shards, "doc_id", seed), rows.columns, copies="copies", seed=seed)
+    counted = stage(with_shard(counted, shards, "doc_id", seed), "sharded-ids")
+    placed = with_slot(counted, rows.columns, copies="copies", seed=seed)
     # Copies are written out in pieces that are dealt anew, so that one row with very many is no single task's work.
     piece = F.explode(F.sequence(_long(0), F.floor((F.col("copies") - 1) / COPIES_AT_ONCE)))
     pieces = placed.withColumn("piece", piece).hint("rebalance")
