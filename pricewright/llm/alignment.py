@@ -64,21 +64,22 @@ class Aligner:
         a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
         if b"".join(a_parts) != whole or b"".join(b_parts) != whole:
             return None
-        groups, pairs = [], array("q")
-        i = j = a_end = b_end = a_first = b_first = 0
-        while i < len(a) or j < len(b):
-            if a_end <= b_end:
-                a_end += len(a_parts[i])
-                i += 1
+        groups, pairs, b_ends = [], [], {end: j for j, end in enumerate(accumulate(map(len, b_parts)), 1)}
+        a_first = b_first = 0
+        for i, end in enumerate(accumulate(map(len, a_parts)), 1):
+            j = b_ends.get(end)
+            if j is None:
+                continue
+            if i == a_first + 1 and j == b_first + 1:
+                x, y = a[a_first], b[b_first]
+                groups.append(f"{x}|{y}")
+                pairs.append(x << 32 | y)
             else:
-                b_end += len(b_parts[j])
-                j += 1
-            if a_end == b_end:
                 mine, theirs = a[a_first:i], b[b_first:j]
                 groups.append(",".join(map(str, mine)) + "|" + ",".join(map(str, theirs)))
-                pairs.extend([x << 32 | y for x in mine for y in theirs])
-                a_first, b_first = i, j
-        return (len(a), len(b), len(groups), len(pairs)), ";".join(groups), pairs.tobytes()
+                pairs += [x << 32 | y for x in mine for y in theirs]
+            a_first, b_first = i, j
+        return (len(a), len(b), len(groups), len(pairs)), ";".join(groups), array("q", pairs).tobytes()
 
     def _learn(self, chunks: set[str]) -> None:
         """Have all ``chunks`` among the young; what was not met since the young last became the old is forgotten."""
@@ -91,7 +92,7 @@ class Aligner:
             else:
                 new.append(chunk)
         if new:
-            a = self.a.encode_batch(new, add_special_tokens=False)
+            a = self.a.encode_batch_fast(new, add_special_tokens=False)
             # B puts a space before what it is given: a chunk's own, or before a line end a piece of its own.
             b = self.b.encode([c[1:] if c[0] == " " else c for c in new], num_threads=1)
             for chunk, x, y in zip(new, a, b):
@@ -129,10 +130,21 @@ def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, kind))
 
 
+_aligners: dict[tuple[bytes, bytes], Aligner] = {}
+
+
+def _aligner(models: tuple[bytes, bytes]) -> Aligner:
+    """One for all tasks of a Python worker, so that each goes on with what the tasks before have met."""
+    if models not in _aligners:
+        _aligners.clear()
+        _aligners[models] = Aligner(*models)
+    return _aligners[models]
+
+
 def _aligned(models):
     """(text, n, text_id) to the columns of ``ALIGNED``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(*models.value)
+        aligner = _aligner(models.value)
         for whole in batches:
             for first, texts in _slices(whole.column(0)):
                 batch = whole.slice(first, len(texts))
@@ -164,7 +176,7 @@ def aligned_texts(docs: DataFrame, text_col: str = "text", a_model: bytes | None
         models.append(given)
     text = F.col(text_col).cast("binary")
     distinct = docs.select(text.alias("text")).where(F.octet_length("text") > 0).groupBy("text").agg(F.count("*").alias("n"))
-    aligned = distinct.select("text", "n", _text_id(F.col("text")).alias("text_id")).mapInArrow(_aligned(spark.sparkContext.broadcast(models)), ALIGNED)
+    aligned = distinct.select("text", "n", _text_id(F.col("text")).alias("text_id")).mapInArrow(_aligned(spark.sparkContext.broadcast(tuple(models))), ALIGNED)
     return stage(aligned, "aligned-texts")
 
 
