@@ -1,17 +1,18 @@
 """What the operators of this folder share."""
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pricewright.session import ship_package, stage, stage_path
+from pricewright.session import scratch, ship_package, stage, stage_path
 
 #: One word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-__all__ = ["BLANKS", "WORD", "fresh", "lower_ascii", "pieces_of", "read_table", "ship_package", "stage", "stage_path"]
+__all__ = ["BLANKS", "WORD", "fresh", "kept", "lower_ascii", "pieces_of", "read_table", "ship_package", "stage", "stage_path"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,3 +38,13 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def pieces_of(amount: float, each: float, least: int = 1) -> int:
     """How many pieces of size ``each`` hold ``amount``; grows with the data, without an upper bound."""
     return max(least, math.ceil((amount or 0) / each))
+
+
+def kept(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` returns, stored; all that it stored on the way is deleted."""
+    path = stage_path(spark, label)
+    with scratch(spark):
+        made = build()
+        made.write.parquet(path)
+        schema = made.schema
+    return spark.read.schema(schema).parquet(path)

@@ -1,26 +1,28 @@
 """Texts that share most of their word shingles, found by MinHash and checked by the shingles themselves."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .base import ship_package, stage
+from .base import kept, ship_package, stage
 from .components import components
 
 SHINGLE = 5
 #: Texts are alike if at least so many of their shingles (a fraction) are common to both.
 ALIKE = (4, 5)
-#: Two texts as little alike as that meet in one of the bands with a chance of 1 - (1 - 0.8^5)^20 = 0.9996.
-BANDS, HASHES = 20, 5
+#: Two texts as little alike as that meet in one of the bands with a chance of 1 - (1 - 0.8^8)^40 = 0.9994; at 0.5 it is 0.15.
+BANDS, HASHES = 40, 8
 #: Shingles hashed together and texts sent together, so that long texts need no more memory.
 AT_ONCE, TEXTS_AT_ONCE = 4096, 256
+#: So many pairs with one leader share a copy of its shingles, in a key of their own. Leaders grow by this factor from round to round.
+PAIRS_PER_COPY, MORE_LEADERS = 128, 4
 SEED = 42
 
 _draw = np.random.default_rng(SEED)
-_MASKS = _draw.integers(0, 1 << 64, (BANDS * HASHES, 1), np.uint64)
+_ADDENDS = _draw.integers(0, 1 << 64, (BANDS * HASHES, 1), np.uint64)
 _FACTORS = _draw.integers(0, 1 << 64, (BANDS * HASHES, 1), np.uint64) | np.uint64(1)
 
 
@@ -40,72 +42,116 @@ def bands(hashes: np.ndarray) -> list[int]:
         return []
     least = np.full(BANDS * HASHES, (1 << 64) - 1, np.uint64)
     for first in range(0, len(hashes), AT_ONCE):
-        mixed = (hashes[None, first:first + AT_ONCE] ^ _MASKS) * _FACTORS
-        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=1))
+        mixed = hashes[None, first:first + AT_ONCE] * _FACTORS
+        mixed += _ADDENDS
+        least = np.minimum(least, mixed.min(axis=1))
     rows = least.astype("<u8").reshape(BANDS, HASHES)
     return [xxhash.xxh64_intdigest(row.tobytes(), i) - (1 << 63) for i, row in enumerate(rows)]
 
 
-def _per_text(function, kind: pa.DataType, name: str):
-    """Replace the last column, a text, by what ``function`` makes of its shingles."""
+def text_id(text: Column) -> Column:
+    return F.unhex(F.md5(text))
+
+
+def with_signature(rows: DataFrame, fingerprint: Callable[[bytes | None], int]) -> DataFrame:
+    """``rows`` with ``_fp``, ``_size`` (distinct shingles) and ``_bands`` in place of the last column, the text: one pass over the texts."""
+    ship_package(rows.sparkSession)
+    names = rows.columns[:-1]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for first in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 batch = whole.slice(first, TEXTS_AT_ONCE)
-                made = pa.array([function(shingles(t.as_py())) for t in batch.column(batch.num_columns - 1)], kind)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*batch.schema.names[:-1], name])
-    return run
+                texts = batch.column(batch.num_columns - 1).to_pylist()
+                sets = [shingles(text) for text in texts]
+                prints = np.array([fingerprint(text) for text in texts], np.uint64).view(np.int64)
+                made = [pa.array(prints), pa.array(map(len, sets), pa.int32()), pa.array(map(bands, sets), pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*names, "_fp", "_size", "_bands"])
 
+    schema = rows.select(*names).schema.add("_fp", "long").add("_size", "integer").add("_bands", T.ArrayType(T.LongType()))
+    return rows.mapInArrow(run, schema)
 
-def _signed(hashes: np.ndarray) -> np.ndarray:
-    return hashes.view(np.int64)
 
+def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for first in range(0, whole.num_rows, TEXTS_AT_ONCE):
+            row, texts = whole.slice(first, TEXTS_AT_ONCE).columns
+            made = pa.array([shingles(t.as_py()).view(np.int64) for t in texts], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([row, made], names=["row", "set"])
 
-def _text_id(text: Column) -> Column:
-    return F.unhex(F.md5(text))
 
+def _met(leaders: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b, n) of a leader and a member of one bucket, each once, that are in different components and not too unlike in size to be alike."""
+    part, whole = ALIKE
+    led = leaders.select("band", F.col("row").alias("a"), F.col("size").alias("a_size"), F.col("root").alias("a_root"))
+    pairs = members.join(led, "band").where((F.col("root") != F.col("a_root")) & (~F.col("leads") | (F.col("a") < F.col("row"))))
+    pairs = pairs.where(F.least("size", "a_size") * whole >= F.greatest("size", "a_size") * part)
+    return pairs.groupBy("a", F.col("row").alias("b")).agg(F.max("n").alias("n"))
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The links (a, b) of ``pairs`` whose texts are alike."""
-    left = sets.select(F.col("text_id").alias("a_id"), F.col("set").alias("a_set"))
-    right = sets.select(F.col("text_id").alias("b_id"), F.col("set").alias("b_set"))
+
+def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """The links (a, b) between the nodes of ``pairs`` whose texts are alike, stored.
+
+    A leader of a large bucket has many pairs; they are dealt to as many copies of its shingles as that takes.
+    """
+    level = F.ceil(F.log2(F.greatest(F.col("n") / PAIRS_PER_COPY, F.lit(1)))).cast("int")
+    pairs = pairs.withColumn("level", level)
+    heads = pairs.select("a", "level").distinct().join(sets.select(F.col("row").alias("a"), F.col("set").alias("a_set")), "a")
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.expr("shiftleft(1L, level) - 1")))
+    heads = heads.select("a", "level", "a_set", copy.alias("copy"))
+    dealt = pairs.withColumn("copy", F.pmod(F.xxhash64("b"), F.expr("shiftleft(1L, level)")))
+    tails = sets.select(F.col("row").alias("b"), F.col("set").alias("b_set"))
     common = F.size(F.array_intersect("a_set", "b_set"))
     part, whole = ALIKE
     enough = common * (part + whole) >= (F.size("a_set") + F.size("b_set")) * part
-    return stage(pairs.join(left, "a_id").join(right, "b_id").where(enough).select("a", "b").distinct(), "alike")
+    alike = stage(dealt.join(heads, ["a", "level", "copy"]).join(tails, "b").where(enough).select("a", "b"), "alike-rows")
+    nodes = texts.select("row", "node")
+    ends = alike.join(nodes.select(F.col("row").alias("b"), F.col("node").alias("b_node")), "b")
+    ends = ends.join(nodes.select(F.col("row").alias("a"), F.col("node").alias("a_node")), "a")
+    return stage(ends.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).where("a != b").distinct(), "alike")
 
 
-def alike_roots(texts: DataFrame, links: DataFrame) -> DataFrame:
+def alike_roots(rows: DataFrame, sources: DataFrame, links: DataFrame) -> DataFrame:
     """Rows (node, root): the components of ``links`` (a, b) and of the links between nodes with texts that are alike.
 
-    ``texts`` holds _node (long) and _text (binary). Texts that agree in one band of minima are compared, each at first
-    with the smallest of its bucket. Then all texts of a bucket are compared that are not
-    in one component yet, so a bucket of copies costs no more than its size, and no pair of a bucket is left out.
+    ``rows`` is stored, with ``_id``, ``_text_id``, ``_fp`` (the node), ``_size`` and ``_bands``; ``sources`` holds ``_id``, ``_text_id`` and ``_text``.
+
+    Texts that agree in one band of minima meet in its bucket. Each is first compared with the bucket's first. In buckets that
+    are not of one component by then, more members are drawn as leaders, four times as many in each round, until
+    all members have been; a leader is compared with those members that are in another component. So a bucket of
+    copies costs no more than its size, and no pair of a bucket is left out unless it is linked already.
+    Pairs are only made of texts whose numbers of shingles let them be alike.
     """
-    ship_package(texts.sparkSession)
     links = stage(links.select("a", "b").distinct(), "near-links")
-    rows = texts.where("_text is not null").select(F.col("_node").alias("node"), _text_id(F.col("_text")).alias("text_id"), F.col("_text").alias("text"))
-    signed = rows.mapInArrow(_per_text(bands, pa.list_(pa.int64()), "bands"), "node long, text_id binary, bands array<long>")
-    signed = stage(signed.dropDuplicates(["text_id"]), "signatures")
-    filed = signed.select("node", "text_id", F.explode("bands").alias("band"))
-    buckets = filed.groupBy("band").agg(F.min(F.struct("node", "text_id")).alias("first"), F.max("node").alias("last"))
-    # Texts of one node are one group already.
-    buckets = stage(buckets.where("first.node != last").drop("last"), "buckets")
+    texts = rows.where("_text_id is not null and _size > 0").groupBy("_text_id").agg(
+        F.min("_id").alias("_id"), F.first("_fp").alias("node"), F.first("_size").alias("size"), F.first("_bands").alias("bands"))
+    texts = stage(texts.withColumn("row", F.monotonically_increasing_id()), "distinct-texts")
+    filed = texts.select("row", F.explode("bands").alias("band"))
+    buckets = filed.groupBy("band").agg(F.count("*").alias("n"), F.min("row").alias("first")).where("n > 1")
     met = stage(filed.join(buckets, "band"), "band-members")
-
-    needed = met.select("text_id").distinct()
-    sets = rows.join(needed, "text_id").select("text_id", "text").groupBy("text_id").agg(F.first("text").alias("text"))
-    sets = stage(sets.mapInArrow(_per_text(_signed, pa.list_(pa.int64()), "set"), "text_id binary, set array<long>"), "shingle-sets")
-
-    stars = met.where("first.node != node").select(F.col("first.node").alias("a"), F.col("first.text_id").alias("a_id"), F.col("node").alias("b"), F.col("text_id").alias("b_id"))
-    links = links.unionByName(_verified(stars.distinct(), sets))
-    roots = stage(components(links), "first-roots")
-
-    rooted = met.select("band", "node", "text_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = stage(rooted, "rooted-members")
-    mixed = rooted.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most").select("band")
-    apart = stage(rooted.join(mixed, "band"), "apart")
-    a, b = (apart.select("band", F.col("node").alias(x), F.col("text_id").alias(f"{x}_id"), F.col("root").alias(f"{x}_root")) for x in "ab")
-    others = a.join(b, "band").where("a_root < b_root").select("a", "a_id", "b", "b_id").distinct()
-    more = _verified(others, sets)
-    return roots if more.isEmpty() else components(links.unionByName(more))
+    met = stage(met.join(texts.select("row", "node", "size"), "row"), "sized-members")
+
+    needed = met.select("row").distinct().join(texts.select("row", "_id", "_text_id"), "row")
+    same = needed["_id"].eqNullSafe(sources["_id"]) & (needed["_text_id"] == sources["_text_id"])
+    wanted = sources.join(needed, same).groupBy("row").agg(F.first("_text").alias("text"))
+    sets = stage(wanted.mapInArrow(_shingle_sets, "row long, set array<long>"), "shingle-sets")
+
+    members = met.withColumns({"root": F.col("node"), "leads": F.col("row") == F.col("first")})
+    found = _verified(_met(members.where("leads"), members), sets, texts)
+    links, done, roots = links.unionByName(found), 0, None
+    while True:
+        if roots is None:
+            roots = kept(rows.sparkSession, "component-roots", lambda: components(links))
+        rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = rooted.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most")
+        # A bucket whose members have all led is done, however many components it holds.
+        met = stage(rooted.join(mixed.select("band"), "band").where(F.col("n") > done), "apart-members")
+        if met.isEmpty():
+            return roots
+        drawn = F.pmod(F.xxhash64("band", "row"), F.lit(1 << 32)) / F.lit(float(1 << 32)) * F.col("n")
+        before, done = done, max(1, done) * MORE_LEADERS
+        members = met.withColumn("leads", (drawn >= before) & (drawn < done) & (F.col("row") != F.col("first")))
+        found = _verified(_met(members.where("leads"), members), sets, texts)
+        met = met.drop("root")
+        if not found.isEmpty():
+            links, roots = links.unionByName(found), None

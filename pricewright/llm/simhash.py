@@ -12,9 +12,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .base import fresh, ship_package, stage
+from .base import fresh, kept, ship_package, stage
 from .components import components
-from .shingles import alike_roots
+from .shingles import alike_roots, text_id, with_signature
 
 SEED = 42
 SHINGLE = 3
@@ -115,14 +115,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *extra)
     own = [c for c in ids.columns if c != "_text"]
     if alike:
-        rows = with_fingerprint(ids.withColumn("_again", F.col("_text").cast("binary")), "_text", "_fp", [*own, "_again"], shingle)
-        rows = stage(rows, "fingerprinted-texts")
-        texts, rows = rows.select(F.col("_fp").alias("_node"), F.col("_again").alias("_text")), rows.drop("_again")
+        sources = ids.select(*own, F.col("_text").cast("binary").alias("_text")).withColumn("_text_id", text_id(F.col("_text")))
+        signed = stage(with_signature(sources.select(*own, "_text_id", "_text"), lambda text: fingerprint(text, shingle)), "signatures")
+        rows = signed.select(*own, "_fp")
     else:
         rows = stage(with_fingerprint(ids, "_text", "_fp", own, shingle), "fingerprints")
     prints = stage(rows.groupBy(F.col("_fp").alias("fp")).agg(F.min("_id").alias("low")), "distinct-fingerprints")
     pairs = near_pairs(prints, crowded=crowded)
-    roots = alike_roots(texts, pairs) if alike else components(pairs)
+    roots = alike_roots(signed, sources.select("_id", "_text_id", "_text"), pairs) if alike else components(pairs)
     grouped = stage(prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
     lows = stage(grouped.groupBy("root").agg(F.min("low").alias("_low")), "lows")
     groups = stage(grouped.join(lows, "root").select(F.col("fp").alias("_fp"), F.col("root").alias("_group"), "_low"), "groups")
@@ -144,14 +144,19 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     the smallest by all columns.
     """
     digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    rows = near_duplicates(docs, id_col, text_col, extra=[digest.alias("_digest")], **options)
-    first = rows.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_digest")).alias("_first"))
-    first = first.select("_first._id", "_first._digest")
-    copies = rows.groupBy("_id", "_digest").agg(F.count("*").alias("_n"))
-    chosen = stage(first.join(copies, (first["_id"].eqNullSafe(copies["_id"])) & (first["_digest"] == copies["_digest"])).select(first["_id"], first["_digest"], "_n"), "kept")
+
+    def choose() -> DataFrame:
+        rows = near_duplicates(docs, id_col, text_col, extra=[digest.alias("_digest")], **options)
+        first = rows.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_digest")).alias("_first"))
+        first = first.select("_first._id", "_first._digest")
+        copies = rows.groupBy("_id", "_digest").agg(F.count("*").alias("_n"))
+        same = first["_id"].eqNullSafe(copies["_id"]) & (first["_digest"] == copies["_digest"])
+        return first.join(copies, same).select(first["_id"], first["_digest"], "_n")
+
+    chosen = kept(docs.sparkSession, "kept", choose)
     (mine,) = fresh(docs, "_own_digest")
     whole = docs.withColumn(mine, digest)
-    kept = whole.join(chosen, whole[id_col].eqNullSafe(chosen["_id"]) & (whole[mine] == chosen["_digest"]))
-    once = kept.where("_n = 1").select(*docs.columns)
-    again = kept.where("_n > 1").groupBy("_id", "_digest").agg(F.min(F.struct(*[kept[c] for c in docs.columns])).alias("_row"))
+    whole = whole.join(chosen, whole[id_col].eqNullSafe(chosen["_id"]) & (whole[mine] == chosen["_digest"]))
+    once = whole.where("_n = 1").select(*docs.columns)
+    again = whole.where("_n > 1").groupBy("_id", "_digest").agg(F.min(F.struct(*[whole[c] for c in docs.columns])).alias("_row"))
     return once.unionByName(again.select("_row.*"))
