@@ -6,6 +6,7 @@ joined to the documents.
 """
 
 import hashlib
+import json
 import os
 import re
 from array import array
@@ -23,9 +24,11 @@ from .base import ship_package, stage
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
 TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
 #: Chunks of the younger half of what a task remembers, bytes of text aligned together, and the most id pairs that are broadcast (17 bytes each).
-REMEMBERED, BYTES_AT_ONCE, HEAD_PAIRS, ROWS_AT_ONCE = 100_000, 1 << 20, 1_000_000, 1024
-#: A space or line end that stands alone between two characters which are no white space: no token of either kind reaches over the place before it.
-ALONE = re.compile(r"(?<=\S)(?=[ \n]\S)")
+REMEMBERED, BYTES_AT_ONCE, HEAD_PAIRS, ROWS_AT_ONCE = 40_000, 1 << 20, 1_000_000, 1024
+#: Places that no token of either kind reaches over: before a space or line end that stands alone between characters which are no white space, and before a stop.
+CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=[a-z])(?=[.,])")
+#: A piece of B that would reach over one.
+CROSSING = re.compile(r"[^▁][▁\n]|\n.|[a-z][.,]")
 
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 ALIGNED = "text_id binary, n long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, links array<int>"
@@ -42,8 +45,9 @@ def byte_alphabet() -> dict[str, int]:
 class Aligner:
     """Two tokenizers, and the alignments of the chunks met lately.
 
-    A text and the space before it are cut at the places of ``ALONE``. Both tokenizers cut there anyway: A's
-    pattern ends a word there, and no piece of B has a space or line end behind another character. So the chunks' tokens are the text's.
+    A text and the space before it are cut at the places of ``CUT``. Both tokenizers cut there anyway: A's
+    pattern ends a word there, and no piece of B reaches over them. So the chunks' tokens are the text's. With tokenizers of
+    which that does not hold, a text is one chunk.
     """
 
     def __init__(self, a_model: bytes, b_model: bytes):
@@ -56,6 +60,10 @@ class Aligner:
                         for entry, i in self.a.get_vocab().items()}
         self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
+        rules = json.loads(self.a.to_str())
+        words = rules["normalizer"] is None and (rules["pre_tokenizer"] or {}).get("type") == "ByteLevel" and rules["pre_tokenizer"].get("use_regex")
+        whole = range(self.b.get_piece_size())
+        self.cuts = bool(words) and not any(CROSSING.search(self.b.id_to_piece(i)) for i in whole if not self.b.is_byte(i))
         self.young, self.old = {}, {}
 
     def _aligned(self, chunk: str, a: list[int], b: list[int]) -> tuple[tuple[int, ...], str, bytes] | None:
@@ -93,14 +101,14 @@ class Aligner:
                 new.append(chunk)
         if new:
             a = self.a.encode_batch_fast(new, add_special_tokens=False)
-            # B puts a space before what it is given: a chunk's own, or before a line end a piece of its own.
-            b = self.b.encode([c[1:] if c[0] == " " else c for c in new], num_threads=1)
+            # B puts a space before what it is given: a chunk's own, or with a line end two tokens to be left out again.
+            b = self.b.encode([c[1:] if c[0] == " " else f"\n{c}" for c in new], num_threads=1)
             for chunk, x, y in zip(new, a, b):
-                self.young[chunk] = self._aligned(chunk, x.ids, y if chunk[0] == " " else y[1:])
+                self.young[chunk] = self._aligned(chunk, x.ids, y if chunk[0] == " " else y[2:])
 
     def align(self, texts: list[str]) -> Iterator[tuple]:
         """Per text: the numbers of ``MEASURES``, the digest of its groups, its distinct id pairs and their numbers of links."""
-        cut = [ALONE.split(f" {text}") for text in texts]
+        cut = [CUT.split(f" {text}") if self.cuts else [f" {text}"] for text in texts]
         self._learn({chunk for chunks in cut for chunk in chunks})
         nothing = (0, 0, 0, 0), "", np.empty(0, np.int64), np.empty(0, np.int64)
         for chunks in cut:

@@ -94,7 +94,7 @@ def test_alignment_of_whole_texts(spark, sf, tokenizers):
     models = [open(p, "rb").read() for p in (alignment.TOKENIZER_A, alignment.TOKENIZER_B)]
     aligner = alignment.Aligner(*models)
     draw = random.Random(3)
-    bits = ["a", "Bc", "'s", " ", " ", "\n", "\t", "　", "\xa0", "\x1c", "é", "é", "12", "<s>", "🙂", "\r\n", "  ", "."]
+    bits = ["a", "Bc", "'s", " ", " ", "\n", "\t", "　", "\xa0", "\x1c", "é", "é", "12", "<s>", "🙂", "\r\n", "  ", ".", ",", "²."]
     mixed = ["".join(draw.choice(bits) for _ in range(draw.randint(1, 30))) for _ in range(400)]
     for text in [t for (t,) in read_table(spark, sf, "documents").select("text").collect() if t][:100] + mixed + ODD:
         groups = brute_groups(text, tokenizers)
@@ -110,6 +110,7 @@ def test_forgetting(monkeypatch):
     whole = [(r[0], r[1]) for r in alignment.Aligner(*models).align(wanted)]
     monkeypatch.setattr(alignment, "REMEMBERED", 10)
     short = alignment.Aligner(*models)
+    assert short.cuts
     assert [next(short.align([t]))[:2] for t in wanted] == whole
 
 
