@@ -3,7 +3,6 @@
 from collections.abc import Sequence
 
 from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import VOCABULARY_SIZE
@@ -80,7 +79,7 @@ def bow_counts(tokenized: DataFrame, vocabulary: DataFrame, id_col: str = "produ
     """
     terms = vocabulary_terms(vocabulary)
     vectors = bow_vectors(tokenized, terms)
-    cells = with_once(vectors.select(id_col, "bow"), _cells=_cells(F.col("bow"))).select(id_col, F.inline("_cells"))
+    cells = vectors.select(id_col, F.inline(_cells(F.col("bow"))))
     names = F.array(*[F.lit(term) for term in terms])
     return cells.select(
         id_col, F.get(names, F.col("index")).alias("term"), F.col("index").cast("bigint").alias("term_index"),
@@ -89,9 +88,9 @@ def bow_counts(tokenized: DataFrame, vocabulary: DataFrame, id_col: str = "produ
 
 
 def _cells(vector: Column) -> Column:
-    """Index and value of the cells of a vector that are not 0."""
-    placed = F.transform(vector_to_array(vector), lambda value, index: F.struct(index.alias("index"), value.alias("value")))
-    return F.filter(placed, lambda cell: cell["value"] != 0)
+    """Index and value of the cells of a sparse vector that are not 0; its cost is that of the words of the row."""
+    sparse = F.unwrap_udt(vector)
+    return F.transform(sparse["indices"], lambda index, i: F.struct(index.alias("index"), F.get(sparse["values"], i).alias("value")))
 
 
 def bow_matrix_stats(tokenized: DataFrame, vocabulary: DataFrame, first: int = 400, last: int = 410) -> DataFrame:

@@ -6,16 +6,19 @@ Every fit returns a :class:`Pricer`: a name and a function that adds a
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..constants import FOREST_ROWS, IMPORTANT_WORDS, SEED
 from ..functions.hashing import hash_uniform
 from ..session import ensure_checkpoint_dir, scratch, ship_package, stage
+from .boosting import cells, fit_boosted_trees, with_boosted
 from .features import NUMERIC, bow_tokens, bow_vectors, numeric_features
+from .least_squares import fit_least_squares, with_fitted
 from .ranking import head_subset, upper_median
 
 ROWS_PER_FOREST_TASK = 2_000
@@ -80,73 +83,62 @@ def coefficients(pricer: Pricer, spark) -> DataFrame:
     return spark.createDataFrame(rows + [("intercept", float(pricer.model.intercept))], "feature string, coefficient double")
 
 
-def _bow_pricer(name: str, estimator, train: DataFrame, terms: Sequence[str], tasks: int | None = None) -> Pricer:
-    ensure_checkpoint_dir(train.sparkSession)
-
+def _bow_pricer(name: str, train: DataFrame, terms: Sequence[str], fit: Callable, apply: Callable, keep: Sequence[str] = ()) -> Pricer:
+    """A pricer on word counts: ``fit(rows)`` makes the model from stored rows, ``apply(rows, model)`` adds ``_prediction``."""
     def vectors(df: DataFrame) -> DataFrame:
         return bow_vectors(bow_tokens(df), terms)
 
     with scratch(train.sparkSession):
-        # Fits pass over the vectors many times; the text is tokenized once.
-        kept = [c for c in ("product_id", "bow", "price", VALIDATION) if c != VALIDATION or c in train.columns]
-        staged = stage(vectors(train).select(*kept), "bow")
-        if tasks:
-            staged = staged.repartition(tasks, "product_id").sortWithinPartitions("product_id")
-        fit = estimator.fit(staged)
-
-    def apply(df: DataFrame) -> DataFrame:
-        return _floored(fit.transform(vectors(df)), "tokens", "bow")
+        # Fits may pass over the vectors many times; the text is tokenized once.
+        model = fit(stage(vectors(train).select("product_id", "bow", "price", *keep), "bow"))
+    return Pricer(name, lambda df: _floored(apply(vectors(df), model), "tokens", "bow"), model, tuple(terms))
 
-    return Pricer(name, apply, fit, tuple(terms))
-
-
-def linear_bow(
-    train: DataFrame, terms: Sequence[str], solver: str = "normal", iterations: int = 5_000, tolerance: float = 1e-13
-) -> Pricer:
-    """Least squares on word counts.
 
-    The normal equations need one pass; their matrix is bounded by the
-    vocabulary, and a singular one is solved iteratively without more passes.
-    Spark refuses them for more than 4,096 terms; then pass ``l-bfgs``, which passes over the rows repeatedly.
-    """
-    estimator = LinearRegression(
-        featuresCol="bow", labelCol="price", predictionCol="_prediction", regParam=0.0, solver=solver,
-        maxIter=iterations, tol=tolerance,
-    )
-    return _bow_pricer("least squares on words", estimator, train, terms)
+def linear_bow(train: DataFrame, terms: Sequence[str], tolerance: float = 1e-10) -> Pricer:
+    """Least squares on word counts, of least norm where the words do not determine it; one pass over the rows."""
+    return _bow_pricer("least squares on words", train, terms, lambda rows: fit_least_squares(rows, tolerance=tolerance), with_fitted)
 
 
 def random_forest(
-    train: DataFrame, terms: Sequence[str], rows: int = FOREST_ROWS, trees: int = 100, depth: int = 30, seed: int = SEED
+    train: DataFrame, terms: Sequence[str], rows: int = FOREST_ROWS, trees: int = 100, depth: int = 30, seed: int = SEED,
+    bins: int = 16, memory: int = 1024,
 ) -> Pricer:
-    """Bagged trees over all features on the first ``rows`` train rows."""
+    """Bagged trees over all features on the first ``rows`` train rows; ``memory`` MB hold the statistics of a pass."""
+    ensure_checkpoint_dir(train.sparkSession)
+    # Word counts have few values, and the more node statistics fit into memory, the fewer passes a level takes.
     estimator = RandomForestRegressor(
-        featuresCol="bow", labelCol="price", predictionCol="_prediction",
-        numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed,
+        featuresCol="bow", labelCol="price", predictionCol="_prediction", numTrees=trees, maxDepth=depth,
+        featureSubsetStrategy="all", seed=seed, maxBins=bins, maxMemoryInMB=memory,
     )
     # Bagging draws by partition: fixed partitions make the fit repeat.
     tasks = -(-rows // ROWS_PER_FOREST_TASK)
-    return _bow_pricer("bagged trees", estimator, head_subset(train, rows), terms, tasks)
+    return _bow_pricer(
+        "bagged trees", head_subset(train, rows), terms,
+        lambda staged: estimator.fit(staged.repartition(tasks, "product_id").sortWithinPartitions("product_id")),
+        lambda df, model: model.transform(df),
+    )
 
 
 def boosted_trees(
-    train: DataFrame, terms: Sequence[str], rounds: int = 1000, rate: float = 0.1, depth: int = 6, seed: int = SEED,
-    validation: DataFrame | None = None, tolerance: float = 0.01,
+    train: DataFrame, terms: Sequence[str], rounds: int = 1000, rate: float = 0.1, depth: int = 6,
+    validation: DataFrame | None = None, patience: int = 10, penalty: float = 1.0,
 ) -> Pricer:
-    """Trees fitted one after another to the remaining error, on all train rows.
+    """Trees fitted one after another to the remaining error, on all train rows (see ``boosting``).
 
-    With ``validation`` rows the fit ends before ``rounds`` once their error no longer
-    falls by ``tolerance`` of itself.
+    With ``validation`` rows the fit ends once ``patience`` rounds in a row have not lowered their error, and keeps the trees up to the lowest.
+    ``model.rounds`` and ``model.errors`` tell how far it came.
     """
-    estimator = GBTRegressor(
-        featuresCol="bow", labelCol="price", predictionCol="_prediction",
-        maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed, validationTol=tolerance,
-    )
+    marked = [train.withColumn(VALIDATION, F.lit(False))]
     if validation is not None:
-        estimator = estimator.setValidationIndicatorCol(VALIDATION)
-        marked = [df.withColumn(VALIDATION, F.lit(flag)) for df, flag in ((train, False), (validation, True))]
-        train = marked[0].unionByName(marked[1])
-    return _bow_pricer("boosted trees", estimator, train, terms)
+        marked.append(validation.withColumn(VALIDATION, F.lit(True)))
+
+    def fit(rows: DataFrame):
+        inside = cells(F.col("bow"))
+        sparse = rows.select(F.col("price").cast("double").alias("price"), F.col(VALIDATION).alias("held"),
+                             inside["indices"].alias("indices"), inside["values"].alias("values"))
+        return fit_boosted_trees(sparse, len(terms), rounds, rate, depth, penalty, patience=patience if validation is not None else None)
+
+    return _bow_pricer("boosted trees", reduce(DataFrame.unionByName, marked), terms, fit, with_boosted, [VALIDATION])
 
 
 def top_words(pricer: Pricer, spark, count: int = 5) -> DataFrame:

@@ -224,6 +224,47 @@ def test_linear_models_equal_least_squares(spark, learned):
     assert predicted(models.linear_numeric(noisy)) == pytest.approx(solve(numeric), abs=1e-6)
 
 
+def test_boosting_goes_on_and_repeats(spark, learned):
+    """Each round lowers the error, to what a plain version reaches; held-out rows end the fit; no partitioning changes it."""
+    df, terms = learned
+    fits = [models.boosted_trees(given, terms, rounds=20, rate=0.3, depth=2, penalty=0.0) for given in (df, df.repartition(7))]
+    errors = [e for e, _ in fits[0].model.errors]
+    assert fits[0].model.rounds == 20 and all(b < a or b < 0.1 for a, b in zip(errors, errors[1:])) and errors[-1] < 0.01 * errors[0]
+    assert [[t.feature.tolist(), t.bin.tolist(), t.value.tolist()] for t in fits[0].model.trees] == [
+        [t.feature.tolist(), t.bin.tolist(), t.value.tolist()] for t in fits[1].model.trees]
+    # The first split is the best of all, and its leaves the means of their rows.
+    rows = [(set(r.text.split()), r.price) for r in df.collect()]
+    mean = sum(p for _, p in rows) / len(rows)
+
+    def drop(term):
+        sides = [[p - mean for words, p in rows if (term in words) == side] for side in (False, True)]
+        return sum(sum(s) ** 2 / len(s) for s in sides if s)
+
+    first = fits[0].model.trees[0]
+    assert drop(terms[first.feature[0]]) == pytest.approx(max(map(drop, terms)))
+    noise = df.withColumn("price", (F.xxhash64("product_id") % 100 + 200).cast("double"))
+    stopped = models.boosted_trees(noise.where("product_id % 2 = 0"), terms, rounds=50, validation=noise.where("product_id % 2 = 1"), patience=3).model
+    assert stopped.rounds < 47 and stopped.errors[-1][1] == min(e for _, e in stopped.errors)
+
+
+def test_boosting_bins_and_empty_texts(spark):
+    """Counts beyond the bins, rows without a term, and a word in every row."""
+    rows = [(i, 10.0 * (i % 9), "every " + "many " * (i % 9), None, 0.0) for i in range(90)] + [(99, 5.0, "", None, 0.0)]
+    df = spark.createDataFrame(rows, "product_id bigint, price double, text string, summary string, weight double")
+    fit = models.boosted_trees(df, ["absent", "every", "many"], rounds=40, rate=0.5, depth=3)
+    assert mae(fit, df) < 1.0 and fit.model.featureImportances[2] > 0.9 and fit.model.featureImportances[0] == 0
+
+
+def test_least_squares_of_any_rank(spark, learned):
+    """Words that always stand together share one effect, and a word in every row has none."""
+    df, terms = learned
+    doubled = df.withColumn("text", F.concat("text", F.lit(" twin"), F.when(F.col("text").contains("cable"), F.lit(" cablecopy")).otherwise("")))
+    fit = models.linear_bow(doubled, [*terms, "cablecopy", "twin"])
+    effect = dict(zip(fit.terms, fit.model.coefficients))
+    assert effect["cable"] == pytest.approx(effect["cablecopy"]) and effect["twin"] == 0.0
+    assert fit.model.rank < len(fit.terms) and mae(fit, doubled) < 1e-6
+
+
 def test_forest_repeats_at_any_partitioning(spark, learned):
     df, terms = learned
     predictions = [
