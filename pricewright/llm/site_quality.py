@@ -20,6 +20,12 @@ from .phrase_index import _small
 LABELLED_ROWS, MODEL_FEATURES = 40_000, 50_000
 #: A feature weighs what is left of its log ratio less so many standard errors, if that is at least so much.
 MARGIN, LEAST_WEIGHT = 2.0, 1.9
+#: Of the labelled texts one in so many says how far scores can be trusted, and teaches no weights.
+CALIBRATING = 4
+#: Fewer bad or other texts of a length than that say too little by themselves.
+FEW = 10
+#: Upper bounds of the score's bins, the first for texts without any weighty feature, and of a text's number of features.
+SCORES, SIZES = (0.0, 3.0, 6.0), (64, 512)
 MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 PREFIX = 5
 BINS = 10
@@ -86,6 +92,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> dict:
 
     The sample is drawn by hash of the id; of copies and near copies with the same labels in it one teaches. Labels of one id are combined by maximum of toxic and minimum of quality;
     rows with a null id or label do not teach. The model is bounded by ``MODEL_FEATURES``.
+
+    Features only accuse. What it says for a text that it has none of them, or few for its length, the
+    texts tell that taught no weights: by bin of score and length the sure log ratio of their shares among bad and other texts.
     """
     ship_package(docs.sparkSession)
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic")).na.drop()
@@ -98,7 +107,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> dict:
     # Copies would pass the words of one text off as typical, so one of those alike teaches.
     alike = texts.join(drawn, "doc_id").mapInArrow(_resemblance, "doc_id long, low int, toxic int, like long")
     one_each = stage(alike.groupBy("like", "low", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "low", "toxic"), "taught")
-    taught = texts.join(F.broadcast(one_each) if share * total <= 2 * LABELLED_ROWS else one_each, "doc_id")
+    labelled = texts.join(F.broadcast(one_each) if share * total <= 2 * LABELLED_ROWS else one_each, "doc_id")
+    calibrating = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(CALIBRATING)) == 0
+    taught = labelled.where(~calibrating)
     counted = taught.select("text", "low", "toxic").mapInArrow(_count_features, "feature binary, n long, n_low long, n_toxic long")
     counted = stage(counted.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", "n_low", "n_toxic")]), "feature-counts")
     # Every text has one share of each kind, so their counts sum to the rows taught.
@@ -112,24 +123,64 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> dict:
     scored = counted.select("feature", weights[0].alias("low"), weights[1].alias("toxic")).where("low > 0 or toxic > 0")
     best = scored.orderBy(F.greatest("low", "toxic").desc(), "feature").limit(MODEL_FEATURES)
     model["weights"] = {bytes(r.feature): (r.low, r.toxic) for r in best.collect()}
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    told = labelled.where(calibrating).select("low", "toxic", F.col("text").alias("_text"))
+    told = stage(told.mapInArrow(_evidence(shared), "low int, toxic int, low_score double, toxic_score double, size long"), "calibration")
+    model["cells"] = {kind: _cells(told, kind) for kind in ("low", "toxic")}
     return model
 
 
+def _bin(value: Column, bounds: tuple) -> Column:
+    return sum((F.when(value > bound, 1).otherwise(0) for bound in bounds), F.lit(0))
+
+
+def _cells(told: DataFrame, kind: str) -> dict[tuple[int, int], float]:
+    """Of each bin of length and score, if surely below 0, the log ratio of bad to other texts in it among those of its length.
+
+    Lengths with few bad or few other texts take the ratios of all lengths.
+    """
+    bins = told.groupBy(_bin(F.col("size"), SIZES).alias("size"), _bin(F.col(f"{kind}_score"), SCORES).alias("score"))
+    counts = {(r["size"], r.score): (r.bad, r.n - r.bad) for r in bins.agg(F.sum(kind).alias("bad"), F.count("*").alias("n")).collect()}
+    out = {}
+    for size in range(len(SIZES) + 1):
+        own = {cell: n for cell, n in counts.items() if cell[0] == size}
+        pool = own if min((sum(n[i] for n in own.values()) for i in (0, 1)), default=0) >= FEW else counts
+        all_bad, all_other = (sum(n[i] for n in pool.values()) for i in (0, 1))
+        for score in range(len(SCORES) + 1):
+            bad, other = (sum(n[i] for (_, s), n in pool.items() if s == score) for i in (0, 1))
+            ratio = log((bad + 0.5) / (all_bad + 1)) - log((other + 0.5) / (all_other + 1))
+            sure = ratio + MARGIN * (1 / (bad + 0.5) + 1 / (other + 0.5)) ** 0.5
+            if sure < 0:
+                out[size, score] = sure
+    return out
+
+
+def _weighed(model: dict, kind: str) -> Column:
+    """A text's evidence: its score, unless texts of its length with such a score are surely seldom bad; then how seldom."""
+    score, out = F.col(f"{kind}_score"), F.col(f"{kind}_score")
+    for (size, bin_), ratio in sorted(model.get("cells", {}).get(kind, {}).items()):
+        out = F.when((_bin(F.col("size"), SIZES) == size) & (_bin(score, SCORES) == bin_), F.lit(ratio)).otherwise(out)
+    return out.alias(f"{kind}_evidence")
+
+
 def _evidence(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = model.value["weights"]
         for batch in batches:
-            low, toxic = [], []
+            low, toxic, sizes = [], [], []
             for text in batch.column("_text"):
                 a = b = 0.0
-                for feature in features(text.as_py() or b"") & weights.keys():
+                found = features(text.as_py() or b"")
+                for feature in found & weights.keys():
                     x, y = weights[feature]
                     a += x
                     b += y
                 low.append(a)
                 toxic.append(b)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(low, pa.float64()), pa.array(toxic, pa.float64())],
-                                             names=[*batch.schema.names[:-1], "low_evidence", "toxic_evidence"])
+                sizes.append(len(found))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(low, pa.float64()), pa.array(toxic, pa.float64()), pa.array(sizes, pa.int64())],
+                names=[*batch.schema.names[:-1], "low_score", "toxic_score", "size"])
     return run
 
 
@@ -188,8 +239,12 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str], host: Column | No
     host = F.col("source").cast("string") if host is None else host
     path = F.col("lang").cast("string") if path is None else path
     rows = docs.select(*keep, host.alias("_host"), path.alias("_path"), F.col("text").cast("binary").alias("_text"))
-    schema = rows.drop("_text").schema.add("low_evidence", "double").add("toxic_evidence", "double")
-    scored = stage(rows.mapInArrow(_evidence(shared), schema), "evidence")
+    own = rows.drop("_text").columns
+    renamed = rows.select(*[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(own)], "_text")
+    schema = renamed.drop("_text").schema.add("low_score", "double").add("toxic_score", "double").add("size", "long")
+    scored = renamed.mapInArrow(_evidence(shared), schema)
+    evidence = [_weighed(model, kind) for kind in ("low", "toxic")]
+    scored = stage(scored.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(own)], *evidence), "evidence")
     rates = site_rates(scored, model["prior"])
     rates = _small(stage(rates.withColumnRenamed("_host", "_h").withColumnRenamed("_path", "_p"), "site-rates"), F.octet_length("_h") + F.octet_length("_p") + 40)
     joined = scored.join(rates, F.col("_host").eqNullSafe(F.col("_h")) & F.col("_path").eqNullSafe(F.col("_p")))

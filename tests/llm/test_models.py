@@ -2,8 +2,9 @@
 
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from itertools import product
+from math import exp, log
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,6 +126,69 @@ def test_rates_shrink_sparse_sites(spark):
     assert (None, None) in rates and all(0 < r.low_rate < 1 for r in rates.values())
 
 
+def brute_rates(rows, prior):
+    """(host, path) to the posterior rate of one kind, from (host, path, evidence)."""
+    sigmoid = lambda x: 1 / (1 + exp(-x))
+    paths = defaultdict(lambda: [0, 0.0])
+    for host, path, evidence in rows:
+        paths[host, path][0] += 1
+        paths[host, path][1] += sigmoid(evidence + prior)
+    hosts = defaultdict(lambda: [0, 0.0])
+    for (host, _), (n, bad) in paths.items():
+        hosts[host][0] += n
+        hosts[host][1] += bad
+    mean = sum(bad for _, bad in hosts.values()) / len(rows)
+    mean = min(max(mean, 0.5 / (len(rows) + 1)), (len(rows) + 0.5) / (len(rows) + 1))
+
+    def worth(groups):
+        """(n, rate, around)"""
+        total = sum(n for n, *_ in groups)
+        between = (sum(n * (rate - around) ** 2 for n, rate, around in groups) - sum(a * (1 - a) for *_, a in groups)) / total
+        within = sum(n * a * (1 - a) for n, _, a in groups) / total
+        return min(max(within / between - 1, 1.0), 1e6) if between > 0 else 1e6
+
+    k = worth([(n, bad / n, mean) for n, bad in hosts.values()])
+    of_host = {h: (bad + k * mean) / (n + k) for h, (n, bad) in hosts.items()}
+    k = worth([(n, bad / n, of_host[h]) for (h, _), (n, bad) in paths.items()])
+    return {(h, p): (bad + k * of_host[h]) / (n + k) for (h, p), (n, bad) in paths.items()}
+
+
+def test_posterior_by_brute_force(spark, monkeypatch):
+    """Rates of paths, and the probability of each document from them and its own evidence."""
+    rows, labels = corpus()
+    rows = [(i, t, "en" if i % 4 else "fr", h if i % 9 else None) for i, t, _, h in rows]
+    fitted = site_quality.fit(documents(spark, rows), labelled(spark, labels))
+    evidence = {}
+    for i, text, lang, host in rows:
+        found = site_quality.features(text.encode())
+        evidence[i] = []
+        for k, kind in enumerate(("low", "toxic")):
+            score = sum(fitted["weights"].get(f, (0.0, 0.0))[k] for f in found)
+            cell = sum(len(found) > b for b in site_quality.SIZES), sum(score > b for b in site_quality.SCORES)
+            evidence[i].append(fitted["cells"][kind].get(cell, score))
+    assert any(e[0] < 0 for e in evidence.values()) and any(e[0] > 0 for e in evidence.values())
+    rates = [brute_rates([(h, g, evidence[i][k]) for i, _, g, h in rows], fitted["prior"][k]) for k in (0, 1)]
+    got = {r.doc_id: (r.p_low, r.p_toxic) for r in site_quality.site_quality(documents(spark, rows), labelled(spark, labels)).collect()}
+    for i, _, lang, host in rows:
+        for k in (0, 1):
+            rate = rates[k][host, lang]
+            assert got[i][k] == pytest.approx(1 / (1 + exp(-evidence[i][k] - log(rate / (1 - rate)))), rel=1e-6)
+
+
+def test_clean_documents_of_a_bad_source_stay(spark):
+    """A source that is four fifths junk: the site accuses, but a text without marks of junk speaks for itself, long ones too."""
+    rows, labels = corpus()
+    for i in range(1000, 1500):
+        junk = i % 5 != 0
+        text = prose(i, 900 if i % 50 == 0 else 60)
+        rows.append((i, " ".join(w + "%%%" for w in text.split()) if junk else text, "en", "bad"))
+        if i % 2:
+            labels.append((i, int(not junk), 0))
+    got = {r.doc_id: r for r in site_quality.site_quality(documents(spark, rows), labelled(spark, labels)).collect()}
+    wrong = [i for i in range(1000, 1500) if got[i].rejected != (i % 5 != 0)]
+    assert wrong == [], [(i, got[i]) for i in wrong][:3]
+
+
 def test_quality_of_messy_rows(spark):
     labels = labelled(spark, [(1, 1, 0), (2, 0, 0), (None, 0, 1), (3, None, 1), (1, 1, 0), (999, 0, 1)])
     got = site_quality.site_quality(documents(spark), labels).collect()
