@@ -156,6 +156,20 @@ def cleaning_report(raw: DataFrame) -> DataFrame:
     )
 
 
+def grouped_report(raw: DataFrame, splits: DataFrame) -> DataFrame:
+    """Rows by category, split and reject reason: each pair with category, each alone, and all; one pass, one shuffle of sums.
+
+    ``grouping`` is Spark's grouping id: a bit for each of the three that is summed over, so that a null that is
+    meant (no reason: kept; no split: not in the dataset) is told from one that is not.
+    """
+    rows = label_rejects(raw).select("product_id", "category", F.col("reject_reason").alias("reason"))
+    rows = rows.join(splits.select("product_id", "split"), "product_id", "left")
+    sets = [["category", "split"], ["category", "reason"], ["category"], ["split"], ["reason"], []]
+    keyed = [[F.col(c) for c in columns] for columns in sets]
+    return rows.groupingSets(keyed, "category", "split", "reason").agg(
+        F.grouping_id().cast("bigint").alias("grouping"), F.count("*").alias("items")).select("grouping", "category", "split", "reason", "items")
+
+
 def before_after_sample(raw: DataFrame) -> DataFrame:
     """The first surviving row: raw price and text head beside the cleaned ones."""
     heads = F.concat(joined_list(raw, "description"), joined_list(raw, "features"))

@@ -96,6 +96,17 @@ def cleaning_report(spark, sf_dir):
     return cleaning.cleaning_report(views.raw_listing(spark, sf_dir))
 
 
+@query("c11_grouped_report", """
+    select grouping_id(category, split, reason) as grouping, category, split, reason, count(*) as items
+    from (select category, split, case when price_value is null then 'unparseable_price'
+            when price_value not between 0.50 and 999.49 then 'price_out_of_range'
+            when length(text) < 300 then 'text_too_short' end as reason
+          from texted left join (select product_id, split from product_split) using (product_id))
+    group by grouping sets ((category, split), (category, reason), (category), (split), (reason), ())""", "texted product_split")
+def grouped_report(spark, sf_dir):
+    return cleaning.grouped_report(views.raw_listing(spark, sf_dir), views.product_split(spark, sf_dir))
+
+
 @query("c12_before_after_sample", """
     select product_id, price as raw_price,
       substr(array_to_string(description, ' ') || array_to_string(features, ' '), 1, 200) as raw_text,

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from pricewright.functions.deals import discount, ensemble_price
 from pricewright.operators import dealing, evaluation
+from pricewright.operators.asof import asof_join
 from pricewright.session import stage_path
-from pricewright.streaming.deals import read_deals, read_scored, stream_deals
+from pricewright.streaming.deals import read_deals, read_scored, stream_deals, stream_first_alerts
 
 from . import views
 from .evaluation_queries import _results
@@ -68,6 +69,43 @@ def stream(spark, sf_dir):
         "deal_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "title", "price", "estimate", "discount", "url", "status")
 
 
+REPEAT_SECONDS = 3 * 86_400
+
+
+@query("a6_stream_first_alert", f"""
+    select deal_id, ts, price, url from (
+      with recursive alerts as (select deal_id, ts, price, url from judged where status = 'alert'),
+      sent as (
+        select url, min(struct_pack(ts := ts, deal_id := deal_id)) as at from alerts group by url
+        union all
+        select a.url, min(struct_pack(ts := a.ts, deal_id := a.deal_id)) as at
+        from sent s join alerts a on a.url = s.url and a.ts >= s.at.ts + interval {REPEAT_SECONDS} second group by a.url)
+      select a.* from alerts a join sent s on a.url = s.url and a.deal_id = s.at.deal_id and a.ts = s.at.ts)""", "judged")
+def stream_first_alert(spark, sf_dir):
+    """Deals arrive in three runs of the stream, in the order of their times."""
+    deals = views.deal(spark, sf_dir)
+    source, scored, checkpoint = (stage_path(spark, name) for name in ("deals-in-order", "first-alerts", "first-checkpoint"))
+    cuts = [r for (r,) in deals.select(F.explode(F.percentile_approx(F.unix_micros("ts"), [0.33, 0.67]))).collect()]
+    moment = F.unix_micros("ts")
+    parts = [moment <= cuts[0], (moment > cuts[0]) & (moment <= cuts[1]), moment > cuts[1]] if cuts else [F.lit(True)]
+    for part in parts:
+        deals.where(part).write.mode("append").parquet(source)
+        stream_first_alerts(read_deals(spark, source), scored, checkpoint, REPEAT_SECONDS).awaitTermination()
+    return spark.read.parquet(scored).select("deal_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "price", "url")
+
+
+@query("a2_asof_estimate", """
+    select l.deal_id, l.url, l.ts, r.estimate as estimate, r.deal_id as estimate_of
+    from (select * from judged where deal_id % 2 = 1) l asof left join (select * from judged where deal_id % 2 = 1 and deal_id % 3 <> 0) r
+    on l.url = r.url and l.ts >= r.ts""", "judged")
+def asof_estimate(spark, sf_dir):
+    """The last estimate of the same page, no later than the deal."""
+    judged = dealing.score_deals(views.deal(spark, sf_dir)).where("deal_id % 2 = 1")
+    estimates = judged.where("deal_id % 3 <> 0").select("url", "ts", "estimate", F.col("deal_id").alias("estimate_of"))
+    deals = judged.select("deal_id", "url", "ts")
+    return asof_join(deals, estimates, ["url"], "ts", ["estimate", "estimate_of"], tie="estimate_of").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query("a7_price_interval", """
     select item_id, model_name, round(greatest(0.0, predicted - mae), 6) as low, round(predicted + mae, 6) as high
     from scored join results using (model_name)""", "scored results")
