@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType
 
 from ..constants import EVALUATION_SIZE, GOOD_ERROR, QUICK_TEST_ROWS, SEED
 from ..functions.numbers import absolute_error, parse_number_output, parse_output, price_interval
+from ..session import stage
 from .cleaning import percent
 from .ranking import head_subset, uniform_sample
 
@@ -30,7 +31,8 @@ def sampled_outputs(
     outputs: DataFrame, items: DataFrame | None = None, sample_size: int = EVALUATION_SIZE, seed: int = SEED
 ) -> DataFrame:
     """The outputs of the min(sample_size, n) items that every model is judged on."""
-    pool = outputs.select("item_id").distinct() if items is None else items.select("item_id")
+    # The draw reads its pool three times.
+    pool = stage(outputs.select("item_id").distinct(), "evaluation-pool") if items is None else items.select("item_id")
     return _of_items(outputs, uniform_sample(pool, sample_size, "item_id", seed))
 
 
