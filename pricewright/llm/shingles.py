@@ -17,8 +17,10 @@ ALIKE = (4, 5)
 BANDS, HASHES = 40, 8
 #: Shingles hashed together and texts sent together, so that long texts need no more memory.
 AT_ONCE, TEXTS_AT_ONCE = 4096, 256
-#: So many pairs with one leader share a copy of its shingles, in a key of their own. Leaders grow by this factor from round to round.
-PAIRS_PER_COPY, MORE_LEADERS = 128, 4
+#: So many pairs with one leader share a copy of its shingles, in a key of their own.
+PAIRS_PER_COPY = 128
+#: Members outside a bucket's largest component all lead if they are no more than that; of larger buckets about so many members do. Both grow by a factor.
+ALL_LEAD, SOME_LEAD, MORE_LEAD = 64, 16, 16
 SEED = 42
 
 _draw = np.random.default_rng(SEED)
@@ -116,10 +118,10 @@ def alike_roots(rows: DataFrame, sources: DataFrame, links: DataFrame) -> DataFr
 
     ``rows`` is stored, with ``_id``, ``_text_id``, ``_fp`` (the node), ``_size`` and ``_bands``; ``sources`` holds ``_id``, ``_text_id`` and ``_text``.
 
-    Texts that agree in one band of minima meet in its bucket. Each is first compared with the bucket's first. In buckets that
-    are not of one component by then, more members are drawn as leaders, four times as many in each round, until
-    all members have been; a leader is compared with those members that are in another component. So a bucket of
-    copies costs no more than its size, and no pair of a bucket is left out unless it is linked already.
+    Texts that agree in one band of minima meet in its bucket; of buckets with the same texts one is kept. Each text is first compared with the bucket's
+    first. A pair that is not linked by then has a member outside the bucket's largest component, so
+    once all of these have been compared with the members of other components, no pair of the bucket is left out. Where they are many,
+    some members drawn as leaders are compared first, which leaves fewer outside; so a bucket of copies costs no more than its size.
     Pairs are only made of texts whose numbers of shingles let them be alike.
     """
     links = stage(links.select("a", "b").distinct(), "near-links")
@@ -127,7 +129,8 @@ def alike_roots(rows: DataFrame, sources: DataFrame, links: DataFrame) -> DataFr
         F.min("_id").alias("_id"), F.first("_fp").alias("node"), F.first("_size").alias("size"), F.first("_bands").alias("bands"))
     texts = stage(texts.withColumn("row", F.monotonically_increasing_id()), "distinct-texts")
     filed = texts.select("row", F.explode("bands").alias("band"))
-    buckets = filed.groupBy("band").agg(F.count("*").alias("n"), F.min("row").alias("first")).where("n > 1")
+    buckets = filed.groupBy("band").agg(F.count("*").alias("n"), F.min("row").alias("first"), F.bit_xor(F.xxhash64("row")).alias("all")).where("n > 1")
+    buckets = buckets.groupBy("n", "first", "all").agg(F.min("band").alias("band")).drop("all")
     met = stage(filed.join(buckets, "band"), "band-members")
     met = stage(met.join(texts.select("row", "node", "size"), "row"), "sized-members")
 
@@ -138,20 +141,22 @@ def alike_roots(rows: DataFrame, sources: DataFrame, links: DataFrame) -> DataFr
 
     members = met.withColumns({"root": F.col("node"), "leads": F.col("row") == F.col("first")})
     found = _verified(_met(members.where("leads"), members), sets, texts)
-    links, done, roots = links.unionByName(found), 0, None
+    links, limit, some = links.unionByName(found), ALL_LEAD, SOME_LEAD
     while True:
-        if roots is None:
-            roots = kept(rows.sparkSession, "component-roots", lambda: components(links))
-        rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = rooted.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most")
-        # A bucket whose members have all led is done, however many components it holds.
-        met = stage(rooted.join(mixed.select("band"), "band").where(F.col("n") > done), "apart-members")
-        if met.isEmpty():
+        roots = kept(rows.sparkSession, "component-roots", lambda: components(links))
+        if met is None:
             return roots
+        rooted = stage(met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted-members")
+        sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("size"))
+        tops = sizes.groupBy("band").agg(F.max(F.struct("size", "root")).alias("top"), (F.sum("size") - F.max("size")).alias("outside")).where("outside > 0")
+        members = stage(rooted.join(tops, "band"), "mixed-members")
         drawn = F.pmod(F.xxhash64("band", "row"), F.lit(1 << 32)) / F.lit(float(1 << 32)) * F.col("n")
-        before, done = done, max(1, done) * MORE_LEADERS
-        members = met.withColumn("leads", (drawn >= before) & (drawn < done) & (F.col("row") != F.col("first")))
+        few = F.col("outside") <= limit
+        members = members.withColumn("leads", F.when(few, F.col("root") != F.col("top.root")).otherwise(drawn < some))
         found = _verified(_met(members.where("leads"), members), sets, texts)
-        met = met.drop("root")
-        if not found.isEmpty():
-            links, roots = links.unionByName(found), None
+        met = members.where(~few).select(*met.columns)
+        if met.isEmpty():
+            if found.isEmpty():
+                return roots
+            met = None
+        links, limit, some = links.unionByName(found), limit * MORE_LEAD, some * MORE_LEAD

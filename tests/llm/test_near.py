@@ -144,6 +144,52 @@ def test_nearest_recall(spark):
         assert all(abs(exact.get(i, s) - s) < 1e-9 for i, s in hits.values())
 
 
+def kinds_of_vectors():
+    draw = np.random.default_rng(7)
+    centres = draw.normal(size=(40, 32)) * 3
+    one_long = draw.normal(size=(3000, 32))
+    one_long[17] *= 100
+    return {
+        "random": draw.normal(size=(3000, 32)),
+        "clustered": centres[draw.integers(0, 40, 3000)] + draw.normal(size=(3000, 32)) * 0.15,
+        "one long vector": one_long,
+        "lengths of all sizes": draw.normal(size=(3000, 32)) * np.exp(draw.normal(size=(3000, 1)) * 2),
+    }
+
+
+@pytest.mark.parametrize("kind", kinds_of_vectors())
+def test_recall_and_share_verified_by_kind(kind):
+    vectors = kinds_of_vectors()[kind]
+    ids = np.arange(len(vectors))
+    index = collisions.BlockIndex(ids, vectors, seed=11)
+    hits = verified = 0
+    for q in range(0, 3000, 50):
+        found, scores, n = index.search(q, vectors[q], 20)
+        products = vectors @ vectors[q]
+        products[q] = -np.inf
+        hits += len(set(np.argsort(-products)[:20]) & set(found.tolist()))
+        verified += n
+        assert np.allclose(scores, products[found])
+    recall, share = hits / (60 * 20), verified / (60 * 3000)
+    print(kind, "recall", round(recall, 3), "verified", round(share, 3))
+    assert recall >= 0.95
+    if kind in ("clustered", "lengths of all sizes"):
+        assert share < 0.5
+
+
+def test_blocks_in_any_order(spark, monkeypatch):
+    """Many small blocks and small batches find the same as one block's exact search of few vectors."""
+    draw = np.random.default_rng(6)
+    rows = [(i, (draw.normal(size=8)).tolist()) for i in range(400)] + [(1000 + i, draw.normal(size=5).tolist()) for i in range(40)]
+    monkeypatch.setattr(collisions, "BLOCK", 50)
+    got = {}
+    for r in collisions.nearest(vectors(spark, rows), k=3).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    want = {q: hits for part in (rows[:400], rows[400:]) for q, hits in brute_nearest(part, k=3).items()}
+    found = sum(len({i for i, _ in want[q]} & {i for _, i in got[q]}) for q in want)
+    assert got.keys() == want.keys() and found >= 0.9 * 3 * len(want)
+
+
 def test_nearest_ties_few_and_bad(spark):
     same = [1.0, 2.0]
     rows = [(20, same), (5, same), (3, same), (4, [float("nan"), 1.0]), (6, [0.0, 0.0]), (7, None), (8, [1.0, None]), (9, [float("inf"), 0.0]), (40, [2.0, 2.0, 2.0]), (None, same), (60, [-1.0, 0.5]), (80, [0.0, 0.0])]
