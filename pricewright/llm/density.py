@@ -1,6 +1,7 @@
 """Main text of web pages by composite text density."""
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from math import e, log
@@ -10,7 +11,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from .base import fresh, ship_package
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S)
+#: Every "<" with a letter behind it makes a token, at worst up to the end of the page, so that no part of a page is scanned twice.
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))|[^>])*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe object svg canvas audio video select".split())
@@ -20,8 +24,9 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-#: Elements that are no article text, and names of classes, ids and roles that make one a candidate.
-DROPPED = frozenset("nav footer aside form menu button fieldset dialog head search label input".split())
+#: Elements that are no article text; those that are none unless their text says otherwise, and names of classes, ids and roles that make one such a candidate.
+DROPPED = frozenset("button head label input".split())
+CANDIDATES = frozenset("nav footer aside form menu fieldset dialog search".split())
 WORDS_OF_FURNITURE = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary contentinfo cookie cookies "
     "disqus footer masthead menu menubar nav navbar navigation newsletter notice notices pagination popup promo promoted "
@@ -33,34 +38,41 @@ CLOSED_BY = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
              "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 HEADLINES = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 SCOPES = frozenset("table td th caption button".split())
+#: For each tag of CLOSED_BY the number of its kind, and which kinds a tag belongs to.
+KINDS = {tag: i for i, tag in enumerate(CLOSED_BY)}
+KINDS_OF = {tag: [i for of, i in KINDS.items() if tag in CLOSED_BY[of][0] | CLOSED_BY[of][1]] for ends in CLOSED_BY.values() for tag in ends[0] | ends[1]}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "dropped", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    """An element. ``block``, ``article`` and ``kinds`` are the nearest elements, itself or above, that are a block, an article or main, and of each kind of CLOSED_BY."""
+
+    __slots__ = ("tag", "parent", "parts", "dropped", "named", "chars", "tags", "link_chars", "link_tags", "density", "total", "block", "article", "kinds")
 
     def __init__(self, tag: str, parent: "Node | None", dropped: bool, named: bool = False):
         self.tag, self.parent, self.parts, self.dropped, self.named = tag, parent, [], dropped, named
+        self.block = self if tag in BLOCKS or parent is None else parent.block
+        self.article = self if tag in ("article", "main") else parent.article if parent is not None else None
+        self.kinds = (None,) * len(KINDS) if parent is None else parent.kinds
+        if tag in KINDS_OF:
+            self.kinds = tuple(self if i in KINDS_OF[tag] else k for i, k in enumerate(self.kinds))
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _is_named(tag: str, attributes: str) -> bool:
-    """Whether a class, id or role has a word of furniture."""
+def _is_named(tag: str, attributes: str, parent: Node) -> bool:
+    """Whether its tag, or a word of a class, id or role, says that an element may be furniture."""
+    # A header inside the article holds its title; the page's own holds the menu.
+    if tag in CANDIDATES or tag == "header" and parent.article is None:
+        return True
     if "=" not in attributes or tag in ("body", "html", "article", "main"):
         return False
     values = (value for name, value in ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id", "role"))
     return any(p.lower() in WORDS_OF_FURNITURE for value in values for p in NAME_PART.findall(value))
 
 
-def _is_furniture(tag: str, attributes: str, parent: Node) -> bool:
+def _is_hidden(tag: str, attributes: str) -> bool:
     if tag in DROPPED:
         return True
-    if tag == "header":
-        # A header inside the article holds its title; the page's own holds the menu.
-        while parent is not None and parent.tag not in ("article", "main"):
-            parent = parent.parent
-        if parent is None:
-            return True
     if "=" not in attributes and "hidden" not in attributes:
         return False
     for name, value in ATTRIBUTE.findall(attributes):
@@ -72,47 +84,73 @@ def _is_furniture(tag: str, attributes: str, parent: Node) -> bool:
     return False
 
 
+class _Open:
+    """The open elements of a page: the innermost, and how many of each tag are open, in all and since the last scope began.
+
+    An end tag without an open element costs nothing, and each element is closed once.
+    """
+
+    def __init__(self, root: Node):
+        self.root = self.node = root
+        self.all, self.scopes = Counter(), [Counter()]
+
+    def push(self, node: Node) -> None:
+        self.node = node
+        self.all[node.tag] += 1
+        if node.tag in SCOPES:
+            self.scopes.append(Counter())
+        self.scopes[-1][node.tag] += 1
+
+    def close(self, until: Node) -> None:
+        """Close all open elements up to ``until``, which stays open."""
+        while self.node is not until:
+            self.all[self.node.tag] -= 1
+            self.scopes[-1][self.node.tag] -= 1
+            if self.node.tag in SCOPES:
+                self.scopes.pop()
+            self.node = self.node.parent
+
+    def end(self, tag: str) -> None:
+        """Close the innermost element of a tag: of a block anywhere, of others within the innermost scope."""
+        if (self.all if tag in BLOCKS else self.scopes[-1])[tag]:
+            up = self.node
+            while up.tag != tag:
+                up = up.parent
+            self.close(up.parent)
+
+
 def parse(html: str) -> Node:
-    """The tree of a page, as far as its text needs it; unclosed and misnested elements are mended."""
-    root = node = Node("html", None, False)
+    """The tree of a page, as far as its text needs it; unclosed and misnested elements are mended. Linear in the page."""
+    root = Node("html", None, False)
+    opened = _Open(root)
     at, size, unclosed = 0, len(html), set()
     while at < size:
         match = TOKEN.search(html, at)
         if match is None:
-            node.parts.append(html[at:])
+            opened.node.parts.append(html[at:])
             break
         if match.start() > at:
-            node.parts.append(html[at:match.start()])
+            opened.node.parts.append(html[at:match.start()])
         at = match.end()
         closing, tag, attributes = match.groups()
         if tag is None:
             continue
         tag = tag.lower()
         if closing:
-            up = node
-            while up is not None and up.tag != tag:
-                up = up.parent if up.tag not in SCOPES or tag in BLOCKS else None
-            if up is not None and up is not root:
-                node = up.parent
+            opened.end(tag)
             continue
         if tag == "html":
             continue
-        if tag in BLOCKS:
+        if tag in BLOCKS and opened.node.block.tag == "p":
             # A block ends an open paragraph and what is open inside it.
-            up = node
-            while up is not None and up.tag != "p" and (up.tag not in BLOCKS):
-                up = up.parent
-            if up is not None and up.tag == "p":
-                node = up.parent
+            opened.close(opened.node.block.parent)
         if tag in CLOSED_BY:
-            ended, holders = CLOSED_BY[tag]
-            up, last = node, None
-            while up is not None and up.tag not in holders:
-                if up.tag in ended:
-                    last = up
-                up = up.parent
+            (ended, _), kind, last = CLOSED_BY[tag], KINDS[tag], None
+            up = opened.node.kinds[kind]
+            while up is not None and up.tag in ended:
+                last, up = up, up.parent.kinds[kind]
             if last is not None:
-                node = last.parent
+                opened.close(last.parent)
         if tag in RAW:
             if not attributes.rstrip().endswith("/") and tag not in unclosed:
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
@@ -123,10 +161,11 @@ def parse(html: str) -> Node:
                 else:
                     unclosed.add(tag)
             continue
-        child = Node(tag, node, _is_furniture(tag, attributes, node), _is_named(tag, attributes))
+        node = opened.node
+        child = Node(tag, node, _is_hidden(tag, attributes), _is_named(tag, attributes, node))
         node.parts.append(child)
         if tag not in VOID:
-            node = child
+            opened.push(child)
     return root
 
 
@@ -188,6 +227,18 @@ def _drop_named(root: Node) -> None:
             node.dropped = not (most or dense)
 
 
+def _drop_links(tops: list[Node], threshold: float) -> None:
+    """Inside an article drop the blocks that are mostly several links and, adjusted for them, less dense than the path from the body to the text."""
+    stack = list(tops)
+    while stack:
+        for part in stack.pop().parts:
+            if isinstance(part, Node) and not part.dropped:
+                if part.tag in BLOCKS and part.link_tags > 1 and 2 * part.link_chars > part.chars and part.density < threshold:
+                    part.dropped = True
+                else:
+                    stack.append(part)
+
+
 def _select(root: Node) -> list[Node]:
     """The subtrees that hold the article, in page order."""
     _drop_named(root)
@@ -209,10 +260,20 @@ def _select(root: Node) -> list[Node]:
         if up is body:
             break
         up = up.parent
+    if article is None:
+        # The best subtree may hold the article with what stands beside it.
+        held = [n for n in inside if n.article is n and n.chars]
+        largest = max(held, key=lambda n: n.chars - n.link_chars, default=None)
+        if largest is not None and 2 * (largest.chars - largest.link_chars) > best.chars - best.link_chars:
+            article = largest
     if article is not None:
+        chosen = [article]
         if article.tag == "article" and article.parent is not None:
-            return [n for n in article.parent.parts if isinstance(n, Node) and n.tag == "article" and not n.dropped and n.chars]
-        return [article]
+            # Of articles beside it those that are no mere links.
+            chosen = [n for n in article.parent.parts if isinstance(n, Node) and n.tag == "article" and not n.dropped and n.chars
+                      and (n is article or 2 * n.link_chars < n.chars)]
+        _drop_links(chosen, threshold)
+        return chosen
     # Blocks beside the best one are taken too where they are as dense as the path from the body to it, or headlines;
     # between the first and the last taken, all that are not mostly links.
     path = set()

@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import time
 
 import pytest
 
@@ -65,6 +66,46 @@ def test_articles_beside_each_other():
     assert density.main_text(html) == WANT + "\nThe second part of it."
 
 
+LONG = "<p>" + "Some words of the article that go on for a while. " * 5 + "</p>"
+
+
+def test_a_form_round_the_page_is_only_a_candidate():
+    page = f"<header><a href=x>The site's name</a></header><nav><a href=y>Menu of it</a></nav>%s<form><p>Write to us.</p></form><footer>foot</footer>"
+    for article in (f"<div>{LONG}{LONG}</div>", f"<article>{LONG}{LONG}</article>"):
+        text = density.main_text(f"<body><form id=whole>{page % article}</form></body>")
+        assert text.split("\n") == [" ".join(LONG[3:-4].split())] * 2
+
+
+def test_links_inside_and_beside_an_article():
+    links = "<div class=recommendations><ul><li><a href=x>Other story one</a><li><a href=y>Other story two</a></ul></div>"
+    for tag in ("main", "article"):
+        assert "Other story" not in density.main_text(f"<body>{FURNITURE}<{tag}>{LONG}{LONG}{links}</{tag}>{AFTER}</body>")
+    teaser = "<article><a href=x>Teaser of another article</a></article>"
+    assert "Teaser" not in density.main_text(f"<body>{FURNITURE}<article>{LONG}</article>{teaser}{AFTER}</body>")
+    # A source that is named by one link stays, as do links in running text.
+    assert density.main_text(f"<article>{LONG}<p><a href=x>The source</a></p></article>").endswith("The source")
+
+
+@pytest.mark.parametrize("part", [
+    ("<a ", 60_000, '"'), ('<a x="', 40_000, ""), ("<span>", 20_000, "</b>" * 40_000), ("<p>", 1, "<b>" * 20_000 + "<div>" * 20_000), ("<div>", 20_000, "<header></header>" * 12_000),
+    ("<ul><li><ul>", 1, "<div>" * 20_000 + "<li></li>" * 15_000), ("<li><ul>", 1, "<dl><dd>" * 15_000 + "<li></li>" * 15_000),
+    ("<span><table><td>", 1, "<i>" * 30_000 + "</span>" * 20_000), ("<", 200_000, ""), ("<!--", 50_000, ""), ("<svg>", 40_000, "</svg"), ("<script>", 20_000, ""),
+], ids=lambda p: p[0])
+def test_hostile_pages_take_no_square_of_their_length(part):
+    head, times, tail = part
+    begun = time.process_time()
+    assert isinstance(density.main_text(head * times + tail + "text"), str)
+    assert time.process_time() - begun < 5
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<p>it's <b title=it's>so</b> and</p>", "it's so and"), ("<article><a title='x > y'>in</a> out</article>", "in out"), ("<td><b>x</td></b>y", "x\ny"),
+    ("<b>x<table><td>in</b>side</td></table>", "x\ninside"), ("<ul><li>a<ul><li>b</ul><li>c</ul>", "a\nb\nc"),
+])
+def test_mending(html, want):
+    assert density.main_text(html) == want
+
+
 @pytest.mark.parametrize("html, want", [
     ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p></article>", "so x=1 holds"), ("<article><p>a<svg><p>b</article>", "a\nb"),
     ("<article><p>a</p><canvas><canvas><p>b</article>", "a\nb"), ("<article><p>a</p><script>x<p>b</article>", "a"), ("<article><p>a<svg><text>no</text></svg>b</article>", "ab"),
