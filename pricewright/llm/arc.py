@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .base import ship_package, stage, stage_path
 from .phrase_index import _small
 
-#: Records after which a file is full, and the smallest payload that a revisit may stand for.
-FILE_RECORDS, LEAST_PAYLOAD = 4096, 100
+#: Records and bytes after which a file is full, bytes of records handed on at once, and the smallest payload that a revisit may stand for.
+FILE_RECORDS, FILE_BYTES, BYTES_AT_ONCE, LEAST_PAYLOAD = 4096, 64 << 20, 8 << 20, 100
 #: The header lines of the two versions, as the formats define them.
 FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -47,38 +47,50 @@ def version_block(version: int, name: str) -> bytes:
     return arc_record(version, f"filedesc://{name}", "text/plain", body, filename=name)
 
 
-def _arc_lines(file_records: int):
-    """Records of (part, page_id, url, html), a version block before every file's."""
+def _arc_lines(file_records: int, file_bytes: int):
+    """Records of (part, page_id, url, html) with the number of their file and their place: a version block, then records as long as both bounds allow, one at least."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        written = 0
+        file, place, records, size = -1, 0, file_records, 0
+
+        def table(rows: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.binary(), pa.int64(), pa.int64()))], names=["value", "file", "place"])
+
         for batch in batches:
-            out = []
+            out, waiting = [], 0
             for part, page, url, html in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3)):
-                version, name = 1 + part % 2, f"part-{part}-{written // file_records}.arc"
-                if written % file_records == 0:
-                    out.append(version_block(version, name))
-                    written += 1
-                number = b"" if page is None else b"%d" % page
+                version, number = 1 + part % 2, b"" if page is None else b"%d" % page
                 head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n%b: %b\r\n\r\n" % (PAGE_HEADER, number)
-                out.append(arc_record(version, url or "-", "text/html", head + (html.as_py() or b""), filename=name))
-                written += 1
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+                body = head + (html.as_py() or b"")
+                if records >= file_records or size + len(body) > file_bytes and records > 1:
+                    file, records, size = file + 1, 0, 0
+                name = f"part-{part}-{file}.arc"
+                lines = ([version_block(version, name)] if records == 0 else []) + [arc_record(version, url or "-", "text/html", body, filename=name)]
+                for line in lines:
+                    out.append((line, file, place))
+                    place, records, size, waiting = place + 1, records + 1, size + len(line), waiting + len(line)
+                if waiting >= BYTES_AT_ONCE:
+                    yield table(out)
+                    out, waiting = [], 0
+            if out:
+                yield table(out)
     return run
 
 
-def _save(lines: DataFrame, path: str, separator: str, file_records: int) -> None:
-    lines.select(F.col("value").cast("string")).write.option("lineSep", separator).option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
+def _save(lines: DataFrame, path: str, separator: str, *by: str, **options) -> None:
+    lines.select(F.col("value").cast("string"), *by).write.option("lineSep", separator).option("compression", "gzip").options(**options).partitionBy(*by).text(path)
 
 
-def write_arc(pages: DataFrame, path: str, file_records: int = FILE_RECORDS) -> None:
-    """Write ``pages`` (page_id, url, html) as ARC files of ``file_records`` records at most, version 1 or 2 by partition.
+def write_arc(pages: DataFrame, path: str, file_records: int = FILE_RECORDS, file_bytes: int = FILE_BYTES) -> None:
+    """Write ``pages`` (page_id, url, html) as ARC files, version 1 or 2 by partition.
 
-    A null html is an empty body; a null url is written as a dash.
+    A file holds ``file_records`` records and ``file_bytes`` bytes at most, or a single page that is longer. The pages are not shuffled.
+    A null html is an empty body; a null url is written as a dash; null and repeated ids are records of their own.
     """
     ship_package(pages.sparkSession)
     rows = pages.select(F.spark_partition_id().alias("part"), F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string").cast("binary"))
-    _save(rows.mapInArrow(_arc_lines(file_records), "value binary"), path, "\n", file_records)
+    lines = rows.mapInArrow(_arc_lines(file_records, file_bytes), "value binary, file long, place long")
+    _save(lines.sortWithinPartitions("file", "place"), path, "\n", "file")
 
 
 def _open(content: bytes) -> BufferedReader:
@@ -200,7 +212,8 @@ def read_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+    # Files that one task wrote into different folders bear one name.
+    return files.select(F.array_join(F.slice(F.split("path", "/"), -2, 2), "/").alias("file"), "content")
 
 
 DIGESTS = "file string, offset long, page_id long, digest string, bytes long"
@@ -223,8 +236,15 @@ def _converted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for file, content, revisits in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
             originals = {r["offset"]: (r["page_id"], r["first_file"], r["first_offset"]) for r in revisits or ()}
-            lines = [warc_record(file, offset, header, block, originals.get(offset)) for offset, header, block in read_arc(content.as_py())]
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary())], names=["value"])
+            lines, size = [], 0
+            for offset, header, block in read_arc(content.as_py()):
+                lines.append(warc_record(file, offset, header, block, originals.get(offset)))
+                size += len(lines[-1])
+                if size >= BYTES_AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary())], names=["value"])
+                    lines, size = [], 0
+            if lines:
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary())], names=["value"])
 
 
 def convert_arc(spark: SparkSession, arc_path: str, warc_path: str, least_payload: int = LEAST_PAYLOAD, file_records: int = FILE_RECORDS) -> None:
@@ -245,7 +265,7 @@ def convert_arc(spark: SparkSession, arc_path: str, warc_path: str, least_payloa
     again = stage(again.groupBy("file").agg(F.collect_list(entry).alias("revisits")), "revisits")
     again = _small(again, F.size("revisits") * 120 + 80)
     joined = files.join(again, "file", "left").select("file", "content", "revisits")
-    _save(joined.mapInArrow(_converted, "value binary"), warc_path, "\r\n\r\n", file_records)
+    _save(joined.mapInArrow(_converted, "value binary"), warc_path, "\r\n\r\n", maxRecordsPerFile=file_records)
 
 
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, date string"
@@ -281,11 +301,16 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, path).mapInArrow(_records, RECORDS)
 
 
-def archive_pages(pages: DataFrame, file_records: int = FILE_RECORDS) -> DataFrame:
-    """Write ``pages`` as ARC, convert them to WARC, and read those back."""
+def archive_pages(pages: DataFrame, file_records: int = FILE_RECORDS, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Write ``pages`` as ARC, convert them to WARC, and read those back: page_id, payload_bytes, payload_digest, record_type and refers_to.
+
+    Null and empty html is an empty payload and always a response. Pages of one id are records each; of equal payloads the smallest id,
+    then file and place, is the response, and a null id only if there is no other. A page of any length is one
+    record, in a file of its own if it is longer than ``file_bytes``. No pages give no files and no rows.
+    """
     spark = pages.sparkSession
     arc, warc = stage_path(spark, "arc"), stage_path(spark, "warc")
-    write_arc(pages, arc, file_records)
+    write_arc(pages, arc, file_records, file_bytes)
     convert_arc(spark, arc, warc, file_records=file_records)
     return read_archives(spark, warc).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 

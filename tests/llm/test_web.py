@@ -189,3 +189,15 @@ def test_archive_in_small_files(spark, monkeypatch):
 
 def test_archive_of_nothing(spark):
     assert arc.archive_pages(pages(spark, [])).count() == 0
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    """Long pages fill files of their own, short ones share them, and all come back."""
+    rows = [(i, f"http://x/{i}", f"{i} " * (20_000 if i % 7 == 0 else 30)) for i in range(60)] + [(60, "u", None), (60, "u", ""), (None, None, "z" * 300_000)]
+    table = pages(spark, rows).repartition(3)
+    arc.write_arc(table, str(tmp_path / "arc"), file_bytes=50_000)
+    sizes = [len(gzip.open(p).read()) for p in (tmp_path / "arc").rglob("part-*.gz")]
+    assert len(sizes) > 10 and all(s < 52_000 or s > 55_000 and s < 310_000 for s in sizes)
+    got = arc.archive_pages(table, file_bytes=50_000).collect()
+    want = sorted(((i, len(h or ""), hashlib.sha256((h or "").encode()).hexdigest()) for i, _, h in rows), key=repr)
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest) for r in got), key=repr) == want
