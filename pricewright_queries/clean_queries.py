@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pricewright.functions.details import parse_details, serialize_details
 from pricewright.functions.numbers import parse_price, price_in_range, weight_pounds
 from pricewright.functions.text import collapse_whitespace, strip_part_numbers
-from pricewright.operators import cleaning, dedup, prompting
+from pricewright.operators import cleaning, dedup, ingest_dedup, prompting
 
 from . import views
 from .registry import query
@@ -127,6 +127,18 @@ def dedup_text(spark, sf_dir):
     return dedup.dedup_title_then_text(views.product(spark, sf_dir)).select("product_id", "title", "price", "text")
 
 
+@query("u2_dedup_ingests", "select product_id, title, price, text from unique_product", "unique_product")
+def dedup_ingests(spark, sf_dir):
+    """Three ingests, the second with rows of the first again, leave what one would."""
+    products = views.product(spark, sf_dir)
+    parts = [F.col("product_id") % 3 == 0, F.col("product_id") % 3 <= 1, F.col("product_id") % 3 == 2]
+    name = None
+    for part in parts:
+        name = ingest_dedup.ingest(spark, name, products.where(part))
+    left = ingest_dedup.ingested_survivors(ingest_dedup.read_index(spark, name))
+    return products.join(left, "product_id", "left_semi").select("product_id", "title", "price", "text")
+
+
 @query("u2_dedup_text_alone", f"""
     select product_id, doc_text as text from (
       select doc_id as product_id, text as doc_text,

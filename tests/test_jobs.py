@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from pricewright_queries import views
 from pricewright_queries.words import stop_words
 from pricewright import session
-from pricewright.operators import dealing, features, models
+from pricewright.operators import cleaning, dealing, dedup, features, ingest_dedup, models, splitting
+from pricewright.operators.asof import asof_join
 from pricewright.plans.leaderboard import rank_pricers
 from pricewright.plans.listings import publish_listings, split_listings
 from pricewright.plans.prompts import publish_prompts
-from pricewright.schemas import RAW_LISTING
+from pricewright.schemas import DEAL, RAW_LISTING
 from pricewright.session import stage, stage_root
 from pricewright.sources import catalog, datasets
-from pricewright.streaming.deals import read_deals, read_scored, stream_deals
+from pricewright.streaming.deals import read_deals, read_scored, stream_deals, stream_first_alerts
 
 
 def test_stages_live_in_the_shared_folder(spark):
@@ -332,3 +333,88 @@ def test_stream_equals_batch_and_resumes(spark, sf, tmp_path):
     assert sorted(map(tuple, scored.select(columns).collect())) == sorted(map(tuple, batch.select(columns).collect()))
     assert read_scored(spark, sink, "alert").count() == dealing.deal_alerts(deals).count()
     assert dealing.alert_summary(scored).first() == dealing.alert_summary(batch).first()
+
+
+def test_ingests_leave_what_one_would(spark):
+    rows = [(i, f"title {i % 40}" if i % 50 else None, f"text {i % 23}" if i % 9 else None, None) for i in range(400)]
+    schema = "product_id bigint, title string, text string, summary string"
+    whole = spark.createDataFrame(rows, schema)
+    want = {r.product_id for r in dedup.dedup_title_then_text(whole).collect()}
+    name = None
+    for part in (rows[:100], [], rows[50:300], rows[300:]):
+        name = ingest_dedup.ingest(spark, name, spark.createDataFrame(part, schema))
+    assert {r.product_id for r in ingest_dedup.ingested_survivors(ingest_dedup.read_index(spark, name)).collect()} == want
+    # The stored index is joined where it lies: one exchange, that of the new keys.
+    merged = ingest_dedup.merged_winners(ingest_dedup.read_index(spark, name), whole)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+
+
+def asof_brute(left, right, within=None):
+    out = []
+    for i, key, at in left:
+        older = [(t, v) for k, t, v in right if k == key and k is not None and t is not None and at is not None and t <= at]
+        best = max(older, default=(None, None))
+        out.append((i, best[1] if within is None or best[0] is None or (at - best[0]).total_seconds() <= within else None))
+    return out
+
+
+@pytest.mark.parametrize("bucket, within", [(86_400, None), (60, None), (7, 3600), (10**9, 60)])
+def test_asof_join(spark, bucket, within):
+    """One key with half of all rows, ties, null keys and times, and rows before any answer, in buckets of any width."""
+    import datetime
+    import random
+
+    draw, start = random.Random(4), datetime.datetime(2024, 1, 1)
+
+    def moment():
+        return None if draw.random() < 0.03 else start + datetime.timedelta(seconds=draw.randrange(20_000))
+
+    def key():
+        return "hot" if draw.random() < 0.5 else draw.choice(["a", "b", None])
+
+    left = [(i, key(), moment()) for i in range(300)]
+    right = [(key(), moment(), v) for v in range(200)]
+    right += [(k, t, v + 500) for k, t, v in right[:40]]
+    deals = spark.createDataFrame(left, "id int, url string, ts timestamp")
+    answers = spark.createDataFrame(right, "url string, ts timestamp, value int")
+    got = asof_join(deals, answers, ["url"], "ts", ["value"], within=within, bucket_seconds=bucket)
+    assert got.columns == ["id", "url", "ts", "value"]
+    assert sorted((r.id, r.value) for r in got.collect()) == sorted(asof_brute(left, right, within), key=lambda x: x[0])
+    assert asof_join(deals.limit(0), answers, ["url"], "ts", ["value"]).count() == 0
+    assert {r.value for r in asof_join(deals, answers.limit(0), ["url"], "ts", ["value"]).collect()} == {None}
+
+
+def test_alerts_of_a_page_are_not_repeated(spark, tmp_path):
+    """Repeats in one batch and over batches, a late deal, one too late, and a page heard of again after the wait."""
+    import datetime
+
+    start = datetime.datetime(2024, 1, 1)
+
+    def deals(*rows):
+        full = [(i, start + datetime.timedelta(minutes=m), "t", "d", price, url, 100.0, 100.0) for i, m, price, url in rows]
+        return spark.createDataFrame(full, DEAL)
+
+    batches = [
+        deals((1, 0, 10.0, "a"), (2, 30, 10.0, "a"), (3, 5, 90.0, "b"), (4, 20, 10.0, "b"), (5, 1, 10.0, None)),
+        deals((6, 90, 10.0, "a"), (7, 25, 10.0, "b"), (8, 100, 10.0, "c"), (9, 99, 10.0, "c")),
+        deals((10, 121, 10.0, "a"), (11, 300, 10.0, "b"), (12, 1, 10.0, "d")),
+    ]
+    source, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "check"))
+    for batch in batches:
+        batch.write.mode("append").parquet(source)
+        stream_first_alerts(read_deals(spark, source), out, checkpoint, 2 * 3600, late="1 hour").awaitTermination()
+    # 12 comes more than an hour behind 100 minutes; 3 is no alert.
+    assert sorted(r.deal_id for r in spark.read.parquet(out).collect()) == [1, 4, 9, 10, 11]
+
+
+def test_grouped_report_adds_up(spark, sf):
+
+    raw = views.raw_listing(spark, sf)
+    rows = cleaning.grouped_report(raw, views.product_split(spark, sf)).collect()
+    by_category = {r.category: r.items for r in rows if r.grouping == 3}
+    assert by_category == {r.category: r.raw_rows for r in cleaning.cleaning_report(raw).collect()}
+    assert {r.category: r.items for r in rows if r.grouping == 2 and r.reason is None} == {
+        r.category: r.kept for r in cleaning.cleaning_report(raw).collect() if r.kept}
+    assert {r.split: r.items for r in rows if r.grouping == 5 and r.split} == {r.split: r["items"] for r in splitting.split_report(views.product_split(spark, sf)).collect()}
+    assert [r["items"] for r in rows if r.grouping == 7] == [sum(by_category.values())]
