@@ -44,3 +44,21 @@ def deal_alerts(deals: DataFrame, threshold: float = ALERT_DISCOUNT) -> DataFram
 
 def alert_summary(scored: DataFrame) -> DataFrame:
     return scored.agg(F.count_if(F.col("status") == "alert").alias("alerts"), F.count("*").alias("deals"))
+
+
+def alerts_per_window(scored: DataFrame, width: str = "1 hour") -> DataFrame:
+    """Alerts and deals of every window of event time that had a deal. Works on streams with a watermark."""
+    return scored.groupBy(F.window("ts", width).alias("_window")).agg(
+        F.count_if(F.col("status") == "alert").alias("alerts"), F.count("*").alias("deals"),
+    ).select(F.col("_window.start").alias("start"), F.col("_window.end").alias("end"), "alerts", "deals")
+
+
+def alert_sessions(scored: DataFrame, gap: str = "1 day") -> DataFrame:
+    """Runs of alerts for one page that lie less than ``gap`` apart: when they begin, when ``gap`` has passed after the last, how many, the best discount.
+
+    Works on streams with a watermark. Alerts without page or time are in no session.
+    """
+    alerts = scored.where("status = 'alert' and url is not null and ts is not null")
+    return alerts.groupBy("url", F.session_window("ts", gap).alias("_session")).agg(
+        F.count("*").alias("alerts"), F.max("discount").alias("best_discount"),
+    ).select("url", F.col("_session.start").alias("start"), F.col("_session.end").alias("end"), "alerts", "best_discount")

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..constants import ALERT_DISCOUNT
-from ..operators.dealing import score_deals
+from ..operators.dealing import alert_sessions, alerts_per_window, score_deals
 from ..schemas import DEAL
 from ..session import ship_package
 
@@ -88,3 +88,20 @@ def stream_first_alerts(
 
     writer = first_alerts(deals, repeat_seconds, late).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def stream_alert_counts(
+    deals: DataFrame, path: str, checkpoint: str, window: str | None = "1 hour", gap: str = "1 day", late: str = "1 hour", available_now: bool = True
+) -> StreamingQuery:
+    """Store ``alerts_per_window`` of a stream under ``path``, or with ``window`` None its ``alert_sessions``.
+
+    A window is stored once, when the newest deal (a session: the newest alert) is ``late`` past its end; deals later than that are dropped.
+    """
+    scored = score_deals(deals).withWatermark("ts", late)
+    counts = alert_sessions(scored, gap) if window is None else alerts_per_window(scored, window)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = counts.writeStream.outputMode("append").foreachBatch(store).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -59,6 +59,25 @@ def alert_summary(spark, sf_dir):
     return dealing.alert_summary(dealing.score_deals(views.deal(spark, sf_dir)))
 
 
+@query("a5_alerts_per_hour", """
+    select time_bucket(interval 1 hour, ts) as start, time_bucket(interval 1 hour, ts) + interval 1 hour as "end",
+      count(*) filter (status = 'alert') as alerts, count(*) as deals from judged group by 1, 2""", "judged")
+def alerts_per_hour(spark, sf_dir):
+    windows = dealing.alerts_per_window(dealing.score_deals(views.deal(spark, sf_dir)))
+    return windows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+
+
+@query("a5_alert_sessions", """
+    select url, min(ts) as start, max(ts) + interval 2 day as "end", count(*) as alerts, max(discount) as best_discount from (
+      select *, sum(begins) over (partition by url order by ts, deal_id) as island from (
+        select *, case when ts - lag(ts) over (partition by url order by ts, deal_id) < interval 2 day then 0 else 1 end as begins
+        from judged where status = 'alert'))
+    group by url, island""", "judged")
+def alert_sessions(spark, sf_dir):
+    sessions = dealing.alert_sessions(dealing.score_deals(views.deal(spark, sf_dir)), "2 days")
+    return sessions.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+
+
 @query("a6_stream_deals", "select deal_id, ts, title, price, estimate, discount, url, status from judged", "judged")
 def stream(spark, sf_dir):
     source = stage_path(spark, "deals-arriving")

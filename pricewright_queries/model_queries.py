@@ -252,7 +252,10 @@ _SIGNAL_TERMS, _SIGNAL_ROUNDS = 4, 12
 def boosting_rounds(spark, sf_dir):
     """Boosting on a price that four words decide: every round lowers the train error, all together to a quarter, and the val error below that after the first."""
     leading = [r.term for r in _vocabulary(spark, sf_dir).orderBy(F.desc("occurrences"), "term").limit(_SIGNAL_TERMS).collect()]
-    amount = sum((20 * place * F.least(F.size(F.filter("tokens", lambda w, t=term: w == t)), F.lit(3)) for place, term in enumerate(leading, 1)), F.lit(100.0))
+    def count(term):
+        return F.size(F.filter("tokens", lambda word: word == term))
+
+    amount = sum((20 * place * F.least(count(term), F.lit(3)) for place, term in enumerate(leading, 1)), F.lit(100.0))
     rows = stage(_tokenized(spark, sf_dir).withColumn("price", amount).drop("tokens"), "signal")
     train, val = (rows.where(F.col("split") == name) for name in ("train", "val"))
     model = models.boosted_trees(train, _terms(spark, sf_dir), _SIGNAL_ROUNDS, rate=0.3, depth=4, validation=val, patience=_SIGNAL_ROUNDS).model

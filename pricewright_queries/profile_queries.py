@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from pricewright.functions.tokens import count_tokens
 from pricewright.operators import profiling
+from pricewright.operators.ranges import range_join
 
 from . import views
 from .registry import query
@@ -46,3 +47,17 @@ def token_histogram(spark, sf_dir):
 def category_profile(spark, sf_dir):
     return profiling.category_profile(views.product(spark, sf_dir)).withColumns({
         "mean_price": F.round("mean_price", 6), "mean_text_length": F.round("mean_text_length", 6)})
+
+
+@query("h1_price_bands", """
+    select p_partkey as band, count(product_id) as items, min(price) as least, max(price) as most
+    from (select p_partkey, p_size * 8.0::double as low, p_size * 8.0::double + case when p_partkey % 7 = 0 then 500 else p_size end as high from part)
+    left join product on price between low and high group by p_partkey""", "product")
+def price_bands(spark, sf_dir):
+    """Products by bands of price that overlap, short and long, one for each part."""
+    low = F.col("p_size") * F.lit(8.0)
+    bands = views.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("band"), low.alias("low"), (low + F.when(F.col("p_partkey") % 7 == 0, 500).otherwise(F.col("p_size"))).alias("high"))
+    met = range_join(views.product(spark, sf_dir).select("product_id", "price"), bands, "price", "low", "high", width=25.0)
+    counts = met.groupBy("band").agg(F.count("*").alias("items"), F.min("price").alias("least"), F.max("price").alias("most"))
+    return bands.select("band").join(counts, "band", "left").select("band", F.coalesce("items", F.lit(0)).alias("items"), "least", "most")

@@ -12,13 +12,14 @@ from pricewright_queries.words import stop_words
 from pricewright import session
 from pricewright.operators import cleaning, dealing, dedup, features, ingest_dedup, models, splitting
 from pricewright.operators.asof import asof_join
+from pricewright.operators.ranges import range_join
 from pricewright.plans.leaderboard import rank_pricers
 from pricewright.plans.listings import publish_listings, split_listings
 from pricewright.plans.prompts import publish_prompts
 from pricewright.schemas import DEAL, RAW_LISTING
 from pricewright.session import stage, stage_root
 from pricewright.sources import catalog, datasets
-from pricewright.streaming.deals import read_deals, read_scored, stream_deals, stream_first_alerts
+from pricewright.streaming.deals import read_deals, read_scored, stream_alert_counts, stream_deals, stream_first_alerts
 
 
 def test_stages_live_in_the_shared_folder(spark):
@@ -418,3 +419,40 @@ def test_grouped_report_adds_up(spark, sf):
         r.category: r.kept for r in cleaning.cleaning_report(raw).collect() if r.kept}
     assert {r.split: r.items for r in rows if r.grouping == 5 and r.split} == {r.split: r["items"] for r in splitting.split_report(views.product_split(spark, sf)).collect()}
     assert [r["items"] for r in rows if r.grouping == 7] == [sum(by_category.values())]
+
+
+def test_range_join(spark):
+    """Ranges of a point and of the whole line, ties at the ends, nulls, NaN, and as many points at one price as elsewhere."""
+    import random
+
+    draw = random.Random(9)
+    points = [(i, 42.0 if i % 2 else draw.choice([None, float("nan"), -3.5, draw.uniform(-50, 900)])) for i in range(200)]
+    ranges = [(j, low, low + draw.choice([0.0, 1.0, 7.0, 300.0, 5000.0])) for j in range(120) for low in [float(draw.randrange(-60, 900))]]
+    ranges += [(500, 42.0, 42.0), (501, None, 5.0), (502, 9.0, 1.0), (503, -1e9, 1e9), (504, 0.0, float("nan"))]
+    left, right = spark.createDataFrame(points, "id int, price double"), spark.createDataFrame(ranges, "band int, low double, high double")
+    want = sorted((i, j) for i, p in points for j, a, b in ranges if None not in (p, a, b) and p == p and b == b and a <= p <= b)
+    for width in (1.0, 64.0, 1e6):
+        met = range_join(left, right, "price", "low", "high", width)
+        assert sorted((r.id, r.band) for r in met.collect()) == want
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert range_join(left, right.limit(0), "price", "low", "high", 1.0).count() == 0
+
+
+def test_alerts_over_time(spark, tmp_path):
+    """Windows and sessions of a stream equal those of the batch, but for what is not over yet; a late deal still counts."""
+    import datetime
+
+    start = datetime.datetime(2024, 1, 1)
+    minutes = [0, 10, 70, 65, 200, 195, 420, 425, 900, 3000, 3001]
+    rows = [(i, start + datetime.timedelta(minutes=m), "t", "d", 10.0 if i % 3 else 95.0, f"u{i % 2}", 100.0, 100.0) for i, m in enumerate(minutes)]
+    batch = dealing.score_deals(spark.createDataFrame(rows, DEAL))
+    source = str(tmp_path / "in")
+    for part in (rows[:4], rows[4:7], rows[7:]):
+        spark.createDataFrame(part, DEAL).write.mode("append").parquet(source)
+        for name, window in (("windows", "1 hour"), ("sessions", None)):
+            stream_alert_counts(read_deals(spark, source), str(tmp_path / name), str(tmp_path / f"{name}-check"), window, gap="2 hours").awaitTermination()
+    last = start + datetime.timedelta(minutes=3001 - 60)
+    for name, whole in (("windows", dealing.alerts_per_window(batch)), ("sessions", dealing.alert_sessions(batch, "2 hours"))):
+        got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / name)).select(*whole.columns).collect())
+        assert got == sorted(tuple(r) for r in whole.where(F.col("end") <= F.lit(last)).collect()) and len(got) > 3
