@@ -183,14 +183,11 @@ def _histograms(state, first: int, level: int):
     return run
 
 
-def _grow(tree: Tree, level: int, sums: np.ndarray, counts: np.ndarray, starts: np.ndarray, rate: float, penalty: float, least: int, last: bool) -> bool:
-    """Split the nodes of a level where that gains; says whether any was. ``sums`` and ``counts`` are (node, cell)."""
+def _grow(tree: Tree, level: int, sums: np.ndarray, counts: np.ndarray, starts: np.ndarray, rate: float, penalty: float, least: int) -> bool:
+    """Split the nodes of a level where that gains, and value both sides; says whether any was. ``sums`` and ``counts`` are (node, cell)."""
     top, grown = (1 << level) - 1, False
     for node in np.flatnonzero(counts[:, -1]):
         whole_g, whole_n = sums[node, -1] / GRADIENT, counts[node, -1]
-        tree.value[top + node] = -rate * whole_g / (whole_n + penalty)
-        if last:
-            continue
         g, n = sums[node, :-1] / GRADIENT, counts[node, :-1]
         # Running sums within each feature; what lies in no bin has a count of 0 and goes left of all.
         running_g, running_n = np.cumsum(g), np.cumsum(n)
@@ -209,6 +206,9 @@ def _grow(tree: Tree, level: int, sums: np.ndarray, counts: np.ndarray, starts:
         if len(gain) and gain[best] > 1e-6:
             tree.feature[top + node], tree.bin[top + node] = feature[best], best - starts[feature[best]]
             tree.gain[top + node], grown = gain[best], True
+            below = 2 * (top + node) + 1
+            tree.value[below] = -rate * left_g[best] / (left_n[best] + penalty)
+            tree.value[below + 1] = -rate * right_g[best] / (right_n[best] + penalty)
     return grown
 
 
@@ -222,6 +222,8 @@ def fit_boosted_trees(
     gain the drop of that objective. With ``patience``, and held rows, the fit ends once so many rounds in a row have not
     lowered the held-out error, and keeps the trees up to the lowest; else all ``rounds`` are fitted. The result is the same at any partitioning.
     """
+    if depth < 1:
+        raise ValueError("a tree needs a split")
     spark = rows.sparkSession
     ship_package(spark)
     with scratch(spark):
@@ -247,7 +249,7 @@ def fit_boosted_trees(
 
         while True:
             tree, grown = Tree.of_depth(depth), True
-            for level in range(depth + 1):
+            for level in range(depth):
                 sums, counts, errors = level_sums(tree, level)
                 if level == 0:
                     train, held = max(int(counts[0, -1]), 1), errors.get(HELD_ROWS, 0)
@@ -257,7 +259,7 @@ def fit_boosted_trees(
                     if model.rounds == rounds or patience and held and model.rounds - best[1] >= patience:
                         grown = False
                         break
-                if not _grow(tree, level, sums, counts, starts, rate, penalty, least, level == depth):
+                if not _grow(tree, level, sums, counts, starts, rate, penalty, least):
                     grown = level > 0
                     break
             if not grown:
