@@ -19,8 +19,8 @@ BANDS, HASHES = 40, 8
 AT_ONCE, TEXTS_AT_ONCE = 4096, 256
 #: So many pairs with one leader share a copy of its shingles, in a key of their own.
 PAIRS_PER_COPY = 128
-#: Members outside a bucket's largest component all lead if they are no more than that; of larger buckets about so many members do. Both grow by a factor.
-ALL_LEAD, SOME_LEAD, MORE_LEAD = 64, 16, 16
+#: Of a bucket so many members are held in memory at most on average, while so many others at most pass by.
+HELD, PASSING = 64, 4096
 SEED = 42
 
 _draw = np.random.default_rng(SEED)
@@ -82,17 +82,72 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([row, made], names=["row", "set"])
 
 
-def _met(leaders: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a, b, n) of a leader and a member of one bucket, each once, that are in different components and not too unlike in size to be alike."""
+def _starred(members: DataFrame) -> DataFrame:
+    """Pairs (a, b, n) of a bucket's first and another of its n members, each once, that are not too unlike in size to be alike."""
     part, whole = ALIKE
-    led = leaders.select("band", F.col("row").alias("a"), F.col("size").alias("a_size"), F.col("root").alias("a_root"))
-    pairs = members.join(led, "band").where((F.col("root") != F.col("a_root")) & (~F.col("leads") | (F.col("a") < F.col("row"))))
+    first = members.where(F.col("row") == F.col("first")).select("band", F.col("row").alias("a"), F.col("size").alias("a_size"), F.col("node").alias("a_node"))
+    pairs = members.join(first, "band").where((F.col("row") != F.col("a")) & (F.col("node") != F.col("a_node")))
     pairs = pairs.where(F.least("size", "a_size") * whole >= F.greatest("size", "a_size") * part)
     return pairs.groupBy("a", F.col("row").alias("b")).agg(F.max("n").alias("n"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """The links (a, b) between the nodes of ``pairs`` whose texts are alike, stored.
+def _passed_by(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (band, chunk, piece, passes, row, root, outside, set), those of a group together and the held ones first, to the pairs (a, b) that are alike."""
+    part, whole = ALIKE
+    at, held, table = None, [], None
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in ("band", "chunk", "piece")))
+        facts = zip(keys, *(batch.column(c).to_pylist() for c in ("passes", "row", "root", "outside")), batch.column("set"))
+        found = []
+        for key, passes, row, root, outside, shingle_set in facts:
+            if key != at:
+                at, held, table = key, [], None
+            mine = shingle_set.values.to_numpy()
+            if not passes:
+                held.append((row, root, mine))
+                continue
+            if not held:
+                continue
+            if table is None:
+                rows, roots, sets = zip(*held)
+                sizes = np.array([len(x) for x in sets])
+                table = np.array(rows), np.array(roots), sizes, np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            rows, roots, sizes, flat, owner = table
+            common = np.bincount(owner[np.isin(flat, mine)], minlength=len(rows))
+            # Of two that are both held once each passes by the other.
+            alike = (common * (part + whole) >= (sizes + len(mine)) * part) & (roots != root) & ((rows < row) | (not outside))
+            found += [(int(x), row) for x in rows[alike]]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["a", "b"])
+
+
+def _compared(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The alike pairs (a, b) of members outside their bucket's largest component and members of other components.
+
+    Members outside are dealt to chunks, which are held, and all members to pieces, which pass by every chunk of their bucket;
+    pairs are compared where they meet, and only those that are alike leave the task.
+    """
+    pieces = F.ceil(F.col("n") / PASSING).cast("long")
+    chunks = F.ceil(F.col("outside") / HELD).cast("long")
+    outer = F.col("root") != F.col("top.root")
+    every = lambda number: F.explode(F.sequence(F.lit(0).cast("long"), number - 1))
+    facts = ["row", "root", outer.alias("outside")]
+    holds = members.where(outer).select("band", F.pmod(F.xxhash64("row"), chunks).alias("chunk"), every(pieces).alias("piece"), F.lit(False).alias("passes"), *facts)
+    passes = members.select("band", every(chunks).alias("chunk"), F.pmod(F.xxhash64("row", F.lit(1)), pieces).alias("piece"), F.lit(True).alias("passes"), *facts)
+    rows = holds.unionByName(passes).join(sets, "row").select("band", "chunk", "piece", "passes", "row", "root", "outside", "set")
+    key = ["band", "chunk", "piece"]
+    return rows.repartition(*key).sortWithinPartitions(*key, "passes").mapInArrow(_passed_by, "a long, b long")
+
+
+def _links(alike: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of rows as pairs of their nodes, stored."""
+    nodes = texts.select("row", "node")
+    ends = stage(alike, "alike-rows").join(nodes.select(F.col("row").alias("b"), F.col("node").alias("b_node")), "b")
+    ends = ends.join(nodes.select(F.col("row").alias("a"), F.col("node").alias("a_node")), "a")
+    return stage(ends.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).where("a != b").distinct(), "alike")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are alike.
 
     A leader of a large bucket has many pairs; they are dealt to as many copies of its shingles as that takes.
     """
@@ -106,11 +161,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     common = F.size(F.array_intersect("a_set", "b_set"))
     part, whole = ALIKE
     enough = common * (part + whole) >= (F.size("a_set") + F.size("b_set")) * part
-    alike = stage(dealt.join(heads, ["a", "level", "copy"]).join(tails, "b").where(enough).select("a", "b"), "alike-rows")
-    nodes = texts.select("row", "node")
-    ends = alike.join(nodes.select(F.col("row").alias("b"), F.col("node").alias("b_node")), "b")
-    ends = ends.join(nodes.select(F.col("row").alias("a"), F.col("node").alias("a_node")), "a")
-    return stage(ends.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).where("a != b").distinct(), "alike")
+    return dealt.join(heads, ["a", "level", "copy"]).join(tails, "b").where(enough).select("a", "b")
 
 
 def alike_roots(rows: DataFrame, sources: DataFrame, links: DataFrame) -> DataFrame:
@@ -120,9 +171,8 @@ def alike_roots(rows: DataFrame, sources: DataFrame, links: DataFrame) -> DataFr
 
     Texts that agree in one band of minima meet in its bucket; of buckets with the same texts one is kept. Each text is first compared with the bucket's
     first. A pair that is not linked by then has a member outside the bucket's largest component, so
-    once all of these have been compared with the members of other components, no pair of the bucket is left out. Where they are many,
-    some members drawn as leaders are compared first, which leaves fewer outside; so a bucket of copies costs no more than its size.
-    Pairs are only made of texts whose numbers of shingles let them be alike.
+    when all of these have been compared with the members of other components, no pair of the bucket is left out. A bucket of copies costs no
+    more than its size; of one with many members that are alike to few others the rows that move are its size times its chunks of ``HELD``.
     """
     links = stage(links.select("a", "b").distinct(), "near-links")
     texts = rows.where("_text_id is not null and _size > 0").groupBy("_text_id").agg(
@@ -139,24 +189,11 @@ def alike_roots(rows: DataFrame, sources: DataFrame, links: DataFrame) -> DataFr
     wanted = sources.join(needed, same).groupBy("row").agg(F.first("_text").alias("text"))
     sets = stage(wanted.mapInArrow(_shingle_sets, "row long, set array<long>"), "shingle-sets")
 
-    members = met.withColumns({"root": F.col("node"), "leads": F.col("row") == F.col("first")})
-    found = _verified(_met(members.where("leads"), members), sets, texts)
-    links, limit, some = links.unionByName(found), ALL_LEAD, SOME_LEAD
-    while True:
-        roots = kept(rows.sparkSession, "component-roots", lambda: components(links))
-        if met is None:
-            return roots
-        rooted = stage(met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted-members")
-        sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("size"))
-        tops = sizes.groupBy("band").agg(F.max(F.struct("size", "root")).alias("top"), (F.sum("size") - F.max("size")).alias("outside")).where("outside > 0")
-        members = stage(rooted.join(tops, "band"), "mixed-members")
-        drawn = F.pmod(F.xxhash64("band", "row"), F.lit(1 << 32)) / F.lit(float(1 << 32)) * F.col("n")
-        few = F.col("outside") <= limit
-        members = members.withColumn("leads", F.when(few, F.col("root") != F.col("top.root")).otherwise(drawn < some))
-        found = _verified(_met(members.where("leads"), members), sets, texts)
-        met = members.where(~few).select(*met.columns)
-        if met.isEmpty():
-            if found.isEmpty():
-                return roots
-            met = None
-        links, limit, some = links.unionByName(found), limit * MORE_LEAD, some * MORE_LEAD
+    links = links.unionByName(_links(_verified(_starred(met), sets), texts))
+    roots = kept(rows.sparkSession, "component-roots", lambda: components(links))
+    rooted = stage(met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted-members")
+    sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("size"))
+    tops = sizes.groupBy("band").agg(F.max(F.struct("size", "root")).alias("top"), (F.sum("size") - F.max("size")).alias("outside")).where("outside > 0")
+    mixed = stage(rooted.join(tops, "band"), "mixed-members")
+    found = _links(_compared(mixed, sets), texts)
+    return roots if found.isEmpty() else kept(rows.sparkSession, "component-roots", lambda: components(links.unionByName(found)))
