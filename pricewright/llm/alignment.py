@@ -24,7 +24,7 @@ from .base import ship_package, stage
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
 TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
 #: Chunks of the younger half of what a task remembers, bytes of text aligned together, and the most id pairs that are broadcast (17 bytes each).
-REMEMBERED, BYTES_AT_ONCE, HEAD_PAIRS, ROWS_AT_ONCE = 40_000, 1 << 20, 1_000_000, 1024
+REMEMBERED, BYTES_AT_ONCE, HEAD_PAIRS, ROWS_AT_ONCE = 80_000, 1 << 20, 1_000_000, 1024
 #: Places that no token of either kind reaches over: before a space or line end that stands alone between characters which are no white space, and before a stop.
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=[a-z])(?=[.,])")
 #: A piece of B that would reach over one.
