@@ -242,10 +242,10 @@ _SIGNAL_TERMS, _SIGNAL_ROUNDS = 4, 12
 
 
 @query("m13_boosting_rounds", f"""select * from ({_TERMS},
-    leading as (select term, row_number() over (order by occurrences desc, term) as place from vocabulary order by place limit {_SIGNAL_TERMS}),
+    heads as (select term, row_number() over (order by occurrences desc, term) as place from vocabulary order by place limit {_SIGNAL_TERMS}),
     target as (
       select product_id, 100.0::double + coalesce(sum(20 * place * least(n, 3)), 0) as price from tokenized
-      left join (select product_id, place, count(*) as n from bag join leading using (term) group by all) using (product_id)
+      left join (select product_id, place, count(*) as n from bag join heads using (term) group by all) using (product_id)
       where split = 'train' group by product_id)
     select count(*) as items, round(avg(price), 4) as base, {_SIGNAL_ROUNDS}::bigint as rounds, true as falling, true as quartered, true as beyond_first from target)""",
     "tokenized")
