@@ -272,7 +272,9 @@ def fit_boosted_trees(
                 data, first = more, model.rounds
         data.unpersist()
     if patience and best[0] < np.inf:
-        model.trees, model.errors = model.trees[:best[1]], model.errors[:best[1] + 1]
+        # One tree stays even if none has lowered the error.
+        rounds = max(best[1], 1)
+        model.trees, model.errors = model.trees[:rounds], model.errors[:rounds + 1]
     return model
 
 
