@@ -48,10 +48,26 @@ class Tree:
 
 
 @dataclass
-class BoostedTrees:
-    """A fitted ensemble; ``errors`` holds the root mean squared error on train and held-out rows before each round and after the last."""
+class Bins:
+    """The edges of the bins of each feature's counts."""
 
     edges: list[np.ndarray]
+
+    def bins(self, index: np.ndarray, values: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+        """A dense block of bin numbers: 0 for no count, else one more than the edges below the value."""
+        block = np.zeros((rows, len(self.edges)), np.uint8)
+        width = max(map(len, self.edges), default=0)
+        table = np.full((len(self.edges), max(width, 1)), np.inf)
+        for i, found in enumerate(self.edges):
+            table[i, :len(found)] = found
+        block[row, index] = 1 + (table[index] < values[:, None]).sum(axis=1)
+        return block
+
+
+@dataclass
+class BoostedTrees(Bins):
+    """A fitted ensemble; ``errors`` holds the root mean squared error on train and held-out rows before each round and after the last."""
+
     base: float
     depth: int
     trees: list[Tree] = field(default_factory=list)
@@ -70,16 +86,6 @@ class BoostedTrees:
             np.add.at(total, tree.feature[split], tree.gain[split])
         return Vectors.dense(total / total.sum() if total.sum() > 0 else total)
 
-    def bins(self, index: np.ndarray, values: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-        """A dense block of bin numbers: 0 for no count, else one more than the edges below the value."""
-        block = np.zeros((rows, len(self.edges)), np.uint8)
-        width = max(map(len, self.edges), default=0)
-        table = np.full((len(self.edges), max(width, 1)), np.inf)
-        for i, found in enumerate(self.edges):
-            table[i, :len(found)] = found
-        block[row, index] = 1 + (table[index] < values[:, None]).sum(axis=1)
-        return block
-
     def margin(self, bins: np.ndarray, first: int = 0) -> np.ndarray:
         """What the trees from number ``first`` on add up to."""
         total = np.zeros(len(bins))
@@ -87,13 +93,16 @@ class BoostedTrees:
             total += tree.value[tree.leaf_of(bins, self.depth)]
         return total
 
+    def predict(self, bins: np.ndarray) -> np.ndarray:
+        return self.base + self.margin(bins)
+
 
 def cells(vector: Column) -> Column:
     """Struct (indices, values) of a sparse vector."""
     return F.unwrap_udt(vector)
 
 
-def _edges(cells: DataFrame, features: int, most: int) -> list[np.ndarray]:
+def quantile_edges(cells: DataFrame, features: int, most: int) -> list[np.ndarray]:
     """At most ``most`` - 2 distinct quantiles of each feature's counts."""
     shares = F.array(*[F.lit((i + 1) / (most - 1)) for i in range(most - 2)])
     rows = cells.select(F.inline(F.arrays_zip("indices", "values"))).groupBy("indices").agg(
@@ -104,7 +113,7 @@ def _edges(cells: DataFrame, features: int, most: int) -> list[np.ndarray]:
     return out
 
 
-def _block(batch: pa.RecordBatch, index: str, value: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def block_of(batch: pa.RecordBatch, index: str, value: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Flat indices, flat values, and the row of each."""
     lists = batch.column(index)
     sizes = np.diff(lists.offsets.to_numpy())
@@ -112,7 +121,7 @@ def _block(batch: pa.RecordBatch, index: str, value: str) -> tuple[np.ndarray, n
     return flat(index), flat(value), np.repeat(np.arange(len(sizes)), sizes)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first in range(0, batch.num_rows, ROWS_AT_ONCE):
             # Taken, not sliced, so that the offsets of lists begin at 0.
@@ -123,8 +132,8 @@ def _binned(model):
     """(price, held, indices, values) to rows with bin numbers and the base as margin."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = model.value
-        for batch in _slices(batches):
-            index, values, row = _block(batch, "indices", "values")
+        for batch in slices(batches):
+            index, values, row = block_of(batch, "indices", "values")
             bins = fitted.bins(index, values, row, batch.num_rows)[row, index]
             lists = pa.ListArray.from_arrays(batch.column("indices").offsets, pa.array(bins.astype(np.int16)))
             yield pa.RecordBatch.from_arrays(
@@ -134,7 +143,7 @@ def _binned(model):
 
 
 def _dense(batch: pa.RecordBatch, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    index, bins, row = _block(batch, "indices", "bins")
+    index, bins, row = block_of(batch, "indices", "bins")
     block = np.zeros((batch.num_rows, features), np.uint8)
     block[row, index] = bins
     return block, index, bins, row
@@ -143,7 +152,7 @@ def _dense(batch: pa.RecordBatch, features: int) -> tuple[np.ndarray, np.ndarray
 def _with_margin(model, first: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = model.value
-        for batch in _slices(batches):
+        for batch in slices(batches):
             more = fitted.margin(_dense(batch, len(fitted.edges))[0], first)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(batch.column("margin").to_numpy() + more)], names=batch.schema.names)
     return run
@@ -160,7 +169,7 @@ def _histograms(state, first: int, level: int):
         width, top = int(starts[-1]) + 1, (1 << level) - 1
         sums, counts = (np.zeros((1 << level) * width, np.int64) for _ in range(2))
         errors = np.zeros(3, np.int64)
-        for batch in _slices(batches):
+        for batch in slices(batches):
             block, index, bins, row = _dense(batch, len(fitted.edges))
             rest = batch.column("margin").to_numpy() + fitted.margin(block, first) - batch.column("price").to_numpy()
             held = batch.column("held").to_numpy(zero_copy_only=False)
@@ -229,7 +238,7 @@ def fit_boosted_trees(
     with scratch(spark):
         rows = stage(rows, "boosting-cells")
         mean = rows.where("not held").agg(F.avg("price")).first()[0]
-        model = BoostedTrees(_edges(rows.where("not held"), features, most_bins), float(mean or 0.0), depth)
+        model = BoostedTrees(quantile_edges(rows.where("not held"), features, most_bins), float(mean or 0.0), depth)
         starts = np.cumsum([0, *(len(e) + 1 for e in model.edges)])
         width = int(starts[-1]) + 1
         schema = "price double, held boolean, indices array<int>, bins array<smallint>, margin double"
@@ -278,8 +287,8 @@ def fit_boosted_trees(
     return model
 
 
-def with_boosted(df: DataFrame, model: BoostedTrees, vector: str = "bow", output: str = "_prediction") -> DataFrame:
-    """Add the ensemble's prediction from a column of sparse counts."""
+def with_trees(df: DataFrame, model: Bins, vector: str = "bow", output: str = "_prediction") -> DataFrame:
+    """Add the prediction of boosted or bagged trees from a column of sparse counts."""
     ship_package(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
@@ -290,7 +299,7 @@ def with_boosted(df: DataFrame, model: BoostedTrees, vector: str = "bow", output
             index, value = indices[first:first + ROWS_AT_ONCE], values[first:first + ROWS_AT_ONCE]
             row = np.repeat(np.arange(len(index)), index.map(len))
             flat = [np.concatenate([np.empty(0), *x]) for x in (index, value)]
-            out.append(fitted.base + fitted.margin(fitted.bins(flat[0].astype(np.int64), flat[1], row, len(index))))
+            out.append(fitted.predict(fitted.bins(flat[0].astype(np.int64), flat[1], row, len(index))))
         return pd.Series(np.concatenate(out) if out else np.empty(0))
 
     return df.withColumn(output, predicted(cells(F.col(vector))["indices"], cells(F.col(vector))["values"]))

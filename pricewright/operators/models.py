@@ -10,18 +10,18 @@ from functools import reduce
 
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..constants import FOREST_ROWS, IMPORTANT_WORDS, SEED
 from ..functions.hashing import hash_uniform
-from ..session import ensure_checkpoint_dir, scratch, ship_package, stage
-from .boosting import cells, fit_boosted_trees, with_boosted
+from ..session import scratch, ship_package, stage
+from .boosting import cells, fit_boosted_trees, with_trees
 from .features import NUMERIC, bow_tokens, bow_vectors, numeric_features
+from .forest import fit_forest
 from .least_squares import fit_least_squares, with_fitted
 from .ranking import head_subset, upper_median
 
-ROWS_PER_FOREST_TASK = 2_000
 VALIDATION = "_validation"
 
 
@@ -100,23 +100,16 @@ def linear_bow(train: DataFrame, terms: Sequence[str], tolerance: float = 1e-10)
 
 
 def random_forest(
-    train: DataFrame, terms: Sequence[str], rows: int = FOREST_ROWS, trees: int = 100, depth: int = 30, seed: int = SEED,
-    bins: int = 16, memory: int = 1024,
+    train: DataFrame, terms: Sequence[str], rows: int = FOREST_ROWS, trees: int = 100, depth: int = 30, seed: int = SEED, bins: int = 16,
 ) -> Pricer:
-    """Bagged trees over all features on the first ``rows`` train rows; ``memory`` MB hold the statistics of a pass."""
-    ensure_checkpoint_dir(train.sparkSession)
-    # Word counts have few values, and the more node statistics fit into memory, the fewer passes a level takes.
-    estimator = RandomForestRegressor(
-        featuresCol="bow", labelCol="price", predictionCol="_prediction", numTrees=trees, maxDepth=depth,
-        featureSubsetStrategy="all", seed=seed, maxBins=bins, maxMemoryInMB=memory,
-    )
-    # Bagging draws by partition: fixed partitions make the fit repeat.
-    tasks = -(-rows // ROWS_PER_FOREST_TASK)
-    return _bow_pricer(
-        "bagged trees", head_subset(train, rows), terms,
-        lambda staged: estimator.fit(staged.repartition(tasks, "product_id").sortWithinPartitions("product_id")),
-        lambda df, model: model.transform(df),
-    )
+    """Bagged trees over all features on the first ``rows`` train rows (see ``forest``)."""
+    def fit(staged: DataFrame):
+        inside = cells(F.col("bow"))
+        sparse = staged.select(F.col("product_id").cast("string").alias("id"), F.col("price").cast("double").alias("price"),
+                               inside["indices"].alias("indices"), inside["values"].alias("values"))
+        return fit_forest(sparse, len(terms), trees, depth, seed, bins)
+
+    return _bow_pricer("bagged trees", head_subset(train, rows), terms, fit, with_trees)
 
 
 def boosted_trees(
@@ -138,7 +131,7 @@ def boosted_trees(
                              inside["indices"].alias("indices"), inside["values"].alias("values"))
         return fit_boosted_trees(sparse, len(terms), rounds, rate, depth, penalty, patience=patience if validation is not None else None)
 
-    return _bow_pricer("boosted trees", reduce(DataFrame.unionByName, marked), terms, fit, with_boosted, [VALIDATION])
+    return _bow_pricer("boosted trees", reduce(DataFrame.unionByName, marked), terms, fit, with_trees, [VALIDATION])
 
 
 def top_words(pricer: Pricer, spark, count: int = 5) -> DataFrame:
