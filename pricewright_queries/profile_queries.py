@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pricewright.functions.tokens import count_tokens
 from pricewright.operators import profiling
-from pricewright.operators.ranges import range_join
+from pricewright.operators.ranges import range_counts
 
 from . import views
 from .registry import query
@@ -58,6 +58,7 @@ def price_bands(spark, sf_dir):
     low = F.col("p_size") * F.lit(8.0)
     bands = views.table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("band"), low.alias("low"), (low + F.when(F.col("p_partkey") % 7 == 0, 500).otherwise(F.col("p_size"))).alias("high"))
-    met = range_join(views.product(spark, sf_dir).select("product_id", "price"), bands, "price", "low", "high", width=25.0)
-    counts = met.groupBy("band").agg(F.count("*").alias("items"), F.min("price").alias("least"), F.max("price").alias("most"))
+    # Prices stand in cents.
+    met = range_counts(views.product(spark, sf_dir).select("product_id", "price"), bands, "price", "low", "high", width=0.01)
+    counts = met.where("items > 0").groupBy("band").agg(F.sum("items").alias("items"), F.min("least").alias("least"), F.max("most").alias("most"))
     return bands.select("band").join(counts, "band", "left").select("band", F.coalesce("items", F.lit(0)).alias("items"), "least", "most")

@@ -1,10 +1,13 @@
 """Steps rewritten to grow no faster than their input, against plain versions of themselves."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from pricewright.operators import features, forest, models
+from pricewright.operators.ranges import range_counts
 
 
 def plain_tree(rows, depth):
@@ -58,3 +61,29 @@ def test_forest_takes_no_pass_per_node(spark):
     assert error < 150 and sum(deep.model.featureImportances) == pytest.approx(1)
     none = models.random_forest(df.where("product_id < 0"), terms, trees=3)
     assert none.predict(df).where("predicted = 0").count() == 500
+
+
+def test_counts_of_ranges_make_no_pairs(spark):
+    """As by hand, at any width: ends on, between and beyond the points, repeated ranges, nulls, NaN; and 300 million pairs that are not made."""
+    draw = random.Random(3)
+    prices = [draw.choice([None, float("nan"), float("inf"), -3.5, 42.0, 42.0, draw.uniform(-50, 900)]) for _ in range(300)]
+    ranges = [(j, low, low + draw.choice([0.0, 1.0, 7.0, 300.0, 5000.0])) for j in range(80) for low in [float(draw.randrange(-60, 950))]] * 2
+    ranges += [(500, 42.0, 42.0), (501, None, 5.0), (502, 9.0, 1.0), (503, -1e9, 1e9), (504, 0.0, float("nan")), (505, 2000.0, 3000.0), (506, -90.0, -80.0),
+               (507, 0.0, float("inf")), (None, 0.0, 50.0), (508, -3.5, 42.0)]
+    left = spark.createDataFrame([(p,) for p in prices], "price double")
+    right = spark.createDataFrame(ranges, "band int, low double, high double")
+
+    def by_hand(given):
+        out = []
+        for band, a, b in ranges:
+            inside = [p for p in given if None not in (p, a, b) and abs(b - a) < float("inf") and a <= p <= b]
+            out.append((band, a, b, len(inside), min(inside, default=None), max(inside, default=None)))
+        return sorted(map(str, out))
+
+    for given, width in ((prices, 0.01), (prices, 64.0), ([42.0], 1.0), ([], 1.0)):
+        got = range_counts(left.where("price = 42").limit(len(given)) if len(given) < 2 else left, right, "price", "low", "high", width)
+        assert sorted(str(tuple(r)) for r in got.collect()) == by_hand(given)
+    many = spark.range(20_000).select((F.col("id") / 100).alias("price")), spark.range(20_000).selectExpr("id as band", "0.0D as low", "id * 1.0D as high")
+    counts = range_counts(*many, "price", "low", "high", 0.01)
+    assert counts.agg(F.sum("items")).first()[0] > 300_000_000
+    assert counts.where("band = 7").select("items", "least", "most").collect() == [(701, 0.0, 7.0)]
