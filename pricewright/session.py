@@ -105,16 +105,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = stage_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Let iterative fits cut their lineage through the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(stage_root(spark))
-
-
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application."""
     app = spark.sparkContext.applicationId

@@ -34,8 +34,11 @@ def once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return _staged[key]
 
 
-def raw_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_listing(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    """A listing for every document that has an event and a part; with ``only``, of the documents named there."""
     texts = documents(spark, sf_dir)
+    if only is not None:
+        texts = texts.join(only, "doc_id", "left_semi")
     events = table(spark, sf_dir, "events").select("event_id", "value")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
     joined = texts.join(events, F.col("event_id") == F.col("doc_id")).join(
@@ -76,9 +79,10 @@ def product_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A summary for every document that has a label."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("product_id"))
-    raw = raw_listing(spark, sf_dir)
+    # Texts without a label stay where they are: they are left out before the listing is joined.
+    raw = raw_listing(spark, sf_dir, labels.withColumnRenamed("product_id", "doc_id"))
     brand = F.try_element_at(parse_details(F.col("details")), F.lit("Brand"))
-    return raw.join(labels, "product_id", "left_semi").select(
+    return raw.select(
         "product_id",
         format_summary(
             F.col("title"), F.col("category"), brand, joined_list(raw, "description", "\n"), joined_list(raw, "features")
@@ -89,7 +93,15 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split products; those with a label also have a summary."""
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return product_split(spark, sf_dir).drop("summary").join(summaries(spark, sf_dir), "product_id", "left")
+        # Positions are settled on ids and places in files alone; the texts move once, by id, to both their split and their summary.
+        place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+        rows = product(spark, sf_dir).select("*", *place).drop("summary")
+        placed = split_dataset(stage(rows.select("product_id", "_file", "_row"), "product-places"))
+        placed = placed.select("product_id", F.struct("_file", "_row").alias("_at"), "split", "pos")
+        # Ids that repeat are told apart by a condition that is no key of the join.
+        here = F.struct("_file", "_row")
+        joined = rows.join(placed, (rows["product_id"] == placed["product_id"]) & (here <= F.col("_at")) & (here >= F.col("_at")))
+        return joined.drop(placed["product_id"]).drop("_file", "_row", "_at").join(summaries(spark, sf_dir), "product_id", "left")
 
     return once(spark, sf_dir, "prepared", build)
 
