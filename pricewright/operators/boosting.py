@@ -2,7 +2,8 @@
 
 A level of a tree is one pass: tasks sum the gradient and the hessian of their
 rows per (node, feature, bin), Spark adds these up, and the driver picks the
-splits. What reaches it is bounded by nodes times bins, whatever the rows.
+splits. What reaches it is bounded by nodes times bins, whatever the rows. Of
+two children only the smaller is summed: the other is what its parent leaves.
 """
 
 from collections.abc import Iterator
@@ -19,6 +20,10 @@ from ..session import scratch, ship_package, stage
 #: Gradients are summed as whole multiples of 1/GRADIENT, squared errors of residuals rounded to 1/ERROR: integers add up to the same in any order.
 GRADIENT, ERROR = 10_000, 16
 ROWS_AT_ONCE = 1024
+#: Rows lie in so many partitions per core, whatever their number: a pass shuffles what its tasks found, partition by partition.
+PARTITIONS_PER_CORE = 2
+#: Cells are counted once so many are together.
+CELLS_AT_ONCE = 1 << 20
 #: After so many trees the rows are stored again with what those predict.
 TREES_AT_ONCE = 16
 TRAIN_ERROR, HELD_ERROR, HELD_ROWS = -1, -2, -3
@@ -87,10 +92,21 @@ class BoostedTrees(Bins):
         return Vectors.dense(total / total.sum() if total.sum() > 0 else total)
 
     def margin(self, bins: np.ndarray, first: int = 0) -> np.ndarray:
-        """What the trees from number ``first`` on add up to."""
+        """What the trees from number ``first`` on add up to, in their order; a block descends all of them at once."""
+        trees = self.trees[first:]
+        if not trees:
+            return np.zeros(len(bins))
+        feature, cut, value = (np.stack([getattr(tree, name) for tree in trees]).ravel() for name in ("feature", "bin", "value"))
+        size = len(trees[0].feature)
+        root = np.repeat(np.arange(len(trees)) * size, len(bins))
+        node, row = root.copy(), np.tile(np.arange(len(bins)), len(trees))
+        for _ in range(self.depth):
+            at = feature[node]
+            down = 2 * node - root + 1 + (bins[row, at] > cut[node])
+            node = np.where(at >= 0, down, node)
         total = np.zeros(len(bins))
-        for tree in self.trees[first:]:
-            total += tree.value[tree.leaf_of(bins, self.depth)]
+        for values in value[node].reshape(len(trees), -1):
+            total += values
         return total
 
     def predict(self, bins: np.ndarray) -> np.ndarray:
@@ -135,15 +151,33 @@ def _binned(model):
         for batch in slices(batches):
             index, values, row = block_of(batch, "indices", "values")
             bins = fitted.bins(index, values, row, batch.num_rows)[row, index]
-            lists = pa.ListArray.from_arrays(batch.column("indices").offsets, pa.array(bins.astype(np.int16)))
+            ends = batch.column("indices").offsets.to_numpy()
+            packed = [_packed(index.astype(_index_type(len(fitted.edges))), ends), _packed(bins, ends)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("price"), batch.column("held"), batch.column("indices"), lists, pa.array(np.full(batch.num_rows, fitted.base))],
+                [batch.column("price"), batch.column("held"), *packed, pa.array(np.full(batch.num_rows, fitted.base))],
                 names=["price", "held", "indices", "bins", "margin"])
     return run
 
 
+def _index_type(features: int) -> np.dtype:
+    return np.dtype(np.uint16 if features <= 1 << 16 else np.uint32)
+
+
+def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Each row's cells as bytes, which pass from and to the workers whole and not cell by cell."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * values.itemsize).astype(np.int32)), pa.py_buffer(values.tobytes())])
+
+
+def _unpacked(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Flat values, and the number of each row."""
+    _, ends, data = column.cast(pa.binary()).buffers()
+    ends = np.frombuffer(ends, np.int32)[:len(column) + 1]
+    return np.frombuffer(data or b"", np.uint8)[:ends[-1]].view(kind), np.diff(ends) // kind.itemsize
+
+
 def _dense(batch: pa.RecordBatch, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    index, bins, row = block_of(batch, "indices", "bins")
+    index, sizes = _unpacked(batch.column("indices"), _index_type(features))
+    bins, row = _unpacked(batch.column("bins"), np.dtype(np.uint8))[0], np.repeat(np.arange(batch.num_rows), sizes)
     block = np.zeros((batch.num_rows, features), np.uint8)
     block[row, index] = bins
     return block, index, bins, row
@@ -164,11 +198,21 @@ def _histograms(state, first: int, level: int):
     Keys count the nodes of the level, times the bins of all features and one more cell for the node as a whole.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted, tree = state.value
+        fitted, tree, wanted = state.value
         starts = np.cumsum([0, *(len(e) + 1 for e in fitted.edges)])
         width, top = int(starts[-1]) + 1, (1 << level) - 1
         sums, counts = (np.zeros((1 << level) * width, np.int64) for _ in range(2))
         errors = np.zeros(3, np.int64)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def count(least: int) -> None:
+            if sum(len(keys) for keys, _ in waiting) < least:
+                return
+            keys, weights = map(np.concatenate, zip(*waiting))
+            np.add(sums, np.bincount(keys, weights, len(sums)).astype(np.int64), out=sums)
+            np.add(counts, np.bincount(keys, minlength=len(counts)), out=counts)
+            waiting.clear()
+
         for batch in slices(batches):
             block, index, bins, row = _dense(batch, len(fitted.edges))
             rest = batch.column("margin").to_numpy() + fitted.margin(block, first) - batch.column("price").to_numpy()
@@ -176,14 +220,16 @@ def _histograms(state, first: int, level: int):
             square = np.rint(rest * ERROR).astype(np.int64) ** 2
             errors += [square[~held].sum(), square[held].sum(), held.sum()]
             node = tree.leaf_of(block, level) - top
-            taking = ~held & (node >= 0)
+            taking = ~held & (node >= 0) & wanted[node]
             gradient = np.rint(rest * GRADIENT)
             key = node * width + width - 1
             cell = taking[row]
-            keys = np.concatenate([key[taking], node[row[cell]] * width + starts[index[cell]] + bins[cell] - 1])
-            weights = np.concatenate([gradient[taking], gradient[row[cell]]])
-            sums += np.bincount(keys, weights, len(sums)).astype(np.int64)
-            counts += np.bincount(keys, minlength=len(counts))
+            inside = row[cell]
+            keys = np.concatenate([key[taking], node[inside] * width + starts[index[cell]] + bins[cell] - 1])
+            weights = np.concatenate([gradient[taking], gradient[inside]])
+            waiting.append((keys, weights))
+            count(max(len(sums), CELLS_AT_ONCE))
+        count(1)
         found = np.flatnonzero(counts)
         extra = [TRAIN_ERROR, HELD_ERROR, HELD_ROWS] if level == 0 else []
         yield pa.RecordBatch.from_arrays(
@@ -192,9 +238,9 @@ def _histograms(state, first: int, level: int):
     return run
 
 
-def _grow(tree: Tree, level: int, sums: np.ndarray, counts: np.ndarray, starts: np.ndarray, rate: float, penalty: float, least: int) -> bool:
-    """Split the nodes of a level where that gains, and value both sides; says whether any was. ``sums`` and ``counts`` are (node, cell)."""
-    top, grown = (1 << level) - 1, False
+def _grow(tree: Tree, level: int, sums: np.ndarray, counts: np.ndarray, starts: np.ndarray, rate: float, penalty: float, least: int) -> np.ndarray:
+    """Split the nodes of a level where that gains, and value both sides; tells the smaller child of each. ``sums`` and ``counts`` are (node, cell)."""
+    top, smaller = (1 << level) - 1, np.zeros(2 << level, bool)
     for node in np.flatnonzero(counts[:, -1]):
         whole_g, whole_n = sums[node, -1] / GRADIENT, counts[node, -1]
         g, n = sums[node, :-1] / GRADIENT, counts[node, :-1]
@@ -214,11 +260,12 @@ def _grow(tree: Tree, level: int, sums: np.ndarray, counts: np.ndarray, starts:
         best = int(np.argmax(np.round(gain, 6))) if len(gain) else 0
         if len(gain) and gain[best] > 1e-6:
             tree.feature[top + node], tree.bin[top + node] = feature[best], best - starts[feature[best]]
-            tree.gain[top + node], grown = gain[best], True
+            tree.gain[top + node] = gain[best]
+            smaller[2 * node + (right_n[best] < left_n[best])] = True
             below = 2 * (top + node) + 1
             tree.value[below] = -rate * left_g[best] / (left_n[best] + penalty)
             tree.value[below + 1] = -rate * right_g[best] / (right_n[best] + penalty)
-    return grown
+    return smaller
 
 
 def fit_boosted_trees(
@@ -241,12 +288,13 @@ def fit_boosted_trees(
         model = BoostedTrees(quantile_edges(rows.where("not held"), features, most_bins), float(mean or 0.0), depth)
         starts = np.cumsum([0, *(len(e) + 1 for e in model.edges)])
         width = int(starts[-1]) + 1
-        schema = "price double, held boolean, indices array<int>, bins array<smallint>, margin double"
-        data = stage(rows.mapInArrow(_binned(spark.sparkContext.broadcast(model)), schema), "boosting-rows").persist()
+        schema = "price double, held boolean, indices binary, bins binary, margin double"
+        partitions = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+        data = stage(rows.mapInArrow(_binned(spark.sparkContext.broadcast(model)), schema), "boosting-rows").coalesce(partitions).persist()
         first, best = 0, (np.inf, 0)
 
-        def level_sums(tree: Tree, level: int) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
-            state = spark.sparkContext.broadcast((model, tree))
+        def level_sums(tree: Tree, level: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
+            state = spark.sparkContext.broadcast((model, tree, wanted))
             table = data.mapInArrow(_histograms(state, first, level), "key long, total long, n long")
             table = table.groupBy("key").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).toArrow()
             state.unpersist()
@@ -257,10 +305,14 @@ def fit_boosted_trees(
             return sums.reshape(-1, width), counts.reshape(-1, width), dict(zip(key[~cell].tolist(), total[~cell].tolist()))
 
         while True:
-            tree, grown = Tree.of_depth(depth), True
+            tree, grown, wanted, parents = Tree.of_depth(depth), True, np.ones(1, bool), None
             for level in range(depth):
-                sums, counts, errors = level_sums(tree, level)
-                if level == 0:
+                sums, counts, errors = level_sums(tree, level, wanted)
+                if parents is not None:
+                    for node in np.flatnonzero(wanted):
+                        for all_nodes, whole in zip((sums, counts), parents):
+                            all_nodes[node ^ 1] = whole[node >> 1] - all_nodes[node]
+                else:
                     train, held = max(int(counts[0, -1]), 1), errors.get(HELD_ROWS, 0)
                     model.errors.append(((errors.get(TRAIN_ERROR, 0) / train) ** 0.5 / ERROR, (errors[HELD_ERROR] / held) ** 0.5 / ERROR if held else None))
                     if held and model.errors[-1][1] < best[0]:
@@ -268,7 +320,8 @@ def fit_boosted_trees(
                     if model.rounds == rounds or patience and held and model.rounds - best[1] >= patience:
                         grown = False
                         break
-                if not _grow(tree, level, sums, counts, starts, rate, penalty, least):
+                wanted, parents = _grow(tree, level, sums, counts, starts, rate, penalty, least), (sums, counts)
+                if not wanted.any():
                     grown = level > 0
                     break
             if not grown:
@@ -276,7 +329,7 @@ def fit_boosted_trees(
             model.trees.append(tree)
             if model.rounds - first >= TREES_AT_ONCE:
                 shared = spark.sparkContext.broadcast(model)
-                more = stage(data.mapInArrow(_with_margin(shared, first), schema), "boosting-rows").persist()
+                more = stage(data.mapInArrow(_with_margin(shared, first), schema), "boosting-rows").coalesce(partitions).persist()
                 data.unpersist()
                 data, first = more, model.rounds
         data.unpersist()

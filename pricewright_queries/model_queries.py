@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 from pricewright.operators import features, models
 from pricewright.operators.least_squares import with_fitted
 from pricewright.plans.leaderboard import rank_pricers
-from pricewright.session import stage, stage_generation
+from pricewright.session import stage_generation
 
 from . import views
 from .registry import query
@@ -256,7 +256,8 @@ def boosting_rounds(spark, sf_dir):
         return F.size(F.filter("tokens", lambda word: word == term))
 
     amount = sum((20 * place * F.least(count(term), F.lit(3)) for place, term in enumerate(leading, 1)), F.lit(100.0))
-    rows = stage(_tokenized(spark, sf_dir).withColumn("price", amount).drop("tokens"), "signal")
+    # Not stored: the texts are, and the fit stores their counts.
+    rows = _tokenized(spark, sf_dir).withColumn("price", amount).drop("tokens")
     train, val = (rows.where(F.col("split") == name) for name in ("train", "val"))
     model = models.boosted_trees(train, _terms(spark, sf_dir), _SIGNAL_ROUNDS, rate=0.3, depth=4, validation=val, patience=_SIGNAL_ROUNDS).model
     errors, held = zip(*model.errors)

@@ -1,13 +1,16 @@
 """Steps rewritten to grow no faster than their input, against plain versions of themselves."""
 
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pricewright.operators import features, forest, models
+from pricewright.operators import boosting, features, forest, models
 from pricewright.operators.ranges import range_counts
+from pricewright_queries import views
 
 
 def plain_tree(rows, depth):
@@ -87,3 +90,54 @@ def test_counts_of_ranges_make_no_pairs(spark):
     counts = range_counts(*many, "price", "low", "high", 0.01)
     assert counts.agg(F.sum("items")).first()[0] > 300_000_000
     assert counts.where("band = 7").select("items", "least", "most").collect() == [(701, 0.0, 7.0)]
+
+
+def test_texts_move_once_to_split_and_summary(spark, tmp_path, monkeypatch):
+    """Ids that repeat get a place each, and every summary of their id, as before; positions are settled without the texts."""
+    text = "Some words of a long text. " * 20
+    ids = [*range(30), 8, 8, 12]
+    tables = {
+        "documents": spark.createDataFrame([(i, f"{k} {text}") for k, i in enumerate(ids)], "doc_id bigint, text string"),
+        "events": spark.range(30).selectExpr("id as event_id", "10.0D + id as value"),
+        "part": spark.range(30).selectExpr("id as p_partkey", "'brand' as p_brand", "5 as p_size"),
+        "labels": spark.createDataFrame([(8,), (8,), (3,), (None,)], "doc_id bigint"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    stored, stage = {}, views.stage
+    monkeypatch.setattr(views, "stage", lambda df, label: stage(stored.setdefault(label, df), label))
+    prepared = views.prepared(spark, str(tmp_path))
+    plan = stored["prepared"]._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert not any("text#" in below for line, below in zip(plan, plan[1:]) if "Exchange hashpartitioning(_bucket" in line)
+    assert prepared.columns == [c for c in views.product_split(spark, str(tmp_path)).columns if c != "summary"] + ["summary"]
+    was = views.product_split(spark, str(tmp_path)).drop("summary").join(views.summaries(spark, str(tmp_path)), "product_id", "left").collect()
+    now = prepared.collect()
+    for columns in (("product_id", "split", "pos"), ("product_id", "text", "price", "summary")):
+        assert Counter(tuple(r[c] for c in columns) for r in now) == Counter(tuple(r[c] for c in columns) for r in was)
+    assert sum(r.product_id == 8 for r in now) == 9 and len({(r.split, r.pos) for r in now}) == len(now) - 6
+
+
+def test_smaller_children_are_summed_and_all_trees_descended_at_once():
+    tree = boosting.Tree.of_depth(2)
+    # Two features of two bins: the first parts 9 rows from 1, the second gains nothing.
+    sums, counts = np.array([[90_000, -90_000, 0, 0, 0]]), np.array([[9, 1, 5, 5, 10]])
+    smaller = boosting._grow(tree, 0, sums, counts, np.array([0, 2, 4]), 1.0, 0.0, 1)
+    assert smaller.tolist() == [False, True] and tree.feature[0] == 0
+    rng = np.random.default_rng(1)
+    trees = []
+    for _ in range(5):
+        made = boosting.Tree.of_depth(3)
+        made.feature[:7], made.bin[:7], made.value[:] = rng.integers(-1, 4, 7), rng.integers(0, 3, 7), rng.random(15)
+        trees.append(made)
+    model, bins = boosting.BoostedTrees([np.arange(3.0)] * 4, 0.0, 3, trees), rng.integers(0, 4, (50, 4)).astype(np.uint8)
+    for first in (0, 2, 5):
+        assert model.margin(bins, first).tolist() == sum((t.value[t.leaf_of(bins, 3)] for t in trees[first:]), np.zeros(50)).tolist()
+
+
+def test_cells_pass_packed():
+    rows = [[1, 300, 65_535], [], [7]]
+    ends, flat = np.cumsum([0, *map(len, rows)]), np.array(sum(rows, []))
+    for kind in (np.dtype(np.uint16), np.dtype(np.uint32)):
+        values, sizes = boosting._unpacked(boosting._packed(flat.astype(kind), ends).take(pa.array([1, 0, 2])), kind)
+        assert values.tolist() == [1, 300, 65_535, 7] and sizes.tolist() == [0, 3, 1]
+    assert boosting._unpacked(boosting._packed(flat[:0].astype(np.uint16), np.zeros(3, int)), np.dtype(np.uint16))[0].size == 0
