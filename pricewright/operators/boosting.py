@@ -1,8 +1,8 @@
 """Gradient boosted trees on sparse counts, grown level by level from histograms that Spark sums.
 
 A level of a tree is one pass: tasks sum the gradient and the hessian of their
-rows per (node, feature, bin), Spark adds these up, and the driver picks the
-splits. What reaches it is bounded by nodes times bins, whatever the rows. Of
+rows per (node, feature, bin), a shuffle of ranges of cells adds these up, and
+the driver picks the splits. What reaches it is bounded by nodes times bins, whatever the rows. Of
 two children only the smaller is summed: the other is what its parent leaves.
 """
 
@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.linalg import DenseVector, Vectors
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import scratch, ship_package, stage
 
@@ -24,6 +24,9 @@ ROWS_AT_ONCE = 1024
 PARTITIONS_PER_CORE = 2
 #: Cells are counted once so many are together.
 CELLS_AT_ONCE = 1 << 20
+#: What all tasks found is added up in groups of so many cells, as far as there are cores for them.
+CELLS_SUMMED = 1 << 20
+_SUMS = "part int, keys binary, totals binary, counts binary"
 #: After so many trees the rows are stored again with what those predict.
 TREES_AT_ONCE = 16
 TRAIN_ERROR, HELD_ERROR, HELD_ROWS = -1, -2, -3
@@ -119,13 +122,23 @@ def cells(vector: Column) -> Column:
 
 
 def quantile_edges(cells: DataFrame, features: int, most: int) -> list[np.ndarray]:
-    """At most ``most`` - 2 distinct quantiles of each feature's counts."""
-    shares = F.array(*[F.lit((i + 1) / (most - 1)) for i in range(most - 2)])
-    rows = cells.select(F.inline(F.arrays_zip("indices", "values"))).groupBy("indices").agg(
-        F.percentile_approx("values", shares, F.lit(10_000)).alias("at")).collect()
+    """At most ``most`` - 2 distinct quantiles of each feature's counts: values where a share i / (``most`` - 1) of them is reached.
+
+    Equal counts are added up before the shuffle, so it moves the distinct ones only.
+    """
+    counted = cells.select(F.inline(F.arrays_zip("indices", "values"))).groupBy("indices", "values").agg(F.count("*").alias("n"))
+    feature = Window.partitionBy("indices")
+    upto, whole = F.sum("n").over(feature.orderBy("values")), F.sum("n").over(feature)
+    placed = counted.select("indices", "values", "n", upto.alias("upto"), whole.alias("whole"))
+
+    def reached(count: Column) -> Column:
+        return F.least(F.floor(count * (most - 1) / F.col("whole")), F.lit(most - 2))
+
+    rows = placed.where(reached(F.col("upto")) > reached(F.col("upto") - F.col("n"))).groupBy("indices").agg(
+        F.array_sort(F.collect_list("values")).alias("at")).collect()
     out = [np.empty(0)] * features
     for row in rows:
-        out[row["indices"]] = np.unique(np.array(row["at"]))
+        out[row["indices"]] = np.array(row["at"])
     return out
 
 
@@ -192,10 +205,11 @@ def _with_margin(model, first: int):
     return run
 
 
-def _histograms(state, first: int, level: int):
+def _histograms(state, first: int, level: int, parts: int):
     """Per task: sums of gradients and numbers of rows (the hessian of half a squared error) by key, and at the root the errors.
 
-    Keys count the nodes of the level, times the bins of all features and one more cell for the node as a whole.
+    Keys count the nodes of the level, times the bins of all features and one more cell for the node as a whole. They come packed,
+    a row for each of ``parts`` equal ranges of keys.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted, tree, wanted = state.value
@@ -232,12 +246,37 @@ def _histograms(state, first: int, level: int):
         count(1)
         found = np.flatnonzero(counts)
         extra = [TRAIN_ERROR, HELD_ERROR, HELD_ROWS] if level == 0 else []
+        keys = np.concatenate([extra, found]).astype(np.int64)
+        part = np.maximum(keys, 0) * parts // len(sums)
+        ends = np.searchsorted(part, np.arange(parts + 1))
+        columns = keys, np.concatenate([errors[:len(extra)], sums[found]]), np.concatenate([np.zeros(len(extra), np.int64), counts[found]])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([extra, found]).astype(np.int64)), pa.array(np.concatenate([errors[:len(extra)], sums[found]])),
-             pa.array(np.concatenate([np.zeros(len(extra), np.int64), counts[found]]))], names=["key", "total", "n"])
+            [pa.array(np.arange(parts, dtype=np.int32)), *(_packed(x, ends) for x in columns)], names=["part", "keys", "totals", "counts"])
     return run
 
 
+def _columns(table: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
+    """Keys, totals and counts of each row that has some; no key comes twice in a row."""
+    for row in zip(*(table.column(name) for name in ("keys", "totals", "counts"))):
+        if len(row[0].as_py()):
+            yield tuple(np.frombuffer(x.as_py(), np.int64) for x in row)
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """One row for the rows of a range: each key once, with what these hold for it."""
+    rows = list(_columns(table))
+    first = min((keys.min() for keys, _, _ in rows), default=0)
+    size = max((keys.max() + 1 for keys, _, _ in rows), default=0) - first
+    totals, counts, there = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, bool)
+    for keys, total, count in rows:
+        totals[keys - first] += total
+        counts[keys - first] += count
+        there[keys - first] = True
+    found = np.flatnonzero(there)
+    packed = [[x.tobytes()] for x in (found + first, totals[found], counts[found])]
+    return pa.table([pa.array(table.column("part").slice(0, 1).to_pylist(), pa.int32()), *(pa.array(x, pa.binary()) for x in packed)], names=["part", "keys", "totals", "counts"])
+
+
 def _grow(tree: Tree, level: int, sums: np.ndarray, counts: np.ndarray, starts: np.ndarray, rate: float, penalty: float, least: int) -> np.ndarray:
     """Split the nodes of a level where that gains, and value both sides; tells the smaller child of each. ``sums`` and ``counts`` are (node, cell)."""
     top, smaller = (1 << level) - 1, np.zeros(2 << level, bool)
@@ -283,26 +322,29 @@ def fit_boosted_trees(
     spark = rows.sparkSession
     ship_package(spark)
     with scratch(spark):
-        rows = stage(rows, "boosting-cells")
+        partitions = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+        # Dealt evenly, as few files would keep few tasks busy.
+        rows = stage(rows.repartition(partitions), "boosting-cells")
         mean = rows.where("not held").agg(F.avg("price")).first()[0]
         model = BoostedTrees(quantile_edges(rows.where("not held"), features, most_bins), float(mean or 0.0), depth)
         starts = np.cumsum([0, *(len(e) + 1 for e in model.edges)])
         width = int(starts[-1]) + 1
         schema = "price double, held boolean, indices binary, bins binary, margin double"
-        partitions = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
         data = stage(rows.mapInArrow(_binned(spark.sparkContext.broadcast(model)), schema), "boosting-rows").coalesce(partitions).persist()
         first, best = 0, (np.inf, 0)
 
         def level_sums(tree: Tree, level: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
             state = spark.sparkContext.broadcast((model, tree, wanted))
-            table = data.mapInArrow(_histograms(state, first, level), "key long, total long, n long")
-            table = table.groupBy("key").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).toArrow()
-            state.unpersist()
-            key, total, n = (table.column(c).to_numpy() for c in ("key", "total", "n"))
             sums, counts = (np.zeros((1 << level) * width, np.int64) for _ in range(2))
-            cell = key >= 0
-            sums[key[cell]], counts[key[cell]] = total[cell], n[cell]
-            return sums.reshape(-1, width), counts.reshape(-1, width), dict(zip(key[~cell].tolist(), total[~cell].tolist()))
+            parts = min(1 + len(sums) * partitions // CELLS_SUMMED, spark.sparkContext.defaultParallelism)
+            found = data.mapInArrow(_histograms(state, first, level, parts), _SUMS).groupBy("part").applyInArrow(_added, _SUMS).toArrow()
+            state.unpersist()
+            errors: dict[int, int] = {}
+            for key, total, n in _columns(found):
+                cell = key >= 0
+                sums[key[cell]], counts[key[cell]] = total[cell], n[cell]
+                errors |= dict(zip(key[~cell].tolist(), total[~cell].tolist()))
+            return sums.reshape(-1, width), counts.reshape(-1, width), errors
 
         while True:
             tree, grown, wanted, parents = Tree.of_depth(depth), True, np.ones(1, bool), None

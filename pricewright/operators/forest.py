@@ -1,7 +1,7 @@
 """Bagged regression trees on sparse counts: Spark deals each tree its bag, and a task grows the tree level by level.
 
-A level costs one sort of the cells of the rows that are still to be split, whatever the number of nodes: no pass over
-the table, and no statistics of words that a node does not hold.
+A level costs the cells of the smaller children, which are summed, and the sums of the larger ones, whatever the number of
+nodes: no pass over the table, and no statistics of words that a node does not hold.
 """
 
 from collections.abc import Iterator
@@ -13,7 +13,8 @@ from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch, ship_package, stage
-from .boosting import GRADIENT, Bins, block_of, cells, quantile_edges, slices
+from .barrier import with_once
+from .boosting import GRADIENT, Bins, _index_type, _packed, _unpacked, block_of, quantile_edges, slices
 
 #: Draws of a row into a bag beyond this many have a chance below 1e-12.
 MOST_COPIES = 14
@@ -60,15 +61,42 @@ class Forest(Bins):
         return self.value[at].reshape(len(bins), -1).mean(axis=1)
 
 
+def _numbered(values: np.ndarray, most: int) -> np.ndarray:
+    """``values`` below ``most`` in the least type that holds them: two bytes sort by counting."""
+    return values.astype(np.min_scalar_type(max(most - 1, 0)))
+
+
+def _runs(node: np.ndarray, cell: np.ndarray, nodes: int, kinds: int, copies: np.ndarray, amount: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Node, kind of cell, copies and amount, summed and in order."""
+    order = np.argsort(_numbered(cell, kinds), kind="stable")
+    order = order[np.argsort(_numbered(node[order], nodes), kind="stable")]
+    node, cell = node[order], cell[order]
+    first = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (cell[1:] != cell[:-1])]) if len(order) else order
+    return node[first], cell[first], *(np.add.reduceat(x[order], first) if len(first) else x[:0] for x in (copies, amount))
+
+
 def grow_tree(price: np.ndarray, copies: np.ndarray, row: np.ndarray, index: np.ndarray, bins: np.ndarray, depth: int) -> dict[str, np.ndarray]:
     """A tree on rows that count ``copies`` times, and on their cells (row, index, bins >= 1; no cell: bin 0).
 
-    Prices are summed as whole multiples of 1/GRADIENT, so no order of the rows changes the tree.
+    Prices are summed as whole multiples of 1/GRADIENT, so no order of the rows changes the tree. Each cell is summed at the root, and
+    then only where its row went to the child of fewer cells: what the other child holds is what its parent leaves.
     """
     amount = np.rint(price * GRADIENT).astype(np.int64) * copies
-    order = np.lexsort((bins, index))
-    row, index, bins = row[order], index[order].astype(np.int64), bins[order].astype(np.int64)
+    index, bins = index.astype(np.int64), bins.astype(np.int64)
+    # A kind of cell is a word with a bin; kinds are numbered by word, then bin.
+    deepest = int(bins.max(initial=0)) + 1
+    kinds, kind = np.unique(index * deepest + bins, return_inverse=True)
+    kind_index, kind_bin = kinds // deepest, kinds % deepest
+    by_row, by_kind = (np.argsort(_numbered(x, most), kind="stable") for x, most in ((row, len(price)), (kind, len(kinds))))
+    of_row, sizes = kind[by_row], np.bincount(row, minlength=len(price))
+    row_of_kind, word_ends = row[by_kind], np.searchsorted(index[by_kind], np.arange(int(index.max(initial=-1)) + 2))
+    kind_of_kind, starts = kind[by_kind], np.cumsum(sizes) - sizes
+
+    def spans(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+        return np.repeat(first - np.cumsum(length) + length, length) + np.arange(int(length.sum()))
+
     local, taking, first = np.zeros(len(price), np.int64), np.ones(len(price), bool), 0
+    at, cell, n, g = _runs(np.zeros(len(row), np.int64), kind, 1, len(kinds), copies[row], amount[row])
     levels: list[tuple[np.ndarray, ...]] = []
     for level in range(depth + 1):
         nodes = int(local[taking].max()) + 1
@@ -77,44 +105,62 @@ def grow_tree(price: np.ndarray, copies: np.ndarray, row: np.ndarray, index: np.
         np.add.at(whole_g, local[taking], amount[taking])
         feature, cut, below, gained = np.full(nodes, -1), np.zeros(nodes, np.int64), np.full(nodes, -1), np.zeros(nodes)
         levels.append((feature, cut, below, whole_g / GRADIENT / whole_n, gained))
-        inside = taking[row]
-        row, index, bins = row[inside], index[inside], bins[inside]
-        if level == depth or not len(row):
+        if level == depth or not len(at):
             break
-        # Cells stay sorted by feature and bin, so a stable sort by node is all it takes.
-        node = local[row]
-        order = np.argsort(node.astype(np.uint16 if nodes < 1 << 16 else np.int64), kind="stable")
-        row, index, bins, node = row[order], index[order], bins[order], node[order]
-        new_word = np.r_[True, (node[1:] != node[:-1]) | (index[1:] != index[:-1])]
-        runs = np.flatnonzero(new_word | np.r_[True, bins[1:] != bins[:-1]])
-        n, g = np.add.reduceat(copies[row], runs), np.add.reduceat(amount[row], runs)
-        words = np.flatnonzero(new_word[runs])
-        sizes = np.diff(np.r_[words, len(runs)])
-        at = node[runs]
+        # Runs lie node by node, in a node by kind.
+        held = np.r_[True, at[1:] != at[:-1]]
+        words = np.flatnonzero(held | np.r_[True, kind_index[cell[1:]] != kind_index[cell[:-1]]])
+        held, lengths = np.flatnonzero(held), np.diff(np.r_[words, len(at)])
         # A run stands for the split below its bin: what has no cell, or a lower bin, goes left.
         before_n, before_g = (np.cumsum(x) - x for x in (n, g))
-        right_n, right_g = (np.repeat(np.add.reduceat(x, words) + b[words], sizes) - b for x, b in ((n, before_n), (g, before_g)))
+        right_n, right_g = (np.repeat(np.add.reduceat(x, words) + b[words], lengths) - b for x, b in ((n, before_n), (g, before_g)))
         left_n, left_g = whole_n[at] - right_n, whole_g[at] - right_g
         with np.errstate(divide="ignore", invalid="ignore"):
             mean = (whole_g / whole_n)[at]
             # Over deviations from the node's mean, as squares of whole sums would cancel.
             gain = (left_g - left_n * mean) ** 2 / left_n + (right_g - right_n * mean) ** 2 / right_n
         gain = np.where((left_n > 0) & (right_n > 0), gain / GRADIENT ** 2, 0.0).round(6)
-        held = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         best = np.maximum.reduceat(gain, held)
         is_best = np.flatnonzero(gain == np.repeat(best, np.diff(np.r_[held, len(at)])))
         chosen = is_best[np.r_[True, at[is_best[1:]] != at[is_best[:-1]]]]
         chosen = chosen[gain[chosen] > 0]
+        if not len(chosen):
+            break
+        chosen = chosen[np.argsort(at[chosen])]
         split = at[chosen]
-        feature[split], cut[split], gained[split] = index[runs[chosen]], bins[runs[chosen]] - 1, gain[chosen]
+        feature[split], cut[split], gained[split] = kind_index[cell[chosen]], kind_bin[cell[chosen]] - 1, gain[chosen]
         below[split] = first + nodes + 2 * np.arange(len(split))
-        if not len(split):
-            break
+        # Rows go right by the cells of the words that split some node.
+        used = np.unique(feature[split])
+        cells = spans(word_ends[used], word_ends[used + 1] - word_ends[used])
+        cells = cells[taking[row_of_kind[cells]]]
+        node, cell_of = local[row_of_kind[cells]], kind_of_kind[cells]
         right = np.zeros(len(price), np.int64)
-        right[row[(feature[node] == index) & (bins > cut[node])]] = 1
+        right[row_of_kind[cells[(feature[node] == kind_index[cell_of]) & (kind_bin[cell_of] > cut[node])]]] = 1
         taking = taking & (feature[np.where(taking, local, 0)] >= 0)
         first += nodes
         local[taking] = below[local[taking]] - first + right[taking]
+        if level + 1 == depth:
+            continue
+        amounts = np.bincount(local[taking], sizes[taking], 2 * len(split))
+        smaller = 2 * np.arange(len(split)) + (amounts[1::2] < amounts[::2])
+        summed = np.flatnonzero(taking & (smaller[local // 2 * taking] == local))
+        cells = spans(starts[summed], sizes[summed])
+        there = np.repeat(summed, sizes[summed])
+        small = _runs(local[there], of_row[cells], 2 * len(split), len(kinds), copies[there], amount[there])
+        # Of the runs of the nodes that were split, the larger child has what the smaller does not.
+        child = np.full(nodes, -1)
+        child[split] = smaller ^ 1
+        at = child[at]
+        kept = at >= 0
+        at, cell, n, g = at[kept], cell[kept], n[kept], g[kept]
+        order = np.argsort(at, kind="stable")
+        at, cell, n, g = (x[order] for x in (at, cell, n, g))
+        place = np.searchsorted(at * len(kinds) + cell, (small[0] ^ 1) * len(kinds) + small[1])
+        n[place] -= small[2]
+        g[place] -= small[3]
+        left = n > 0
+        at, cell, n, g = (np.concatenate([x[left], more]) for x, more in zip((at, cell, n, g), small))
     return dict(zip(("feature", "bin", "below", "value", "gain"), map(np.concatenate, zip(*levels))))
 
 
@@ -123,17 +169,17 @@ def _binned(model):
         for batch in slices(batches):
             index, values, row = block_of(batch, "indices", "values")
             bins = model.value.bins(index, values, row, batch.num_rows)[row, index]
-            lists = pa.ListArray.from_arrays(batch.column("indices").offsets, pa.array(bins.astype(np.int16)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("price"), batch.column("indices"), lists], names=["id", "price", "indices", "bins"])
+            ends = batch.column("indices").offsets.to_numpy()
+            packed = [_packed(index.astype(_index_type(len(model.value.edges))), ends), _packed(bins, ends)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("price"), *packed], names=["id", "price", "indices", "bins"])
     return run
 
 
-def _grown(depth: int):
+def _grown(depth: int, features: int):
     def run(bag: pa.Table) -> pa.Table:
-        bag = bag.combine_chunks()
-        lists = [bag.column(name).combine_chunks() for name in ("indices", "bins")]
-        index, bins = (x.flatten().to_numpy() for x in lists)
-        row = np.repeat(np.arange(bag.num_rows), np.diff(lists[0].offsets.to_numpy()))
+        kinds = {"indices": _index_type(features), "bins": np.dtype(np.uint8)}
+        (index, sizes), (bins, _) = (_unpacked(pa.concat_arrays(bag.column(name).chunks), kind) for name, kind in kinds.items())
+        row = np.repeat(np.arange(bag.num_rows), sizes)
         tree = grow_tree(bag.column("price").to_numpy(), bag.column("copies").to_numpy().astype(np.int64), row, index, bins, depth)
         return pa.Table.from_pydict({"tree": [bag.column("tree")[0].as_py()]} | {name: [values] for name, values in tree.items()}, schema=_TREE)
     return run
@@ -146,9 +192,10 @@ def bags(rows: DataFrame, trees: int, seed: int) -> DataFrame:
     """
     drawn = (F.pmod(F.xxhash64(F.lit(seed), "tree", "id"), F.lit(1 << 52)) + 0.5) / F.lit(2.0 ** 52)
     chance = np.exp(-1.0) / np.cumprod([1.0, *range(1, MOST_COPIES)])
-    copies = sum(((drawn > F.lit(float(edge))).cast("int") for edge in np.cumsum(chance)), F.lit(0))
-    dealt = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    return dealt.withColumn("copies", copies).where("copies > 0")
+    copies = sum(((F.col("_drawn") > F.lit(float(edge))).cast("int") for edge in np.cumsum(chance)), F.lit(0))
+    # Else each of the comparisons would draw anew, in the filter and in the column.
+    dealt = with_once(rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")), _drawn=drawn)
+    return dealt.withColumn("copies", copies).where("copies > 0").drop("_drawn")
 
 
 def fit_forest(rows: DataFrame, features: int, trees: int, depth: int, seed: int, most_bins: int) -> Forest:
@@ -159,14 +206,15 @@ def fit_forest(rows: DataFrame, features: int, trees: int, depth: int, seed: int
     spark = rows.sparkSession
     ship_package(spark)
     with scratch(spark):
-        rows = stage(rows, "forest-cells")
+        # Dealt evenly, as few files would keep few tasks busy.
+        rows = stage(rows.repartition(spark.sparkContext.defaultParallelism), "forest-cells")
         mean = rows.agg(F.avg("price")).first()[0]
         model = Forest(quantile_edges(rows, features, most_bins), float(mean or 0.0))
-        schema = "id string, price double, indices array<int>, bins array<smallint>"
+        schema = "id string, price double, indices binary, bins binary"
         binned = stage(rows.mapInArrow(_binned(spark.sparkContext.broadcast(model)), schema), "forest-rows")
         # A partition of its own for every tree, as far as hashes allow: they are too few for adaptive merging to see their cost.
         dealt = bags(binned, trees, seed).drop("id").repartition(trees, "tree")
-        grown = dealt.groupBy("tree").applyInArrow(_grown(depth), _TREE_DDL).toArrow().sort_by("tree")
+        grown = dealt.groupBy("tree").applyInArrow(_grown(depth, features), _TREE_DDL).toArrow().sort_by("tree")
     if grown.num_rows:
         parts = {name: [x.values.to_numpy() for x in grown.column(name)] for name in _TREE.names[1:]}
         model.roots = np.cumsum([0, *map(len, parts["feature"])])[:-1]

@@ -84,14 +84,21 @@ def coefficients(pricer: Pricer, spark) -> DataFrame:
 
 
 def _bow_pricer(name: str, train: DataFrame, terms: Sequence[str], fit: Callable, apply: Callable, keep: Sequence[str] = ()) -> Pricer:
-    """A pricer on word counts: ``fit(rows)`` makes the model from stored rows, ``apply(rows, model)`` adds ``_prediction``."""
+    """A pricer on word counts: ``fit(rows)`` makes the model from stored rows, ``apply(rows, model)`` adds ``_prediction``.
+
+    Rows that come with a column ``bow``, their counts on the same terms, need no text; if several fits learn from them, store them once.
+    """
     def vectors(df: DataFrame) -> DataFrame:
-        return bow_vectors(bow_tokens(df), terms)
+        return df if "bow" in df.columns else bow_vectors(bow_tokens(df), terms)
+
+    def apply_floored(df: DataFrame) -> DataFrame:
+        return _floored(apply(vectors(df), model), *(c for c in ("tokens", "bow") if c not in df.columns))
 
     with scratch(train.sparkSession):
         # Fits may pass over the vectors many times; the text is tokenized once.
-        model = fit(stage(vectors(train).select("product_id", "bow", "price", *keep), "bow"))
-    return Pricer(name, lambda df: _floored(apply(vectors(df), model), "tokens", "bow"), model, tuple(terms))
+        rows = vectors(train).select("product_id", "bow", "price", *keep)
+        model = fit(rows if "bow" in train.columns else stage(rows, "bow"))
+    return Pricer(name, apply_floored, model, tuple(terms))
 
 
 def linear_bow(train: DataFrame, terms: Sequence[str], tolerance: float = 1e-10) -> Pricer:

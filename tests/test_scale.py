@@ -141,3 +141,66 @@ def test_cells_pass_packed():
         values, sizes = boosting._unpacked(boosting._packed(flat.astype(kind), ends).take(pa.array([1, 0, 2])), kind)
         assert values.tolist() == [1, 300, 65_535, 7] and sizes.tolist() == [0, 3, 1]
     assert boosting._unpacked(boosting._packed(flat[:0].astype(np.uint16), np.zeros(3, int)), np.dtype(np.uint16))[0].size == 0
+
+
+def test_a_tree_sums_only_what_the_smaller_children_hold(monkeypatch):
+    """Many levels that part a few rows from the rest: below the root the cells of those few are summed, not all at every level."""
+    rows, words = 64, 40
+    row, index = map(np.ravel, np.meshgrid(np.arange(rows), np.arange(words), indexing="ij"))
+    here = (index == 0) | (row < index)
+    row, index = row[here], index[here]
+    price, bins = 1.5 ** np.arange(rows)[::-1].clip(20), np.ones(len(row), np.int64)
+    summed, runs = [], forest._runs
+    monkeypatch.setattr(forest, "_runs", lambda node, *rest: summed.append(len(node)) or runs(node, *rest))
+    tree = forest.grow_tree(price, np.ones(rows, np.int64), row, index, bins, 30)
+    assert len(summed) > 10 and summed[0] == len(row) and sum(summed[1:]) < 2 * len(row)
+    fitted = forest.Forest([np.arange(2.0)] * words, 0.0, np.array([0]), tree["feature"], tree["bin"], tree["below"], tree["value"], tree["gain"])
+    block = np.zeros((rows, words), np.uint8)
+    block[row, index] = 1
+    assert fitted.predict(block)[:20] == pytest.approx(price[:20], rel=1e-3)
+
+
+def test_quantiles_are_exact_at_any_partitioning(spark):
+    draw = random.Random(8)
+    rows = [([0, 2], [float(draw.randrange(1, 40)), float(draw.choice([1, 1, 1, 2]))]) for _ in range(700)] + [([], []), ([0], [3.0])]
+    given = spark.createDataFrame(rows, "indices array<int>, values array<double>")
+    for most in (3, 16, 32):
+        want = []
+        for word in range(4):
+            found = sorted(v for index, values in rows for i, v in zip(index, values) if i == word)
+            want.append(sorted({found[-(-i * len(found) // (most - 1)) - 1] for i in range(1, most - 1)} if found else set()))
+        for parts in (1, 7):
+            assert [e.tolist() for e in boosting.quantile_edges(given.repartition(parts), 4, most)] == want
+
+
+def test_what_tasks_found_is_added_up_by_ranges_of_cells():
+    """In any number of ranges, the sums of the rows; cells that no task found are not there."""
+    edges = [np.array([1.0, 2.0]), np.array([1.0])]
+    model, tree = boosting.BoostedTrees(edges, 0.0, 2), boosting.Tree.of_depth(2)
+    ends = np.array([0, 2, 2, 3])
+    batch = pa.record_batch([
+        pa.array([10.0, 20.0, 30.0]), pa.array([False, False, True]), boosting._packed(np.array([0, 1, 0], np.uint16), ends),
+        boosting._packed(np.array([3, 1, 1], np.uint8), ends), pa.array([1.0, 2.0, 5.0])], names=["price", "held", "indices", "bins", "margin"])
+    state = type("State", (), {"value": (model, tree, np.ones(1, bool))})
+    want = {2: (-90_000, 1), 3: (-90_000, 1), 5: (-270_000, 2), boosting.TRAIN_ERROR: ((81 + 324) * 256, 0), boosting.HELD_ERROR: (625 * 256, 0), boosting.HELD_ROWS: (1, 0)}
+    for parts in (1, 2, 5):
+        made = pa.concat_tables([pa.Table.from_batches(boosting._histograms(state, 0, 0, parts)(iter([batch]))) for _ in range(3)])
+        assert made.num_rows == 3 * parts
+        added = [boosting._added(made.filter(pa.compute.equal(made["part"], part))) for part in range(parts)]
+        got = {k: (t, n) for table in added for columns in boosting._columns(table) for k, t, n in zip(*(x.tolist() for x in columns))}
+        assert got == {key: (3 * total, 3 * n) for key, (total, n) in want.items()}
+
+
+def test_learners_share_counts_that_are_there(spark):
+    """Rows with counts and no text give the fits and the predictions that their texts give."""
+    rows = [(i, 20.0 + 50 * (i % 3) + i % 7, "cable " * (i % 3) + " ".join(f"word{chr(97 + j)}" for j in range(5) if i >> j & 1), None, 0.0) for i in range(120)]
+    texts = spark.createDataFrame(rows, "product_id bigint, price double, text string, summary string, weight double")
+    terms = features.vocabulary_terms(features.bow_vocabulary(features.bow_tokens(texts)))
+    counts = features.bow_vectors(features.bow_tokens(texts), terms).select("product_id", "price", "bow")
+    for fit, options in ((models.linear_bow, {}), (models.random_forest, {"trees": 4}), (models.boosted_trees, {"rounds": 4})):
+        of_texts, of_counts = fit(texts, terms, **options), fit(counts, terms, **options)
+        want = {r.product_id: r.predicted for r in of_texts.predict(texts).collect()}
+        for pricer, given in ((of_counts, counts), (of_counts, texts), (of_texts, counts)):
+            predicted = pricer.predict(given)
+            assert predicted.columns == [*given.columns, "predicted"]
+            assert {r.product_id: r.predicted for r in predicted.collect()} == pytest.approx(want)
