@@ -40,7 +40,6 @@ PROPORTIONAL_SPLIT_ENDS = (0.9756, 0.9878)
 LITE_SPLIT_SIZES = {"train": 20_000, "val": 1_000, "test": 1_000}
 
 EVALUATION_SIZE = 200
-FOREST_ROWS = 15_000
 
 QUESTION = "What does this cost to the nearest dollar?"
 PRICE_PREFIX = "Price is $"

@@ -383,7 +383,7 @@ def fit_boosted_trees(
 
 
 def with_trees(df: DataFrame, model: Bins, vector: str = "bow", output: str = "_prediction") -> DataFrame:
-    """Add the prediction of boosted or bagged trees from a column of sparse counts."""
+    """Add the prediction of boosted trees from a column of sparse counts."""
     ship_package(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 

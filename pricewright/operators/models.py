@@ -13,12 +13,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from ..constants import FOREST_ROWS, IMPORTANT_WORDS, SEED
+from ..constants import IMPORTANT_WORDS, SEED
 from ..functions.hashing import hash_uniform
 from ..session import scratch, ship_package, stage
 from .boosting import cells, fit_boosted_trees, with_trees
 from .features import NUMERIC, bow_tokens, bow_vectors, numeric_features
-from .forest import fit_forest
+from .forest import fit_forest, with_forest
 from .least_squares import fit_least_squares, with_fitted
 from .ranking import head_subset, upper_median
 
@@ -107,16 +107,16 @@ def linear_bow(train: DataFrame, terms: Sequence[str], tolerance: float = 1e-10)
 
 
 def random_forest(
-    train: DataFrame, terms: Sequence[str], rows: int = FOREST_ROWS, trees: int = 100, depth: int = 30, seed: int = SEED, bins: int = 16,
+    train: DataFrame, terms: Sequence[str], rows: int | None = None, trees: int = 100, depth: int = 30, seed: int = SEED, bins: int = 16,
 ) -> Pricer:
-    """Bagged trees over all features on the first ``rows`` train rows (see ``forest``)."""
+    """Bagged trees over all features on all train rows, or on the first ``rows`` of them if so many are named (see ``forest``)."""
     def fit(staged: DataFrame):
         inside = cells(F.col("bow"))
         sparse = staged.select(F.col("product_id").cast("string").alias("id"), F.col("price").cast("double").alias("price"),
                                inside["indices"].alias("indices"), inside["values"].alias("values"))
         return fit_forest(sparse, len(terms), trees, depth, seed, bins)
 
-    return _bow_pricer("bagged trees", head_subset(train, rows), terms, fit, with_trees)
+    return _bow_pricer("bagged trees", train if rows is None else head_subset(train, rows), terms, fit, with_forest)
 
 
 def boosted_trees(

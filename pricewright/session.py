@@ -61,10 +61,10 @@ def _stages(spark: SparkSession) -> str:
     return f"{stage_root(spark)}/pricewright/{spark.sparkContext.applicationId}"
 
 
-def stage_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for one intermediate table of this application."""
+def stage_path(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A fresh path for one intermediate table of this application; with ``keep`` no ``scratch`` deletes it."""
     path = f"{_stages(spark)}/{label}-{uuid.uuid4().hex}"
-    if _scratches:
+    if _scratches and not keep:
         _scratches[-1].append(path)
     return path
 
@@ -97,14 +97,14 @@ def stage_generation(spark: SparkSession) -> tuple[str, int]:
     return app, _drops[app]
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts lineage, survives lost executors, and unlike a checkpoint lets later
     readers prune columns. Use before an operator that scans its input twice.
     """
     spark = df.sparkSession
-    path = stage_path(spark, label)
+    path = stage_path(spark, label, keep)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

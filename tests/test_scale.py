@@ -6,13 +6,18 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 
-from pricewright.operators import boosting, features, forest, models
+from pricewright.operators import boosting, features, forest, models, ranking
 from pricewright.operators.ranges import range_counts
 from pricewright_queries import views
 
 
+sparse = F.udf(lambda v: Vectors.sparse(len(v), [(i, x) for i, x in enumerate(v) if x]), VectorUDT())
+
+
 def plain_tree(rows, depth):
     """The best split of a node of (price, bins) rows by trying all, down to one row or ``depth``: each row's value."""
     prices = np.array([p for p, _ in rows])
@@ -66,6 +71,76 @@ def test_forest_takes_no_pass_per_node(spark):
     assert none.predict(df).where("predicted = 0").count() == 500
 
 
+def test_forest_learns_from_all_rows(spark):
+    """A word that stands in rows beyond the first 15,000 in shuffled order only, and decides their price."""
+    ids = spark.range(15_300).withColumnRenamed("id", "product_id")
+    first = ranking.head_subset(ids, 15_000).withColumn("first", F.lit(True))
+    df = ids.join(first, "product_id", "left").select(
+        "product_id", F.when(F.col("first"), 100.0).otherwise(900.0).alias("price"), F.when(F.col("first"), "early").otherwise("late").alias("text"),
+        F.lit(None).cast("string").alias("summary"), F.lit(0.0).alias("weight"))
+    fit = models.random_forest(df, ["early", "late"], trees=3)
+    assert {tuple(r) for r in fit.predict(df).select("text", "predicted").distinct().collect()} == {("early", 100.0), ("late", 900.0)}
+    few = models.random_forest(df, ["early", "late"], rows=15_000, trees=3)
+    assert few.predict(df).where("predicted <> 100").count() == 0
+
+
+def test_tops_of_trees_do_not_change_them(spark, monkeypatch):
+    """Trees whose upper nodes passes have split, at any depth of these, are those that a task grows from the root."""
+    draw = random.Random(4)
+    words = [f"word{chr(97 + j)}" for j in range(9)]
+    rows = [(i, draw.randrange(100, 9000) / 10, " ".join(" ".join([w] * draw.choice([0, 0, 0, 1, 2, 5])) for w in words), None, 0.0) for i in range(150)]
+    df = spark.createDataFrame(rows, "product_id bigint, price double, text string, summary string, weight double").cache()
+
+    def grown(cells, depth):
+        monkeypatch.setattr(forest, "NODE_CELLS", cells)
+        pricer = models.random_forest(df, words, trees=3, depth=depth)
+        whole = pricer.model.whole
+
+        def tree(node):
+            if whole.feature[node] < 0:
+                return whole.value[node]
+            below = whole.below[node]
+            return int(whole.feature[node]), int(whole.bin[node]), whole.gain[node], tree(below), tree(below + 1)
+
+        pieces = pricer.model.pieces.where("node >= 0").selectExpr("count(*)", "coalesce(max(size(value)), 0)").first()
+        return [tree(root) for root in whole.roots], {r.product_id: r.predicted for r in pricer.predict(df).collect()}, tuple(pieces)
+
+    for depth, cells in ((5, 200), (3, 1)):
+        trees, predicted, pieces = grown(1 << 21, depth)
+        more_trees, more_predicted, more = grown(cells, depth)
+        assert more_trees == trees and more_predicted == predicted and pieces[0] == 3 and more[1] < pieces[1]
+    # No node of more rows than the limit reached a task.
+    assert more[1] <= 1
+
+
+def test_bags_are_drawn_with_mean_one():
+    hashed = np.random.default_rng(1).integers(-2 ** 63, 2 ** 63 - 1, 200_000)
+    copies = [forest.draws(hashed, tree) for tree in range(3)]
+    for drawn in copies:
+        shares = np.bincount(drawn, minlength=4)[:4] / len(hashed)
+        assert shares == pytest.approx(np.exp(-1) / np.array([1, 1, 2, 6]), abs=5e-3)
+    assert abs(np.corrcoef(copies)[np.triu_indices(3, 1)]).max() < 0.01
+    assert (forest.draws(hashed[::-1], 2) == copies[2][::-1]).all()
+
+
+def test_a_stored_forest_predicts_as_one_of_the_driver(spark, monkeypatch):
+    """Trees in groups and the vectors by their digests: as all trees at once, for rows that repeat, ids that are null and rows without words."""
+    rows = [(i if i % 5 else None, 50.0 + (i * 7919 % 900), [1.0 * (i >> j & 3) for j in range(7)]) for i in range(90)] * 2
+    df = spark.createDataFrame(rows, "product_id bigint, price double, many array<double>")
+    df = df.withColumn("bow", array_to_vector("many")).withColumn("bow", sparse("bow")).drop("many")
+    for held in (forest.NODES_HELD, 1):
+        monkeypatch.setattr(forest, "NODES_HELD", held)
+        pricer = models.random_forest(df, [f"word{j}" for j in range(7)], trees=11)
+        assert pricer.model.groups == (4 if held > 1 else 11)
+        want = []
+        for r in df.collect():
+            index, values = np.array(r.bow.indices, np.int64), np.array(r.bow.values)
+            want.append((r.product_id or -1, r.price, pricer.model.whole.predict(pricer.model.bins(index, values, np.zeros(len(index), np.int64), 1))[0]))
+        got = [(r.product_id or -1, r.price, r.predicted) for r in pricer.predict(df).collect()]
+        assert [x[:2] for x in sorted(got)] == [x[:2] for x in sorted(want)]
+        assert [x[2] for x in sorted(got)] == pytest.approx([x[2] for x in sorted(want)], abs=1e-5)
+
+
 def test_counts_of_ranges_make_no_pairs(spark):
     """As by hand, at any width: ends on, between and beyond the points, repeated ranges, nulls, NaN; and 300 million pairs that are not made."""
     draw = random.Random(3)
