@@ -1,11 +1,11 @@
-"""Train, predict, and rank by mean absolute error on one shared sample."""
+"""Train, predict, and rank by mean absolute error on the same test items."""
 
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..constants import EVALUATION_SIZE, SEED
+from ..constants import SEED
 from ..operators.evaluation import mean_errors
 from ..operators.models import Pricer
 from ..operators.ranking import uniform_sample
@@ -24,8 +24,8 @@ def model_outputs(pricers: Sequence[Pricer], items: DataFrame) -> DataFrame:
 
 
 def rank_pricers(
-    pricers: Sequence[Pricer], test: DataFrame, sample_size: int = EVALUATION_SIZE, seed: int = SEED
+    pricers: Sequence[Pricer], test: DataFrame, sample_size: int | None = None, seed: int = SEED
 ) -> DataFrame:
-    """MAE per pricer on one sample, which is drawn and stored once; only it is scored."""
-    sample = stage(uniform_sample(test, sample_size, seed=seed), "evaluation-sample")
-    return mean_errors(model_outputs(pricers, sample))
+    """MAE per pricer on all test items, or on one sample of ``sample_size``; what is scored is stored once."""
+    items = test if sample_size is None else uniform_sample(test, sample_size, seed=seed)
+    return mean_errors(model_outputs(pricers, stage(items, "evaluation-items")))

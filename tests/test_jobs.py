@@ -291,6 +291,17 @@ def test_ranking_of_pricers(spark, learned):
     assert results["seeded guess"] > results["mean price"] > results["least squares on words"]
 
 
+def test_all_test_items_are_judged(spark):
+    """Also beyond 200 of them; a sample is drawn if one is asked for, and items without an id or listed twice count as they come."""
+    rows = [(i if i else None, 100.0) for i in range(250)] + [(7, 100.0), (8, 600.0)]
+    test = spark.createDataFrame(rows, "product_id bigint, price double")
+    pricer = models.Pricer("fixed", lambda df: df.withColumn("predicted", F.lit(100.0)))
+    (whole,) = rank_pricers([pricer], test).collect()
+    assert whole.sample_size == 252 and whole.mae == pytest.approx(500 / 252)
+    (some,) = rank_pricers([pricer], test, sample_size=50).collect()
+    assert some.sample_size == 50
+
+
 def test_batch_predict_isolates_rows(spark):
     def load():
         def predict(frame):
